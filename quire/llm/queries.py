@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import exact_dedup, secret_scan, simhash, url_filter
+from quire.llm import exact_dedup, mixing, quality, secret_scan, simhash, url_filter
 from quire.llm.common import read
 
 
+def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))[0].select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "n_strict", "n_soft", "verdict")
 
@@ -17,6 +21,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents")).select("doc_id", *exact_dedup.VERDICT)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(read(spark, sf_dir, "documents"))
 
@@ -26,5 +35,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op4_url_filters, op5_exact_dedup, op9_secret_scans, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mixing_sources, op4_url_filters, op5_exact_dedup, op8_quality_classifier, op9_secret_scans, op10_simhash_near_dedup)}
 ORACLE_SQL = {"op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}

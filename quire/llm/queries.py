@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontam, exact_dedup, mixing, quality, secret_scan, simhash, url_filter
+from quire.llm import decontam, exact_dedup, mixing, phrase_dedup, quality, secret_scan, simhash, substring_dedup, url_filter
 from quire.llm.common import read
 
 
@@ -13,6 +13,14 @@ def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))[0].select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_digest(read(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.phrase_digest(read(spark, sf_dir, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "n_strict", "n_soft", "verdict")
 
@@ -40,5 +48,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing_sources, op4_url_filters, op5_exact_dedup, op6_benchmark_decontamination, op8_quality_classifier, op9_secret_scans, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mixing_sources, op2_suffix_array_dedup, op3_substring_dedup, op4_url_filters, op5_exact_dedup, op6_benchmark_decontamination, op8_quality_classifier, op9_secret_scans, op10_simhash_near_dedup)}
 ORACLE_SQL = {"op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +56,13 @@ def partitions(spark: SparkSession, rows: int, per_partition: int) -> int:
 
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Like settle, for tables of whole documents: Parquet in the shared folder, of which later scans read only some columns.
+
+    The files stay until the folder is emptied, as those of reliable checkpoints do by default.
+    """
+    spark = df.sparkSession
+    df.write.parquet(path := f"{checkpoint_dir(spark)}/quire-{uuid.uuid4().hex}")
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontam, exact_dedup, mixing, phrase_dedup, quality, secret_scan, simhash, substring_dedup, url_filter
+from quire.llm import decontam, exact_dedup, license_scan, mixing, phrase_dedup, quality, secret_scan, simhash, substring_dedup, url_filter
 from quire.llm.common import read
 
 
@@ -34,6 +34,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "doc_start", "item_start", "words", "agree")
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_rows(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.withColumnRenamed("id", "doc_id")
@@ -48,5 +52,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing_sources, op2_suffix_array_dedup, op3_substring_dedup, op4_url_filters, op5_exact_dedup, op6_benchmark_decontamination, op8_quality_classifier, op9_secret_scans, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mixing_sources, op2_suffix_array_dedup, op3_substring_dedup, op4_url_filters, op5_exact_dedup, op6_benchmark_decontamination, op7_license_scans, op8_quality_classifier, op9_secret_scans, op10_simhash_near_dedup)}
 ORACLE_SQL = {"op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}

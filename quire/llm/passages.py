@@ -21,7 +21,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +37,6 @@ HOT_BLOCKS = 256
 NULL_ID = -(1 << 63)
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_SLICE = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -46,23 +44,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+#: Positions worked on at once, so that they stay in the processor's cache.
+SLICE = 1 << 15
+
+
 def minimizers(h: np.ndarray, ok: np.ndarray, width: int) -> np.ndarray:
     """Positions of the least of h (the first of several) in each run of `width` hashes; ok: runs that count."""
-    low, out = np.uint64(_SLICE - 1), []
-    for a in range(0, len(ok), _SLICE // 2):
-        n = min(_SLICE // 2, len(ok) - a)
-        key = (h[a : a + n + width - 1] & ~low) | np.arange(n + width - 1, dtype=np.uint64)
+    low, out = np.uint64(2 * SLICE - 1), []
+    places = np.arange(SLICE + width, dtype=np.uint64)
+    for a in range(0, len(ok), SLICE):
+        n = min(SLICE, len(ok) - a)
+        key = h[a : a + n + width - 1] & ~low
+        key |= places[: len(key)]
         span = 1
         while span * 2 <= width:
             key = np.minimum(key[:-span], key[span:])
             span *= 2
         if rest := width - span:
             key = np.minimum(key[:-rest], key[rest:])
-        at = (key & low)[ok[a : a + n]].astype(np.int64) + a
+        at = (key & low)[ok[a : a + n]].astype(np.int64)
         if len(at):
-            out.append(at[np.r_[True, at[1:] != at[:-1]]])
+            out.append(at[np.r_[True, at[1:] != at[:-1]]] + a)
     found = np.concatenate(out) if out else np.zeros(0, np.int64)
-    return np.unique(found)
+    return found[np.r_[True, found[1:] != found[:-1]]] if len(found) else found
 
 
 @dataclass
@@ -193,20 +197,20 @@ class Entries:
 def _entries(block: Block, plan: Plan, flags: dict[int, np.ndarray], shards: int) -> Entries:
     pos = _anchors(block, plan)
     short = _short(block.hashes[pos])
-    known = np.unique(short)
+    doc = np.searchsorted(block.ends, pos, side="right")
+    order = np.argsort(short, kind="stable")
+    ranked = short[order]
+    new = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, np.int64)
+    known, each = ranked[new], np.diff(np.r_[new, len(ranked)])
     said = np.zeros(len(known), np.uint8)
     part = _shard(known, shards)
     for s, f in flags.items():
         said[part == s] = f
-    doc = np.searchsorted(block.ends, pos, side="right")
-    at = np.searchsorted(known, short)
-    ids = block.ids[doc]
-    # also what several documents of this block hold
-    few = np.full(len(known), np.iinfo(np.int64).max)
-    many = np.full(len(known), np.iinfo(np.int64).min)
-    np.minimum.at(few, at, ids)
-    np.maximum.at(many, at, ids)
-    kind = np.where((said == 0) & (few < many), 1, said)[at]
+    ids = block.ids[doc[order]]
+    if len(ids):  # also what several documents of this block hold
+        said[(said == 0) & (np.minimum.reduceat(ids, new) < np.maximum.reduceat(ids, new))] = 1
+    kind = np.zeros(len(pos), np.uint8)
+    kind[order] = np.repeat(said, each)
     pos, doc, short = pos[kind > 0], doc[kind > 0], short[kind > 0]
     hot = kind[kind > 0] == 2
     lo = np.maximum(pos + plan.anchor - plan.window, block.starts[doc])
@@ -222,8 +226,9 @@ def _entries(block: Block, plan: Plan, flags: dict[int, np.ndarray], shards: int
         short = np.r_[short[keep], np.zeros(len(each), np.uint64)]
         hot = np.r_[np.zeros(keep.sum(), np.bool_), np.ones(len(each), np.bool_)]
     a, b = block.cut(lo, hi)
-    of, data = xxhash.xxh64_intdigest, block.data
-    c = np.fromiter((of(data[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)), np.uint64, len(a)) + left.astype(np.uint64)
+    c = (hi - lo).astype(np.uint64) * np.uint64(1 << 16) + left.astype(np.uint64)
+    for t in range(0, 2 * plan.window - plan.anchor, plan.anchor):  # pieces that together are the whole context
+        c = mixed(c * np.uint64(31) + block.hashes[np.minimum(lo + t, hi - plan.anchor)])
     key = np.where(hot, mixed(c) >> np.uint64(16), short)
     ids = block.ids[doc]
     order = np.lexsort((ids, c, key))

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.passages import Block, Plan, mixed, remove_recurring
+from quire.llm.passages import SLICE, Block, Plan, mixed, remove_recurring
 from quire.llm.suffix_array import suffix_array
 
 WINDOW, ANCHOR = 50, 26
@@ -19,15 +19,15 @@ SORTED_AT_ONCE = 1 << 18
 def read_bytes(ids: np.ndarray, texts: list[bytes], anchor: int) -> Block:
     data = b"".join(texts)
     raw = np.frombuffer(data, np.uint8)
-    n = max(0, len(raw) - anchor + 1)
-    h = np.zeros(n, np.uint64)
-    if n:
-        step = min(8, anchor)
-        words = np.zeros(len(raw) - step + 1, np.uint64)
-        for i in range(step):
-            words = (words << np.uint64(8)) | raw[i : i + len(words)]
+    h = np.zeros(max(0, len(raw) - anchor + 1), np.uint64)
+    step = next(n for n in (8, 4, 2, 1) if n <= anchor)
+    for a in range(0, len(h), SLICE):
+        out = h[a : a + SLICE]
+        words = raw[a : a + SLICE + anchor - 1].astype(np.uint64)
+        for n in (1, 2, 4)[: step.bit_length() - 1]:  # of each position the next 2, 4, 8 bytes
+            words = words[:-n] | words[n:] << np.uint64(8 * n)
         for at in [*range(0, anchor - step + 1, step), *([anchor - step] if anchor % step else [])]:
-            h = mixed(h * np.uint64(31) + words[at : at + n])
+            out[:] = mixed(out * np.uint64(31) + words[at : at + len(out)])
     return Block(ids, np.cumsum([len(t) for t in texts]) if texts else np.zeros(0, np.int64), data, lambda lo, hi: (lo, hi), h)
 
 
@@ -92,8 +92,8 @@ def solve_bytes(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts:
     """Of each context: the bytes that lie in windows which a context with the same key and a smaller id has too.
 
     Equal contexts are one string with the smallest of their ids. Contexts of a key that differ are first cut to what any
-    other one of the key has next to the anchor, on both sides, which takes no shared window away; what is left of them is
-    suffix-sorted, many keys at once.
+    other one of the key has next to the anchor, on both sides, which takes no shared window away. Where that leaves strings
+    that differ, they are suffix-sorted, many keys at once; one string that all have left has nothing to be sorted against.
     """
     size = np.fromiter(map(len, contexts), np.int64, len(contexts))
     number, one = _numbered(key, left, contexts)
@@ -115,11 +115,13 @@ def solve_bytes(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts:
     cut, pick = _numbered(k, before, strings)
     low = np.full(len(pick), np.iinfo(np.int64).max)
     np.minimum.at(low, cut, own)
-    a, b = np.zeros(len(pick), np.int64), np.zeros(len(pick), np.int64)
-    sizes, keys, first = np.array([len(strings[i]) for i in pick]), k[pick], 0
-    for i in range(1, len(pick) + 1):
-        if i == len(pick) or keys[i] != keys[i - 1] and sizes[first:i].sum() >= SORTED_AT_ONCE:
-            a[first:i], b[first:i] = sorted_windows([strings[j] for j in pick[first:i]], low[first:i], window)
+    a, b, keys = np.zeros(len(pick), np.int64), np.zeros(len(pick), np.int64), k[pick]
+    differ = np.flatnonzero(np.r_[False, keys[1:] == keys[:-1]] | np.r_[keys[1:] == keys[:-1], False]) if len(pick) else pick
+    keys, first, size_of = keys[differ], 0, np.r_[0, np.cumsum([len(strings[i]) for i in pick[differ]])]
+    for i in range(1, len(differ) + 1):
+        if i == len(differ) or keys[i] != keys[i - 1] and size_of[i] - size_of[first] >= SORTED_AT_ONCE:
+            at_once = differ[first:i]
+            a[at_once], b[at_once] = sorted_windows([strings[j] for j in pick[at_once]], low[at_once], window)
             first = i
     whole = own > low[cut]
     a, b = np.where(whole, 0, a[cut]) + at - before, np.where(whole, before + anchor + after, b[cut])

@@ -1,4 +1,540 @@
-"""Registered queries of the engine, and the SQL that gives the same rows."""
+"""Registered queries of the engine, and the SQL that gives the same rows where SQL can."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quire.functions import text as X
+from quire.operators import contrast, predicate, prepare, rollups, scoring, validation
+from quire.plans.corpus import SQL, corpus, scored_sql, table
+from quire.schema import FLAGS, PROBE_OUTCOMES
+from quire.sources.shards import shard_aug, shard_group
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _scores(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> DataFrame:
+    return scoring.score(corpus(spark, sf_dir, prediction))
+
+
+BASE = f"WITH {SQL}, {scored_sql('baseline')}"
+BOTH = f"WITH {SQL}, {scored_sql('baseline')}, {scored_sql('candidate')}"
+#: Skeleton of ASCII text: no punctuation or symbols, words one space apart.
+ASCII_SKELETON = r"trim(regexp_replace(regexp_replace({0}, '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g'))"
+
+
+def _skel(c: str) -> str:
+    return ASCII_SKELETON.format(c)
+
+
+# ---- split totals
+
+_RATES = """
+  CASE WHEN count(*) FILTER (has_metrics) > 0 THEN CAST(sum(char_edits) FILTER (has_metrics) AS BIGINT) END AS char_edits,
+  CASE WHEN count(*) FILTER (has_metrics) > 0 THEN CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) END AS ref_chars,
+  CAST(sum(char_edits) FILTER (has_metrics) AS DOUBLE) / CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) AS cer_micro,
+  round(avg(CAST(char_edits AS DOUBLE) / ref_chars) FILTER (has_metrics), 9) AS cer_macro,
+  CAST(count(*) FILTER (has_metrics AND char_edits = 0) AS DOUBLE) / nullif(count(*) FILTER (has_metrics), 0) AS exact_match_rate"""
+_CONTRACT = """
+  count(*) FILTER (outcome = 'correct_refusal') AS correct_refusal, count(*) FILTER (outcome = 'hallucination') AS hallucination,
+  count(*) FILTER (outcome = 'false_refusal') AS false_refusal, count(*) FILTER (outcome IN ('correct_refusal', 'hallucination')) AS probe_pages,
+  CAST(count(*) FILTER (outcome = 'hallucination') AS DOUBLE) / nullif(count(*) FILTER (outcome IN ('correct_refusal', 'hallucination')), 0) AS hallucination_rate,
+  CAST(count(*) FILTER (outcome = 'false_refusal') AS DOUBLE) / nullif(count(*) FILTER (has_metrics), 0) AS false_refusal_rate"""
+
+
+@query(f"{BASE} SELECT split, count(*) AS pages, count(*) FILTER (has_metrics) AS scored_pages, {_CONTRACT}, {_RATES} FROM s_baseline GROUP BY split")
+def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, contract and strict error rates of each split."""
+    pages = corpus(spark, sf_dir).repartition("page_id")
+    edits = X.char_edits("reference", "prediction")
+    rows = pages.select("split", X.outcome(F.col("reference"), F.col("prediction")).alias("outcome"), edits.alias("e"), F.length("reference").alias("n"))
+    scored = ~F.col("outcome").isin(*PROBE_OUTCOMES)
+    only = lambda c: F.when(scored, c)
+    n, probes, k = F.count_if(scored), F.count_if(~scored), lambda o: F.count_if(F.col("outcome") == o)
+    return rows.groupBy("split").agg(
+        F.count("*").alias("pages"), n.alias("scored_pages"), k("correct_refusal").alias("correct_refusal"), k("hallucination").alias("hallucination"), k("false_refusal").alias("false_refusal"), probes.alias("probe_pages"),
+        F.try_divide(k("hallucination"), probes).alias("hallucination_rate"), F.try_divide(k("false_refusal"), n).alias("false_refusal_rate"),
+        F.sum(only(F.col("e"))).alias("char_edits"), F.sum(only(F.col("n"))).alias("ref_chars"), F.try_divide(F.sum(only(F.col("e"))), F.sum(only(F.col("n")))).alias("cer_micro"),
+        F.round(F.avg(only(F.col("e") / F.col("n"))), 9).alias("cer_macro"), F.try_divide(F.count_if(scored & (F.col("e") == 0)), n).alias("exact_match_rate"),
+    )
+
+
+@query()
+def split_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything a split's summary has, at all levels (word distances and order have no SQL form)."""
+    return rollups.split_totals(_scores(spark, sf_dir))
+
+
+@query(f"""{BASE} SELECT split, CAST(sum(char_edits) AS BIGINT) AS char_edits, CAST(sum(ref_chars) AS BIGINT) AS ref_chars, CAST(sum(char_edits) AS DOUBLE) / CAST(sum(ref_chars) AS BIGINT) AS micro,
+  round(avg(CAST(char_edits AS DOUBLE) / ref_chars), 9) AS macro FROM s_baseline WHERE has_metrics GROUP BY split""")
+def split_micro_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("metrics.strict")
+    e, n = m["char_edits"], m["ref_chars"]
+    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
+
+
+@query(f"{BASE} SELECT split, count(*) FILTER (has_metrics) AS scored_pages, CAST(sum(char_edits) FILTER (has_metrics) AS DOUBLE) / CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) AS cer FROM s_baseline GROUP BY split")
+def split_headline_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
+
+
+@query(f"{BASE} SELECT split, outcome, count(*) AS pages FROM s_baseline GROUP BY ALL")
+def contract_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("split", X.outcome(F.col("reference"), F.col("prediction")).alias("outcome")).groupBy("split", "outcome").agg(F.count("*").alias("pages"))
+
+
+@query(f"{BASE} SELECT split, {_CONTRACT} FROM s_baseline GROUP BY split")
+def contract_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
+
+
+# ---- distances and normalisation
+
+
+@query(f"{BASE} SELECT page_id, char_edits, ref_chars FROM s_baseline")
+def page_char_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).repartition("page_id").select("page_id", X.char_edits("reference", "prediction").cast("long").alias("char_edits"), F.length("reference").cast("long").alias("ref_chars"))
+
+
+def _letters(words: str) -> str:
+    return f"array_to_string(list_transform({words}, lambda w: chr(CAST(32 + list_position(every, w) AS INTEGER))), '')"
+
+
+@query(rf"""WITH {SQL}, w AS (SELECT page_id, list_filter(regexp_split_to_array(reference, '\s+'), lambda x: x <> '')[1:30] AS a, list_filter(regexp_split_to_array(baseline, '\s+'), lambda x: x <> '')[1:30] AS b FROM page),
+  e AS (SELECT page_id, a, b, list_concat(a, b) AS every FROM w)
+  SELECT page_id, levenshtein({_letters('a')}, {_letters('b')}) AS word_edits, CAST(len(a) AS BIGINT) AS ref_words FROM e""")
+def page_word_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over the first 30 words of each side, which SQL can spell in single bytes; word_edits does whole pages."""
+    rows = corpus(spark, sf_dir).select("page_id", F.slice(X.words(F.col("reference")), 1, 30).alias("a"), F.slice(X.words(F.col("prediction")), 1, 30).alias("b"))
+    return rows.select("page_id", X.short_word_edits(F.col("a"), F.col("b")).cast("long").alias("word_edits"), F.size("a").cast("long").alias("ref_words"))
+
+
+@query()
+def page_word_edits_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word distances of whole documents against their texts with two letters exchanged."""
+    docs = table(spark, sf_dir, "documents").repartition("doc_id")
+    return docs.select("doc_id", X.word_edits("text", F.translate("text", "ae", "ea")).alias("word_edits"), F.size(X.words(F.col("text"))).alias("words"))
+
+
+_ARABIC = ("abcdefghijklmnopqrstuvwxyz", "ابتثجحخدذرزسشصضطظعغفقكلمنه")
+_MARKED = (".,?", "ًِٰ")
+
+
+@query(f"""WITH {SQL}, m AS (SELECT page_id, translate(translate(lower(reference), '{_ARABIC[0]}', '{_ARABIC[1]}'), '{_MARKED[0]}', '{_MARKED[1]}') AS t FROM page)
+  SELECT page_id, CAST(length(t) AS BIGINT) AS strict_chars, regexp_replace(t, '[ً-ٰٟ]', '', 'g') AS bare FROM m""")
+def level_diacritics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.translate(F.translate(F.lower("reference"), *_ARABIC), *_MARKED)
+    return corpus(spark, sf_dir).select("page_id", F.length(t).cast("long").alias("strict_chars"), X.diacritic_insensitive(t).alias("bare"))
+
+
+@query(f"WITH {SQL} SELECT page_id, {_skel('reference')} AS skeleton FROM page")
+def level_skeleton_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("page_id", X.skeleton("reference").alias("skeleton"))
+
+
+@query()
+def level_skeleton_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skeletons of whole texts in all their letters (SQL has no compatibility normalisation)."""
+    return table(spark, sf_dir, "documents").repartition("doc_id").select("doc_id", F.length("text").alias("chars"), X.skeleton("text").alias("skeleton"))
+
+
+@query(f"{BASE} SELECT split, count(*) FILTER (reference = prediction) AS exact, count(*) AS pages FROM s_baseline WHERE has_metrics GROUP BY split")
+def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
+
+
+@query(rf"""WITH {SQL} SELECT page_id, CAST(len(list_filter(regexp_split_to_array(reference, '\s+'), lambda x: x <> '')) AS BIGINT) AS words,
+  CAST(len(list_filter(string_split(reference, chr(10)), lambda x: trim(x, E' \t\r') <> '')) AS BIGINT) AS lines FROM page""")
+def tokens_and_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("page_id", F.size(X.words(F.col("reference"))).cast("long").alias("words"), F.size(X.lines(F.col("reference"))).cast("long").alias("lines"))
+
+
+# ---- flags
+
+
+@query(f"{BASE} SELECT page_id, length_ratio, runaway_length FROM s_baseline")
+def flags_runaway(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, p = F.col("reference"), F.col("prediction")
+    return corpus(spark, sf_dir).select("page_id", X.length_ratio(r, p).alias("length_ratio"), X.is_runaway(r, p, 2.0, 100).alias("runaway_length"))
+
+
+_REPETITION = f"""l AS (SELECT page_id, length(baseline) AS n, unnest(string_split(baseline, chr(10))) AS line FROM page),
+  k AS (SELECT page_id, any_value(n) AS n, {_skel('line')} AS key, count(*) AS c FROM l GROUP BY page_id, key),
+  f AS (SELECT page_id, bool_or(length(key) >= 10 AND c >= 5 AND CAST(length(key) * c AS DOUBLE) / greatest(n, 1) >= 0.3) AS repetition FROM k GROUP BY page_id)"""
+
+
+@query(f"WITH {SQL}, {_REPETITION} SELECT page_id, repetition FROM f")
+def flags_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
+
+
+@query(f"""{BASE}, {_REPETITION} SELECT split, count(*) FILTER (empty_prediction) AS empty_prediction, count(*) FILTER (repetition) AS repetition, count(*) FILTER (runaway_length) AS runaway_length
+  FROM s_baseline JOIN f USING (page_id) GROUP BY split""")
+def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir)).select("split", *FLAGS)
+
+
+# ---- breakdowns and rankings
+
+
+def _breakdown_sql(values: str) -> str:
+    return f"""{BASE}, v AS (SELECT split, page_id, char_edits AS e, ref_chars AS n, unnest({values}) AS key FROM s_baseline WHERE has_metrics),
+  z AS (SELECT *, count(*) OVER (PARTITION BY split, key) AS c FROM v),
+  o AS (SELECT split, page_id, e, n, key FROM z WHERE c >= 5 UNION ALL SELECT DISTINCT split, page_id, e, n, '__sparse__' FROM z WHERE c < 5),
+  q AS (SELECT split, key, count(*) AS pages, CAST(sum(e) AS DOUBLE) / CAST(sum(n) AS BIGINT) AS cer_micro, round(avg(CAST(e AS DOUBLE) / n), 9) AS cer_macro,
+    CAST(count(*) FILTER (e = 0) AS DOUBLE) / count(*) AS exact_match_rate FROM o GROUP BY split, key)
+  SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY cer_micro DESC, key) AS INTEGER) AS rank FROM q"""
+
+
+def _breakdown(spark: SparkSession, sf_dir: str, dimension: str) -> DataFrame:
+    rows = rollups.breakdowns(_scores(spark, sf_dir), 5).where(F.col("dimension") == dimension)
+    return rows.select("split", "key", "pages", "cer_micro", F.round("cer_macro", 9).alias("cer_macro"), "exact_match_rate", "rank")
+
+
+@query(_breakdown_sql("fonts"))
+def breakdown_font(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _breakdown(spark, sf_dir, "font")
+
+
+@query(_breakdown_sql("distortions"))
+def breakdown_distortion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _breakdown(spark, sf_dir, "distortion")
+
+
+@query(_breakdown_sql("[source]"))
+def breakdown_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _breakdown(spark, sf_dir, "source")
+
+
+@query(f"""{BASE}, v AS (SELECT split, 'font' AS dimension, len(fonts) AS k FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'distortion', len(distortions) FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'source', CASE WHEN source IS NULL THEN 0 ELSE 1 END FROM s_baseline WHERE has_metrics)
+  SELECT split, dimension, sum(k) = count(*) AND count(*) FILTER (k > 0) = count(*) AS is_partition FROM v GROUP BY ALL""")
+def is_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.partitions(_scores(spark, sf_dir))
+
+
+@query(f"{BASE} SELECT page_id, split, char_edits, ref_chars, CAST(char_edits AS DOUBLE) / ref_chars AS cer FROM s_baseline WHERE has_metrics ORDER BY cer DESC, page_id LIMIT 25")
+def worst_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("metrics.strict")
+    return rollups.worst_pages(_scores(spark, sf_dir), 25).select("page_id", "split", m["char_edits"].cast("long").alias("char_edits"), m["ref_chars"].cast("long").alias("ref_chars"), m["cer"].alias("cer"))
+
+
+@query(f"{BASE} SELECT page_id, round(CAST(char_edits AS DOUBLE) / ref_chars, 6) AS cer FROM s_baseline WHERE has_metrics AND split = 'gold_scans' ORDER BY cer DESC, page_id LIMIT 10")
+def worst_pages_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _scores(spark, sf_dir)
+    cer = F.round("metrics.strict.cer", 6)
+    return rollups.worst_pages(rows, 10, "gold_scans", cer).select("page_id", cer.alias("cer"))
+
+
+# ---- line order
+
+_LINES = rf"""x AS (SELECT page_id, list_filter(string_split(reference, chr(10)), lambda x: trim(x, E' \t\r') <> '') AS a, list_filter(string_split(baseline, chr(10)), lambda x: trim(x, E' \t\r') <> '') AS b FROM page WHERE kind <> 'probe'),
+  ra AS (SELECT page_id, generate_subscripts(a, 1) - 1 AS i, unnest(a) AS line FROM x), pb AS (SELECT page_id, generate_subscripts(b, 1) - 1 AS j, unnest(b) AS line FROM x),
+  ka AS (SELECT page_id, i, {_skel('line')} AS k FROM ra), kb AS (SELECT page_id, j, {_skel('line')} AS k FROM pb),
+  c AS (SELECT page_id, i, j, CASE WHEN greatest(length(ka.k), length(kb.k)) = 0 THEN 1.0 ELSE 1.0 - CAST(levenshtein(ka.k, kb.k) AS DOUBLE) / greatest(length(ka.k), length(kb.k)) END AS similarity FROM ka JOIN kb USING (page_id))"""
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, i, j, similarity of lines that may be partners; Spark's bounded levenshtein leaves the rest early."""
+    pages = corpus(spark, sf_dir).where("kind <> 'probe'")
+    a = pages.select("page_id", F.posexplode(X.lines(F.col("reference"))).alias("i", "line")).withColumn("a", X.skeleton("line")).drop("line")
+    b = pages.select("page_id", F.posexplode(X.lines(F.col("prediction"))).alias("j", "line")).withColumn("b", X.skeleton("line")).drop("line")
+    longest = F.greatest(F.length("a"), F.length("b"))
+    edits = F.levenshtein("a", "b")
+    return a.join(b, "page_id").withColumn("similarity", F.when(longest == 0, 1.0).otherwise(1.0 - edits / longest)).where("similarity >= 0.5").select("page_id", "i", "j", "similarity")
+
+
+@query(f"WITH {SQL}, {_LINES} SELECT page_id, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, similarity FROM c WHERE similarity >= 0.5")
+def line_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _candidates(spark, sf_dir)
+
+
+@query(f"""WITH {SQL}, {_LINES}, s AS (SELECT page_id, list({{'i': i, 'j': j}} ORDER BY similarity DESC, i, j) AS cands FROM c WHERE similarity >= 0.5 GROUP BY page_id),
+  m AS (SELECT page_id, list_reduce(cands, lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: y.i = x[1].i OR y.j = x[1].j)) > 0 THEN acc ELSE list_concat(acc, x) END, []) AS pairs FROM (SELECT page_id, list_transform(cands, lambda z: [z]) AS cands FROM s))
+  SELECT page_id, CAST(len(pairs) AS BIGINT) AS matched, array_to_string(list_sort(list_transform(pairs, lambda y: lpad(CAST(y.i AS VARCHAR), 4, '0') || ':' || CAST(y.j AS VARCHAR))), ',') AS pairs FROM m""")
+def line_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy partners, best first, inside the row: each page's candidates are one ordered array."""
+    best = _candidates(spark, sf_dir).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), "i", "j"))).alias("c"))
+    empty = F.array().cast("array<struct<s:double,i:int,j:int>>")
+    taken = F.aggregate("c", empty, lambda acc, x: F.when(F.exists(acc, lambda y: (y["i"] == x["i"]) | (y["j"] == x["j"])), acc).otherwise(F.array_append(acc, x)))
+    rows = best.select("page_id", taken.alias("p"))
+    said = F.array_join(F.array_sort(F.transform("p", lambda y: F.concat(F.lpad(y["i"].cast("string"), 4, "0"), F.lit(":"), y["j"].cast("string")))), ",")
+    return rows.select("page_id", F.size("p").cast("long").alias("matched"), said.alias("pairs"))
+
+
+@query()
+def order_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order metrics of each page (rebuilding the text by its partners has no SQL form)."""
+    return _scores(spark, sf_dir).where("metrics IS NOT NULL").select("page_id", "order.*", F.col("order_counts.concordant").alias("concordant"), F.col("order_counts.pairs").alias("pairs"))
+
+
+@query(f"""WITH {SQL}, p AS (SELECT doc_id, (doc_id * 7919 + s * s * 31) % 97 AS v, s FROM page CROSS JOIN range(6) t(s))
+  SELECT a.doc_id, count(*) FILTER (a.v < b.v) AS concordant, count(*) AS pairs FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.s < b.s GROUP BY 1""")
+def concordance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concordant pairs of a sequence, as array functions."""
+    k = F.col("doc_id")
+    rows = corpus(spark, sf_dir).select("doc_id", F.array(*((k * 7919 + s * s * 31) % 97 for s in range(6))).alias("v"))
+    n = F.aggregate(F.transform("v", lambda x, i: F.size(F.filter(F.slice("v", i + 2, 6), lambda y: x < y))), F.lit(0), lambda a, b: a + b)
+    return rows.select("doc_id", n.cast("long").alias("concordant"), F.lit(15).cast("long").alias("pairs"))
+
+
+# ---- filters, subsets and validation
+
+
+def _filtered(sql: str, expression: str, name: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return predicate.select(corpus(spark, sf_dir), predicate.parse(expression)).select("page_id", "split", "source")
+
+    run.__name__ = name
+    query(f"WITH {SQL} SELECT page_id, split, source FROM page WHERE {sql}")(run)
+
+
+_filtered("split = 'gold_scans'", "split=gold_scans", "filter_eq")
+_filtered("list_contains(fonts, 'alt') AND is_augmented", "font=alt, is_augmented=true", "filter_list_eq")
+_filtered("NOT list_contains(distortions, 'blur') AND source IS DISTINCT FROM 'src1'", "distortion!=blur,source!=src1", "filter_neq")
+_filtered("contains(source, 'c1') AND len(list_filter(distortions, lambda x: contains(x, 'pe'))) > 0", "source~c1,distortion~pe", "filter_contains")
+
+
+@query(f"WITH {SQL} SELECT page_id, split FROM page WHERE doc_id IN (SELECT DISTINCT user_id FROM events) AND kind <> 'probe'")
+def pages_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "events").select(F.concat(F.lit("doc_"), F.lpad(F.col("user_id").cast("string"), 12, "0")).alias("page_id"))
+    return predicate.select(corpus(spark, sf_dir), predicate.parse("kind!=probe"), ids).select("page_id", "split")
+
+
+@query(f"WITH {SQL} SELECT page_id FROM page WHERE doc_id % 17 = 0")
+def missing_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = corpus(spark, sf_dir)
+    return validation.missing_predictions(pages, pages.where("doc_id % 17 <> 0").select("page_id", "prediction")).select("page_id")
+
+
+@query(f"WITH {SQL} SELECT page_id FROM page WHERE doc_id % 19 = 3")
+def orphan_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = corpus(spark, sf_dir)
+    return validation.orphan_predictions(pages.select("page_id"), pages.where("doc_id % 19 <> 3")).select("page_id")
+
+
+@query("WITH n AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k, min(doc_id) OVER (PARTITION BY source) AS first_seen FROM documents) SELECT source, count(*) - 1 AS repeats, any_value(first_seen) AS first_seen FROM n GROUP BY source")
+def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated keys with the place where each was first seen."""
+    return table(spark, sf_dir, "documents").groupBy("source").agg((F.count("*") - 1).alias("repeats"), F.min("doc_id").alias("first_seen"))
+
+
+@query(f"""WITH {SQL}, t AS (SELECT page_id, CASE WHEN doc_id % 23 = 0 THEN '!?. ' ELSE reference END AS r FROM page WHERE kind <> 'probe')
+  SELECT page_id, 'skeleton' AS level FROM t WHERE {_skel('r')} = ''""")
+def empties_at_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = corpus(spark, sf_dir).where("kind <> 'probe'").withColumn("reference", F.when(F.col("doc_id") % 23 == 0, "!?. ").otherwise(F.col("reference")))
+    return validation.content_problems(pages).select("page_id", F.regexp_extract("message", r"level (\w+)$", 1).alias("level"))
+
+
+# ---- comparison
+
+
+def _two(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rounded = lambda df: df.withColumn("metrics", F.when(F.col("metrics").isNotNull(), F.struct(F.struct(F.round("metrics.strict.cer", 6).alias("cer")).alias("strict"))))
+    return rounded(_scores(spark, sf_dir, "baseline")), rounded(_scores(spark, sf_dir, "candidate"))
+
+
+_DELTAS = f"""{BOTH}, j AS (SELECT b.page_id, b.split, b.outcome AS ob, c.outcome AS oc, b.has_metrics AS rated, round(CAST(b.char_edits AS DOUBLE) / b.ref_chars, 6) AS cb, round(CAST(c.char_edits AS DOUBLE) / c.ref_chars, 6) AS cc FROM s_baseline b JOIN s_candidate c USING (page_id)),
+  deltas AS (SELECT page_id, split, CASE WHEN rated THEN cb ELSE 0.0 END AS baseline_cer, CASE WHEN rated THEN cc ELSE 0.0 END AS candidate_cer, CASE WHEN rated THEN cc - cb ELSE 0.0 END AS delta_cer,
+    CASE WHEN ob <> oc THEN ob || ' -> ' || oc END AS outcome_changed FROM j WHERE rated OR ob <> oc)"""
+
+
+@query(f"{_DELTAS} SELECT * FROM deltas")
+def page_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.page_deltas(*_two(spark, sf_dir))
+
+
+@query(f"{_DELTAS} SELECT page_id, delta_cer FROM deltas WHERE delta_cer > 0")
+def regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.regressions(contrast.page_deltas(*_two(spark, sf_dir))).select("page_id", "delta_cer")
+
+
+@query(f"{_DELTAS} SELECT page_id, delta_cer FROM deltas WHERE delta_cer < 0")
+def improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.improvements(contrast.page_deltas(*_two(spark, sf_dir))).select("page_id", "delta_cer")
+
+
+@query(f"WITH {SQL}, b AS (SELECT page_id FROM page WHERE doc_id % 11 <> 0), c AS (SELECT page_id FROM page WHERE doc_id % 12 <> 0) SELECT page_id, 'baseline' AS side FROM b WHERE page_id NOT IN (FROM c) UNION ALL SELECT page_id, 'candidate' FROM c WHERE page_id NOT IN (FROM b)")
+def page_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = corpus(spark, sf_dir)
+    return contrast.page_set_difference(pages.where("doc_id % 11 <> 0"), pages.where("doc_id % 12 <> 0"))
+
+
+def _totals_sql(p: str) -> str:
+    return f"""t_{p} AS (SELECT split, CAST(sum(char_edits) FILTER (has_metrics) AS DOUBLE) / CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) AS cer, CAST(count(*) FILTER (has_metrics AND char_edits = 0) AS DOUBLE) / nullif(count(*) FILTER (has_metrics), 0) AS exact_match_rate,
+  CAST(count(*) FILTER (outcome = 'hallucination') AS DOUBLE) / nullif(count(*) FILTER (NOT has_metrics), 0) AS hallucination_rate, CAST(count(*) FILTER (outcome = 'false_refusal') AS DOUBLE) / nullif(count(*) FILTER (has_metrics), 0) AS false_refusal_rate FROM s_{p} GROUP BY split)"""
+
+
+_CHANGES = f"""{BOTH}, {_totals_sql('baseline')}, {_totals_sql('candidate')},
+  u_b AS (UNPIVOT t_baseline ON cer, exact_match_rate, hallucination_rate, false_refusal_rate INTO NAME metric VALUE baseline), u_c AS (UNPIVOT t_candidate ON cer, exact_match_rate, hallucination_rate, false_refusal_rate INTO NAME metric VALUE candidate),
+  changes AS (SELECT split, metric, baseline, candidate, candidate - baseline AS delta FROM u_b JOIN u_c USING (split, metric))"""
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.metric_changes(rollups.split_totals(_scores(spark, sf_dir, "baseline")), rollups.split_totals(_scores(spark, sf_dir, "candidate")))
+
+
+@query(f"{_CHANGES} SELECT *, CASE WHEN delta = 0 THEN 'unchanged' WHEN (metric = 'exact_match_rate') = (delta > 0) THEN 'better' ELSE 'worse' END AS direction FROM changes")
+def metric_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changes(spark, sf_dir).where("metric <> 'wer'")
+
+
+@query(f"{_CHANGES} SELECT metric, max(delta) AS worst FROM changes WHERE metric LIKE '%l%rate' AND metric <> 'exact_match_rate' GROUP BY metric")
+def worst_rate_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changes(spark, sf_dir).where(F.col("metric").isin("hallucination_rate", "false_refusal_rate")).groupBy("metric").agg(F.max("delta").alias("worst"))
+
+
+@query()
+def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact resampling needs Python's own generator; fewer resamples than a real comparison's 10,000."""
+    return contrast.bootstrap(contrast.page_deltas(*_two(spark, sf_dir)), resamples=500)
+
+
+@query()
+def bootstrap_poisson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.bootstrap_scalable(contrast.page_deltas(*_two(spark, sf_dir)), resamples=100)
+
+
+@query(f"""{_CHANGES}, f AS (SELECT max(delta) FILTER (metric = 'cer' AND split = 'gold_scans') > 0 AS gold, max(delta) FILTER (metric = 'hallucination_rate') * 100 > 1.0 AS hallucination, max(delta) FILTER (metric = 'false_refusal_rate') * 100 > 1.0 AS refusal,
+  (max(baseline) FILTER (metric = 'cer' AND split = 'synthetic_heldout') - max(candidate) FILTER (metric = 'cer' AND split = 'synthetic_heldout')) * 100 AS gain FROM changes)
+  SELECT CASE WHEN gold OR hallucination OR refusal THEN 'REJECT' WHEN gain >= 0.5 THEN 'PROMOTE' ELSE 'INCONCLUSIVE' END AS verdict FROM f""")
+def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ("strict_cer_micro", "hallucination_rate", "false_refusal_rate")
+    sides = []
+    for p in ("baseline", "candidate"):  # a row a split
+        rows = rollups.split_totals(_scores(spark, sf_dir, p)).select("split", *keys).collect()
+        sides.append({r["split"]: {"cer": r[keys[0]], keys[1]: r[keys[1]], keys[2]: r[keys[2]]} for r in rows})
+    return spark.createDataFrame([(contrast.decide(*sides).verdict,)], "verdict string")
+
+
+# ---- dataset preparation
+
+_SHARDED = "'shard_' || lpad(CAST(doc_id % 7 AS VARCHAR), 3, '0') || CASE WHEN doc_id % 3 = 0 THEN '' ELSE '_aug' || CAST(doc_id % 3 AS VARCHAR) END"
+
+
+def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    stem = F.concat(F.lit("shard_"), F.lpad((k % 7).cast("string"), 3, "0"), F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("_aug"), (k % 3).cast("string"))))
+    return table(spark, sf_dir, "documents").withColumn("stem", stem)
+
+
+@query(f"SELECT doc_id, {_SHARDED} AS stem, CAST(doc_id % 7 AS INTEGER) AS \"group\", CAST(doc_id % 3 AS INTEGER) AS aug FROM documents")
+def parse_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sharded(spark, sf_dir).select("doc_id", "stem", shard_group(F.col("stem")).alias("group"), shard_aug(F.col("stem")).alias("aug"))
+
+
+@query("SELECT CAST(doc_id % 7 AS INTEGER) AS \"group\", count(*) AS pages, bool_and(doc_id % 7 IN (2, 5)) AS held_out FROM documents GROUP BY 1")
+def group_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out by group: all augmented copies of a page fall on the same side."""
+    rows = _sharded(spark, sf_dir).withColumn("group", shard_group(F.col("stem")))
+    return rows.groupBy("group").agg(F.count("*").alias("pages"), F.every(F.col("group").isin(2, 5)).alias("held_out"))
+
+
+@query("""WITH o AS (SELECT lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM documents)
+  SELECT lang, max(n_chars) FILTER (place = least(n - 1, CAST(floor(0.5 * n) AS BIGINT))) AS p50, max(n_chars) FILTER (place = least(n - 1, CAST(floor(0.9 * n) AS BIGINT))) AS p90,
+  max(n_chars) FILTER (place = least(n - 1, CAST(floor(0.99 * n) AS BIGINT))) AS p99, max(n_chars) AS max, round(CAST(sum(n_chars) AS DOUBLE) / count(*), 1) AS mean FROM o GROUP BY lang""")
+def nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare.nearest_rank(table(spark, sf_dir, "documents"), "n_chars", ["lang"])
+
+
+_PROBLEM = "CASE doc_id % 5 WHEN 0 THEN 'json missing from shard' WHEN 1 THEN 'unexpected member: a' || CAST(doc_id AS VARCHAR) WHEN 2 THEN 'image does not decode: ValueError: x' ELSE 'markdown is empty' END"
+
+
+@query(f"SELECT split_part({_PROBLEM}, ':', 1) AS reason, count(*) AS n FROM documents GROUP BY 1")
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 5
+    said = F.when(k == 0, "json missing from shard").when(k == 1, F.concat(F.lit("unexpected member: a"), F.col("doc_id").cast("string"))).when(k == 2, "image does not decode: ValueError: x").otherwise("markdown is empty")
+    return prepare.drop_reasons(table(spark, sf_dir, "documents").select(said.alias("problem")))
+
+
+@query(r"""WITH a AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '[1]' WHEN 1 THEN '{"markdown": 3, "meta": 1}' WHEN 2 THEN '{"markdown": " "}' ELSE '{"markdown": "x", "meta": {}}' END AS j FROM documents)
+  SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'annotation is not an object' WHEN 1 THEN 'markdown is missing or not a string|meta is not an object' WHEN 2 THEN 'markdown is empty' ELSE '' END AS problems FROM a""")
+def annotation_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 4
+    text = F.when(k == 0, "[1]").when(k == 1, '{"markdown": 3, "meta": 1}').when(k == 2, '{"markdown": " "}').otherwise('{"markdown": "x", "meta": {}}')
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(prepare.annotation_problems(text), "|").alias("problems"))
+
+
+@query("""WITH s AS (SELECT p_partkey, CAST(200 + p_size * 40 AS DOUBLE) AS w, CAST(300 + (p_partkey % 97) * 31 AS DOUBLE) AS h FROM part),
+  n AS (SELECT *, greatest(32, round_even(w / 32, 0) * 32) AS nw, greatest(32, round_even(h / 32, 0) * 32) AS nh, sqrt(w * h / (1280 * 1024.0)) AS beta FROM s)
+  SELECT p_partkey, CAST(CASE WHEN nw * nh / 1024.0 > 1280 THEN greatest(32.0, floor(w / beta / 32) * 32) * greatest(32.0, floor(h / beta / 32) * 32) / 1024.0 ELSE nw * nh / 1024.0 END AS INTEGER) AS tokens FROM n""")
+def image_token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", X.image_tokens(200 + F.col("p_size") * 40, 300 + (F.col("p_partkey") % 97) * 31, 1280).alias("tokens"))
+
+
+@query(f"WITH {SQL}, o AS (SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS place FROM page) SELECT page_id, CAST(place % 4 AS INTEGER) AS shard FROM o")
+def stride_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth page in the order of ids; places are counted in two steps, so that no task orders all pages."""
+    return stride(corpus(spark, sf_dir).select("page_id"), 4)
+
+
+def stride(pages: DataFrame, n: int, key: str = "page_id") -> DataFrame:
+    """pages with shard: its place in the order of the key, modulo n."""
+    ranged = pages.repartitionByRange(max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))), key).withColumn("__p", F.spark_partition_id())
+    inside = F.row_number().over(Window.partitionBy("__p").orderBy(key)) - 1
+    placed = ranged.withColumn("__at", inside)
+    sizes = placed.groupBy("__p").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.join(sizes.select("__p", before.alias("__before")), "__p").withColumn("shard", ((F.col("__at") + F.col("__before")) % n).cast("int")).drop("__p", "__at", "__before")
+
+
+@query("SELECT conv_id, turn, CASE WHEN starts_with(text, 'The ') THEN substr(text, 5) ELSE text END AS text FROM conversations")
+def strip_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.strip_prefix(F.col("text"), "The ").alias("text"))
+
+
+@query(f"""SELECT doc_id, to_json({{'messages': [{{'role': 'user', 'content': '{prepare.PROMPT}'}}, {{'role': 'assistant', 'content': lang || source}}], 'images': ['/data/images/' || CAST(doc_id AS VARCHAR) || '.png']}})::VARCHAR AS record FROM documents""")
+def training_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("images/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("image_path"), F.concat("lang", "source").alias("target"))
+    return rows.select("doc_id", F.to_json(F.struct(*prepare.record_columns("/data"))).alias("record"))
+
+
+@query("SELECT conv_id, count(*) AS turns, string_agg(role, '>' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id")
+def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    return rows.select("conv_id", F.size("t").cast("long").alias("turns"), F.array_join(F.col("t.role"), ">").alias("roles"))
+
+
+@query("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 24 PRECEDING AND CURRENT ROW), 6) AS trailing FROM events")
+def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-24, 0)
+    return table(spark, sf_dir, "events").select("event_id", F.round(F.avg("value").over(w), 6).alias("trailing"))
+
+
+@query(f"WITH {SQL} SELECT split, sha256(string_agg(page_id || chr(0) || baseline || chr(0), '' ORDER BY page_id)) AS digest, count(*) AS pages FROM page GROUP BY split")
+def predictions_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = F.concat("page_id", F.lit("\0"), "prediction", F.lit("\0"))
+    rows = corpus(spark, sf_dir).groupBy("split").agg(F.array_sort(F.collect_list(F.struct("page_id", one.alias("x")))).alias("a"))
+    return rows.select("split", F.sha2(F.array_join(F.col("a.x"), ""), 256).alias("digest"), F.size("a").cast("long").alias("pages"))
+
+
+@query()
+def negatives_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling with replacement by a hash of seed and name."""
+    rows = corpus(spark, sf_dir).select("page_id", F.concat(F.lit("images/"), "page_id").alias("image_path"))
+    return prepare.negatives(spark, "unreadable_train", 100, rows, 42).drop("i")
+
+
+@query()
+def codepoint_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code points in which the worst pages differ from their references."""
+    from quire.reports import codepoint_differences
+
+    worst = rollups.worst_pages(_scores(spark, sf_dir), 10).select("page_id")
+    rows = corpus(spark, sf_dir).join(F.broadcast(worst), "page_id").select("page_id", "reference", "prediction").orderBy("page_id").collect()
+    return spark.createDataFrame([(r["page_id"], "\n".join(codepoint_differences(r["reference"], r["prediction"]))) for r in rows], "page_id string, differences string")

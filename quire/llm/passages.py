@@ -29,8 +29,8 @@ from quire.llm.common import partitions, settle
 
 #: A block has so many bytes of text, or one document.
 BLOCK_BYTES = 4 << 20
-#: Anchors that a shard is sized for.
-SHARD_ANCHORS = 1 << 20
+#: Anchors that a task is sized for, in so many shards: hashing few shards to tasks would load some twice or thrice.
+TASK_ANCHORS, SHARDS_A_TASK = 1 << 20, 4
 #: An anchor in so many blocks is hot.
 HOT_BLOCKS = 256
 #: Ids that are null count as smaller than all others.
@@ -328,12 +328,13 @@ def remove_recurring(docs: DataFrame, plan: Plan, finish: Callable, schema: str,
     spark = docs.sparkSession
     blocks = pack(docs, id_col, text_col)
     total = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
-    shards = partitions(spark, int(total * units_per_byte * 2 / (plan.window - plan.anchor + 2)), SHARD_ANCHORS)
+    tasks = partitions(spark, int(total * units_per_byte * 2 / (plan.window - plan.anchor + 2)), TASK_ANCHORS)
+    shards = tasks * SHARDS_A_TASK
     text = blocks.select("uid", "blob")
     hashes = text.mapInArrow(lambda it: _send_hashes(it, plan, shards), MESSAGE)
-    flags = settle(hashes.repartition(shards, "shard").groupBy("shard").applyInArrow(lambda t: _answer_hashes(t, hot_blocks), MESSAGE).withColumn("kind", F.lit(0)))
+    flags = settle(hashes.repartition(tasks, "shard").groupBy("shard").applyInArrow(lambda t: _answer_hashes(t, hot_blocks), MESSAGE).withColumn("kind", F.lit(0)))
     contexts = text.groupBy("uid").cogroup(flags.groupBy("uid")).applyInArrow(lambda b, s: _send_contexts(b, s, plan, shards), MESSAGE)
-    replies = contexts.repartition(shards, "shard").groupBy("shard").applyInArrow(lambda t: _answer_contexts(t, plan), MESSAGE).withColumn("kind", F.lit(1))
+    replies = contexts.repartition(tasks, "shard").groupBy("shard").applyInArrow(lambda t: _answer_contexts(t, plan), MESSAGE).withColumn("kind", F.lit(1))
     said = flags.unionByName(replies)
 
     def apply(b: pa.Table, s: pa.Table) -> pa.Table:

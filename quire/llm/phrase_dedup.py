@@ -13,7 +13,7 @@ from quire.llm.passages import Block, Plan, mixed, remove_recurring
 
 WINDOW, ANCHOR = 13, 5
 #: Words of contexts that one automaton is compiled from; contexts of a key stay together, so one key may exceed it.
-COMPILED_AT_ONCE = 1 << 19
+COMPILED_AT_ONCE = 1 << 14
 
 _BLANK = np.zeros(256, np.bool_)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -47,28 +47,27 @@ def read_words(ids: np.ndarray, texts: list[bytes], anchor: int) -> Block:
     return Block(ids, np.searchsorted(starts, last) if len(texts) else np.zeros(0, np.int64), data.tobytes(), lambda lo, hi: (at[lo], to[hi - 1]), k)
 
 
-def _letter(i: int) -> str:
-    return chr(i + 1 if i + 1 < 0xD800 else i + 0x801)  # one symbol for each word, past the surrogates
+def _spelled(n: int, digits: int) -> list[str]:
+    """n words in `digits` symbols each. Every place has 64 symbols of its own: nodes have few branches, which the automaton
+    searches one by one, and no match starts inside a word."""
+    return ["".join(chr(0x100 + 64 * k + (i >> 6 * k & 63)) for k in range(digits)) for i in range(n)]
 
 
 def locate(contexts: list[bytes], least: np.ndarray, most: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """lo, hi of each context: from the first to the last of its windows that a smaller id has, in words (0, 0: none).
 
-    Windows that two ids have are confirmed phrases and make the automaton, over an alphabet with one letter a word. All
-    contexts are then run through it, and each occurrence is held against its phrase's smallest id.
+    Windows that two ids have are confirmed phrases and make the automaton, over an alphabet that spells words. All contexts
+    are then run through it, and each occurrence is held against its phrase's smallest id.
     """
-    letters: dict[bytes, str] = {}
-    texts = []
-    for c in contexts:
-        for w in (words := c.split(b" ")):
-            if w not in letters:
-                letters[w] = _letter(len(letters))
-        texts.append("".join([letters[w] for w in words]))
-    smallest: dict[str, int] = {}
-    largest: dict[str, int] = {}
+    number: dict[bytes, int] = {}
+    rows = [[number.setdefault(w, len(number)) for w in c.split(b" ")] for c in contexts]
+    digits = max(3, -(-len(number).bit_length() // 6))
+    spelled = _spelled(len(number), digits)
+    texts = ["".join([spelled[i] for i in row]) for row in rows]
+    size, smallest, largest = window * digits, {}, {}
     for t, a, b in zip(texts, least.tolist(), most.tolist(), strict=True):
-        for i in range(len(t) - window + 1):
-            w = t[i : i + window]
+        for i in range(0, len(t) - size + 1, digits):
+            w = t[i : i + size]
             if (x := smallest.get(w)) is None:
                 smallest[w], largest[w] = a, b
             else:
@@ -84,9 +83,9 @@ def locate(contexts: list[bytes], least: np.ndarray, most: np.ndarray, window: i
     if not len(automaton):
         return lo, hi
     automaton.make_automaton()
-    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    found = list(automaton.iter("\0".join(texts)))
-    end = np.array([e for e, _ in found], np.int64) + 1
+    starts = np.cumsum([0, *(len(row) + 1 for row in rows)])
+    found = list(automaton.iter(("\0" * digits).join(texts)))
+    end = (np.array([e for e, _ in found], np.int64) + 1) // digits
     of = np.searchsorted(starts, end, side="right") - 1
     hit = np.array([x for _, x in found], np.int64) < least[of]
     end, of = end[hit], of[hit]

@@ -59,6 +59,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words = max(64, min(max_filter_bits, 1 << max(0, n * bits_per_row - 1).bit_length()) // 64)
     filters = [settle(f) for f in _repeated(digests, words)]
     groups = _probe(digests, filters, words).where(OWN + "maybe").groupBy(OWN + "sha").agg(F.min(OWN + "id").alias(OWN + "keep"), F.count("*").alias(OWN + "size"))
+    groups = settle(groups)  # then both sides of the join are shuffled for it alone, and Spark may split a hot key
     rows = _probe(docs.withColumn(OWN + "sha", sha), filters, words)
     alone = rows.where(f"NOT {OWN}maybe").withColumns({OWN + "keep": F.col(f"`{id_col}`"), OWN + "size": F.lit(1).cast("long")})
     together = rows.where(OWN + "maybe").join(groups, OWN + "sha")

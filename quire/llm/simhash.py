@@ -147,6 +147,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     least = known.join(roots, known[OWN + "fp"] == roots["node"]).groupBy("root").agg(F.min(OWN + "least").alias(OWN + "component"))
     linked = roots.join(least, "root").select(F.col("node").alias(OWN + "fp"), OWN + "component")
     labels = known.join(linked, OWN + "fp", "left").select(OWN + "fp", F.coalesce(OWN + "component", OWN + "least").alias(OWN + "component"))
+    labels = settle(labels)  # then both sides of the join are shuffled for it alone, and Spark may split a hot fingerprint
     return marked.join(labels, OWN + "fp").select(F.col(OWN + "id").alias("id"), F.col(OWN + "fp").alias("fp"), F.col(OWN + "component").alias("component"))
 
 

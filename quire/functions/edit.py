@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Hashable, Sequence
+from heapq import heapify, heappop, heappush
 from typing import NamedTuple
 
+import numpy as np
+
 
 def edit_distance(a: Sequence[Hashable], b: Sequence[Hashable]) -> int:
     """Insertions, deletions and replacements that turn a into b: strings by code point, or lists of tokens."""
@@ -57,6 +60,45 @@ class LineOrder(NamedTuple):
     pred_lines: int
 
 
+def _most_similar(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """For each pair, a similarity that it cannot exceed: edits are no fewer than letters that one has and the other lacks."""
+    letters = {c: k for k, c in enumerate(sorted(set().union(*a, *b)))}
+
+    def counts(lines: Sequence[str]) -> np.ndarray:
+        out = np.zeros((len(lines), len(letters)), np.int32)
+        for i, x in enumerate(lines):
+            np.add.at(out[i], [letters[c] for c in x], 1)
+        return out
+
+    p, q = counts(a), counts(b)
+    m, n = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    apart = np.array([np.abs(q - row).sum(1) for row in p]).reshape(len(a), len(b))
+    fewest, longest = (apart + np.abs(m[:, None] - n)) // 2, np.maximum(m[:, None], n)
+    return np.where(longest == 0, 1.0, 1.0 - fewest / np.maximum(longest, 1))
+
+
+def _partners(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> dict[int, int]:
+    """The reference's lines with their partners: best similarity first, then in order, no line twice.
+
+    Pairs wait with their bound, and are measured when none that waits could be better; most have lost a line by then.
+    """
+    bound = _most_similar(ref_keys, pred_keys)
+    waiting = [(-float(bound[i, j]), False, int(i), int(j)) for i, j in np.argwhere(bound >= least)]
+    heapify(waiting)
+    partner: dict[int, int] = {}
+    taken: set[int] = set()
+    while waiting:
+        s, measured, i, j = heappop(waiting)
+        if i in partner or j in taken:
+            continue
+        if measured:
+            partner[i] = j
+            taken.add(j)
+        elif (s := similarity(ref_keys[i], pred_keys[j])) >= least:
+            heappush(waiting, (-s, True, i, j))
+    return partner
+
+
 def line_order(reference: str, prediction: str, ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> LineOrder:
     """Pairs lines by the similarity of their keys and puts the prediction's lines in the reference's order.
 
@@ -67,19 +109,8 @@ def line_order(reference: str, prediction: str, ref_keys: Sequence[str], pred_ke
     lines = [x for x in prediction.split("\n") if x.strip()]
     if not ref_keys or not pred_keys:
         return LineOrder(edit_distance(reference, prediction), 0, 0, 0, len(ref_keys), len(pred_keys))
-    near = []
-    for i, r in enumerate(ref_keys):
-        for j, p in enumerate(pred_keys):
-            longest = max(len(r), len(p))
-            # edits are no fewer than the difference in length
-            if (not longest or abs(len(r) - len(p)) / longest <= 1.0 - least) and (s := similarity(r, p)) >= least:
-                near.append((-s, i, j))
-    partner: dict[int, int] = {}
-    taken: set[int] = set()
-    for _, i, j in sorted(near):
-        if i not in partner and j not in taken:
-            partner[i] = j
-            taken.add(j)
+    partner = _partners(ref_keys, pred_keys, least)
+    taken = set(partner.values())
     places = [partner[i] for i in sorted(partner)]
     rebuilt = "\n".join([lines[j] for j in places] + [x for j, x in enumerate(lines) if j not in taken])
     concordant = sum(p < q for k, p in enumerate(places) for q in places[k + 1 :])

@@ -10,6 +10,7 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.edit import edit_distance, similarity
 from quire.schema import ARABIC_BLOCKS, DIACRITICS, DIGIT_ZEROS, LETTER_FOLD, MARKER, TATWEEL
@@ -85,18 +86,18 @@ def bare_of(text: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def skeleton(texts: pd.Series) -> pd.Series:
     return texts.map(skeleton_of, na_action="ignore")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def char_edits(a: pd.Series, b: pd.Series) -> pd.Series:
     """Edit distance by code point; for whole pages (built-in levenshtein is quicker for short lines)."""
     return pd.Series([None if x is None or y is None else edit_distance(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def word_edits(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else edit_distance(x.split(), y.split()) for x, y in zip(a, b, strict=True)], dtype="Int32")
 

@@ -31,4 +31,4 @@ def ingest_shards(spark: SparkSession, source: str, store: str, checkpoint: str,
 
 def trailing_counts(events: DataFrame, minutes: int = 60, late: str = "10 minutes") -> DataFrame:
     """Events a window and type, for streams with a column ts; late rows count until the watermark has passed."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", f"{minutes} minutes"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", f"{minutes} minutes"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

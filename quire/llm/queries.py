@@ -53,4 +53,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mixing_sources, op2_suffix_array_dedup, op3_substring_dedup, op4_url_filters, op5_exact_dedup, op6_benchmark_decontamination, op7_license_scans, op8_quality_classifier, op9_secret_scans, op10_simhash_near_dedup)}
-ORACLE_SQL = {"op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {
+    "op2_suffix_array_dedup": substring_dedup.ORACLE,
+    "op3_substring_dedup": phrase_dedup.ORACLE,
+    "op4_url_filters": url_filter.ORACLE,
+    "op5_exact_dedup": exact_dedup.ORACLE,
+}

@@ -166,3 +166,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def substring_digest(docs: DataFrame) -> DataFrame:
     return substring_dedup(docs).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM b)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS least FROM win) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hit),
+byte AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS p FROM b),
+kept AS (SELECT byte.doc_id, count(*) AS n, string_agg(substr(h, 2 * byte.p + 1, 2), '' ORDER BY byte.p) AS t FROM byte ANTI JOIN gone ON byte.doc_id = gone.doc_id AND byte.p = gone.p GROUP BY 1),
+span AS (SELECT doc_id, count(*) AS k FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) WHERE before IS NULL OR before < p - 1 GROUP BY 1)
+SELECT b.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(length(h) // 2 - coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(k, 0) AS n_spans, sha256(unhex(coalesce(t, ''))) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id) LEFT JOIN span USING (doc_id)
+"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.errors import IntegrityError, UsageError
 from quire.functions.text import image_tokens
+from quire.operators.order import numbered
 from quire.schema import MARKER
 from quire.sources.lines import exists
 from quire.sources.shards import list_shards, parse_shard, probe_image, read_shards, shard_aug, shard_group
@@ -115,7 +116,7 @@ def manifest_rows(rows: DataFrame) -> DataFrame:
 
 def negatives(spark: SparkSession, prefix: str, count: int, sources: DataFrame, seed: int) -> DataFrame:
     """count unreadable pages, each with a kind and a source page drawn with replacement: specifications, not pixels."""
-    ranked = sources.select("image_path", (F.row_number().over(Window.orderBy("page_id")) - 1).alias("at")) if count else sources.select("image_path", F.lit(0).alias("at")).limit(0)
+    ranked = numbered(sources.select("page_id", "image_path"), "page_id", place="at").drop("page_id")
     n = max(1, sources.count())
     names = spark.range(count).select(F.concat(F.lit(f"{prefix}_"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("page_id"), F.col("id").alias("i"))
     draw = lambda what, k: F.pmod(F.xxhash64(F.lit(seed), F.lit(what), "page_id"), F.lit(k))
@@ -163,8 +164,8 @@ def prepare(spark: SparkSession, source: str, out: str, options: Options = Optio
     n_train, n_held = train.count(), heldout.count()
     if n_held < options.val_size + options.test_size:
         raise IntegrityError(f"{n_held} held-out pages are fewer than {options.val_size} + {options.test_size}")
-    ranked = heldout.withColumn("__at", F.row_number().over(Window.orderBy(shuffled(f"{options.seed}:heldout", "page_id"), "page_id")))
-    val, test = ranked.where(F.col("__at") <= options.val_size), ranked.where((F.col("__at") > options.val_size) & (F.col("__at") <= options.val_size + options.test_size))
+    ranked = numbered(heldout, shuffled(f"{options.seed}:heldout", "page_id"), "page_id", place="__at")
+    val, test = ranked.where(F.col("__at") < options.val_size), ranked.where((F.col("__at") >= options.val_size) & (F.col("__at") < options.val_size + options.test_size))
     n_train_neg, n_val_neg = round(n_train * options.unreadable_fraction), round(options.val_size * options.unreadable_fraction)
     root, what = options.image_root or out, ["page_id", "image_path", "target"]
     for name, pages, extra in (("train", train, negatives(spark, "unreadable_train", n_train_neg, train, options.seed)), ("val", val, negatives(spark, "unreadable_val", n_val_neg, heldout, options.seed))):

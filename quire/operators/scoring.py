@@ -62,7 +62,9 @@ def score(pages: DataFrame, settings: Mapping = THRESHOLDS) -> DataFrame:
             yield pd.DataFrame([measure_page(*x, least) for x in zip(r, p, s, strict=True)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
 
     ref, pred = F.col("reference"), F.col("prediction")
-    rows = pages.repartition("page_id").withColumn("outcome", X.outcome(ref, pred))
+    # a fixed number of tasks: pages cost time, not bytes, by which adaptive execution would put them together
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    rows = pages.repartition(tasks, "page_id").withColumn("outcome", X.outcome(ref, pred))
     rows = rows.withColumn("scored", ~F.col("outcome").isin(*PROBE_OUTCOMES))
     rows = rows.withColumn("m", measure(ref, pred, F.col("scored")))
     flags = F.array_compact(

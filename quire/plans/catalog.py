@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.operators import contrast, predicate, prepare, rollups, scoring, validation
+from quire.operators import contrast, order, predicate, prepare, rollups, scoring, validation
 from quire.plans.corpus import SQL, corpus, scored_sql, table
 from quire.schema import FLAGS, PROBE_OUTCOMES
 from quire.sources.shards import shard_aug, shard_group
@@ -479,18 +479,8 @@ def image_token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SQL}, o AS (SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS place FROM page) SELECT page_id, CAST(place % 4 AS INTEGER) AS shard FROM o")
 def stride_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth page in the order of ids; places are counted in two steps, so that no task orders all pages."""
-    return stride(corpus(spark, sf_dir).select("page_id"), 4)
-
-
-def stride(pages: DataFrame, n: int, key: str = "page_id") -> DataFrame:
-    """pages with shard: its place in the order of the key, modulo n."""
-    ranged = pages.repartitionByRange(max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))), key).withColumn("__p", F.spark_partition_id())
-    inside = F.row_number().over(Window.partitionBy("__p").orderBy(key)) - 1
-    placed = ranged.withColumn("__at", inside)
-    sizes = placed.groupBy("__p").agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return placed.join(sizes.select("__p", before.alias("__before")), "__p").withColumn("shard", ((F.col("__at") + F.col("__before")) % n).cast("int")).drop("__p", "__at", "__before")
+    """Every fourth page in the order of ids."""
+    return order.stride(corpus(spark, sf_dir).select("page_id"), 4)
 
 
 @query("SELECT conv_id, turn, CASE WHEN starts_with(text, 'The ') THEN substr(text, 5) ELSE text END AS text FROM conversations")

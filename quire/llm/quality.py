@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import OWN, settle
-
 #: Labelled rows that the model is fitted on at most; above, a hash of the id picks about so many.
 MAX_TRAINING_ROWS = 20_000
+#: A document with this score or more is accepted.
+THRESHOLD = 0.3
 BINS, PAIR_BINS, PAIRS = 32, 8, 6
 ROUNDS, PAIR_ROUNDS, RATE, LEAF_ROWS = 120, 60, 0.15, 20
 
@@ -144,47 +145,61 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     return m
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS, threshold: float = 0.3) -> DataFrame:
-    """id, held_out, score and predicted of every row of docs.
+def _held_out(c: Column) -> Column:
+    return F.coalesce(F.pmod(F.crc32(c.cast("string")), F.lit(5)) == 0, F.lit(True))
 
-    Features are computed once, over every whole text. The model is fitted on the driver, on labelled rows whose id's CRC-32
-    modulo 5 is not 0: at most max_rows (twice that if hashes are uneven, which raises no more than time), picked by hash.
-    Ids, labels and other columns are no inputs. Scores are table look-ups over Arrow batches.
 
-    Null and empty texts are scored like others, by their features. A null id counts as held out and meets no label; null
-    labels teach nothing; repeated rows count as often as they stand. Without labelled rows each score is 1/2; an empty
-    table gives an empty result.
+def _matrix(rows: Iterable[list[float]]) -> np.ndarray:
+    return np.array([*rows], np.float64).reshape(-1, len(FEATURES))
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS) -> AdditiveModel:
+    """The model, fitted on the driver on labelled rows whose id's CRC-32 modulo 5 is not 0.
+
+    A hash of the id picks about max_rows of them. The picked labels, whose number bounds the broadcast, meet the documents
+    where they are read, and only those documents' features come to the driver.
     """
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    marked = labels.select(F.col(f"`{id_col}`").alias("of"), F.col(f"`{label_col}`").cast("int").alias("y")).where("y in (0, 1)").where(~_held_out(F.col("of")))
+    n = marked.count()
+    picked = marked.where(F.pmod(F.xxhash64("of"), F.lit(1 << 20)) < min(1 << 20, math.ceil((1 << 20) * max_rows / max(1, n)))).limit(2 * max_rows)
+    taken = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).join(F.broadcast(picked), F.col("id") == F.col("of")).select("id", "y", "text")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [np.array(features(t.as_py()), np.float32) for t in b.column(1)]
-            flat = pa.array(np.concatenate(rows)) if rows else pa.array([], pa.float32())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES)), flat)], names=["id", "x"])
-
-    taken = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    known = settle(taken.mapInArrow(compute, f"id {kind}, x array<float>"))
-    out_of = lambda c: F.coalesce(F.pmod(F.crc32(c.cast("string")), F.lit(5)) == 0, F.lit(True))
-    marked = labels.select(F.col(f"`{id_col}`").alias("of"), F.col(f"`{label_col}`").cast("int").alias("y")).where("y in (0, 1)").where(~out_of(F.col("of")))
-    n = marked.count()
-    marked = marked.where(F.pmod(F.xxhash64("of"), F.lit(1 << 20)) < min(1 << 20, math.ceil((1 << 20) * max_rows / max(1, n))))
-    sample = known.join(marked, F.col("id") == F.col("of")).select("id", "y", "x").limit(2 * max_rows).collect()
-    sample.sort(key=lambda r: (str(r["id"]), r["y"], r["x"]))
-    model = fit(np.array([r["x"] for r in sample], np.float64).reshape(len(sample), len(FEATURES)), np.array([r["y"] for r in sample], np.float64))
+            rows = pa.array([features(t.as_py()) for t in b.column(2)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), b.column(1), rows], names=["id", "y", "x"])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(FEATURES)).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(x))], names=["id", "score"])
+    sample = taken.mapInArrow(compute, "id string, y int, x array<double>").limit(4 * max_rows).collect()
+    sample.sort(key=lambda r: (r["id"], r["y"], r["x"]))
+    return fit(_matrix(r["x"] for r in sample), np.array([r["y"] for r in sample], np.float64))
 
-    scored = known.mapInArrow(score, f"id {kind}, score double")
-    return scored.select("id", out_of(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
+def score_of(model: AdditiveModel) -> Callable[[Column], Column]:
+    """A function of a text column to its score: features and table look-ups, batch by batch."""
 
-def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Rows of docs that the classifier accepts; scored where they are read (the model is what quality_scores fits)."""
-    gone = quality_scores(docs, labels, id_col, text_col, **options).where("predicted = 0").select(F.col("id").alias(OWN + "id")).distinct()
-    return docs.join(gone, docs[f"`{id_col}`"].eqNullSafe(gone[OWN + "id"]), "left_anti")
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(_matrix(features(t if isinstance(t, str) else None) for t in texts)))
+
+    return score
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """id, held_out, score and predicted of every row of docs, scored in one pass over the whole texts without a shuffle.
+
+    The model is fit_quality's: at most about max_rows labelled rows teach it. Ids, labels and other columns are no inputs.
+
+    Null and empty texts are scored like others, by their features. A null id counts as held out and meets no label; null
+    labels teach nothing; repeated rows count as often as they stand. Without labelled rows each score is 1/2; an empty
+    table gives an empty result.
+    """
+    score = score_of(fit_quality(docs, labels, id_col, text_col, label_col, max_rows))
+    own = F.col(f"`{id_col}`")
+    scored = docs.select(own.alias("id"), score(F.col(f"`{text_col}`").cast("string")).alias("score"))
+    return scored.select("id", _held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of docs that the classifier does not reject. They pass where they are read."""
+    score = score_of(fit_quality(docs, labels, id_col, text_col, label_col, max_rows))
+    return docs.where(score(F.col(f"`{text_col}`").cast("string")) >= threshold)

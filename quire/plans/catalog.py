@@ -80,6 +80,12 @@ def split_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.split_totals(_scores(spark, sf_dir))
 
 
+@query()
+def page_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a run directory holds it."""
+    return _scores(spark, sf_dir).drop("order_counts", "doc_id")
+
+
 @query(f"""{BASE} SELECT split, CAST(sum(char_edits) AS BIGINT) AS char_edits, CAST(sum(ref_chars) AS BIGINT) AS ref_chars, CAST(sum(char_edits) AS DOUBLE) / CAST(sum(ref_chars) AS BIGINT) AS micro,
   round(avg(CAST(char_edits AS DOUBLE) / ref_chars), 9) AS macro FROM s_baseline WHERE has_metrics GROUP BY split""")
 def split_micro_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,6 +346,25 @@ def empties_at_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.content_problems(pages).select("page_id", F.regexp_extract("message", r"level (\w+)$", 1).alias("level"))
 
 
+@query("SELECT doc_id, length(text) AS chars, lower(sha256(text)) AS digest FROM documents")
+def content_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and digests of stored contents, as transfers are checked by."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.length("text").cast("long").alias("chars"), F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+
+
+@query(f"""WITH {SQL}, v AS (SELECT page_id, list_sort(list_concat(distortions, fonts)) AS a FROM page) SELECT page_id, array_to_string(a, ',') AS sorted FROM v""")
+def sorted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays as a manifest keeps them: sorted, repeated values stay."""
+    return corpus(spark, sf_dir).select("page_id", F.array_join(F.array_sort(F.concat("distortions", "fonts")), ",").alias("sorted"))
+
+
+@query(f"WITH {SQL} SELECT split, count(*) AS pages, count(*) FILTER (quality = 0) AS low_quality, count(*) FILTER (toxic = 1) AS toxic FROM page JOIN labels USING (doc_id) GROUP BY split")
+def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = corpus(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+    return rows.groupBy("split").agg(F.count("*").alias("pages"), F.count_if(F.col("quality") == 0).alias("low_quality"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+
+
 # ---- comparison
 
 

@@ -188,3 +188,16 @@ def test_predictions(spark):
     with pytest.raises(UsageError) as e:
         predict.check_settings({"a": 1}, {"a": 2, "b": 3})
     assert len(e.value.problems) == 2
+
+
+def test_written_files(spark, source, tmp_path):
+    from quire.sources import files
+
+    rows = prepare.checked_samples(shards.read_shards(spark, shards.list_shards(spark, str(source), "shard_002")))
+    assert files.write_images(rows, str(tmp_path / "a")).count() == 12
+    assert (tmp_path / "a" / "images" / "shard_002" / "003.png").read_bytes() == PNG
+    texts = spark.createDataFrame([("p1", "één"), ("p2", "")], "page_id string, text string")
+    assert {r["path"]: r["bytes"] for r in files.write_predictions(texts, str(tmp_path / "t")).collect()} == {"p1.txt": 5, "p2.txt": 0}
+    assert files.write_predictions(texts.withColumn("text", F.when(F.col("page_id") == "p1", "x").otherwise("")), (tmp_path / "u").as_uri()).count() == 2
+    a, b = files.audit(spark, str(tmp_path / "t"), "*.txt"), files.audit(spark, str(tmp_path / "u"))
+    assert [r["name"] for r in files.differing(a, b, str(tmp_path / "t"), str(tmp_path / "u")).collect()] == ["p1.txt"]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import OWN, SPACE, settle, text_of
 
-#: Positions of a window that a seed looks at; the others may hold any word. Each has six positions in a window of nine.
-SEEDS = ("110100111", "111001011")
+#: Positions of a window that a seed looks at; the others may hold any word. Of any 13 aligned words up to two of which
+#: differ (80 % of 13 are 11 words), some window of eight fits one of these two: the search loses no passage of 13 words.
+SEEDS = ("11101011", "11001111")
 #: A passage is at least this many aligned words (a shorter benchmark item counts whole), of which MIN_SHARE agree.
 MIN_WORDS, MIN_SHARE = 13, 0.8
 #: Hashes of the benchmark are broadcast up to this many, joined by a shuffle beyond.
@@ -24,8 +25,12 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, _UPPER, _LOWER), SPACE), lambda w: w != "")
 
 
+def _hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def _hashes(words: str, seeds: Sequence[str]) -> Column:
-    """(pos, seed, h) for every window of an array column. Each seed's kept words are hashed in order."""
+    """(pos, seed, h) for every window of an array column of words' hashes. Each seed's kept words are hashed in order."""
     span = len(seeds[0])
     one = lambda k, s: f"struct(i as pos, {k} as seed, xxhash64({', '.join(f'{words}[i + {j}]' for j in range(span) if s[j] == '1')}) as h)"
     every = ", ".join(one(k, s) for k, s in enumerate(seeds))
@@ -43,16 +48,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     The benchmark's hashes are counted before they are broadcast; past BROADCAST_HASHES both sides shuffle by hash. Only
     (id, item, alignment) triples leave the scan, and documents meet their triples by id.
 
-    Items with fewer words than a seed's window give no hash and are met by no document. Null texts have no words; null and
+    Items of fewer than 13 words may be missed where words are replaced; those with fewer than a seed's window give no hash
+    and are met by no document. Null texts have no words; null and
     repeated ids or items are values like others (rows with the same id count as one document if their texts agree at the
     same place). Empty tables give an empty result; other columns are not looked at.
     """
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"), words_of(text_of(item_text_col)).alias("iw"))
     items = settle(items.distinct())
-    known = settle(items.select("item", F.explode(_hashes("iw", seeds)).alias("k")).select("item", F.col("k.pos").alias("ip"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h")))
+    known = settle(items.select("item", _hashed(F.col("iw")).alias("ih")).select("item", F.explode(_hashes("ih", seeds)).alias("k")).select("item", F.col("k.pos").alias("ip"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h")))
     small = known.count() <= BROADCAST_HASHES
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(text_col)).alias("version"), words_of(text_of(text_col)).alias("dw"))
-    seen = rows.select("id", "version", F.explode(_hashes("dw", seeds)).alias("k")).select("id", "version", F.col("k.pos").alias("dp"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(text_col)).alias("version"), _hashed(words_of(text_of(text_col))).alias("dh"))
+    seen = rows.select("id", "version", F.explode(_hashes("dh", seeds)).alias("k")).select("id", "version", F.col("k.pos").alias("dp"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h"))
     hits = seen.join(F.broadcast(known) if small else known, ["seed", "h"]).select("id", "version", "item", (F.col("dp") - F.col("ip")).alias("shift"))
     hits = settle(hits.groupBy("id", "version", "item", "shift").count().drop("count"))
     texts = docs.select(F.col(f"`{id_col}`").alias("rid"), F.xxhash64(text_of(text_col)).alias("rversion"), text_of(text_col).alias("rtext"))

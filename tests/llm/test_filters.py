@@ -150,13 +150,22 @@ def slow_leaks(docs, items, seeds=decontam.SEEDS, w=13, share=0.8):
             for shift in range(-len(iw), len(dw)):
                 eq = [0 <= p + shift < len(dw) and dw[p + shift] == iw[p] for p in range(len(iw))]
                 inside = [0 <= p + shift < len(dw) for p in range(len(iw))]
-                if sum(eq) < 6 or not any(all(eq[a + j] for j in range(9) if s[j] == "1") for s in seeds for a in range(len(iw) - 8) if all(inside[a : a + 9])):
-                    continue
+                if k < w and not any(all(eq[a + j] for j in range(8) if s[j] == "1") for s in seeds for a in range(len(iw) - 7) if all(inside[a : a + 8])):
+                    continue  # from 13 words on, seeds find all that there is
                 if any(all(inside[a : a + k]) and sum(eq[a : a + k]) >= share * k for a in range(len(iw) - k + 1)):
                     out.add((d, i))
     return out
 
 
+def test_seeds_lose_nothing():
+    """Whatever two of 13 aligned words differ, a seed fits in somewhere."""
+    from itertools import combinations
+
+    kept = [{i for i, c in enumerate(s) if c == "1"} for s in decontam.SEEDS]
+    for gone in combinations(range(13), 2):
+        assert any(not {a + j for j in k} & set(gone) for k in kept for a in range(13 - 8 + 1))
+
+
 def pairs(df):
     return {(r["id"], r["item"]) for r in df.collect()}
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Iterable
-from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -23,19 +23,27 @@ def _class(ranges: Iterable[tuple[int, int]]) -> str:
     return "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
 
 
-@cache
-def mark_ranges() -> tuple[tuple[int, int], ...]:
-    """Ranges of category Mn as this Python knows it; the JVM's own tables may be of another Unicode version."""
+#: What is found out once in each process. (Functions that go to executors by value cannot have functools' caches.)
+_KNOWN: dict[str, object] = {}
+
+
+def _ranges(codes: Iterable[int]) -> tuple[tuple[int, int], ...]:
     out: list[list[int]] = []
-    for i in range(sys.maxunicode + 1):
-        if unicodedata.category(chr(i)) == "Mn":
-            if out and out[-1][1] == i - 1:
-                out[-1][1] = i
-            else:
-                out.append([i, i])
+    for i in codes:
+        if out and out[-1][1] == i - 1:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
     return tuple((a, b) for a, b in out)
 
 
+def mark_ranges() -> tuple[tuple[int, int], ...]:
+    """Ranges of category Mn as this Python knows it; the JVM's own tables may be of another Unicode version."""
+    if "marks" not in _KNOWN:
+        _KNOWN["marks"] = _ranges(i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i)) == "Mn")
+    return _KNOWN["marks"]
+
+
 def strict(text: Column) -> Column:
     return text
 
@@ -72,18 +80,14 @@ def skeleton_of(text: str) -> str:
 
 def bare_of(text: str) -> str:
     """diacritic_insensitive for Python."""
-    out, base = [], False
-    for c in text:
-        i = ord(c)
-        if any(a <= i <= b for a, b in DIACRITICS):
-            continue
-        if unicodedata.category(c) == "Mn":
-            if not base:
-                out.append(c)
-            continue
-        base = any(a <= i <= b for a, b in ARABIC_BLOCKS)
-        out.append(c)
-    return "".join(out)
+    if text.isascii():
+        return text
+    if "bare" not in _KNOWN:
+        spelled = lambda ranges: "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+        letters = _ranges(i for a, b in ARABIC_BLOCKS for i in range(a, b + 1) if unicodedata.category(chr(i)) != "Mn")
+        _KNOWN["bare"] = re.compile(f"[{spelled(DIACRITICS)}]+"), re.compile(f"(?<=[{spelled(letters)}])[{spelled(mark_ranges())}]+")
+    listed, others = _KNOWN["bare"]
+    return others.sub("", listed.sub("", text))
 
 
 @F.pandas_udf(T.StringType())

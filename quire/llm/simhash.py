@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,23 +15,49 @@ from quire.llm.common import OWN, partitions, settle
 from quire.llm.components import connected_components
 
 SEED = 42
+#: 64-bit lanes of the sketch that similarity is read from, and the words of its shingles.
+LANES, SKETCH_SHINGLE = 4, 5
+_LANES = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)[:LANES]
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """64 bits; a bit is 1 if over half the shingles' XXH64 have it. No words: 0; fewer than a shingle: one of them all."""
+def _shingles(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of every run of `shingle` words (of all words, if there are fewer); lower case, joined by a space."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, and white space of ASCII only
     if not words:
-        return 0
-    joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
-    starts, k = (ends - [len(w) + 1 for w in words]).tolist(), min(shingle, len(words))
-    of, cuts = xxhash.xxh64_intdigest, (ends - 1).tolist()[k - 1 :]
-    h = np.fromiter((of(joined[a:b], SEED) for a, b in zip(starts, cuts, strict=False)), np.uint64, len(cuts))
+        return np.zeros(0, np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    joined, ends, k = b" ".join(words), np.cumsum(size + 1), min(shingle, len(words))
+    of, starts, cuts = xxhash.xxh64_intdigest, (ends - size - 1).tolist(), (ends - 1).tolist()[k - 1 :]
+    return np.fromiter((of(joined[a:b], SEED) for a, b in zip(starts, cuts, strict=False)), np.uint64, len(cuts))
+
+
+def _majority(h: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """64 bits; a bit is 1 if over half the shingles' XXH64 have it. No words: 0."""
+    return _majority(_shingles(text, shingle))
+
+
+def sketch(text: str | None, shingle: int = SKETCH_SHINGLE) -> list[int]:
+    """LANES fingerprints over hashes that are mixed anew for each: its bits' differences tell the angle between two texts."""
+    h = np.unique(_shingles(text, shingle))
+    out = []
+    for lane in _LANES:
+        x = (h ^ (h >> np.uint64(31))) * lane
+        out.append(_majority((x ^ (x >> np.uint64(29))) * _LANES[0]))
+    return out
+
+
+def most_differing(similarity: float) -> int:
+    """Bits of a sketch in which two sets of this Jaccard similarity differ on average (equal sizes: cosine 2 s / (1 + s))."""
+    return round(64 * LANES * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
 def covering_masks(radius: int) -> list[int]:
     """2^(radius+1)-1 masks of 64 bits: any two words that differ in `radius` bits or fewer agree under one of them.
 
@@ -42,116 +69,106 @@ def covering_masks(radius: int) -> list[int]:
     return [sum(1 << i for i, m in enumerate(vectors) if bin(m & v).count("1") % 2) for v in range(1, size)]
 
 
-def _stars(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the links between x[a] and x[b]: each linked value with the first one of its component."""
-    root = np.arange(len(x))
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    own = np.flatnonzero(root != np.arange(len(x)))
-    return x[own], x[root[own]]
-
-
-#: A bucket up to this size is compared pair by pair in memory, a larger one by looking up every word within the radius.
-PAIRS_TO = 1024
-
-
-def _links(x: np.ndarray, free: list[int], radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Components' stars of one bucket's distinct, sorted words, which differ in the free bits only."""
-    if len(x) <= PAIRS_TO:
-        a, b = np.nonzero(np.triu(np.bitwise_count(x[:, None] ^ x[None, :]) <= radius, 1))
-        return _stars(x, a, b)
-    flips = [0]
-    for _ in range(radius):
-        flips = sorted({f | 1 << i for f in flips for i in free} | set(flips))
-    heads, tails = [], []
-    for f in flips[1:]:
-        y = x ^ np.uint64(f)
-        at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-        hit = np.flatnonzero((x[at] == y) & (y > x))
-        if len(hit):
-            p, q = _stars(x, hit, at[hit])  # at once no more than one row a word
-            heads.append(p)
-            tails.append(q)
-    if not heads:
-        return x[:0], x[:0]
-    return _stars(x, np.searchsorted(x, np.concatenate(heads)), np.searchsorted(x, np.concatenate(tails)))
-
-
-def _in_buckets(batches: Iterator[pa.RecordBatch], masks: list[int], radius: int) -> Iterator[pa.RecordBatch]:
-    got = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
+def _links(x: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[np.ndarray, int]]:
+    """Components of one bucket's words, found outward from their first members: (others, first).
+
+    What has been reached is not looked at again, so a bucket of near copies takes a few passes, and gives no more links than
+    it has words.
+    """
+    out, left = [], np.arange(len(x))
+    while len(left):
+        root, left, todo = int(left[0]), left[1:], [int(left[0])]
+        while todo and len(left):
+            hit = near(todo.pop(), left)
+            if hit.any():
+                out.append((left[hit], root))
+                todo += left[hit].tolist()
+                left = left[~hit]
+    return out
+
+
+def _in_buckets(batches: Iterator[pa.RecordBatch], masks: list[int], radius: int, most: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows (v, fp, sketch) of whole buckets to links (a, b) between nodes: bytes of fp and sketch."""
+    got = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False), np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64)) for b in batches]
     if not got:
         return
     v, x = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]).view(np.uint64)
+    wide = np.concatenate([g[2] for g in got]).reshape(len(x), -1)
     key = x & np.array(masks, np.uint64)[v]
     order = np.lexsort((x, key, v))
-    v, x, key = v[order], x[order], key[order]
+    v, x, key, wide = v[order], x[order], key[order], wide[order]
     cut = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) | (key[1:] != key[:-1]), True])
     size, heads, tails = np.diff(cut), [], []
+
+    def near(i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
+        close = np.bitwise_count(x[i] ^ x[j]) <= radius
+        return close if most is None else close & (np.bitwise_count(wide[i] ^ wide[j]).sum(-1) <= most)
+
     for m in np.unique(size[(size > 1) & (size <= 8)]):  # small buckets of one size at once
-        block = x[cut[:-1][size == m][:, None] + np.arange(m)]
+        block = cut[:-1][size == m][:, None] + np.arange(m)
         for i in range(m):
             for j in range(i + 1, m):
-                near = np.bitwise_count(block[:, i] ^ block[:, j]) <= radius
-                heads.append(block[near, j])
-                tails.append(block[near, i])
-    for i in np.flatnonzero(size > 8):
-        free = [k for k in range(64) if not masks[v[cut[i]]] >> k & 1]
-        p, q = _links(x[cut[i] : cut[i + 1]], free, radius)
-        heads.append(p)
-        tails.append(q)
+                hit = near(block[:, i], block[:, j])
+                heads.append(block[hit, j])
+                tails.append(block[hit, i])
+    for a, b in zip(cut[:-1][size > 8].tolist(), cut[1:][size > 8].tolist(), strict=True):
+        for others, first in _links(x[a:b], lambda p, left, a=a: near(a + p, a + left)):
+            heads.append(a + others)
+            tails.append(np.full(len(others), a + first))
     if heads:
-        pairs = np.unique(np.stack([np.concatenate(heads), np.concatenate(tails)]), axis=1).view(np.int64)
-        for i in range(0, pairs.shape[1], 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0, i : i + (1 << 16)]), pa.array(pairs[1, i : i + (1 << 16)])], names=["a", "b"])
+        nodes = np.concatenate([x[:, None].byteswap(), wide], axis=1)  # the fingerprint as hex() writes it, then the sketch
+        h, t = np.concatenate(heads), np.concatenate(tails)
+        for i in range(0, len(h), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[k].tobytes() for k in part[i : i + (1 << 16)]], pa.binary()) for part in (h, t)], names=["a", "b"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """id, fp (the fingerprint as a signed long) of every row."""
-    rows = docs.select(F.col(f"`{id_col}`").alias(OWN + "id"), F.col(f"`{text_col}`").cast("string").alias(OWN + "text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, wide: bool = False) -> DataFrame:
+    """id, fp (the fingerprint as a signed long) and sketch (bytes; empty unless wide) of every row."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=[OWN + "id", OWN + "fp"])
+            texts = b.column(1).to_pylist()
+            fp = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
+            sketches = [np.array(sketch(t), np.uint64).tobytes() if wide else b"" for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), pa.array(sketches, pa.binary())], names=["id", "fp", "sketch"])
+
+    return rows.mapInArrow(of, f"id {rows.schema[0].dataType.simpleString()}, fp long, sketch binary")
 
-    return rows.mapInArrow(of, f"{OWN}id {rows.schema[0].dataType.simpleString()}, {OWN}fp long")
 
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, similarity: float | None = None) -> DataFrame:
+    """id, fp and component (smallest id reachable over links) of every row of docs.
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """id, fp and component (smallest id reachable over links of `radius` differing bits or fewer) of every row of docs.
+    Fingerprints link if they differ in `radius` bits or fewer; with a similarity, also only if sketches of the texts'
+    five-word shingles differ no more than those of texts so similar do on average (an estimate: 256 bits tell a Jaccard
+    similarity of 0.8 to about 0.04).
 
-    Rows with the same fingerprint are counted together before anything is compared. The distinct fingerprints go to one
-    bucket for each covering mask; a bucket gives the links of its components' stars, so a large bucket gives no more rows
-    than it has words, and past PAIRS_TO words it looks up the words within the radius instead of comparing all pairs. No
-    link is lost: the masks leave out no pair, and nothing is capped.
+    Rows with the same fingerprint and sketch are one node before anything is compared. Nodes go to one bucket for each
+    covering mask; a bucket gives links from its components' first members, so a large one gives no more rows than it has
+    nodes. No link is lost: the masks leave out no pair within the radius, and nothing is capped.
 
     Null and blank texts have fingerprint zero and link to each other and to words of `radius` bits. Repeated rows give
     repeated rows. A null id counts only if its component has no other. An empty table gives an empty result; other
     columns are not looked at.
     """
-    spark = docs.sparkSession
-    marked = settle(fingerprints(docs, id_col, text_col, shingle))
-    known = settle(marked.groupBy(OWN + "fp").agg(F.min(OWN + "id").alias(OWN + "least")))
+    spark, node = docs.sparkSession, F.concat(F.unhex(F.lpad(F.hex("fp"), 16, "0")), "sketch").alias("node")
+    marked = settle(fingerprints(docs, id_col, text_col, shingle, similarity is not None))
+    known = settle(marked.groupBy("fp", "sketch").agg(F.min("id").alias("least")))
     masks = covering_masks(radius)
-    n = known.count() * len(masks)
-    tables = known.select(F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.col(OWN + "fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for v, m in enumerate(masks)))).alias("t"), OWN + "fp")
-    dealt = tables.repartition(partitions(spark, n, 1 << 20), "t.v", "t.key").select(F.col("t.v").alias("v"), F.col(OWN + "fp").alias("fp"))
-    roots = settle(connected_components(dealt.mapInArrow(lambda it: _in_buckets(it, masks, radius), "a long, b long")))
-    least = known.join(roots, known[OWN + "fp"] == roots["node"]).groupBy("root").agg(F.min(OWN + "least").alias(OWN + "component"))
-    linked = roots.join(least, "root").select(F.col("node").alias(OWN + "fp"), OWN + "component")
-    labels = known.join(linked, OWN + "fp", "left").select(OWN + "fp", F.coalesce(OWN + "component", OWN + "least").alias(OWN + "component"))
+    n, most = known.count() * len(masks), None if similarity is None else most_differing(similarity)
+    tables = known.select(F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for v, m in enumerate(masks)))).alias("t"), "fp", "sketch")
+    dealt = tables.repartition(partitions(spark, n, 1 << 20), "t.v", "t.key").select(F.col("t.v").alias("v"), "fp", "sketch")
+    links = dealt.mapInArrow(lambda it: _in_buckets(it, masks, radius, most), "a binary, b binary")
+    roots = settle(connected_components(links))
+    known = known.select("fp", "sketch", "least", node)
+    least = known.join(roots, "node").groupBy("root").agg(F.min("least").alias("component"))
+    linked = roots.join(least, "root").select("node", "component")
+    labels = known.join(linked, "node", "left").select("fp", "sketch", F.coalesce("component", "least").alias("component"))
     labels = settle(labels)  # then both sides of the join are shuffled for it alone, and Spark may split a hot fingerprint
-    return marked.join(labels, OWN + "fp").select(F.col(OWN + "id").alias("id"), F.col(OWN + "fp").alias("fp"), F.col(OWN + "component").alias("component"))
+    return marked.join(labels, ["fp", "sketch"]).select("id", "fp", "component")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """Rows of docs that stay: of each component, the rows with its smallest id (all, if the ids are null)."""
-    gone = near_classes(docs, id_col, text_col, shingle, radius).where("NOT (id <=> component)").select(F.col("id").alias(OWN + "id")).distinct()
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 5, similarity: float | None = 0.8) -> DataFrame:
+    """Rows of docs that stay: of each component of near_classes, the rows with its smallest id (all, if the ids are null)."""
+    gone = near_classes(docs, id_col, text_col, shingle, radius, similarity).where("NOT (id <=> component)").select(F.col("id").alias(OWN + "id")).distinct()
     return docs.join(gone, docs[f"`{id_col}`"] == gone[OWN + "id"], "left_anti")

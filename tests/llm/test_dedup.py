@@ -206,14 +206,54 @@ def test_masks_cover(radius):
         assert any(not flips & m for m in masks)
 
 
-def test_large_buckets_agree(monkeypatch):
-    """Looking words up gives the same components as comparing pairs."""
+def test_components_of_a_bucket():
     draw = np.random.default_rng(3)
-    x = np.unique(draw.integers(0, 1 << 11, 300).astype(np.uint64))
-    a = simhash._links(x, list(range(11)), 2)
-    monkeypatch.setattr(simhash, "PAIRS_TO", 1)
-    b = simhash._links(x, list(range(11)), 2)
-    assert sorted(zip(*map(np.ndarray.tolist, a), strict=True)) == sorted(zip(*map(np.ndarray.tolist, b), strict=True))
+    x = np.unique(draw.integers(0, 1 << 14, 300).astype(np.uint64))
+    root = np.arange(len(x))
+    for others, first in simhash._links(x, lambda p, left: np.bitwise_count(x[p] ^ x[left]) <= 2):
+        root[others] = first
+    want = np.arange(len(x))
+    for _ in range(len(x)):
+        a, b = np.nonzero(np.bitwise_count(x[:, None] ^ x[None, :]) <= 2)
+        new = want.copy()
+        np.minimum.at(new, a, want[b])
+        if (new == want).all():
+            break
+        want = new
+    assert (root == want).all() and len(set(root.tolist())) > 1
+
+
+def test_near_stage(spark):
+    """Texts of 400 words with a few replaced ones go, others stay; thousands of copies are one group."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
+    texts = []
+    for i in range(30):
+        w = [word() for _ in range(400)]
+        texts.append((10 * i, " ".join(w)))
+        w[draw.randrange(400)] = "x"
+        texts.append((10 * i + 1, " ".join(w)))
+        w[200:] = [word() for _ in range(200)]
+        texts.append((10 * i + 2, " ".join(w)))
+    base = [word() for _ in range(300)]
+    for i in range(1500):
+        w = base.copy()
+        w[i % 300] = f"y{i}"
+        texts.append((10_000 + i, " ".join(w)))
+    kept = {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()}
+    assert kept >= {10 * i for i in range(30)} | {10 * i + 2 for i in range(30)}
+    assert len(kept & {10 * i + 1 for i in range(30)}) <= 6
+    assert len([k for k in kept if k >= 10_000]) <= 15
+
+
+def test_sketches_tell_similarity():
+    draw = random.Random(5)
+    w = [str(draw.random()) for _ in range(2000)]
+    for share in (0.95, 0.9, 0.8, 0.6):
+        k = int(2000 * (1 - share) / (1 + share))  # so many of 2000 shingles differ on each side
+        other = w[: 2000 - k] + [str(draw.random()) for _ in range(k)]
+        apart = sum((a ^ b).bit_count() for a, b in zip(simhash.sketch(" ".join(w)), simhash.sketch(" ".join(other)), strict=True))
+        assert abs(apart - simhash.most_differing(share)) < 22, (share, apart)
 
 
 def test_components(spark):

@@ -20,6 +20,8 @@ def test_stages(spark, sf):
     exact = [min(g, key=lambda r: r["doc_id"]) for g in groups.values()]
     marks = [(r, simhash.fingerprint(r["text"])) for r in exact]
     root = {r["doc_id"]: r["doc_id"] for r in exact}
+    wide = {r["doc_id"]: simhash.sketch(r["text"]) for r in exact}
+    apart = lambda i, j: sum((x ^ y).bit_count() for x, y in zip(wide[i], wide[j], strict=True))
 
     def find(i):
         while root[i] != i:
@@ -28,7 +30,7 @@ def test_stages(spark, sf):
 
     for k, (a, x) in enumerate(marks):
         for b, y in marks[:k]:
-            if (x ^ y).bit_count() <= 2:
+            if (x ^ y).bit_count() <= 5 and apart(a["doc_id"], b["doc_id"]) <= simhash.most_differing(0.8):
                 p, q = sorted((find(a["doc_id"]), find(b["doc_id"])))
                 root[q] = p
     near = [r for r in exact if find(r["doc_id"]) == r["doc_id"]]

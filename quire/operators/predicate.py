@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.errors import UsageError
+from quire.functions.text import stripped
 
 # Operators in the order in which they are looked for, and fields with the columns they are about.
 OPERATORS = ("!=", "~", "=")
@@ -69,7 +70,7 @@ def select(pages: DataFrame, conditions: Sequence[Condition] = (), ids: DataFram
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """page_id of each line that is neither blank nor a comment (#)."""
-    ids = spark.read.text(path).select(F.trim("value").alias("page_id")).where("page_id <> '' AND NOT startswith(page_id, '#')")
+    ids = spark.read.text(path).select(stripped(F.col("value")).alias("page_id")).where("page_id <> '' AND NOT startswith(page_id, '#')")
     if ids.isEmpty():
         raise UsageError(f"no page id in {path}")
     return ids

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.functions.text import is_blank
 from quire.schema import KINDS, MANIFEST, STRINGS
 from quire.sources.lines import numbered
 
@@ -29,7 +30,7 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     and malformed arrays are reported, and the page stays. A reference_text of null is no reference.
     """
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    rows = numbered(spark, path).where("NOT good OR trim(value) <> ''")
+    rows = numbered(spark, path).where(~F.col("good") | ~is_blank(F.col("value")))
     rows = rows.withColumn("v", F.when(F.col("good"), F.try_parse_json("value"))).withColumn("keys", F.when(F.col("good"), F.json_object_keys("value")))
     text = lambda f: F.try_variant_get("v", f"$.{f}", "string")
     rows = rows.select("line", "good", "v", "keys", *(text(f).alias(f) for f in FIELDS if f not in ("fonts", "distortions", "is_augmented")))

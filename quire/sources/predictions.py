@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.functions.text import is_blank
 from quire.sources.lines import digest_of, exists, numbered, whole_files
 
 
@@ -23,7 +24,7 @@ def read_folder(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def read_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Texts are taken as they are. Of lines with one id the first good one counts, the others are problems."""
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    rows = numbered(spark, path).where("NOT good OR trim(value) <> ''").withColumn("v", F.when(F.col("good"), F.try_parse_json("value"))).withColumn("keys", F.when(F.col("good"), F.json_object_keys("value")))
+    rows = numbered(spark, path).where(~F.col("good") | ~is_blank(F.col("value"))).withColumn("v", F.when(F.col("good"), F.try_parse_json("value"))).withColumn("keys", F.when(F.col("good"), F.json_object_keys("value")))
     kind = F.coalesce(F.schema_of_variant(F.try_variant_get("v", "$.text", "variant")), F.lit("VOID"))
     rows = rows.withColumn("page_id", F.try_variant_get("v", "$.page_id", "string")).withColumn("text", F.try_variant_get("v", "$.text", "string"))
     has = F.coalesce(F.array_contains("keys", "page_id") & F.array_contains("keys", "text"), F.lit(False))

@@ -12,8 +12,9 @@ from quire.llm.passages import SLICE, Block, Plan, mixed, remove_recurring
 from quire.llm.suffix_array import suffix_array
 
 WINDOW, ANCHOR = 50, 26
-#: Bytes that one suffix array is built over; groups of contexts stay together, so one group may exceed it.
-SORTED_AT_ONCE = 1 << 18
+#: Bytes that one suffix array is built over, few enough for a processor's cache; contexts of a key stay together, so one key
+#: may exceed it.
+SORTED_AT_ONCE = 1 << 14
 
 
 def read_bytes(ids: np.ndarray, texts: list[bytes], anchor: int) -> Block:
@@ -92,8 +93,8 @@ def solve_bytes(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts:
     """Of each context: the bytes that lie in windows which a context with the same key and a smaller id has too.
 
     Equal contexts are one string with the smallest of their ids. Contexts of a key that differ are first cut to what any
-    other one of the key has next to the anchor, on both sides, which takes no shared window away. Where that leaves strings
-    that differ, they are suffix-sorted, many keys at once; one string that all have left has nothing to be sorted against.
+    other one of the key has next to the anchor, on both sides, which takes no shared window away; the strings that are left
+    are suffix-sorted, many keys at once.
     """
     size = np.fromiter(map(len, contexts), np.int64, len(contexts))
     number, one = _numbered(key, left, contexts)
@@ -116,12 +117,10 @@ def solve_bytes(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts:
     low = np.full(len(pick), np.iinfo(np.int64).max)
     np.minimum.at(low, cut, own)
     a, b, keys = np.zeros(len(pick), np.int64), np.zeros(len(pick), np.int64), k[pick]
-    differ = np.flatnonzero(np.r_[False, keys[1:] == keys[:-1]] | np.r_[keys[1:] == keys[:-1], False]) if len(pick) else pick
-    keys, first, size_of = keys[differ], 0, np.r_[0, np.cumsum([len(strings[i]) for i in pick[differ]])]
-    for i in range(1, len(differ) + 1):
-        if i == len(differ) or keys[i] != keys[i - 1] and size_of[i] - size_of[first] >= SORTED_AT_ONCE:
-            at_once = differ[first:i]
-            a[at_once], b[at_once] = sorted_windows([strings[j] for j in pick[at_once]], low[at_once], window)
+    first, size_of = 0, np.r_[0, np.cumsum([len(strings[i]) for i in pick])]
+    for i in range(1, len(pick) + 1):
+        if i == len(pick) or keys[i] != keys[i - 1] and size_of[i] - size_of[first] >= SORTED_AT_ONCE:
+            a[first:i], b[first:i] = sorted_windows([strings[j] for j in pick[first:i]], low[first:i], window)
             first = i
     whole = own > low[cut]
     a, b = np.where(whole, 0, a[cut]) + at - before, np.where(whole, before + anchor + after, b[cut])

@@ -9,30 +9,31 @@ windows hold equal anchors at equal places, and only about 2 in (L - K + 2) posi
    go once, with the smallest id. A shard has every context of its anchors and says which part of each is in a smaller id.
 3. The block applies the answers to its documents.
 
-Blocks are packed once, compressed, into the checkpoint folder; messages are arrays, not rows. An anchor that many blocks
-hold is hot: its contexts are cut into single windows, keyed by their own hashes, so they spread over all shards and meet
-only what equals them. Nothing is dropped or capped.
+Blocks are packed once, compressed, into the checkpoint folder; messages are arrays, not rows. An anchor that occurs too often
+for one task to hold its contexts is hot: they are cut into single windows, keyed by their own hashes, so they spread over all
+shards and meet only what equals them. Nothing is dropped or capped.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import partitions, settle
 
 #: A block has so many bytes of text, or one document.
 BLOCK_BYTES = 4 << 20
-#: Anchors that a task is sized for, in so many shards: hashing few shards to tasks would load some twice or thrice.
-TASK_ANCHORS, SHARDS_A_TASK = 1 << 20, 4
-#: An anchor in so many blocks is hot.
-HOT_BLOCKS = 256
+#: Anchors that a shard is sized for.
+SHARD_ANCHORS = 1 << 20
+#: An anchor with so many occurrences is hot.
+HOT = 1 << 20
 #: Ids that are null count as smaller than all others.
 NULL_ID = -(1 << 63)
 
@@ -167,7 +168,7 @@ def _anchors(block: Block, plan: Plan) -> np.ndarray:
     a = np.maximum(block.ends - plan.window + 1, block.starts)
     np.add.at(cross, a, 1)
     np.add.at(cross, block.ends, -1)
-    ok &= np.cumsum(cross)[: len(ok)] == 0
+    ok &= np.cumsum(cross, dtype=np.int32)[: len(ok)] == 0
     return minimizers(block.hashes, ok, plan.window - plan.anchor + 1)
 
 
@@ -254,39 +255,52 @@ MESSAGE = "uid long, shard long, blob binary"
 NAMES = ("uid", "shard", "blob")
 
 
-def _send_hashes(batches: Iterator[pa.RecordBatch], plan: Plan, shards: int) -> Iterator[pa.RecordBatch]:
+def spread(spark: SparkSession, n: int) -> list[int]:
+    """n labels that Spark's hash partitioning deals to n different partitions, in their order: a shard is then a task."""
+    found, upto = {}, 8 * n
+    while len(found) < n:
+        upto *= 2
+        rows = spark.range(upto).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
+        found = {r["p"]: r["id"] for r in rows}
+    return [found[p] for p in range(n)]
+
+
+def _send_hashes(batches: Iterator[pa.RecordBatch], plan: Plan, labels: list[int]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for uid, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             ids, _, texts = unpack(blob.as_py())
             block = plan.read(ids, texts)
-            key = np.unique(_short(block.hashes[_anchors(block, plan)]))
-            if rows := [(uid, s, _squeeze(_planes(key[at], 6))) for s, at in _by_shard(key, shards)]:
+            key, often = np.unique(_short(block.hashes[_anchors(block, plan)]), return_counts=True)
+            if rows := [(uid, labels[s], _squeeze(_planes(key[at], 6), often[at].astype(np.uint32))) for s, at in _by_shard(key, len(labels))]:
                 yield _batch(rows, NAMES)
 
 
 def _answer_hashes(table: pa.Table, hot: int) -> pa.Table:
     uid, shard = table.column("uid").to_pylist(), table.column("shard").to_pylist()
-    keys = [_unplanes(_open(x.as_py(), np.uint8)[0], 6) for x in table.column("blob")]
-    known, count = np.unique(np.concatenate(keys), return_counts=True)
-    flag = np.where(count >= hot, 2, np.where(count > 1, 1, 0)).astype(np.uint8)
+    got = [_open(x.as_py(), np.uint8, np.uint32) for x in table.column("blob")]
+    keys = [_unplanes(g[0], 6) for g in got]
+    known, at, blocks = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    often = np.bincount(at, np.concatenate([g[1] for g in got]), len(known))
+    flag = np.where(often >= hot, 2, np.where(blocks > 1, 1, 0)).astype(np.uint8)
     rows = [(u, s, _squeeze(flag[np.searchsorted(known, k)])) for u, s, k in zip(uid, shard, keys, strict=True)]
     return pa.Table.from_batches([_batch(rows, NAMES)])
 
 
-def _flags(table: pa.Table) -> dict[int, np.ndarray]:
-    return {s: _open(x.as_py(), np.uint8)[0] for s, x, k in zip(table.column("shard").to_pylist(), table.column("blob"), table.column("kind").to_pylist(), strict=True) if k == 0}
+def _flags(table: pa.Table, labels: list[int]) -> dict[int, np.ndarray]:
+    number = {label: s for s, label in enumerate(labels)}
+    return {number[s]: _open(x.as_py(), np.uint8)[0] for s, x, k in zip(table.column("shard").to_pylist(), table.column("blob"), table.column("kind").to_pylist(), strict=True) if k == 0}
 
 
-def _send_contexts(blocks: pa.Table, said: pa.Table, plan: Plan, shards: int) -> pa.Table:
+def _send_contexts(blocks: pa.Table, said: pa.Table, plan: Plan, labels: list[int]) -> pa.Table:
     rows = []
     for uid, blob in zip(blocks.column("uid").to_pylist(), blocks.column("blob"), strict=True):
         ids, _, texts = unpack(blob.as_py())
         block = plan.read(ids, texts)
-        e = _entries(block, plan, _flags(said), shards)
+        e = _entries(block, plan, _flags(said, labels), len(labels))
         size, data = (e.to - e.at).astype(np.int32), block.data
-        for s, at in _by_shard(e.key, shards):
+        for s, at in _by_shard(e.key, len(labels)):
             text = b"".join(data[x:y] for x, y in zip(e.at[at].tolist(), e.to[at].tolist(), strict=True))
-            rows.append((uid, s, _squeeze(_planes(e.key[at], 6), e.least[at], e.left[at].astype(np.uint16), size[at], text)))
+            rows.append((uid, labels[s], _squeeze(_planes(e.key[at], 6), e.least[at], e.left[at].astype(np.uint16), size[at], text)))
     return pa.Table.from_batches([_batch(rows, NAMES)])
 
 
@@ -307,15 +321,15 @@ def _answer_contexts(table: pa.Table, plan: Plan) -> pa.Table:
     return pa.Table.from_batches([_batch(rows, NAMES)])
 
 
-def _apply(blob: bytes, said: pa.Table, plan: Plan, shards: int) -> tuple[np.ndarray, np.ndarray, Block, np.ndarray]:
+def _apply(blob: bytes, said: pa.Table, plan: Plan, labels: list[int]) -> tuple[np.ndarray, np.ndarray, Block, np.ndarray]:
     """ids, null ids, the block and for each of its units whether it goes."""
     ids, null, texts = unpack(blob)
     block = plan.read(ids, texts)
-    e = _entries(block, plan, _flags(said), shards)
+    e = _entries(block, plan, _flags(said, labels), len(labels))
     lo, hi = np.zeros(len(e.key), np.int64), np.zeros(len(e.key), np.int64)
     replies = {s: x for s, x, k in zip(said.column("shard").to_pylist(), said.column("blob"), said.column("kind").to_pylist(), strict=True) if k == 1}
-    for s, at in _by_shard(e.key, shards):
-        lo[at], hi[at] = _open(replies[s].as_py(), np.uint16, np.uint16)
+    for s, at in _by_shard(e.key, len(labels)):
+        lo[at], hi[at] = _open(replies[labels[s]].as_py(), np.uint16, np.uint16)
     a = np.where(e.first, e.lo + lo[e.of], e.lo)  # other documents of the block have a smaller one's context
     b = np.where(e.first, e.lo + hi[e.of], e.hi)
     n = int(block.ends[-1]) if len(block.ends) else 0
@@ -323,21 +337,24 @@ def _apply(blob: bytes, said: pa.Table, plan: Plan, shards: int) -> tuple[np.nda
     return ids, null, block, np.cumsum(cover)[:n] > 0
 
 
-def remove_recurring(docs: DataFrame, plan: Plan, finish: Callable, schema: str, id_col: str, text_col: str, units_per_byte: float, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+def remove_recurring(docs: DataFrame, plan: Plan, finish: Callable, schema: str, id_col: str, text_col: str, units_per_byte: float, hot: int = HOT) -> DataFrame:
     """finish(ids, null ids, block, gone) -> a record batch of schema, over all blocks."""
     spark = docs.sparkSession
     blocks = pack(docs, id_col, text_col)
     total = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
-    tasks = partitions(spark, int(total * units_per_byte * 2 / (plan.window - plan.anchor + 2)), TASK_ANCHORS)
-    shards = tasks * SHARDS_A_TASK
+    shards = partitions(spark, int(total * units_per_byte * 2 / (plan.window - plan.anchor + 2)), SHARD_ANCHORS)
+    labels = spread(spark, shards)
     text = blocks.select("uid", "blob")
-    hashes = text.mapInArrow(lambda it: _send_hashes(it, plan, shards), MESSAGE)
-    flags = settle(hashes.repartition(tasks, "shard").groupBy("shard").applyInArrow(lambda t: _answer_hashes(t, hot_blocks), MESSAGE).withColumn("kind", F.lit(0)))
-    contexts = text.groupBy("uid").cogroup(flags.groupBy("uid")).applyInArrow(lambda b, s: _send_contexts(b, s, plan, shards), MESSAGE)
-    replies = contexts.repartition(tasks, "shard").groupBy("shard").applyInArrow(lambda t: _answer_contexts(t, plan), MESSAGE).withColumn("kind", F.lit(1))
+    hashes = text.mapInArrow(lambda it: _send_hashes(it, plan, labels), MESSAGE)
+    flags = settle(hashes.repartition(shards, "shard").groupBy("shard").applyInArrow(lambda t: _answer_hashes(t, hot), MESSAGE).withColumn("kind", F.lit(0)))
+    del hashes
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark removes the first pass's shuffle files before the second one writes its own
+    contexts = text.groupBy("uid").cogroup(flags.groupBy("uid")).applyInArrow(lambda b, s: _send_contexts(b, s, plan, labels), MESSAGE)
+    replies = contexts.repartition(shards, "shard").groupBy("shard").applyInArrow(lambda t: _answer_contexts(t, plan), MESSAGE).withColumn("kind", F.lit(1))
     said = flags.unionByName(replies)
 
     def apply(b: pa.Table, s: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([finish(*_apply(x.as_py(), s, plan, shards)) for x in b.column("blob")])
+        return pa.Table.from_batches([finish(*_apply(x.as_py(), s, plan, labels)) for x in b.column("blob")])
 
     return text.groupBy("uid").cogroup(said.groupBy("uid")).applyInArrow(apply, schema)

@@ -122,11 +122,11 @@ def collected(df):
     return sorted((tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("hot", [256, 2])
+@pytest.mark.parametrize("hot", [1 << 20, 2])
 def test_substrings(documents, odd, hot):
     for docs in (documents.repartition(4), odd):
-        assert collected(substring_dedup.substring_dedup(docs, hot_blocks=hot)) == brute_bytes(rows_of(docs))
-        assert collected(phrase_dedup.phrase_dedup(docs, hot_blocks=hot)) == brute_words(rows_of(docs))
+        assert collected(substring_dedup.substring_dedup(docs, hot=hot)) == brute_bytes(rows_of(docs))
+        assert collected(phrase_dedup.phrase_dedup(docs, hot=hot)) == brute_words(rows_of(docs))
 
 
 def test_substrings_of_mutated_copies(spark):

@@ -10,12 +10,13 @@ from quire.llm.common import settle
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = settle(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))  # see _small_star
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    # stored first: then both sides of the join are shuffled for it alone, and Spark may split a hot node
+    least = settle(edges.groupBy("a").agg(F.min("b").alias("m")))
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -28,7 +29,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     now = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
-        now = settle(_small_star(_large_star(now)))
+        now = settle(_small_star(settle(_large_star(now))))
         # a forest of stars: every node has one parent, and no parent has one
         parents = now.groupBy("a").count().where("count > 1").select("a").union(now.select("a").join(now.select(F.col("b").alias("a")), "a", "left_semi"))
         if parents.isEmpty():

@@ -101,7 +101,7 @@ class Plan:
 def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
     parts = [a if isinstance(a, bytes) else a.tobytes() for a in arrays]
     head = np.array([len(p) for p in parts], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *parts]))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *parts]))
 
 
 def _open(blob: bytes, *kinds: type) -> list:

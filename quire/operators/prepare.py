@@ -17,8 +17,9 @@ from quire.sources.lines import exists
 from quire.sources.shards import list_shards, parse_shard, probe_image, read_shards, shard_aug, shard_group
 
 PROMPT = "<image>Transcribe this page."
-# Kinds of unreadable page, and the quantiles of the report.
+# Kinds of unreadable page, the source of pages whose annotation names no template, and the report's quantiles.
 UNREADABLE = ("blank", "noise", "obliterated")
+NO_TEMPLATE = "ocr_data"
 QUANTILES = (("p50", 0.5), ("p90", 0.9), ("p99", 0.99))
 
 
@@ -110,7 +111,7 @@ def manifest_rows(rows: DataFrame) -> DataFrame:
     one = lambda c: F.when(F.coalesce(c, F.lit("")) != "", F.array(c)).otherwise(F.array().cast("array<string>"))
     return rows.select(
         "page_id", F.lit("synthetic_heldout").alias("split"), F.lit("synthetic").alias("kind"), F.col("target").alias("reference_text"), "image_path",
-        one(F.col("font")).alias("fonts"), one(F.col("augmentation")).alias("distortions"), F.coalesce(F.nullif("template", F.lit("")), F.lit("ocr_data")).alias("source"), (F.col("aug") > 0).alias("is_augmented"),
+        one(F.col("font")).alias("fonts"), one(F.col("augmentation")).alias("distortions"), F.coalesce(F.nullif("template", F.lit("")), F.lit(NO_TEMPLATE)).alias("source"), (F.col("aug") > 0).alias("is_augmented"),
     )
 
 

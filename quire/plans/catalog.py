@@ -3,32 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import contrast, order, predicate, prepare, rollups, scoring, validation
-from quire.plans.corpus import SQL, corpus, scored_sql, table
+from quire.plans.corpus import SQL, corpus, scored_sql, table, whole_corpus
 from quire.schema import FLAGS, PROBE_OUTCOMES
 from quire.sources.shards import shard_aug, shard_group
 
 Query = Callable[[SparkSession, str], DataFrame]
+Corpus = Callable[..., DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query. Where its SQL reads pages cut short, NAME_whole is the same query over whole texts."""
+
     def register(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql:
             ORACLE_SQL[f.__name__] = sql
+            if "corpus" in signature(f).parameters:
+                QUERIES[f"{f.__name__}_whole"] = partial(f, corpus=whole_corpus)
         return f
 
     return register
 
 
-def _scores(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> DataFrame:
+def _scores(spark: SparkSession, sf_dir: str, prediction: str = "baseline", corpus: Corpus = corpus) -> DataFrame:
     return scoring.score(corpus(spark, sf_dir, prediction))
 
 
@@ -58,7 +65,7 @@ _CONTRACT = """
 
 
 @query(f"{BASE} SELECT split, count(*) AS pages, count(*) FILTER (has_metrics) AS scored_pages, {_CONTRACT}, {_RATES} FROM s_baseline GROUP BY split")
-def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_summary(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     """Pages, contract and strict error rates of each split."""
     pages = corpus(spark, sf_dir).repartition("page_id")
     edits = X.char_edits("reference", "prediction")
@@ -75,45 +82,45 @@ def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query()
-def split_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_levels(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
     """Everything a split's summary has, at all levels (word distances and order have no SQL form)."""
-    return rollups.split_totals(_scores(spark, sf_dir))
+    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus))
 
 
 @query()
-def page_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_results(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
     """Every page as a run directory holds it."""
-    return _scores(spark, sf_dir).drop("order_counts", "doc_id")
+    return _scores(spark, sf_dir, corpus=corpus).drop("order_counts", "doc_id")
 
 
 @query(f"""{BASE} SELECT split, CAST(sum(char_edits) AS BIGINT) AS char_edits, CAST(sum(ref_chars) AS BIGINT) AS ref_chars, CAST(sum(char_edits) AS DOUBLE) / CAST(sum(ref_chars) AS BIGINT) AS micro,
   round(avg(CAST(char_edits AS DOUBLE) / ref_chars), 9) AS macro FROM s_baseline WHERE has_metrics GROUP BY split""")
-def split_micro_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_micro_macro(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     m = F.col("metrics.strict")
     e, n = m["char_edits"], m["ref_chars"]
-    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
+    return _scores(spark, sf_dir, corpus=corpus).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
 
 
 @query(f"{BASE} SELECT split, count(*) FILTER (has_metrics) AS scored_pages, CAST(sum(char_edits) FILTER (has_metrics) AS DOUBLE) / CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) AS cer FROM s_baseline GROUP BY split")
-def split_headline_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
+def split_headline_null(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus)).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
 
 
 @query(f"{BASE} SELECT split, outcome, count(*) AS pages FROM s_baseline GROUP BY ALL")
-def contract_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contract_matrix(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     return corpus(spark, sf_dir).select("split", X.outcome(F.col("reference"), F.col("prediction")).alias("outcome")).groupBy("split", "outcome").agg(F.count("*").alias("pages"))
 
 
 @query(f"{BASE} SELECT split, {_CONTRACT} FROM s_baseline GROUP BY split")
-def contract_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
+def contract_rates(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus)).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
 
 
 # ---- distances and normalisation
 
 
 @query(f"{BASE} SELECT page_id, char_edits, ref_chars FROM s_baseline")
-def page_char_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_char_edits(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     return corpus(spark, sf_dir).repartition("page_id").select("page_id", X.char_edits("reference", "prediction").cast("long").alias("char_edits"), F.length("reference").cast("long").alias("ref_chars"))
 
 
@@ -143,13 +150,13 @@ _MARKED = (".,?", "ًِٰ")
 
 @query(f"""WITH {SQL}, m AS (SELECT page_id, translate(translate(lower(reference), '{_ARABIC[0]}', '{_ARABIC[1]}'), '{_MARKED[0]}', '{_MARKED[1]}') AS t FROM page)
   SELECT page_id, CAST(length(t) AS BIGINT) AS strict_chars, regexp_replace(t, '[ً-ٰٟ]', '', 'g') AS bare FROM m""")
-def level_diacritics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def level_diacritics(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     t = F.translate(F.translate(F.lower("reference"), *_ARABIC), *_MARKED)
     return corpus(spark, sf_dir).select("page_id", F.length(t).cast("long").alias("strict_chars"), X.diacritic_insensitive(t).alias("bare"))
 
 
 @query(f"WITH {SQL} SELECT page_id, {_skel('reference')} AS skeleton FROM page")
-def level_skeleton_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
+def level_skeleton_ascii(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     return corpus(spark, sf_dir).select("page_id", X.skeleton("reference").alias("skeleton"))
 
 
@@ -160,13 +167,13 @@ def level_skeleton_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"{BASE} SELECT split, count(*) FILTER (reference = prediction) AS exact, count(*) AS pages FROM s_baseline WHERE has_metrics GROUP BY split")
-def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
+def exact_match(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _scores(spark, sf_dir, corpus=corpus).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
 
 
 @query(rf"""WITH {SQL} SELECT page_id, CAST(len(list_filter(regexp_split_to_array(reference, '\s+'), lambda x: x <> '')) AS BIGINT) AS words,
   CAST(len(list_filter(string_split(reference, chr(10)), lambda x: trim(x, E' \t\r') <> '')) AS BIGINT) AS lines FROM page""")
-def tokens_and_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokens_and_lines(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     return corpus(spark, sf_dir).select("page_id", F.size(X.words(F.col("reference"))).cast("long").alias("words"), F.size(X.lines(F.col("reference"))).cast("long").alias("lines"))
 
 
@@ -174,7 +181,7 @@ def tokens_and_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"{BASE} SELECT page_id, length_ratio, runaway_length FROM s_baseline")
-def flags_runaway(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flags_runaway(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     r, p = F.col("reference"), F.col("prediction")
     return corpus(spark, sf_dir).select("page_id", X.length_ratio(r, p).alias("length_ratio"), X.is_runaway(r, p, 2.0, 100).alias("runaway_length"))
 
@@ -185,14 +192,14 @@ _REPETITION = f"""l AS (SELECT page_id, length(baseline) AS n, unnest(string_spl
 
 
 @query(f"WITH {SQL}, {_REPETITION} SELECT page_id, repetition FROM f")
-def flags_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
+def flags_repetition(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _scores(spark, sf_dir, corpus=corpus).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
 
 
 @query(f"""{BASE}, {_REPETITION} SELECT split, count(*) FILTER (empty_prediction) AS empty_prediction, count(*) FILTER (repetition) AS repetition, count(*) FILTER (runaway_length) AS runaway_length
   FROM s_baseline JOIN f USING (page_id) GROUP BY split""")
-def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir)).select("split", *FLAGS)
+def flag_counts(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus)).select("split", *FLAGS)
 
 
 # ---- breakdowns and rankings
@@ -207,41 +214,41 @@ def _breakdown_sql(values: str) -> str:
   SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY cer_micro DESC, key) AS INTEGER) AS rank FROM q"""
 
 
-def _breakdown(spark: SparkSession, sf_dir: str, dimension: str) -> DataFrame:
-    rows = rollups.breakdowns(_scores(spark, sf_dir), 5).where(F.col("dimension") == dimension)
+def _breakdown(spark: SparkSession, sf_dir: str, dimension: str, corpus: Corpus = corpus) -> DataFrame:
+    rows = rollups.breakdowns(_scores(spark, sf_dir, corpus=corpus), 5).where(F.col("dimension") == dimension)
     return rows.select("split", "key", "pages", "cer_micro", F.round("cer_macro", 9).alias("cer_macro"), "exact_match_rate", "rank")
 
 
 @query(_breakdown_sql("fonts"))
-def breakdown_font(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _breakdown(spark, sf_dir, "font")
+def breakdown_font(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _breakdown(spark, sf_dir, "font", corpus=corpus)
 
 
 @query(_breakdown_sql("distortions"))
-def breakdown_distortion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _breakdown(spark, sf_dir, "distortion")
+def breakdown_distortion(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _breakdown(spark, sf_dir, "distortion", corpus=corpus)
 
 
 @query(_breakdown_sql("[source]"))
-def breakdown_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _breakdown(spark, sf_dir, "source")
+def breakdown_source(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _breakdown(spark, sf_dir, "source", corpus=corpus)
 
 
 @query(f"""{BASE}, v AS (SELECT split, 'font' AS dimension, len(fonts) AS k FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'distortion', len(distortions) FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'source', CASE WHEN source IS NULL THEN 0 ELSE 1 END FROM s_baseline WHERE has_metrics)
   SELECT split, dimension, sum(k) = count(*) AND count(*) FILTER (k > 0) = count(*) AS is_partition FROM v GROUP BY ALL""")
-def is_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.partitions(_scores(spark, sf_dir))
+def is_partition(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return rollups.partitions(_scores(spark, sf_dir, corpus=corpus))
 
 
 @query(f"{BASE} SELECT page_id, split, char_edits, ref_chars, CAST(char_edits AS DOUBLE) / ref_chars AS cer FROM s_baseline WHERE has_metrics ORDER BY cer DESC, page_id LIMIT 25")
-def worst_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def worst_pages(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     m = F.col("metrics.strict")
-    return rollups.worst_pages(_scores(spark, sf_dir), 25).select("page_id", "split", m["char_edits"].cast("long").alias("char_edits"), m["ref_chars"].cast("long").alias("ref_chars"), m["cer"].alias("cer"))
+    return rollups.worst_pages(_scores(spark, sf_dir, corpus=corpus), 25).select("page_id", "split", m["char_edits"].cast("long").alias("char_edits"), m["ref_chars"].cast("long").alias("ref_chars"), m["cer"].alias("cer"))
 
 
 @query(f"{BASE} SELECT page_id, round(CAST(char_edits AS DOUBLE) / ref_chars, 6) AS cer FROM s_baseline WHERE has_metrics AND split = 'gold_scans' ORDER BY cer DESC, page_id LIMIT 10")
-def worst_pages_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scores(spark, sf_dir)
+def worst_pages_rounded(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    rows = _scores(spark, sf_dir, corpus=corpus)
     cer = F.round("metrics.strict.cer", 6)
     return rollups.worst_pages(rows, 10, "gold_scans", cer).select("page_id", cer.alias("cer"))
 
@@ -254,7 +261,7 @@ _LINES = rf"""x AS (SELECT page_id, list_filter(string_split(reference, chr(10))
   c AS (SELECT page_id, i, j, CASE WHEN greatest(length(ka.k), length(kb.k)) = 0 THEN 1.0 ELSE 1.0 - CAST(levenshtein(ka.k, kb.k) AS DOUBLE) / greatest(length(ka.k), length(kb.k)) END AS similarity FROM ka JOIN kb USING (page_id))"""
 
 
-def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _candidates(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     """page_id, i, j, similarity of lines that may be partners; Spark's bounded levenshtein leaves the rest early."""
     pages = corpus(spark, sf_dir).where("kind <> 'probe'")
     a = pages.select("page_id", F.posexplode(X.lines(F.col("reference"))).alias("i", "line")).withColumn("a", X.skeleton("line")).drop("line")
@@ -265,16 +272,16 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {SQL}, {_LINES} SELECT page_id, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, similarity FROM c WHERE similarity >= 0.5")
-def line_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _candidates(spark, sf_dir)
+def line_candidates(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _candidates(spark, sf_dir, corpus=corpus)
 
 
 @query(f"""WITH {SQL}, {_LINES}, s AS (SELECT page_id, list({{'i': i, 'j': j}} ORDER BY similarity DESC, i, j) AS cands FROM c WHERE similarity >= 0.5 GROUP BY page_id),
   m AS (SELECT page_id, list_reduce(cands, lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: y.i = x[1].i OR y.j = x[1].j)) > 0 THEN acc ELSE list_concat(acc, x) END, []) AS pairs FROM (SELECT page_id, list_transform(cands, lambda z: [z]) AS cands FROM s))
   SELECT page_id, CAST(len(pairs) AS BIGINT) AS matched, array_to_string(list_sort(list_transform(pairs, lambda y: lpad(CAST(y.i AS VARCHAR), 4, '0') || ':' || CAST(y.j AS VARCHAR))), ',') AS pairs FROM m""")
-def line_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_match(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     """Greedy partners, best first, inside the row: each page's candidates are one ordered array."""
-    best = _candidates(spark, sf_dir).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), "i", "j"))).alias("c"))
+    best = _candidates(spark, sf_dir, corpus=corpus).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), "i", "j"))).alias("c"))
     empty = F.array().cast("array<struct<s:double,i:int,j:int>>")
     taken = F.aggregate("c", empty, lambda acc, x: F.when(F.exists(acc, lambda y: (y["i"] == x["i"]) | (y["j"] == x["j"])), acc).otherwise(F.array_append(acc, x)))
     rows = best.select("page_id", taken.alias("p"))
@@ -283,14 +290,14 @@ def line_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query()
-def order_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_corrected(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
     """Order metrics of each page (rebuilding the text by its partners has no SQL form)."""
-    return _scores(spark, sf_dir).where("metrics IS NOT NULL").select("page_id", "order.*", F.col("order_counts.concordant").alias("concordant"), F.col("order_counts.pairs").alias("pairs"))
+    return _scores(spark, sf_dir, corpus=corpus).where("metrics IS NOT NULL").select("page_id", "order.*", F.col("order_counts.concordant").alias("concordant"), F.col("order_counts.pairs").alias("pairs"))
 
 
 @query(f"""WITH {SQL}, p AS (SELECT doc_id, (doc_id * 7919 + s * s * 31) % 97 AS v, s FROM page CROSS JOIN range(6) t(s))
   SELECT a.doc_id, count(*) FILTER (a.v < b.v) AS concordant, count(*) AS pairs FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.s < b.s GROUP BY 1""")
-def concordance(spark: SparkSession, sf_dir: str) -> DataFrame:
+def concordance(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     """Concordant pairs of a sequence, as array functions."""
     k = F.col("doc_id")
     rows = corpus(spark, sf_dir).select("doc_id", F.array(*((k * 7919 + s * s * 31) % 97 for s in range(6))).alias("v"))
@@ -302,7 +309,7 @@ def concordance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _filtered(sql: str, expression: str, name: str) -> None:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
         return predicate.select(corpus(spark, sf_dir), predicate.parse(expression)).select("page_id", "split", "source")
 
     run.__name__ = name
@@ -316,19 +323,19 @@ _filtered("contains(source, 'c1') AND len(list_filter(distortions, lambda x: con
 
 
 @query(f"WITH {SQL} SELECT page_id, split FROM page WHERE doc_id IN (SELECT DISTINCT user_id FROM events) AND kind <> 'probe'")
-def pages_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages_subset(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     ids = table(spark, sf_dir, "events").select(F.concat(F.lit("doc_"), F.lpad(F.col("user_id").cast("string"), 12, "0")).alias("page_id"))
     return predicate.select(corpus(spark, sf_dir), predicate.parse("kind!=probe"), ids).select("page_id", "split")
 
 
 @query(f"WITH {SQL} SELECT page_id FROM page WHERE doc_id % 17 = 0")
-def missing_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def missing_predictions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     pages = corpus(spark, sf_dir)
     return validation.missing_predictions(pages, pages.where("doc_id % 17 <> 0").select("page_id", "prediction")).select("page_id")
 
 
 @query(f"WITH {SQL} SELECT page_id FROM page WHERE doc_id % 19 = 3")
-def orphan_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orphan_predictions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     pages = corpus(spark, sf_dir)
     return validation.orphan_predictions(pages.select("page_id"), pages.where("doc_id % 19 <> 3")).select("page_id")
 
@@ -341,7 +348,7 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {SQL}, t AS (SELECT page_id, CASE WHEN doc_id % 23 = 0 THEN '!?. ' ELSE reference END AS r FROM page WHERE kind <> 'probe')
   SELECT page_id, 'skeleton' AS level FROM t WHERE {_skel('r')} = ''""")
-def empties_at_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+def empties_at_level(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     pages = corpus(spark, sf_dir).where("kind <> 'probe'").withColumn("reference", F.when(F.col("doc_id") % 23 == 0, "!?. ").otherwise(F.col("reference")))
     return validation.content_problems(pages).select("page_id", F.regexp_extract("message", r"level (\w+)$", 1).alias("level"))
 
@@ -354,13 +361,13 @@ def content_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SQL}, v AS (SELECT page_id, list_sort(list_concat(distortions, fonts)) AS a FROM page) SELECT page_id, array_to_string(a, ',') AS sorted FROM v""")
-def sorted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sorted_values(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     """Arrays as a manifest keeps them: sorted, repeated values stay."""
     return corpus(spark, sf_dir).select("page_id", F.array_join(F.array_sort(F.concat("distortions", "fonts")), ",").alias("sorted"))
 
 
 @query(f"WITH {SQL} SELECT split, count(*) AS pages, count(*) FILTER (quality = 0) AS low_quality, count(*) FILTER (toxic = 1) AS toxic FROM page JOIN labels USING (doc_id) GROUP BY split")
-def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_pages(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     rows = corpus(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
     return rows.groupBy("split").agg(F.count("*").alias("pages"), F.count_if(F.col("quality") == 0).alias("low_quality"), F.count_if(F.col("toxic") == 1).alias("toxic"))
 
@@ -368,9 +375,9 @@ def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- comparison
 
 
-def _two(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _two(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> tuple[DataFrame, DataFrame]:
     rounded = lambda df: df.withColumn("metrics", F.when(F.col("metrics").isNotNull(), F.struct(F.struct(F.round("metrics.strict.cer", 6).alias("cer")).alias("strict"))))
-    return rounded(_scores(spark, sf_dir, "baseline")), rounded(_scores(spark, sf_dir, "candidate"))
+    return rounded(_scores(spark, sf_dir, "baseline", corpus=corpus)), rounded(_scores(spark, sf_dir, "candidate", corpus=corpus))
 
 
 _DELTAS = f"""{BOTH}, j AS (SELECT b.page_id, b.split, b.outcome AS ob, c.outcome AS oc, b.has_metrics AS rated, round(CAST(b.char_edits AS DOUBLE) / b.ref_chars, 6) AS cb, round(CAST(c.char_edits AS DOUBLE) / c.ref_chars, 6) AS cc FROM s_baseline b JOIN s_candidate c USING (page_id)),
@@ -379,22 +386,22 @@ _DELTAS = f"""{BOTH}, j AS (SELECT b.page_id, b.split, b.outcome AS ob, c.outcom
 
 
 @query(f"{_DELTAS} SELECT * FROM deltas")
-def page_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contrast.page_deltas(*_two(spark, sf_dir))
+def page_deltas(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus))
 
 
 @query(f"{_DELTAS} SELECT page_id, delta_cer FROM deltas WHERE delta_cer > 0")
-def regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contrast.regressions(contrast.page_deltas(*_two(spark, sf_dir))).select("page_id", "delta_cer")
+def regressions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return contrast.regressions(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus))).select("page_id", "delta_cer")
 
 
 @query(f"{_DELTAS} SELECT page_id, delta_cer FROM deltas WHERE delta_cer < 0")
-def improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contrast.improvements(contrast.page_deltas(*_two(spark, sf_dir))).select("page_id", "delta_cer")
+def improvements(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return contrast.improvements(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus))).select("page_id", "delta_cer")
 
 
 @query(f"WITH {SQL}, b AS (SELECT page_id FROM page WHERE doc_id % 11 <> 0), c AS (SELECT page_id FROM page WHERE doc_id % 12 <> 0) SELECT page_id, 'baseline' AS side FROM b WHERE page_id NOT IN (FROM c) UNION ALL SELECT page_id, 'candidate' FROM c WHERE page_id NOT IN (FROM b)")
-def page_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_set_diff(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     pages = corpus(spark, sf_dir)
     return contrast.page_set_difference(pages.where("doc_id % 11 <> 0"), pages.where("doc_id % 12 <> 0"))
 
@@ -409,39 +416,39 @@ _CHANGES = f"""{BOTH}, {_totals_sql('baseline')}, {_totals_sql('candidate')},
   changes AS (SELECT split, metric, baseline, candidate, candidate - baseline AS delta FROM u_b JOIN u_c USING (split, metric))"""
 
 
-def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contrast.metric_changes(rollups.split_totals(_scores(spark, sf_dir, "baseline")), rollups.split_totals(_scores(spark, sf_dir, "candidate")))
+def _changes(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return contrast.metric_changes(rollups.split_totals(_scores(spark, sf_dir, "baseline", corpus=corpus)), rollups.split_totals(_scores(spark, sf_dir, "candidate", corpus=corpus)))
 
 
 @query(f"{_CHANGES} SELECT *, CASE WHEN delta = 0 THEN 'unchanged' WHEN (metric = 'exact_match_rate') = (delta > 0) THEN 'better' ELSE 'worse' END AS direction FROM changes")
-def metric_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _changes(spark, sf_dir).where("metric <> 'wer'")
+def metric_directions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _changes(spark, sf_dir, corpus=corpus).where("metric <> 'wer'")
 
 
 @query(f"{_CHANGES} SELECT metric, max(delta) AS worst FROM changes WHERE metric LIKE '%l%rate' AND metric <> 'exact_match_rate' GROUP BY metric")
-def worst_rate_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _changes(spark, sf_dir).where(F.col("metric").isin("hallucination_rate", "false_refusal_rate")).groupBy("metric").agg(F.max("delta").alias("worst"))
+def worst_rate_change(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    return _changes(spark, sf_dir, corpus=corpus).where(F.col("metric").isin("hallucination_rate", "false_refusal_rate")).groupBy("metric").agg(F.max("delta").alias("worst"))
 
 
 @query()
-def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bootstrap_ci(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
     """Exact resampling needs Python's own generator; fewer resamples than a real comparison's 10,000."""
-    return contrast.bootstrap(contrast.page_deltas(*_two(spark, sf_dir)), resamples=500)
+    return contrast.bootstrap(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus)), resamples=500)
 
 
 @query()
-def bootstrap_poisson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contrast.bootstrap_scalable(contrast.page_deltas(*_two(spark, sf_dir)), resamples=100)
+def bootstrap_poisson(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
+    return contrast.bootstrap_scalable(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus)), resamples=100)
 
 
 @query(f"""{_CHANGES}, f AS (SELECT max(delta) FILTER (metric = 'cer' AND split = 'gold_scans') > 0 AS gold, max(delta) FILTER (metric = 'hallucination_rate') * 100 > 1.0 AS hallucination, max(delta) FILTER (metric = 'false_refusal_rate') * 100 > 1.0 AS refusal,
   (max(baseline) FILTER (metric = 'cer' AND split = 'synthetic_heldout') - max(candidate) FILTER (metric = 'cer' AND split = 'synthetic_heldout')) * 100 AS gain FROM changes)
   SELECT CASE WHEN gold OR hallucination OR refusal THEN 'REJECT' WHEN gain >= 0.5 THEN 'PROMOTE' ELSE 'INCONCLUSIVE' END AS verdict FROM f""")
-def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+def verdict(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     keys = ("strict_cer_micro", "hallucination_rate", "false_refusal_rate")
     sides = []
     for p in ("baseline", "candidate"):  # a row a split
-        rows = rollups.split_totals(_scores(spark, sf_dir, p)).select("split", *keys).collect()
+        rows = rollups.split_totals(_scores(spark, sf_dir, p, corpus=corpus)).select("split", *keys).collect()
         sides.append({r["split"]: {"cer": r[keys[0]], keys[1]: r[keys[1]], keys[2]: r[keys[2]]} for r in rows})
     return spark.createDataFrame([(contrast.decide(*sides).verdict,)], "verdict string")
 
@@ -503,7 +510,7 @@ def image_token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {SQL}, o AS (SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS place FROM page) SELECT page_id, CAST(place % 4 AS INTEGER) AS shard FROM o")
-def stride_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stride_shards(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     """Every fourth page in the order of ids."""
     return order.stride(corpus(spark, sf_dir).select("page_id"), 4)
 
@@ -532,24 +539,24 @@ def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {SQL} SELECT split, sha256(string_agg(page_id || chr(0) || baseline || chr(0), '' ORDER BY page_id)) AS digest, count(*) AS pages FROM page GROUP BY split")
-def predictions_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions_digest(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
     one = F.concat("page_id", F.lit("\0"), "prediction", F.lit("\0"))
     rows = corpus(spark, sf_dir).groupBy("split").agg(F.array_sort(F.collect_list(F.struct("page_id", one.alias("x")))).alias("a"))
     return rows.select("split", F.sha2(F.array_join(F.col("a.x"), ""), 256).alias("digest"), F.size("a").cast("long").alias("pages"))
 
 
 @query()
-def negatives_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+def negatives_sample(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
     """Sampling with replacement by a hash of seed and name."""
     rows = corpus(spark, sf_dir).select("page_id", F.concat(F.lit("images/"), "page_id").alias("image_path"))
     return prepare.negatives(spark, "unreadable_train", 100, rows, 42).drop("i")
 
 
 @query()
-def codepoint_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+def codepoint_diff(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
     """Code points in which the worst pages differ from their references."""
     from quire.reports import codepoint_differences
 
-    worst = rollups.worst_pages(_scores(spark, sf_dir), 10).select("page_id")
+    worst = rollups.worst_pages(_scores(spark, sf_dir, corpus=corpus), 10).select("page_id")
     rows = corpus(spark, sf_dir).join(F.broadcast(worst), "page_id").select("page_id", "reference", "prediction").orderBy("page_id").collect()
     return spark.createDataFrame([(r["page_id"], "\n".join(codepoint_differences(r["reference"], r["prediction"]))) for r in rows], "page_id string, differences string")

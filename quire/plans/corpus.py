@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quire.schema import MARKER
 
-#: Characters of a document that make a page. Non-ASCII ones become ?, since DuckDB's levenshtein counts bytes.
+#: Characters of a document that make a page of those queries that SQL checks (its levenshtein is quadratic). Non-ASCII ones
+#: become ?, since DuckDB's levenshtein counts bytes. whole_corpus has neither limit.
 PAGE_CHARS = 300
 
 
@@ -28,10 +29,19 @@ def _prediction(kind: str) -> Column:
 
 
 def corpus(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> DataFrame:
-    """page_id, split, kind, fonts, distortions, source, is_augmented, reference, prediction (and doc_id)."""
+    """page_id, split, kind, fonts, distortions, source, is_augmented, reference, prediction (and doc_id) of texts cut to PAGE_CHARS."""
+    k = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").withColumn("t", F.substring(F.regexp_replace("text", r"[^\x00-\x7F]", "?"), 1, PAGE_CHARS))
+    return _pages(docs.where((k % 10 == 0) | F.col("t").rlike("[A-Za-z]")), prediction)
+
+
+def whole_corpus(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> DataFrame:
+    """The same columns over the whole text of every document, in its own characters."""
+    return _pages(table(spark, sf_dir, "documents").withColumn("t", F.col("text")), prediction)
+
+
+def _pages(docs: DataFrame, prediction: str) -> DataFrame:
     k = F.col("doc_id")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.substring(F.regexp_replace("text", r"[^\x00-\x7F]", "?"), 1, PAGE_CHARS).alias("t"))
-    docs = docs.where((k % 10 == 0) | F.col("t").rlike("[A-Za-z]"))
     split = F.when(k % 10 == 0, "probe").when(k % 10 == 1, "gold_scans").otherwise("synthetic_heldout")
     kind = F.when(k % 10 == 0, "probe").when(k % 10 == 1, "scan").otherwise("synthetic")
     none = F.array().cast("array<string>")

@@ -168,7 +168,129 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return marked.join(labels, ["fp", "sketch"]).select("id", "fp", "component")
 
 
+#: Bands of ROWS minima each: a pair of Jaccard similarity 0.8 agrees in no band with a chance of (1 - 0.8^4)^20, 3 in 100,000.
+BANDS, ROWS = 20, 4
+_MINIMA = np.random.default_rng(SEED).integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64, endpoint=False) | np.uint64(1)
+
+
+def minima(h: np.ndarray) -> np.ndarray:
+    """The least of a set of hashes under each of BANDS * ROWS multiplications."""
+    parts = [(_MINIMA * h[i : i + (1 << 13)]).min(1) for i in range(0, len(h), 1 << 13)]
+    return np.minimum.reduce(parts)
+
+
+def _set_of(text: str | None) -> tuple[np.ndarray, bytes]:
+    """A text's different five-word shingles, and a digest that names the set."""
+    h = np.unique(_shingles(text, SKETCH_SHINGLE))
+    return h, xxhash.xxh3_128_digest(h.tobytes())
+
+
+def _tree(marks: np.ndarray, least: int, sure: int) -> tuple[list[int], list[int]]:
+    """Links (others, reached from) of one bucket: a spanning forest by most agreeing minima, none with fewer than `least`.
+
+    Any set of texts that links of some similarity connect is connected in it by links no weaker, and a bucket gives fewer
+    links than it has texts. Those with `sure` agreeing minima are taken at once.
+    """
+    left, best, by, heads, tails, todo = np.arange(len(marks)), np.full(len(marks), -1), np.zeros(len(marks), np.int64), [], [], []
+    while len(left):
+        if not todo:
+            k = int(left[best[left].argmax()])
+            if best[k] >= least:
+                heads.append(k)
+                tails.append(int(by[k]))
+            todo, left = [k], left[left != k]
+        p = todo.pop()
+        same = (marks[left] == marks[p]).sum(1)
+        hit = same >= sure
+        heads += left[hit].tolist()
+        tails += [p] * int(hit.sum())
+        todo += left[hit].tolist()
+        more = left[same > best[left]]
+        best[more], by[more] = same[same > best[left]], p
+        left = left[~hit]
+    return heads, tails
+
+
+def _similar_in_buckets(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node, marks) of whole buckets to links (a, b) between nodes that may be so similar."""
+    got = [(b.column(0).to_numpy(zero_copy_only=False), np.array(b.column(1).to_pylist(), "V16"), np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)) for b in batches if b.num_rows]
+    if not got:
+        return
+    key, node, marks = (np.concatenate([g[i] for g in got]) for i in range(3))
+    order = np.lexsort((key ^ node.view(np.int64).reshape(-1, 2)[:, 0], key))  # another member comes first in each band
+    key, node, marks = key[order], node[order], marks[order]
+    cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+    n, apart = BANDS * ROWS, math.sqrt(similarity * (1 - similarity) / (BANDS * ROWS))
+    least, sure = math.floor(n * (similarity - 4 * apart)), math.ceil(n * (similarity + 2 * apart))
+    size, heads, tails = np.diff(cut), [], []
+    for m in np.unique(size[(size > 1) & (size <= 8)]):  # small buckets of one size at once: every pair
+        block = cut[:-1][size == m][:, None] + np.arange(m)
+        for i in range(m):
+            for j in range(i + 1, m):
+                hit = (marks[block[:, i]] == marks[block[:, j]]).sum(1) >= least
+                heads.append(block[hit, j])
+                tails.append(block[hit, i])
+    for a, b in zip(cut[:-1][size > 8].tolist(), cut[1:][size > 8].tolist(), strict=True):
+        h, t = _tree(marks[a:b], least, sure)
+        heads.append(a + np.array(h, np.int64))
+        tails.append(a + np.array(t, np.int64))
+    if heads:
+        h, t = np.concatenate(heads), np.concatenate(tails)
+        for i in range(0, len(h), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array([node[k].tobytes() for k in part[i : i + (1 << 16)]], pa.binary()) for part in (h, t)], names=["a", "b"])
+
+
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
+    """id and component (smallest id reachable over links) of every row of docs: texts link if the Jaccard similarity of
+    their sets of five-word shingles is `similarity` or more.
+
+    Bands of minima name candidates; in each bucket a spanning forest by agreeing minima is kept, and of its links those that
+    the sets themselves confirm. No link is made on an estimate; a pair is missed if no band holds it. Texts with the same
+    set are one node; those without words are one, and link to no other. Ids as in near_classes.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    kind = rows.schema[0].dataType.simpleString()
+
+    def marks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            nodes, keys, marks = [], [], []
+            for t in b.column(1).to_pylist():
+                h, node = _set_of(t)
+                low = minima(h) if len(h) else np.zeros(0, np.uint64)
+                nodes.append(node)
+                keys.append([xxhash.xxh64_intdigest(low[i : i + ROWS].tobytes(), i) - (1 << 63) for i in range(0, len(low), ROWS)])
+                marks.append((low >> np.uint64(8)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())], names=["id", "node", "keys", "marks"])
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [_set_of(t) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([n for _, n in got], pa.binary()), pa.array([h.view(np.int64) for h, _ in got], pa.list_(pa.int64()))], names=["node", "held"])
+
+    marked = settle(rows.mapInArrow(marks_of, f"id {kind}, node binary, keys array<long>, marks binary"))
+    known = settle(marked.groupBy("node").agg(F.min("id").alias("least"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
+    tables = known.select(F.explode("keys").alias("key"), "node", "marks")
+    dealt = tables.repartition(partitions(spark, known.count() * BANDS, 1 << 20), "key")
+    maybe = dealt.mapInArrow(lambda it: _similar_in_buckets(it, similarity), "a binary, b binary")
+    maybe = settle(maybe.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    wanted = settle(maybe.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node").select("node", F.col("least").alias("wid")))
+    # ids may repeat with other texts: the sets' own names tell which are meant
+    texts = rows.join(wanted.select("wid").distinct(), F.col("id").eqNullSafe(F.col("wid"))).select("text")
+    sets = settle(texts.mapInArrow(sets_of, "node binary, held array<long>").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("held").alias("held")))
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("held").alias(f"{c}_held"))
+    both = F.size(F.array_intersect("a_held", "b_held"))
+    links = maybe.join(side("a"), "a").join(side("b"), "b").where(both / (F.size("a_held") + F.size("b_held") - both) >= similarity).select("a", "b")
+    roots = settle(connected_components(links))
+    least = known.select("node", "least").join(roots, "node").groupBy("root").agg(F.min("least").alias("component"))
+    linked = roots.join(least, "root").select("node", "component")
+    labels = settle(known.select("node", "least").join(linked, "node", "left").select("node", F.coalesce("component", "least").alias("component")))
+    return marked.select("id", "node").join(labels, "node").select("id", "component")
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 5, similarity: float | None = 0.8) -> DataFrame:
-    """Rows of docs that stay: of each component of near_classes, the rows with its smallest id (all, if the ids are null)."""
-    gone = near_classes(docs, id_col, text_col, shingle, radius, similarity).where("NOT (id <=> component)").select(F.col("id").alias(OWN + "id")).distinct()
+    """Rows of docs that stay: of each component, the rows with its smallest id (all, if the ids are null). Components are those
+    of similar_classes; without a similarity, those of near_classes with `shingle` and `radius`."""
+    classes = near_classes(docs, id_col, text_col, shingle, radius) if similarity is None else similar_classes(docs, id_col, text_col, similarity)
+    gone = classes.where("NOT (id <=> component)").select(F.col("id").alias(OWN + "id")).distinct()
     return docs.join(gone, docs[f"`{id_col}`"] == gone[OWN + "id"], "left_anti")

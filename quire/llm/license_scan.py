@@ -48,11 +48,15 @@ TEMPLATES = (
 # Where one of these stands, a block begins to be looked at.
 KEYWORDS = ("licen", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "cc by", "cc0")
 
-#: Keywords nearer than this are one block, which goes on to the line's end, no farther than MARGIN (code points).
-JOIN, MARGIN = 400, 200
+#: Keywords nearer than this are one block (code points).
+JOIN = 400
+#: A block reaches so far before its first and behind its last keyword, whatever lines end there: half as much again as the longest template.
+MARGIN = max(len(t.text) for t in TEMPLATES) * 3 // 2
 #: Templates whose reduction is looked at word by word, best first; and what share of its words a block must have.
 LOOKED_AT, MIN_SHARE = 6, 0.8
 
+#: Keywords of several words, over any white space.
+_APART = re.compile("|".join(r"\s+".join(map(re.escape, w.split())) for w in KEYWORDS if " " in w))
 _WORD = re.compile(r"[0-9a-z]+(?:[.\-+][0-9a-z]+)*")
 
 
@@ -68,7 +72,8 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
         self.keywords = ahocorasick.Automaton()
         for w in KEYWORDS:
-            self.keywords.add_word(w, len(w))
+            if " " not in w:
+                self.keywords.add_word(w, len(w))
         self.keywords.make_automaton()
         self.known: dict[str, tuple | None] = {}
 
@@ -78,18 +83,20 @@ class Scanner:
         if len(low) != len(text):
             low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
         out: list[list[int]] = []
-        for end, n in self.keywords.iter(low):
-            a, b = end + 1 - n, end + 1
+        hits = [(end + 1 - n, end + 1) for end, n in self.keywords.iter(low)]
+        hits = sorted(hits + [m.span() for m in _APART.finditer(low)], key=lambda x: (x[1], x[0]))
+        for a, b in hits:
             if out and a - out[-1][1] <= JOIN:
                 out[-1][1] = max(b, out[-1][1])
             else:
                 out.append([a, b])
         spans: list[tuple[int, int]] = []
         for a, b in out:
-            a = max(text.rfind("\n", 0, a) + 1, a - MARGIN, 0)
-            e = text.find("\n", b)
-            b = min(len(text) if e < 0 else e, b + MARGIN)
-            spans.append((max(a, spans[-1][1]) if spans else a, b))
+            a, b = max(a - MARGIN, 0), min(b + MARGIN, len(text))
+            if spans and a < spans[-1][1]:  # a notice may lie across both
+                spans[-1] = (spans[-1][0], b)
+            else:
+                spans.append((a, b))
         return spans
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
@@ -101,14 +108,30 @@ class Scanner:
 
     def wording(self, block: str, i: int) -> tuple[float, int, int, str] | None:
         """(share, missing, extra, differences) of template i's words in a block; None: it is not this license."""
+        found = self.best(words_of(block), i)
+        return found[0] if found else None
+
+    def best(self, have: list[str], i: int) -> tuple[tuple[float, int, int, str], int, int] | None:
+        """The place among these words with the fewest differences from template i: its wording, and where it begins and ends."""
+        t, want, _ = self.templates[i]
+        if not set(t.must) <= set(have):
+            return None
+        rare = min(t.must, key=have.count)
+        far = len(want) + max(8, len(want) // 2)
+        places = [(w, max(p - far, 0)) for p, x in enumerate(have) if x == rare if (w := self._aligned(have[max(p - far, 0) : p + far + 1], i))]
+        if not places:
+            return None
+        (said, a, b), at = min(places, key=lambda x: (x[0][0][1] + x[0][0][2], x[1]))
+        return said, at + a, at + b
+
+    def _aligned(self, have: list[str], i: int) -> tuple[tuple[float, int, int, str], int, int] | None:
         t, want, _ = self.templates[i]
-        have = words_of(block)
         same = [m for m in SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
         held = sum(m.size for m in same)
         if not held or held < MIN_SHARE * len(want) or not set(t.must) <= {w for m in same for w in want[m.a : m.a + m.size]}:
             return None
-        inside = have[same[0].b : same[-1].b + same[-1].size]
-        diff, a, b = [], 0, same[0].b
+        first, last = same[0].b, same[-1].b + same[-1].size
+        diff, a, b = [], 0, first
         for m in [*same, None]:
             gone = want[a : m.a if m else len(want)]
             come = have[b : m.b] if m else []
@@ -116,7 +139,7 @@ class Scanner:
                 diff.append(f"-{' '.join(gone)} +{' '.join(come)}")
             if m:
                 a, b = m.a + m.size, m.b + m.size
-        return held / len(want), len(want) - held, len(inside) - held, "; ".join(diff)
+        return (held / len(want), len(want) - held, last - first - held, "; ".join(diff)), first, last
 
     def verdict(self, block: str) -> tuple | None:
         """(license, template, reduction, share, missing, extra, differences) of the winner; None: no template is confirmed."""

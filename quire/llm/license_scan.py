@@ -1,4 +1,4 @@
-"""License scans by conditional compression: the template that helps most to compress a block is what the block says."""
+"""License scans by conditional compression: templates are confirmed word by word, and compression decides between equals."""
 
 from __future__ import annotations
 
@@ -52,8 +52,8 @@ KEYWORDS = ("licen", "copyright", "permission", "warrant", "redistribut", "publi
 JOIN = 400
 #: A block reaches so far before its first and behind its last keyword, whatever lines end there: half as much again as the longest template.
 MARGIN = max(len(t.text) for t in TEMPLATES) * 3 // 2
-#: Templates whose reduction is looked at word by word, best first; and what share of its words a block must have.
-LOOKED_AT, MIN_SHARE = 6, 0.8
+#: Templates whose reduction is looked at word by word (None: all); and what share of its words a block must have.
+LOOKED_AT, MIN_SHARE = None, 0.8
 
 #: Keywords of several words, over any white space.
 _APART = re.compile("|".join(r"\s+".join(map(re.escape, w.split())) for w in KEYWORDS if " " in w))
@@ -141,20 +141,31 @@ class Scanner:
                 a, b = m.a + m.size, m.b + m.size
         return (held / len(want), len(want) - held, last - first - held, "; ".join(diff)), first, last
 
-    def verdict(self, block: str) -> tuple | None:
-        """(license, template, reduction, share, missing, extra, differences) of the winner; None: no template is confirmed."""
+    def verdicts(self, block: str) -> list[tuple]:
+        """(license, template, reduction, share, missing, extra, differences) of each confirmed template, best first.
+
+        A winner's words are taken out before the next one is looked for, until none is confirmed.
+        """
         if block not in self.known:
             if len(self.known) >= 4096:  # a cache, for lines that many documents have
                 self.known.clear()
-            best = [(w, r, i) for r, i in self.ranked(block)[:LOOKED_AT] if (w := self.wording(block, i))]
-            best.sort(key=lambda x: (x[0][1] + x[0][2], -len(self.templates[x[2]][1]), -x[1], x[2]))
-            self.known[block] = (self.templates[best[0][2]][0].license, best[0][2], round(best[0][1], 6), *best[0][0]) if best else None
+            have, out, saved = words_of(block), [], None
+            places = {i: f for i in range(len(self.templates)) if (f := self.best(have, i))}
+            while places:
+                saved = saved or {i: r for r, i in self.ranked(block)}
+                i = min(places, key=lambda i: (places[i][0][1] + places[i][0][2], -len(self.templates[i][1]), -saved[i], i))
+                said, a, b = places[i]
+                out.append((self.templates[i][0].license, i, round(saved[i], 6), *said))
+                have[a:b] = [""] * (b - a)  # no word, so nothing is joined over the gap
+                # places that do not meet the winner's stay as they are
+                places = {j: f for j, g in places.items() if (f := g if g[2] <= a or g[1] >= b else self.best(have, j))}
+            self.known[block] = out
         return self.known[block]
 
     def scan(self, text: str | None) -> list[tuple]:
         if not text:
             return []
-        return [(a, b, *v) for a, b in self.blocks(text) if (v := self.verdict(text[a:b]))]
+        return [(a, b, *v) for a, b in self.blocks(text) for v in self.verdicts(text[a:b])]
 
 
 KIND = "array<struct<start:bigint,end:bigint,license:string,template:int,reduction:double,share:double,missing:int,extra:int,differences:string>>"
@@ -163,10 +174,11 @@ KIND = "array<struct<start:bigint,end:bigint,license:string,template:int,reducti
 def license_blocks(docs: DataFrame, text_col: str = "text", templates: Sequence[Template] = TEMPLATES) -> DataFrame:
     """Every row of docs with licenses, an array of confirmed blocks in their order.
 
-    Keywords mark candidate blocks in whole texts. Each is compressed alone and with every template as a raw dictionary;
-    the templates that save most are compared with the block word by word: one is confirmed if the block has MIN_SHARE of
-    its words in order, its `must` words among them, and of these the one with the fewest differences is reported, with
-    what is missing (-) and put in (+). One pass, no shuffle. Null and empty texts have no blocks, repeated rows are rows
+    Keywords mark candidate blocks in whole texts. Every template whose `must` words all stand in a block is compared with it
+    word by word: one is confirmed if the block has MIN_SHARE of its words in order, its `must` words among them. The one with
+    the fewest differences is reported, with what is missing (-) and put in (+), its words are taken out, and the next one is
+    looked for; start and end are the block's. `reduction` is how much less a block compresses to with the template as a raw
+    dictionary; it decides between templates with as many differences and words. One pass, no shuffle. Null and empty texts have no blocks, repeated rows are rows
     like others, and a column `licenses` of docs gives way.
     """
 

@@ -24,3 +24,18 @@ def test_wrapped_inside_keywords():
         ("Licensed under CC\nBY 4.0.", "CC-BY-4.0"),
     ):
         assert [x[2] for x in s.scan(text)] == [name]
+
+
+def test_several_in_one_block():
+    s = license_scan.Scanner()
+    found = s.scan("Released under the MIT License.\n\nLicensed under CC BY-NC 4.0.\n")
+    assert sorted(x[2] for x in found) == ["CC-BY-NC-4.0", "MIT"] and len({x[:2] for x in found}) == 1
+    every = s.scan("\n\n".join(t.text for t in license_scan.TEMPLATES))
+    assert sorted(x[2] for x in every) == sorted(t.license for t in license_scan.TEMPLATES)
+    assert [x[2] for x in s.scan("Released under the MIT License.\n" * 2)] == ["MIT", "MIT"]
+
+
+def test_short_line_in_legal_prose():
+    prose = "The copyright holder grants permission to redistribute copies with or without modification, and gives no warranty of any kind, express or implied, under this license. " * 4
+    for t in license_scan.TEMPLATES:
+        assert t.license in [x[2] for x in license_scan.Scanner().scan(f"{prose}{t.text} {prose}")], t

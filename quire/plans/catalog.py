@@ -132,11 +132,18 @@ def _letters(words: str) -> str:
   e AS (SELECT page_id, a, b, list_concat(a, b) AS every FROM w)
   SELECT page_id, levenshtein({_letters('a')}, {_letters('b')}) AS word_edits, CAST(len(a) AS BIGINT) AS ref_words FROM e""")
 def page_word_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the first 30 words of each side, which SQL can spell in single bytes; word_edits does whole pages."""
+    """Over the first 30 words of each side, which SQL can spell in single bytes; page_word_edits_whole reads whole pages."""
     rows = corpus(spark, sf_dir).select("page_id", F.slice(X.words(F.col("reference")), 1, 30).alias("a"), F.slice(X.words(F.col("prediction")), 1, 30).alias("b"))
     return rows.select("page_id", X.short_word_edits(F.col("a"), F.col("b")).cast("long").alias("word_edits"), F.size("a").cast("long").alias("ref_words"))
 
 
+@query()
+def page_word_edits_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over all words of whole texts."""
+    rows = whole_corpus(spark, sf_dir).repartition("page_id")
+    return rows.select("page_id", X.word_edits("reference", "prediction").cast("long").alias("word_edits"), F.size(X.words(F.col("reference"))).cast("long").alias("ref_words"))
+
+
 @query()
 def page_word_edits_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word distances of whole documents against their texts with two letters exchanged."""

@@ -49,7 +49,14 @@ def test_pages_are_whole(spark, long_texts):
     assert {r["split"]: r["char_edits"] for r in entry.queries()["split_summary_whole"](spark, folder).collect()} == totals
 
 
+def test_word_edits_are_whole(spark, long_texts):
+    folder, pages = long_texts
+    rows = {r["page_id"]: (r["word_edits"], r["ref_words"]) for r in entry.queries()["page_word_edits_whole"](spark, folder).collect()}
+    assert rows == {k: (slow_edits(a.split(), b.split()), len(a.split())) for k, (a, b) in pages.items()}
+    assert max(n for _, n in rows.values()) > 30
+
+
 def test_each_cut_query_has_a_whole_one():
     cut = [n for n, sql in entry.oracle_sql().items() if f", {PAGE_CHARS})" in sql]
     assert len(cut) > 40
-    assert set(cut) <= {n[: -len("_whole")] for n in entry.queries() if n.endswith("_whole")} | {"page_word_edits"}
+    assert set(cut) <= {n[: -len("_whole")] for n in entry.queries() if n.endswith("_whole")}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,18 @@ def _hashes(words: str, seeds: Sequence[str]) -> Column:
     return F.expr(f"flatten(transform(if(size({words}) < {span}, cast(array() as array<int>), sequence(0, size({words}) - {span})), i -> array({every})))")
 
 
+def _parts(n: int, min_share: float) -> list[tuple[int, int]]:
+    """(start, length) of one part more than words may be replaced in an item of n words: one of them is always whole."""
+    k = n - math.ceil(min_share * n - 1e-9) + 1
+    cuts = [n * i // k for i in range(k + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _run(words: str, at: str, length: int) -> str:
+    """(pos, seed, h) of `length` words in a row; such seeds are numbered below zero."""
+    return f"struct({at} as pos, {-length} as seed, xxhash64({', '.join(f'{words}[{at} + {j}]' for j in range(length))}) as h)"
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seeds: Sequence[str] = SEEDS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
     """One row for each (id, item) of which docs holds a passage: id, item, doc_start, item_start, words, agree.
 
@@ -48,17 +61,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     The benchmark's hashes are counted before they are broadcast; past BROADCAST_HASHES both sides shuffle by hash. Only
     (id, item, alignment) triples leave the scan, and documents meet their triples by id.
 
-    Items of fewer than 13 words may be missed where words are replaced; those with fewer than a seed's window give no hash
-    and are met by no document. Null texts have no words; null and
+    Items of fewer than min_words words are cut into one part more than words may be replaced; a document meets them by any
+    whole part (its windows of a part's length are hashed only if the benchmark has such items). Null texts have no words; null and
     repeated ids or items are values like others (rows with the same id count as one document if their texts agree at the
     same place). Empty tables give an empty result; other columns are not looked at.
     """
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"), words_of(text_of(item_text_col)).alias("iw"))
     items = settle(items.distinct())
     known = settle(items.select("item", _hashed(F.col("iw")).alias("ih")).select("item", F.explode(_hashes("ih", seeds)).alias("k")).select("item", F.col("k.pos").alias("ip"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h")))
+    sizes = sorted(r[0] for r in items.select(F.size("iw").alias("n")).where(f"n BETWEEN 1 AND {min_words - 1}").distinct().collect())
+    lengths = sorted({length for n in sizes for _, length in _parts(n, min_share)})
+    if sizes:
+        hashed = items.select("item", _hashed(F.col("iw")).alias("ih"))
+        of = [f"WHEN {n} THEN array({', '.join(_run('ih', str(a), length) for a, length in _parts(n, min_share))})" for n in sizes]
+        short = hashed.where(F.size("ih").isin(sizes)).select("item", F.explode(F.expr(f"CASE size(ih) {' '.join(of)} END")).alias("k"))
+        known = settle(known.union(short.select("item", F.col("k.pos").alias("ip"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h"))))
     small = known.count() <= BROADCAST_HASHES
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(text_col)).alias("version"), _hashed(words_of(text_of(text_col))).alias("dh"))
-    seen = rows.select("id", "version", F.explode(_hashes("dh", seeds)).alias("k")).select("id", "version", F.col("k.pos").alias("dp"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h"))
+    every = _hashes("dh", seeds)
+    for length in lengths:
+        every = F.concat(every, F.expr(f"transform(if(size(dh) < {length}, cast(array() as array<int>), sequence(0, size(dh) - {length})), i -> {_run('dh', 'i', length)})"))
+    seen = rows.select("id", "version", F.explode(every).alias("k")).select("id", "version", F.col("k.pos").alias("dp"), F.col("k.seed").alias("seed"), F.col("k.h").alias("h"))
     hits = seen.join(F.broadcast(known) if small else known, ["seed", "h"]).select("id", "version", "item", (F.col("dp") - F.col("ip")).alias("shift"))
     hits = settle(hits.groupBy("id", "version", "item", "shift").count().drop("count"))
     texts = docs.select(F.col(f"`{id_col}`").alias("rid"), F.xxhash64(text_of(text_col)).alias("rversion"), text_of(text_col).alias("rtext"))

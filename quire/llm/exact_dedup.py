@@ -2,70 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm import bit_filter
 from quire.llm.common import OWN, SPACE, settle, text_of, with_columns
 
-BITS_PER_ROW = 16
-#: The filter is broadcast; this bounds it (2 x 2^20 words of 64 bits at most) whatever the input's size.
-MAX_FILTER_BITS = 1 << 26
-
 VERDICT = ("keep_id", "group_size", "kept", "text_sha256")
 
 
-def _slot(sha: Column, k: int, words: int) -> tuple[Column, Column]:
-    """Word and bit of filter k that a text's hash sets."""
-    h = F.xxhash64(sha, F.lit(k))
-    return F.pmod(F.shiftrightunsigned(h, 6), F.lit(words)), h.bitwiseAND(F.lit(63)).cast("int")
-
-
-def _repeated(digests: DataFrame, words: int) -> list[DataFrame]:
-    """First pass: of each of two filters, the words that have a bit hit more than once. At most `words` rows each."""
-    out = []
-    for k in (0, 1):
-        w, b = _slot(F.col(OWN + "sha"), k, words)
-        hits = digests.groupBy(w.alias(OWN + "w"), b.alias(OWN + "b")).count().where(F.col("count") > 1)
-        out.append(hits.groupBy(OWN + "w").agg(F.bit_or(F.expr(f"shiftleft(1L, {OWN}b)")).alias(f"{OWN}bits{k}")).withColumnRenamed(OWN + "w", f"{OWN}w{k}"))
-    return out
-
-
-def _probe(rows: DataFrame, filters: list[DataFrame], words: int) -> DataFrame:
-    """Second pass: rows (which have a column sha) with a column maybe, false only if no other row has the same text."""
-    held = []
-    for k, f in enumerate(filters):
-        w, b = _slot(F.col(OWN + "sha"), k, words)
-        rows = rows.withColumn(f"{OWN}w{k}", w).join(F.broadcast(f), f"{OWN}w{k}", "left")
-        held.append(F.expr(f"(shiftrightunsigned(coalesce({OWN}bits{k}, 0L), cast(xxhash64({OWN}sha, {k}) & 63 as int)) & 1L) = 1L"))
-    return rows.withColumn(OWN + "maybe", held[0] & held[1])
-
-
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits_per_row: int = BITS_PER_ROW, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits_per_row: int = bit_filter.BITS_PER_ROW, max_filter_bits: int = bit_filter.MAX_BITS) -> DataFrame:
     """Every row of docs with keep_id, group_size, kept and text_sha256.
 
-    Texts are equal if identical once each run of white space is one space; of equal texts the smallest id stays. Two Bloom
-    filters record which hash bits were hit twice; only rows whose bits are set in both meet their group in a shuffle, the
-    rest pass where they are read. The filters' size follows the row count up to max_filter_bits; past that more unique rows
-    pass for possibly repeated and shuffle, which costs time and changes no result. Groups of any size are counted with
-    map-side sums, and the join back is an ordinary equi-join whose hot keys Spark splits.
+    Texts are equal if identical once each run of white space is one space; of equal texts the smallest id stays. The first
+    pass reads hashes alone: two Bloom filters record which bits were hit twice, and only hashes whose bits are set in both
+    meet their group in a shuffle. What is truly repeated makes the filters of the second pass, over the rows: only rows
+    that these hold meet their group in a shuffle, the rest pass where they are read.
+
+    Filters follow the counts of rows and of groups up to max_filter_bits. Past that more unique hashes (not texts) shuffle in
+    the first pass; unique rows shuffle only once the groups themselves outgrow the second pass's filters. Either costs
+    time and changes no result. Groups of any size are counted with map-side sums, and the join back is an ordinary
+    equi-join whose hot keys Spark splits.
 
-    Null text counts as empty. Rows with the same id and text (repeated rows) are one document: they share keep_id and kept.
-    Null ids give way to any other; in a group of null ids only, all stay. An empty table gives an empty result. Columns of
-    docs with the names of the verdict's give way to them.
+    Null text counts as empty, and texts are hashed whole, however long. Rows with the same id and text (repeated rows) are
+    one document: they share keep_id and kept. Null ids give way to any other; in a group of null ids only, all stay. An
+    empty table gives an empty result. Columns of docs with the names of the verdict's give way to them.
     """
+    own, key, maybe = F.col(f"`{id_col}`"), OWN + "sha", OWN + "maybe"
     sha = F.sha2(F.regexp_replace(text_of(text_col), SPACE, " "), 256)
-    digests = settle(docs.select(F.col(f"`{id_col}`").alias(OWN + "id"), sha.alias(OWN + "sha")))
-    n = digests.count()
-    words = max(64, min(max_filter_bits, 1 << max(0, n * bits_per_row - 1).bit_length()) // 64)
-    filters = [settle(f) for f in _repeated(digests, words)]
-    groups = _probe(digests, filters, words).where(OWN + "maybe").groupBy(OWN + "sha").agg(F.min(OWN + "id").alias(OWN + "keep"), F.count("*").alias(OWN + "size"))
-    groups = settle(groups)  # then both sides of the join are shuffled for it alone, and Spark may split a hot key
-    rows = _probe(docs.withColumn(OWN + "sha", sha), filters, words)
-    alone = rows.where(f"NOT {OWN}maybe").withColumns({OWN + "keep": F.col(f"`{id_col}`"), OWN + "size": F.lit(1).cast("long")})
-    together = rows.where(OWN + "maybe").join(groups, OWN + "sha")
+    digests = settle(docs.select(own.alias(OWN + "id"), sha.alias(key)))
+    bits = bit_filter.bits_for(digests.count(), bits_per_row, max_filter_bits)
+    twice = bit_filter.build(digests, key, bits, least=2)
+    groups = bit_filter.probe(digests, twice, F.col(key), bits, maybe).where(maybe).groupBy(key).agg(F.min(OWN + "id").alias(OWN + "keep"), F.count("*").alias(OWN + "size"))
+    groups = settle(groups.where(f"{OWN}size > 1"))  # then both sides of the join are shuffled for it alone, and Spark may split a hot key
+    bits = bit_filter.bits_for(groups.count(), bits_per_row, max_filter_bits)
+    rows = bit_filter.probe(docs.withColumn(key, sha), bit_filter.build(groups, key, bits), F.col(key), bits, maybe)
+    alone = rows.where(f"NOT {maybe}").withColumns({OWN + "keep": own, OWN + "size": F.lit(1).cast("long")})
+    together = rows.where(maybe).join(groups, key, "left").withColumns({OWN + "keep": F.coalesce(OWN + "keep", own), OWN + "size": F.coalesce(OWN + "size", F.lit(1).cast("long"))})
     both = alone.unionByName(together)
-    own = F.col(f"`{id_col}`")
-    out = with_columns(both, dict(zip(VERDICT, (F.col(OWN + "keep"), F.col(OWN + "size"), own.eqNullSafe(F.col(OWN + "keep")), F.col(OWN + "sha")), strict=True)))
+    out = with_columns(both, dict(zip(VERDICT, (F.col(OWN + "keep"), F.col(OWN + "size"), own.eqNullSafe(F.col(OWN + "keep")), F.col(key)), strict=True)))
     return out.select(*(f"`{c}`" for c in out.columns if not c.startswith(OWN)))
 
 

@@ -5,36 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that one task may order, and stretches that the order is cut into at most.
-AT_ONCE, STRETCHES = 100_000, 256
+from quire.store import settle
+
+#: Rows of one partition are numbered in so many low bits of Spark's own ids.
+_LOW = (1 << 33) - 1
 
 
 def numbered(df: DataFrame, *keys: str | Column, place: str = "place") -> DataFrame:
-    """df with each row's place (from 0) in the ascending order of the keys, which should tell rows apart.
+    """df with each row's place (from 0) in the order of the keys, which should tell rows apart.
 
-    A large table is cut at keys that a hash picks; its stretches are counted, and each is ordered by itself.
+    Keys are names or sort expressions of any type that Spark orders, compared as orderBy compares them (nulls first unless they
+    say otherwise). Rows are dealt out by ranges of all keys, sorted in each, and stored; a place is the row's number in
+    its partition and what the partitions before it hold. One way for tables of every size; ties stand in any order.
     """
     by = [F.col(k) if isinstance(k, str) else k for k in keys]
-    n = df.count()
-    if n <= AT_ONCE:
-        return df.withColumn(place, F.row_number().over(Window.orderBy(*by)) - 1)
-    wanted = min(STRETCHES, n // AT_ONCE + 1) * 8
-    one_in = max(1, n // wanted)
-    first = by[0].cast("string")
-    cuts = [r[0] for r in df.where(F.pmod(F.xxhash64(first), F.lit(one_in)) == 0).select(first.alias("k")).distinct().orderBy("k").limit(8 * STRETCHES).collect()]
-    bounds = cuts[:: max(1, len(cuts) // STRETCHES)]
-
-    def stretch(a: int, b: int) -> Column:
-        """Which of the stretches a to b the key is in, by halving."""
-        m = (a + b) // 2
-        return F.lit(a) if a == b else F.when(first < bounds[m], stretch(a, m)).otherwise(stretch(m + 1, b))
-
-    # a function of the row alone, so that both uses of it agree
-    rows = df.withColumn("__stretch", F.when(first.isNull(), -1).otherwise(stretch(0, len(bounds))))
-    before = Window.orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy("__stretch").agg(F.count("*").alias("__n")).select("__stretch", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__stretch").orderBy(*by)) - 1
-    return rows.join(F.broadcast(sizes), "__stretch").withColumn(place, inside + F.col("__before")).drop("__stretch", "__before")  # STRETCHES sizes at most
+    rows = settle(df.repartitionByRange(*by).sortWithinPartitions(*by))
+    own = rows.withColumn("__id", F.monotonically_increasing_id())  # of stored rows, so that both uses of it agree
+    sizes = own.groupBy(F.shiftright("__id", 33).alias("__part")).agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = F.broadcast(sizes.select("__part", before.alias("__before")))  # a row a partition
+    placed = own.withColumn("__part", F.shiftright("__id", 33)).join(sizes, "__part").withColumn(place, F.col("__id").bitwiseAND(F.lit(_LOW)) + F.col("__before"))
+    return placed.select(*(f"`{c}`" for c in df.columns if c != place), place)
 
 
 def stride(pages: DataFrame, n: int, key: str = "page_id") -> DataFrame:

@@ -77,26 +77,36 @@ def _most_similar(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
     return np.where(longest == 0, 1.0, 1.0 - fewest / np.maximum(longest, 1))
 
 
-def _partners(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> dict[int, int]:
-    """The reference's lines with their partners: best similarity first, then in order, no line twice.
+def similar_lines(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> list[tuple[int, int, float]]:
+    """(i, j, similarity) of all pairs of that similarity or more; only those are measured whose bound allows it."""
+    if not ref_keys or not pred_keys:
+        return []
+    may = np.argwhere(_most_similar(ref_keys, pred_keys) >= least)
+    return [(int(i), int(j), s) for i, j in may if (s := similarity(ref_keys[i], pred_keys[j])) >= least]
+
+
+def partners(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> list[tuple[int, int, float]]:
+    """(i, j, similarity) by i: lines and their partners, best similarity first, then in order, no line twice.
 
     Pairs wait with their bound, and are measured when none that waits could be better; most have lost a line by then.
     """
+    if not ref_keys or not pred_keys:
+        return []
     bound = _most_similar(ref_keys, pred_keys)
     waiting = [(-float(bound[i, j]), False, int(i), int(j)) for i, j in np.argwhere(bound >= least)]
     heapify(waiting)
-    partner: dict[int, int] = {}
+    partner: dict[int, tuple[int, float]] = {}
     taken: set[int] = set()
     while waiting:
         s, measured, i, j = heappop(waiting)
         if i in partner or j in taken:
             continue
         if measured:
-            partner[i] = j
+            partner[i] = j, -s
             taken.add(j)
         elif (s := similarity(ref_keys[i], pred_keys[j])) >= least:
             heappush(waiting, (-s, True, i, j))
-    return partner
+    return [(i, *partner[i]) for i in sorted(partner)]
 
 
 def line_order(reference: str, prediction: str, ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> LineOrder:
@@ -109,9 +119,8 @@ def line_order(reference: str, prediction: str, ref_keys: Sequence[str], pred_ke
     lines = [x for x in prediction.split("\n") if x.strip()]
     if not ref_keys or not pred_keys:
         return LineOrder(edit_distance(reference, prediction), 0, 0, 0, len(ref_keys), len(pred_keys))
-    partner = _partners(ref_keys, pred_keys, least)
-    taken = set(partner.values())
-    places = [partner[i] for i in sorted(partner)]
+    places = [j for _, j, _ in partners(ref_keys, pred_keys, least)]
+    taken = set(places)
     rebuilt = "\n".join([lines[j] for j in places] + [x for j, x in enumerate(lines) if j not in taken])
     concordant = sum(p < q for k, p in enumerate(places) for q in places[k + 1 :])
     k = len(places)

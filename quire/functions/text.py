@@ -12,8 +12,10 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.edit import edit_distance, similarity
-from quire.schema import ARABIC_BLOCKS, DIACRITICS, DIGIT_ZEROS, LETTER_FOLD, MARKER, TATWEEL
+from quire.functions.edit import edit_distance, partners, similar_lines, similarity
+from quire.schema import ARABIC_BLOCKS, DIACRITICS, DIGIT_ZEROS, LETTER_FOLD, MARKER, TATWEEL, THRESHOLDS
+
+LEAST_SIMILARITY = THRESHOLDS["line_match_min_similarity"]
 
 #: White space as Unicode has it (and str.split); neither trim() nor \s of Java's expressions know it all.
 WHITE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -106,14 +108,25 @@ def word_edits(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else edit_distance(x.split(), y.split()) for x, y in zip(a, b, strict=True)], dtype="Int32")
 
 
-def short_word_edits(a: Column, b: Column) -> Column:
-    """Edit distance of two arrays of words, without leaving the JVM: each distinct word becomes one letter.
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def line_skeletons(texts: pd.Series) -> pd.Series:
+    """Skeletons of the lines that are not blank."""
+    return texts.map(lambda t: [skeleton_of(x) for x in t.split("\n") if x.strip()], na_action="ignore")
+
+
+_PAIRS = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("similarity", T.DoubleType())]))
+
+
+@F.pandas_udf(_PAIRS)
+def line_candidates(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Of two arrays of keys the pairs with a similarity of LEAST_SIMILARITY or more."""
+    return pd.Series([similar_lines(list(x), list(y), LEAST_SIMILARITY) for x, y in zip(a, b, strict=True)])
+
 
-    For arrays of up to 200 words in all; the letters are those from U+0100 on.
-    """
-    every = F.concat(a, b)
-    lettered = lambda words: F.array_join(F.transform(words, lambda w: F.substring(F.lit("".join(chr(0x100 + i) for i in range(200))), F.array_position(every, w).cast("int"), F.lit(1))), "")
-    return F.levenshtein(lettered(a), lettered(b))
+@F.pandas_udf(_PAIRS)
+def line_partners(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Of two arrays of keys the pairs that are taken: best similarity first, then in order, no key twice."""
+    return pd.Series([partners(list(x), list(y), LEAST_SIMILARITY) for x, y in zip(a, b, strict=True)])
 
 
 def words(text: Column) -> Column:

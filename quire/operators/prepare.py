@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -74,6 +75,12 @@ def usable_samples(checked: DataFrame) -> DataFrame:
     return checked.where("size(problems) = 0").select(ids.alias("page_id"), path.alias("image_path"), "target", shard_group(F.col("shard")).alias("group"), shard_aug(F.col("shard")).alias("aug"), "width", "height", "font", "template", "augmentation")
 
 
+def hold_out(rows: DataFrame, groups: Iterable[int]) -> tuple[DataFrame, DataFrame]:
+    """(training, held out): a group, with all augmented copies of its pages, is on one side."""
+    held = F.col("group").isin(*groups)
+    return rows.where(~held), rows.where(held)
+
+
 def drop_reasons(problems: DataFrame) -> DataFrame:
     """reason, n: what stands before the first colon of each message."""
     return problems.groupBy(F.substring_index("problem", ":", 1).alias("reason")).agg(F.count("*").alias("n")).orderBy("reason")
@@ -161,7 +168,7 @@ def prepare(spark: SparkSession, source: str, out: str, options: Options = Optio
     n_bad, n_good = bad.count(), good.count()
     if n_bad / max(1, n_bad + n_good) > options.max_drop_fraction:
         raise IntegrityError(f"{n_bad} of {n_bad + n_good} samples are unusable, more than {options.max_drop_fraction:.4%}", [f"{r['reason']}: {r['n']}" for r in drop_reasons(bad).collect()])
-    train, heldout = good.where(~F.col("group").isin(*held)), good.where(F.col("group").isin(*held))
+    train, heldout = hold_out(good, held)
     n_train, n_held = train.count(), heldout.count()
     if n_held < options.val_size + options.test_size:
         raise IntegrityError(f"{n_held} held-out pages are fewer than {options.val_size} + {options.test_size}")

@@ -2,51 +2,52 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import partial
-from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import contrast, order, predicate, prepare, rollups, scoring, validation
-from quire.plans.corpus import SQL, corpus, scored_sql, table, whole_corpus
+from quire.plans.corpus import SQL, corpus, edits_sql, scored_sql, table
 from quire.schema import FLAGS, PROBE_OUTCOMES
+from quire.sources.files import write_predictions
+from quire.sources.manifest import read_manifest
+from quire.sources.predictions import predictions_digest as digest
+from quire.sources.predictions import read_folder, read_lines
 from quire.sources.shards import shard_aug, shard_group
+from quire.store import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
-Corpus = Callable[..., DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query. Where its SQL reads pages cut short, NAME_whole is the same query over whole texts."""
+    """Registers a query over whole tables and texts, and the SQL that gives its rows if there is any."""
 
     def register(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql:
             ORACLE_SQL[f.__name__] = sql
-            if "corpus" in signature(f).parameters:
-                QUERIES[f"{f.__name__}_whole"] = partial(f, corpus=whole_corpus)
         return f
 
     return register
 
 
-def _scores(spark: SparkSession, sf_dir: str, prediction: str = "baseline", corpus: Corpus = corpus) -> DataFrame:
+def _scores(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> DataFrame:
     return scoring.score(corpus(spark, sf_dir, prediction))
 
 
 BASE = f"WITH {SQL}, {scored_sql('baseline')}"
 BOTH = f"WITH {SQL}, {scored_sql('baseline')}, {scored_sql('candidate')}"
-#: Skeleton of ASCII text: no punctuation or symbols, words one space apart.
-ASCII_SKELETON = r"trim(regexp_replace(regexp_replace({0}, '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g'))"
+#: Skeleton of texts without Arabic letters: no punctuation, symbols or marks, words one space apart.
+SKELETON = r"trim(regexp_replace(regexp_replace(nfc_normalize({0}), '[\p{{P}}\p{{S}}\p{{Mn}}]', '', 'g'), '\s+', ' ', 'g'))"
 
 
 def _skel(c: str) -> str:
-    return ASCII_SKELETON.format(c)
+    return SKELETON.format(c)
 
 
 # ---- split totals
@@ -65,82 +66,62 @@ _CONTRACT = """
 
 
 @query(f"{BASE} SELECT split, count(*) AS pages, count(*) FILTER (has_metrics) AS scored_pages, {_CONTRACT}, {_RATES} FROM s_baseline GROUP BY split")
-def split_summary(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages, contract and strict error rates of each split."""
-    pages = corpus(spark, sf_dir).repartition("page_id")
-    edits = X.char_edits("reference", "prediction")
-    rows = pages.select("split", X.outcome(F.col("reference"), F.col("prediction")).alias("outcome"), edits.alias("e"), F.length("reference").alias("n"))
-    scored = ~F.col("outcome").isin(*PROBE_OUTCOMES)
-    only = lambda c: F.when(scored, c)
-    n, probes, k = F.count_if(scored), F.count_if(~scored), lambda o: F.count_if(F.col("outcome") == o)
-    return rows.groupBy("split").agg(
-        F.count("*").alias("pages"), n.alias("scored_pages"), k("correct_refusal").alias("correct_refusal"), k("hallucination").alias("hallucination"), k("false_refusal").alias("false_refusal"), probes.alias("probe_pages"),
-        F.try_divide(k("hallucination"), probes).alias("hallucination_rate"), F.try_divide(k("false_refusal"), n).alias("false_refusal_rate"),
-        F.sum(only(F.col("e"))).alias("char_edits"), F.sum(only(F.col("n"))).alias("ref_chars"), F.try_divide(F.sum(only(F.col("e"))), F.sum(only(F.col("n")))).alias("cer_micro"),
-        F.round(F.avg(only(F.col("e") / F.col("n"))), 9).alias("cer_macro"), F.try_divide(F.count_if(scored & (F.col("e") == 0)), n).alias("exact_match_rate"),
-    )
+    scores = _scores(spark, sf_dir)
+    sums = scores.groupBy("split").agg(*(F.sum(f"metrics.strict.{n}").alias(n) for n in ("char_edits", "ref_chars")))
+    rates = {n: F.col(f"strict_{n}") for n in ("cer_micro", "exact_match_rate")} | {"cer_macro": F.round("strict_cer_macro", 9)}
+    totals = rollups.split_totals(scores).select("split", "pages", "scored_pages", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate", *(c.alias(n) for n, c in rates.items()))
+    return totals.join(sums, "split")
 
 
 @query()
-def split_levels(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
+def split_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything a split's summary has, at all levels (word distances and order have no SQL form)."""
-    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus))
+    return rollups.split_totals(_scores(spark, sf_dir))
 
 
 @query()
-def page_results(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
+def page_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a run directory holds it."""
-    return _scores(spark, sf_dir, corpus=corpus).drop("order_counts", "doc_id")
+    return _scores(spark, sf_dir).drop("order_counts", "doc_id")
 
 
 @query(f"""{BASE} SELECT split, CAST(sum(char_edits) AS BIGINT) AS char_edits, CAST(sum(ref_chars) AS BIGINT) AS ref_chars, CAST(sum(char_edits) AS DOUBLE) / CAST(sum(ref_chars) AS BIGINT) AS micro,
   round(avg(CAST(char_edits AS DOUBLE) / ref_chars), 9) AS macro FROM s_baseline WHERE has_metrics GROUP BY split""")
-def split_micro_macro(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def split_micro_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("metrics.strict")
     e, n = m["char_edits"], m["ref_chars"]
-    return _scores(spark, sf_dir, corpus=corpus).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
+    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
 
 
 @query(f"{BASE} SELECT split, count(*) FILTER (has_metrics) AS scored_pages, CAST(sum(char_edits) FILTER (has_metrics) AS DOUBLE) / CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) AS cer FROM s_baseline GROUP BY split")
-def split_headline_null(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus)).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
+def split_headline_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
 
 
 @query(f"{BASE} SELECT split, outcome, count(*) AS pages FROM s_baseline GROUP BY ALL")
-def contract_matrix(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def contract_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("split", X.outcome(F.col("reference"), F.col("prediction")).alias("outcome")).groupBy("split", "outcome").agg(F.count("*").alias("pages"))
 
 
 @query(f"{BASE} SELECT split, {_CONTRACT} FROM s_baseline GROUP BY split")
-def contract_rates(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus)).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
+def contract_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
 
 
 # ---- distances and normalisation
 
 
 @query(f"{BASE} SELECT page_id, char_edits, ref_chars FROM s_baseline")
-def page_char_edits(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def page_char_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).repartition("page_id").select("page_id", X.char_edits("reference", "prediction").cast("long").alias("char_edits"), F.length("reference").cast("long").alias("ref_chars"))
 
 
-def _letters(words: str) -> str:
-    return f"array_to_string(list_transform({words}, lambda w: chr(CAST(32 + list_position(every, w) AS INTEGER))), '')"
-
-
-@query(rf"""WITH {SQL}, w AS (SELECT page_id, list_filter(regexp_split_to_array(reference, '\s+'), lambda x: x <> '')[1:30] AS a, list_filter(regexp_split_to_array(baseline, '\s+'), lambda x: x <> '')[1:30] AS b FROM page),
-  e AS (SELECT page_id, a, b, list_concat(a, b) AS every FROM w)
-  SELECT page_id, levenshtein({_letters('a')}, {_letters('b')}) AS word_edits, CAST(len(a) AS BIGINT) AS ref_words FROM e""")
-def page_word_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the first 30 words of each side, which SQL can spell in single bytes; page_word_edits_whole reads whole pages."""
-    rows = corpus(spark, sf_dir).select("page_id", F.slice(X.words(F.col("reference")), 1, 30).alias("a"), F.slice(X.words(F.col("prediction")), 1, 30).alias("b"))
-    return rows.select("page_id", X.short_word_edits(F.col("a"), F.col("b")).cast("long").alias("word_edits"), F.size("a").cast("long").alias("ref_words"))
-
-
 @query()
-def page_word_edits_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over all words of whole texts."""
-    rows = whole_corpus(spark, sf_dir).repartition("page_id")
+def page_word_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word distances of all pages (SQL cannot compare lists of words)."""
+    rows = corpus(spark, sf_dir).repartition("page_id")
     return rows.select("page_id", X.word_edits("reference", "prediction").cast("long").alias("word_edits"), F.size(X.words(F.col("reference"))).cast("long").alias("ref_words"))
 
 
@@ -157,30 +138,24 @@ _MARKED = (".,?", "ًِٰ")
 
 @query(f"""WITH {SQL}, m AS (SELECT page_id, translate(translate(lower(reference), '{_ARABIC[0]}', '{_ARABIC[1]}'), '{_MARKED[0]}', '{_MARKED[1]}') AS t FROM page)
   SELECT page_id, CAST(length(t) AS BIGINT) AS strict_chars, regexp_replace(t, '[ً-ٰٟ]', '', 'g') AS bare FROM m""")
-def level_diacritics(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def level_diacritics(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.translate(F.translate(F.lower("reference"), *_ARABIC), *_MARKED)
     return corpus(spark, sf_dir).select("page_id", F.length(t).cast("long").alias("strict_chars"), X.diacritic_insensitive(t).alias("bare"))
 
 
 @query(f"WITH {SQL} SELECT page_id, {_skel('reference')} AS skeleton FROM page")
-def level_skeleton_ascii(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def level_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("page_id", X.skeleton("reference").alias("skeleton"))
 
 
-@query()
-def level_skeleton_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Skeletons of whole texts in all their letters (SQL has no compatibility normalisation)."""
-    return table(spark, sf_dir, "documents").repartition("doc_id").select("doc_id", F.length("text").alias("chars"), X.skeleton("text").alias("skeleton"))
-
-
 @query(f"{BASE} SELECT split, count(*) FILTER (reference = prediction) AS exact, count(*) AS pages FROM s_baseline WHERE has_metrics GROUP BY split")
-def exact_match(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _scores(spark, sf_dir, corpus=corpus).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
+def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
 
 
 @query(rf"""WITH {SQL} SELECT page_id, CAST(len(list_filter(regexp_split_to_array(reference, '\s+'), lambda x: x <> '')) AS BIGINT) AS words,
   CAST(len(list_filter(string_split(reference, chr(10)), lambda x: trim(x, E' \t\r') <> '')) AS BIGINT) AS lines FROM page""")
-def tokens_and_lines(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def tokens_and_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("page_id", F.size(X.words(F.col("reference"))).cast("long").alias("words"), F.size(X.lines(F.col("reference"))).cast("long").alias("lines"))
 
 
@@ -188,7 +163,7 @@ def tokens_and_lines(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus)
 
 
 @query(f"{BASE} SELECT page_id, length_ratio, runaway_length FROM s_baseline")
-def flags_runaway(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def flags_runaway(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, p = F.col("reference"), F.col("prediction")
     return corpus(spark, sf_dir).select("page_id", X.length_ratio(r, p).alias("length_ratio"), X.is_runaway(r, p, 2.0, 100).alias("runaway_length"))
 
@@ -199,14 +174,14 @@ _REPETITION = f"""l AS (SELECT page_id, length(baseline) AS n, unnest(string_spl
 
 
 @query(f"WITH {SQL}, {_REPETITION} SELECT page_id, repetition FROM f")
-def flags_repetition(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _scores(spark, sf_dir, corpus=corpus).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
+def flags_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
 
 
 @query(f"""{BASE}, {_REPETITION} SELECT split, count(*) FILTER (empty_prediction) AS empty_prediction, count(*) FILTER (repetition) AS repetition, count(*) FILTER (runaway_length) AS runaway_length
   FROM s_baseline JOIN f USING (page_id) GROUP BY split""")
-def flag_counts(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir, corpus=corpus)).select("split", *FLAGS)
+def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.split_totals(_scores(spark, sf_dir)).select("split", *FLAGS)
 
 
 # ---- breakdowns and rankings
@@ -221,102 +196,101 @@ def _breakdown_sql(values: str) -> str:
   SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY cer_micro DESC, key) AS INTEGER) AS rank FROM q"""
 
 
-def _breakdown(spark: SparkSession, sf_dir: str, dimension: str, corpus: Corpus = corpus) -> DataFrame:
-    rows = rollups.breakdowns(_scores(spark, sf_dir, corpus=corpus), 5).where(F.col("dimension") == dimension)
+def _breakdown(spark: SparkSession, sf_dir: str, dimension: str) -> DataFrame:
+    rows = rollups.breakdowns(_scores(spark, sf_dir), 5).where(F.col("dimension") == dimension)
     return rows.select("split", "key", "pages", "cer_micro", F.round("cer_macro", 9).alias("cer_macro"), "exact_match_rate", "rank")
 
 
 @query(_breakdown_sql("fonts"))
-def breakdown_font(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _breakdown(spark, sf_dir, "font", corpus=corpus)
+def breakdown_font(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _breakdown(spark, sf_dir, "font")
 
 
 @query(_breakdown_sql("distortions"))
-def breakdown_distortion(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _breakdown(spark, sf_dir, "distortion", corpus=corpus)
+def breakdown_distortion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _breakdown(spark, sf_dir, "distortion")
 
 
 @query(_breakdown_sql("[source]"))
-def breakdown_source(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _breakdown(spark, sf_dir, "source", corpus=corpus)
+def breakdown_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _breakdown(spark, sf_dir, "source")
 
 
 @query(f"""{BASE}, v AS (SELECT split, 'font' AS dimension, len(fonts) AS k FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'distortion', len(distortions) FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'source', CASE WHEN source IS NULL THEN 0 ELSE 1 END FROM s_baseline WHERE has_metrics)
   SELECT split, dimension, sum(k) = count(*) AND count(*) FILTER (k > 0) = count(*) AS is_partition FROM v GROUP BY ALL""")
-def is_partition(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return rollups.partitions(_scores(spark, sf_dir, corpus=corpus))
+def is_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.partitions(_scores(spark, sf_dir))
 
 
 @query(f"{BASE} SELECT page_id, split, char_edits, ref_chars, CAST(char_edits AS DOUBLE) / ref_chars AS cer FROM s_baseline WHERE has_metrics ORDER BY cer DESC, page_id LIMIT 25")
-def worst_pages(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def worst_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("metrics.strict")
-    return rollups.worst_pages(_scores(spark, sf_dir, corpus=corpus), 25).select("page_id", "split", m["char_edits"].cast("long").alias("char_edits"), m["ref_chars"].cast("long").alias("ref_chars"), m["cer"].alias("cer"))
+    return rollups.worst_pages(_scores(spark, sf_dir), 25).select("page_id", "split", m["char_edits"].cast("long").alias("char_edits"), m["ref_chars"].cast("long").alias("ref_chars"), m["cer"].alias("cer"))
 
 
 @query(f"{BASE} SELECT page_id, round(CAST(char_edits AS DOUBLE) / ref_chars, 6) AS cer FROM s_baseline WHERE has_metrics AND split = 'gold_scans' ORDER BY cer DESC, page_id LIMIT 10")
-def worst_pages_rounded(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    rows = _scores(spark, sf_dir, corpus=corpus)
+def worst_pages_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _scores(spark, sf_dir)
     cer = F.round("metrics.strict.cer", 6)
     return rollups.worst_pages(rows, 10, "gold_scans", cer).select("page_id", cer.alias("cer"))
 
 
 # ---- line order
 
-_LINES = rf"""x AS (SELECT page_id, list_filter(string_split(reference, chr(10)), lambda x: trim(x, E' \t\r') <> '') AS a, list_filter(string_split(baseline, chr(10)), lambda x: trim(x, E' \t\r') <> '') AS b FROM page WHERE kind <> 'probe'),
-  ra AS (SELECT page_id, generate_subscripts(a, 1) - 1 AS i, unnest(a) AS line FROM x), pb AS (SELECT page_id, generate_subscripts(b, 1) - 1 AS j, unnest(b) AS line FROM x),
-  ka AS (SELECT page_id, i, {_skel('line')} AS k FROM ra), kb AS (SELECT page_id, j, {_skel('line')} AS k FROM pb),
-  c AS (SELECT page_id, i, j, CASE WHEN greatest(length(ka.k), length(kb.k)) = 0 THEN 1.0 ELSE 1.0 - CAST(levenshtein(ka.k, kb.k) AS DOUBLE) / greatest(length(ka.k), length(kb.k)) END AS similarity FROM ka JOIN kb USING (page_id))"""
+_LINES = rf"""x AS (SELECT page_id, list_filter(string_split(reference, chr(10)), lambda x: trim(x, E' \t\r') <> '') AS la, list_filter(string_split(baseline, chr(10)), lambda x: trim(x, E' \t\r') <> '') AS lb FROM page WHERE kind <> 'probe'),
+  ra AS (SELECT page_id, generate_subscripts(la, 1) - 1 AS i, unnest(la) AS line FROM x), pb AS (SELECT page_id, generate_subscripts(lb, 1) - 1 AS j, unnest(lb) AS line FROM x),
+  ka AS (SELECT page_id, i, translate({_skel('line')}, f, t) AS k FROM ra, spelling), kb AS (SELECT page_id, j, translate({_skel('line')}, f, t) AS k FROM pb, spelling),
+  twos AS (SELECT page_id, i, j, ka.k AS p, kb.k AS q, greatest(length(ka.k), length(kb.k)) AS n FROM ka JOIN kb USING (page_id) WHERE abs(length(ka.k) - length(kb.k)) * 2 <= greatest(length(ka.k), length(kb.k))),
+  c AS (SELECT page_id, i, j, CASE WHEN p = q THEN 1.0 ELSE 1.0 - CAST(levenshtein(p, q) AS DOUBLE) / n END AS similarity FROM twos)"""
+_MATCHED = f"""{_LINES}, ranked AS (SELECT page_id, list({{'i': i, 'j': j}} ORDER BY similarity DESC, i, j) AS cands FROM c WHERE similarity >= 0.5 GROUP BY page_id),
+  m AS (SELECT page_id, list_reduce(cands, lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: y.i = x[1].i OR y.j = x[1].j)) > 0 THEN acc ELSE list_concat(acc, x) END, []) AS pairs FROM (SELECT page_id, list_transform(cands, lambda z: [z]) AS cands FROM ranked)),
+  placed AS (SELECT page_id, la, lb, list_transform(list_sort(list_transform(coalesce(pairs, []), lambda y: {{'i': y.i, 'j': y.j}})), lambda y: y.j) AS js FROM x LEFT JOIN m USING (page_id)),
+  o AS (SELECT page_id, len(la) AS ref_lines, len(lb) AS pred_lines, len(js) AS matched, len(js) * (len(js) - 1) // 2 AS pairs,
+    coalesce(list_sum(list_transform(range(0, len(js)), lambda a: len(list_filter(js[a + 2:], lambda z: z > js[a + 1])))), 0) AS concordant,
+    CASE WHEN len(la) = 0 OR len(lb) = 0 THEN NULL ELSE array_to_string(list_concat(list_transform(js, lambda j: lb[j + 1]), list_transform(list_filter(range(0, len(lb)), lambda j: NOT list_contains(js, j)), lambda j: lb[j + 1])), chr(10)) END AS rebuilt FROM placed)"""
 
 
-def _candidates(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    """page_id, i, j, similarity of lines that may be partners; Spark's bounded levenshtein leaves the rest early."""
-    pages = corpus(spark, sf_dir).where("kind <> 'probe'")
-    a = pages.select("page_id", F.posexplode(X.lines(F.col("reference"))).alias("i", "line")).withColumn("a", X.skeleton("line")).drop("line")
-    b = pages.select("page_id", F.posexplode(X.lines(F.col("prediction"))).alias("j", "line")).withColumn("b", X.skeleton("line")).drop("line")
-    longest = F.greatest(F.length("a"), F.length("b"))
-    edits = F.levenshtein("a", "b")
-    return a.join(b, "page_id").withColumn("similarity", F.when(longest == 0, 1.0).otherwise(1.0 - edits / longest)).where("similarity >= 0.5").select("page_id", "i", "j", "similarity")
+def _line_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, a, b: skeletons of the reference's and the prediction's lines."""
+    pages = corpus(spark, sf_dir).where("kind <> 'probe'").repartition("page_id")
+    return pages.select("page_id", X.line_skeletons("reference").alias("a"), X.line_skeletons("prediction").alias("b"))
 
 
 @query(f"WITH {SQL}, {_LINES} SELECT page_id, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, similarity FROM c WHERE similarity >= 0.5")
-def line_candidates(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _candidates(spark, sf_dir, corpus=corpus)
-
-
-@query(f"""WITH {SQL}, {_LINES}, s AS (SELECT page_id, list({{'i': i, 'j': j}} ORDER BY similarity DESC, i, j) AS cands FROM c WHERE similarity >= 0.5 GROUP BY page_id),
-  m AS (SELECT page_id, list_reduce(cands, lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: y.i = x[1].i OR y.j = x[1].j)) > 0 THEN acc ELSE list_concat(acc, x) END, []) AS pairs FROM (SELECT page_id, list_transform(cands, lambda z: [z]) AS cands FROM s))
-  SELECT page_id, CAST(len(pairs) AS BIGINT) AS matched, array_to_string(list_sort(list_transform(pairs, lambda y: lpad(CAST(y.i AS VARCHAR), 4, '0') || ':' || CAST(y.j AS VARCHAR))), ',') AS pairs FROM m""")
-def line_match(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    """Greedy partners, best first, inside the row: each page's candidates are one ordered array."""
-    best = _candidates(spark, sf_dir, corpus=corpus).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), "i", "j"))).alias("c"))
-    empty = F.array().cast("array<struct<s:double,i:int,j:int>>")
-    taken = F.aggregate("c", empty, lambda acc, x: F.when(F.exists(acc, lambda y: (y["i"] == x["i"]) | (y["j"] == x["j"])), acc).otherwise(F.array_append(acc, x)))
-    rows = best.select("page_id", taken.alias("p"))
+def line_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that may be partners, with their similarity."""
+    return _line_keys(spark, sf_dir).select("page_id", F.inline(X.line_candidates("a", "b")))
+
+
+@query(f"""WITH {SQL}, {_MATCHED} SELECT page_id, CAST(len(pairs) AS BIGINT) AS matched, array_to_string(list_sort(list_transform(pairs, lambda y: lpad(CAST(y.i AS VARCHAR), 4, '0') || ':' || CAST(y.j AS VARCHAR))), ',') AS pairs FROM m""")
+def line_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy partners, best first."""
+    rows = _line_keys(spark, sf_dir).select("page_id", X.line_partners("a", "b").alias("p")).where("size(p) > 0")
     said = F.array_join(F.array_sort(F.transform("p", lambda y: F.concat(F.lpad(y["i"].cast("string"), 4, "0"), F.lit(":"), y["j"].cast("string")))), ",")
     return rows.select("page_id", F.size("p").cast("long").alias("matched"), said.alias("pairs"))
 
 
-@query()
-def order_corrected(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
-    """Order metrics of each page (rebuilding the text by its partners has no SQL form)."""
-    return _scores(spark, sf_dir, corpus=corpus).where("metrics IS NOT NULL").select("page_id", "order.*", F.col("order_counts.concordant").alias("concordant"), F.col("order_counts.pairs").alias("pairs"))
+@query(f"""WITH {SQL}, {_MATCHED}, y AS (SELECT page_id, reference, coalesce(rebuilt, baseline) AS rebuilt, o.* EXCLUDE (page_id, rebuilt) FROM page JOIN o USING (page_id)), {edits_sql('z', 'y', 'reference', 'rebuilt')}
+  SELECT page_id, CAST(edits AS DOUBLE) / length(reference) AS order_corrected_cer, CASE WHEN pairs > 0 THEN CAST(concordant AS DOUBLE) / pairs END AS reading_order_accuracy, CAST(matched AS INTEGER) AS matched_lines,
+  CAST(ref_lines AS INTEGER) AS ref_lines, CAST(pred_lines AS INTEGER) AS pred_lines, CAST(concordant AS INTEGER) AS concordant, CAST(pairs AS INTEGER) AS pairs FROM y JOIN z USING (page_id)""")
+def order_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order metrics of each page: lines put in the reference's order, and concordant pairs of lines."""
+    return _scores(spark, sf_dir).where("metrics IS NOT NULL").select("page_id", "order.*", F.col("order_counts.concordant").alias("concordant"), F.col("order_counts.pairs").alias("pairs"))
 
 
-@query(f"""WITH {SQL}, p AS (SELECT doc_id, (doc_id * 7919 + s * s * 31) % 97 AS v, s FROM page CROSS JOIN range(6) t(s))
-  SELECT a.doc_id, count(*) FILTER (a.v < b.v) AS concordant, count(*) AS pairs FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.s < b.s GROUP BY 1""")
-def concordance(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    """Concordant pairs of a sequence, as array functions."""
-    k = F.col("doc_id")
-    rows = corpus(spark, sf_dir).select("doc_id", F.array(*((k * 7919 + s * s * 31) % 97 for s in range(6))).alias("v"))
-    n = F.aggregate(F.transform("v", lambda x, i: F.size(F.filter(F.slice("v", i + 2, 6), lambda y: x < y))), F.lit(0), lambda a, b: a + b)
-    return rows.select("doc_id", n.cast("long").alias("concordant"), F.lit(15).cast("long").alias("pairs"))
+@query(f"WITH {SQL}, {_MATCHED} SELECT split, CAST(sum(concordant) AS BIGINT) AS concordant, CAST(sum(pairs) AS BIGINT) AS pairs, CAST(sum(concordant) AS DOUBLE) / CAST(nullif(sum(pairs), 0) AS BIGINT) AS reading_order_accuracy, count(*) FILTER (pairs = 0) AS pages_without_order_signal FROM page JOIN o USING (page_id) GROUP BY split")
+def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each split's concordance over all its pages, and how many of them say nothing about order."""
+    scores = _scores(spark, sf_dir).where("metrics IS NOT NULL")
+    sums = scores.groupBy("split").agg(*(F.sum(f"order_counts.{c}").alias(c) for c in ("concordant", "pairs")))
+    return rollups.split_totals(scores).select("split", "reading_order_accuracy", "pages_without_order_signal").join(sums, "split")
 
 
 # ---- filters, subsets and validation
 
 
 def _filtered(sql: str, expression: str, name: str) -> None:
-    def run(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return predicate.select(corpus(spark, sf_dir), predicate.parse(expression)).select("page_id", "split", "source")
 
     run.__name__ = name
@@ -330,32 +304,103 @@ _filtered("contains(source, 'c1') AND len(list_filter(distortions, lambda x: con
 
 
 @query(f"WITH {SQL} SELECT page_id, split FROM page WHERE doc_id IN (SELECT DISTINCT user_id FROM events) AND kind <> 'probe'")
-def pages_subset(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def pages_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "events").select(F.concat(F.lit("doc_"), F.lpad(F.col("user_id").cast("string"), 12, "0")).alias("page_id"))
     return predicate.select(corpus(spark, sf_dir), predicate.parse("kind!=probe"), ids).select("page_id", "split")
 
 
 @query(f"WITH {SQL} SELECT page_id FROM page WHERE doc_id % 17 = 0")
-def missing_predictions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def missing_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = corpus(spark, sf_dir)
     return validation.missing_predictions(pages, pages.where("doc_id % 17 <> 0").select("page_id", "prediction")).select("page_id")
 
 
 @query(f"WITH {SQL} SELECT page_id FROM page WHERE doc_id % 19 = 3")
-def orphan_predictions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def orphan_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = corpus(spark, sf_dir)
     return validation.orphan_predictions(pages.select("page_id"), pages.where("doc_id % 19 <> 3")).select("page_id")
 
 
-@query("WITH n AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k, min(doc_id) OVER (PARTITION BY source) AS first_seen FROM documents) SELECT source, count(*) - 1 AS repeats, any_value(first_seen) AS first_seen FROM n GROUP BY source")
-def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated keys with the place where each was first seen."""
-    return table(spark, sf_dir, "documents").groupBy("source").agg((F.count("*") - 1).alias("repeats"), F.min("doc_id").alias("first_seen"))
+# ---- files: what the engine writes it reads again
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share."""
+    return f"{checkpoint_dir(spark)}/quire-{uuid.uuid4().hex}"
+
+
+def _manifest_file(spark: SparkSession, sf_dir: str) -> str:
+    """The corpus as a manifest of JSON lines in the order of ids, with faults: repeated ids, unknown kinds and fields, two references."""
+    k, pages = F.col("doc_id"), corpus(spark, sf_dir)
+    odd = lambda n, c: F.when(k % 29 == n, c)
+    ident = F.when(k % 29 == 5, F.concat(F.lit("doc_"), F.lpad((k - 1).cast("string"), 12, "0"))).otherwise(F.col("page_id"))
+    row = F.struct(
+        ident.alias("page_id"), "split", F.coalesce(odd(7, F.lit("film")), F.col("kind")).alias("kind"), F.col("reference").alias("reference_text"), odd(11, F.lit("ref.txt")).alias("reference_path"),
+        F.concat(F.lit("images/"), "page_id").alias("image_path"), "fonts", F.reverse("distortions").alias("distortions"), "source", "is_augmented", odd(13, F.lit(1)).alias("colour"),
+    )
+    folder = _scratch(spark)
+    pages.select("doc_id", F.to_json(row).alias("value")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id").select("value").write.text(folder)
+    return folder
+
+
+_FAULTS = f"""f AS (SELECT *, doc_id % 29 AS odd, row_number() OVER (ORDER BY doc_id) AS line, lag(doc_id) OVER (ORDER BY doc_id) AS before FROM page),
+  faults AS (SELECT *, odd = 5 AND before IS NOT DISTINCT FROM doc_id - 1 AS again FROM f)"""
+
+
+@query(f"""WITH {SQL}, {_FAULTS} SELECT CASE WHEN odd = 5 THEN 'doc_' || lpad(CAST(doc_id - 1 AS VARCHAR), 12, '0') ELSE page_id END AS page_id, split, kind, reference AS reference_text, array_to_string(list_sort(distortions), ',') AS distortions, source, is_augmented, line
+  FROM faults WHERE odd NOT IN (7, 11) AND NOT again""")
+def manifest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that a manifest's good lines give."""
+    pages, _ = read_manifest(spark, _manifest_file(spark, sf_dir))
+    return pages.select("page_id", "split", "kind", "reference_text", F.array_join("distortions", ",").alias("distortions"), "source", "is_augmented", "line")
+
+
+@query(f"""WITH {SQL}, {_FAULTS} SELECT line, CASE WHEN odd = 7 THEN 'unknown kind' WHEN odd = 11 THEN 'two references' WHEN odd = 13 THEN 'unknown field' ELSE 'first seen at line ' || CAST(line - 1 AS VARCHAR) END AS problem
+  FROM faults WHERE odd IN (7, 11, 13) OR again""")
+def manifest_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything wrong with a manifest, repeated ids with the line where they were first seen."""
+    _, problems = read_manifest(spark, _manifest_file(spark, sf_dir))
+    m = F.col("message")
+    said = F.when(m.contains("unknown kind"), "unknown kind").when(m.contains("exactly one of"), "two references").when(m.contains("unknown field"), "unknown field").otherwise(F.regexp_extract(m, r"first seen at line \d+", 0))
+    return problems.select("line", said.alias("problem"))
+
+
+def _prediction_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The baseline's predictions as JSON lines in the order of ids, some of them repeated or without text."""
+    k, pages = F.col("doc_id"), corpus(spark, sf_dir)
+    both = pages.select("doc_id", F.lit(0).alias("n"), "page_id", F.when(k % 31 != 3, F.col("prediction")).alias("text")).union(pages.where(k % 17 == 2).select("doc_id", F.lit(1), "page_id", F.lit("again")))
+    folder = _scratch(spark)
+    both.repartitionByRange(1, "doc_id", "n").sortWithinPartitions("doc_id", "n").select(F.to_json(F.struct("page_id", "text")).alias("value")).write.text(folder)
+    return folder
+
+
+@query(f"WITH {SQL} SELECT page_id, CASE WHEN doc_id % 31 = 3 THEN 'again' ELSE baseline END AS text FROM page WHERE doc_id % 31 <> 3 OR doc_id % 17 = 2")
+def prediction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions from JSON lines: of lines with one id the first good one counts."""
+    return read_lines(spark, _prediction_lines(spark, sf_dir))[0]
+
+
+@query(f"WITH {SQL} SELECT 'repeats' AS kind, count(*) AS n FROM page WHERE doc_id % 17 = 2 AND doc_id % 31 <> 3 UNION ALL SELECT 'lacks', count(*) FROM page WHERE doc_id % 31 = 3")
+def prediction_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that give no prediction, by what is wrong with them."""
+    problems = read_lines(spark, _prediction_lines(spark, sf_dir))[1]
+    return problems.groupBy(F.when(F.col("message").contains("repeats the page_id"), "repeats").otherwise("lacks").alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {SQL} SELECT page_id, baseline AS text, CAST(strlen(baseline) AS BIGINT) AS bytes FROM page")
+def prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions written as one file a page, and read again from the folder; a file's last line end is not part of a text."""
+    folder = _scratch(spark)
+    texts = corpus(spark, sf_dir).select("page_id", F.concat("prediction", F.lit("\n")).alias("text"))
+    written = write_predictions(texts, folder.removeprefix("file:")).select(F.regexp_replace("path", r"\.txt$", "").alias("page_id"), (F.col("bytes") - 1).alias("bytes"))
+    sizes = _scratch(spark)
+    written.write.parquet(sizes)
+    return read_folder(spark, folder)[0].join(spark.read.parquet(sizes), "page_id")
 
 
 @query(f"""WITH {SQL}, t AS (SELECT page_id, CASE WHEN doc_id % 23 = 0 THEN '!?. ' ELSE reference END AS r FROM page WHERE kind <> 'probe')
   SELECT page_id, 'skeleton' AS level FROM t WHERE {_skel('r')} = ''""")
-def empties_at_level(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def empties_at_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = corpus(spark, sf_dir).where("kind <> 'probe'").withColumn("reference", F.when(F.col("doc_id") % 23 == 0, "!?. ").otherwise(F.col("reference")))
     return validation.content_problems(pages).select("page_id", F.regexp_extract("message", r"level (\w+)$", 1).alias("level"))
 
@@ -368,23 +413,17 @@ def content_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SQL}, v AS (SELECT page_id, list_sort(list_concat(distortions, fonts)) AS a FROM page) SELECT page_id, array_to_string(a, ',') AS sorted FROM v""")
-def sorted_values(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def sorted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays as a manifest keeps them: sorted, repeated values stay."""
     return corpus(spark, sf_dir).select("page_id", F.array_join(F.array_sort(F.concat("distortions", "fonts")), ",").alias("sorted"))
 
 
-@query(f"WITH {SQL} SELECT split, count(*) AS pages, count(*) FILTER (quality = 0) AS low_quality, count(*) FILTER (toxic = 1) AS toxic FROM page JOIN labels USING (doc_id) GROUP BY split")
-def labelled_pages(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    rows = corpus(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
-    return rows.groupBy("split").agg(F.count("*").alias("pages"), F.count_if(F.col("quality") == 0).alias("low_quality"), F.count_if(F.col("toxic") == 1).alias("toxic"))
-
-
 # ---- comparison
 
 
-def _two(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> tuple[DataFrame, DataFrame]:
+def _two(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rounded = lambda df: df.withColumn("metrics", F.when(F.col("metrics").isNotNull(), F.struct(F.struct(F.round("metrics.strict.cer", 6).alias("cer")).alias("strict"))))
-    return rounded(_scores(spark, sf_dir, "baseline", corpus=corpus)), rounded(_scores(spark, sf_dir, "candidate", corpus=corpus))
+    return rounded(_scores(spark, sf_dir, "baseline")), rounded(_scores(spark, sf_dir, "candidate"))
 
 
 _DELTAS = f"""{BOTH}, j AS (SELECT b.page_id, b.split, b.outcome AS ob, c.outcome AS oc, b.has_metrics AS rated, round(CAST(b.char_edits AS DOUBLE) / b.ref_chars, 6) AS cb, round(CAST(c.char_edits AS DOUBLE) / c.ref_chars, 6) AS cc FROM s_baseline b JOIN s_candidate c USING (page_id)),
@@ -393,22 +432,22 @@ _DELTAS = f"""{BOTH}, j AS (SELECT b.page_id, b.split, b.outcome AS ob, c.outcom
 
 
 @query(f"{_DELTAS} SELECT * FROM deltas")
-def page_deltas(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus))
+def page_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.page_deltas(*_two(spark, sf_dir))
 
 
 @query(f"{_DELTAS} SELECT page_id, delta_cer FROM deltas WHERE delta_cer > 0")
-def regressions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return contrast.regressions(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus))).select("page_id", "delta_cer")
+def regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.regressions(contrast.page_deltas(*_two(spark, sf_dir))).select("page_id", "delta_cer")
 
 
 @query(f"{_DELTAS} SELECT page_id, delta_cer FROM deltas WHERE delta_cer < 0")
-def improvements(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return contrast.improvements(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus))).select("page_id", "delta_cer")
+def improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.improvements(contrast.page_deltas(*_two(spark, sf_dir))).select("page_id", "delta_cer")
 
 
 @query(f"WITH {SQL}, b AS (SELECT page_id FROM page WHERE doc_id % 11 <> 0), c AS (SELECT page_id FROM page WHERE doc_id % 12 <> 0) SELECT page_id, 'baseline' AS side FROM b WHERE page_id NOT IN (FROM c) UNION ALL SELECT page_id, 'candidate' FROM c WHERE page_id NOT IN (FROM b)")
-def page_set_diff(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def page_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = corpus(spark, sf_dir)
     return contrast.page_set_difference(pages.where("doc_id % 11 <> 0"), pages.where("doc_id % 12 <> 0"))
 
@@ -423,39 +462,40 @@ _CHANGES = f"""{BOTH}, {_totals_sql('baseline')}, {_totals_sql('candidate')},
   changes AS (SELECT split, metric, baseline, candidate, candidate - baseline AS delta FROM u_b JOIN u_c USING (split, metric))"""
 
 
-def _changes(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return contrast.metric_changes(rollups.split_totals(_scores(spark, sf_dir, "baseline", corpus=corpus)), rollups.split_totals(_scores(spark, sf_dir, "candidate", corpus=corpus)))
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contrast.metric_changes(rollups.split_totals(_scores(spark, sf_dir, "baseline")), rollups.split_totals(_scores(spark, sf_dir, "candidate")))
 
 
 @query(f"{_CHANGES} SELECT *, CASE WHEN delta = 0 THEN 'unchanged' WHEN (metric = 'exact_match_rate') = (delta > 0) THEN 'better' ELSE 'worse' END AS direction FROM changes")
-def metric_directions(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _changes(spark, sf_dir, corpus=corpus).where("metric <> 'wer'")
+def metric_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changes(spark, sf_dir).where("metric <> 'wer'")
 
 
 @query(f"{_CHANGES} SELECT metric, max(delta) AS worst FROM changes WHERE metric LIKE '%l%rate' AND metric <> 'exact_match_rate' GROUP BY metric")
-def worst_rate_change(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    return _changes(spark, sf_dir, corpus=corpus).where(F.col("metric").isin("hallucination_rate", "false_refusal_rate")).groupBy("metric").agg(F.max("delta").alias("worst"))
+def worst_rate_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changes(spark, sf_dir).where(F.col("metric").isin("hallucination_rate", "false_refusal_rate")).groupBy("metric").agg(F.max("delta").alias("worst"))
 
 
 @query()
-def bootstrap_ci(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
-    """Exact resampling needs Python's own generator; fewer resamples than a real comparison's 10,000."""
-    return contrast.bootstrap(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus)), resamples=500)
+def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a comparison draws it, from Python's own generator."""
+    return contrast.bootstrap(contrast.page_deltas(*_two(spark, sf_dir)))
 
 
 @query()
-def bootstrap_poisson(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
-    return contrast.bootstrap_scalable(contrast.page_deltas(*_two(spark, sf_dir, corpus=corpus)), resamples=100)
+def bootstrap_poisson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a comparison of large runs draws it."""
+    return contrast.bootstrap_scalable(contrast.page_deltas(*_two(spark, sf_dir)))
 
 
 @query(f"""{_CHANGES}, f AS (SELECT max(delta) FILTER (metric = 'cer' AND split = 'gold_scans') > 0 AS gold, max(delta) FILTER (metric = 'hallucination_rate') * 100 > 1.0 AS hallucination, max(delta) FILTER (metric = 'false_refusal_rate') * 100 > 1.0 AS refusal,
   (max(baseline) FILTER (metric = 'cer' AND split = 'synthetic_heldout') - max(candidate) FILTER (metric = 'cer' AND split = 'synthetic_heldout')) * 100 AS gain FROM changes)
   SELECT CASE WHEN gold OR hallucination OR refusal THEN 'REJECT' WHEN gain >= 0.5 THEN 'PROMOTE' ELSE 'INCONCLUSIVE' END AS verdict FROM f""")
-def verdict(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ("strict_cer_micro", "hallucination_rate", "false_refusal_rate")
     sides = []
     for p in ("baseline", "candidate"):  # a row a split
-        rows = rollups.split_totals(_scores(spark, sf_dir, p, corpus=corpus)).select("split", *keys).collect()
+        rows = rollups.split_totals(_scores(spark, sf_dir, p)).select("split", *keys).collect()
         sides.append({r["split"]: {"cer": r[keys[0]], keys[1]: r[keys[1]], keys[2]: r[keys[2]]} for r in rows})
     return spark.createDataFrame([(contrast.decide(*sides).verdict,)], "verdict string")
 
@@ -480,7 +520,9 @@ def parse_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out by group: all augmented copies of a page fall on the same side."""
     rows = _sharded(spark, sf_dir).withColumn("group", shard_group(F.col("stem")))
-    return rows.groupBy("group").agg(F.count("*").alias("pages"), F.every(F.col("group").isin(2, 5)).alias("held_out"))
+    train, heldout = prepare.hold_out(rows, (2, 5))
+    count = lambda df, held: df.groupBy("group").agg(F.count("*").alias("pages"), F.lit(held).alias("held_out"))
+    return count(train, False).unionByName(count(heldout, True))
 
 
 @query("""WITH o AS (SELECT lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM documents)
@@ -517,7 +559,7 @@ def image_token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {SQL}, o AS (SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS place FROM page) SELECT page_id, CAST(place % 4 AS INTEGER) AS shard FROM o")
-def stride_shards(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
+def stride_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fourth page in the order of ids."""
     return order.stride(corpus(spark, sf_dir).select("page_id"), 4)
 
@@ -533,37 +575,32 @@ def training_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.to_json(F.struct(*prepare.record_columns("/data"))).alias("record"))
 
 
-@query("SELECT conv_id, count(*) AS turns, string_agg(role, '>' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id")
-def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
-    return rows.select("conv_id", F.size("t").cast("long").alias("turns"), F.array_join(F.col("t.role"), ">").alias("roles"))
-
-
 @query("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 24 PRECEDING AND CURRENT ROW), 6) AS trailing FROM events")
 def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-24, 0)
     return table(spark, sf_dir, "events").select("event_id", F.round(F.avg("value").over(w), 6).alias("trailing"))
 
 
-@query(f"WITH {SQL} SELECT split, sha256(string_agg(page_id || chr(0) || baseline || chr(0), '' ORDER BY page_id)) AS digest, count(*) AS pages FROM page GROUP BY split")
-def predictions_digest(spark: SparkSession, sf_dir: str, corpus: Corpus = corpus) -> DataFrame:
-    one = F.concat("page_id", F.lit("\0"), "prediction", F.lit("\0"))
-    rows = corpus(spark, sf_dir).groupBy("split").agg(F.array_sort(F.collect_list(F.struct("page_id", one.alias("x")))).alias("a"))
-    return rows.select("split", F.sha2(F.array_join(F.col("a.x"), ""), 256).alias("digest"), F.size("a").cast("long").alias("pages"))
+@query(f"WITH {SQL} SELECT split, 'sha256:' || sha256(string_agg(page_id || chr(0) || baseline || chr(0), '' ORDER BY page_id)) AS digest FROM page GROUP BY split")
+def predictions_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of each split's predictions."""
+    pages = corpus(spark, sf_dir).withColumnRenamed("prediction", "text")
+    splits = sorted(r["split"] for r in pages.select("split").distinct().collect())
+    return spark.createDataFrame([(s, digest(pages.where(F.col("split") == s))) for s in splits], "split string, digest string")
 
 
 @query()
-def negatives_sample(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
+def negatives_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling with replacement by a hash of seed and name."""
     rows = corpus(spark, sf_dir).select("page_id", F.concat(F.lit("images/"), "page_id").alias("image_path"))
     return prepare.negatives(spark, "unreadable_train", 100, rows, 42).drop("i")
 
 
 @query()
-def codepoint_diff(spark: SparkSession, sf_dir: str, corpus: Corpus = whole_corpus) -> DataFrame:
+def codepoint_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code points in which the worst pages differ from their references."""
     from quire.reports import codepoint_differences
 
-    worst = rollups.worst_pages(_scores(spark, sf_dir, corpus=corpus), 10).select("page_id")
+    worst = rollups.worst_pages(_scores(spark, sf_dir), 10).select("page_id")
     rows = corpus(spark, sf_dir).join(F.broadcast(worst), "page_id").select("page_id", "reference", "prediction").orderBy("page_id").collect()
     return spark.createDataFrame([(r["page_id"], "\n".join(codepoint_differences(r["reference"], r["prediction"]))) for r in rows], "page_id string, differences string")

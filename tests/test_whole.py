@@ -1,4 +1,4 @@
-"""Queries over whole texts against brute force, where the SQL reads only a prefix."""
+"""Queries over whole texts against brute force."""
 
 import random
 from collections import defaultdict
@@ -6,8 +6,9 @@ from collections import defaultdict
 import pytest
 
 import __spark_entry__ as entry
-from quire.plans.corpus import PAGE_CHARS
-from quire.schema import MARKER
+from quire.functions import text
+from quire.plans.corpus import STRETCH
+from quire.schema import MARKER, THRESHOLDS
 
 
 def slow_edits(a, b):
@@ -21,42 +22,79 @@ def slow_edits(a, b):
 
 @pytest.fixture(scope="module")
 def long_texts(spark, tmp_path_factory):
-    """A folder whose documents go on past PAGE_CHARS, in letters beyond ASCII; their pages' (reference, baseline) by page_id."""
+    """A folder whose documents go on past a damaged stretch, in letters beyond ASCII; their pages' (reference, baseline) by page_id."""
     draw, folder, texts = random.Random(9), str(tmp_path_factory.mktemp("whole")), {}
     for i in (4, 5, 6, 7, 8, 9, 11, 12, 17, 31):
         lines = [" ".join("".join(draw.choice("aeibdé\u0627\u0628ü") for _ in range(5)) for _ in range(10)) for _ in range(15)]
         texts[i] = "\n".join(lines)
-    texts[12] = "\u0627" * (PAGE_CHARS + 5) + "\nb only here"
+    texts[12] = "\u0627" * (STRETCH + 5) + "\nb only here"
     spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     made = {"at0": "", "at1": MARKER}
     pages = {}
     for i, t in texts.items():
         first, rest = t.split("\n", 1)
-        at = i % 13
-        pages[f"doc_{i:012d}"] = t, made.get(f"at{at}", (t[:60] + "\n") * 12 if at == 2 else rest + "\n" + first if at == 3 else t.translate(str.maketrans("aei", "eia")))
+        at, start = i % 13, i * 37 % len(t)
+        damaged = t[:start] + t[start : start + STRETCH].translate(str.maketrans("aei", "eia")) + t[start + STRETCH :]
+        pages[f"doc_{i:012d}"] = t, made.get(f"at{at}", (t[:60] + "\n") * 12 if at == 2 else rest + "\n" + first if at == 3 else damaged)
     return folder, pages
 
 
 def test_pages_are_whole(spark, long_texts):
     folder, pages = long_texts
-    rows = {r["page_id"]: r for r in entry.queries()["page_char_edits_whole"](spark, folder).collect()}
+    rows = {r["page_id"]: r for r in entry.queries()["page_char_edits"](spark, folder).collect()}
     assert {k: (r["char_edits"], r["ref_chars"]) for k, r in rows.items()} == {k: (slow_edits(a, b), len(a)) for k, (a, b) in pages.items()}
     results = {r["page_id"]: r["metrics"]["strict"] for r in entry.queries()["page_results"](spark, folder).collect()}
     assert {k: (m["char_edits"], m["word_edits"]) for k, m in results.items()} == {k: (slow_edits(a, b), slow_edits(a.split(), b.split())) for k, (a, b) in pages.items()}
     totals = defaultdict(int)
     for k, (a, b) in pages.items():
         totals["gold_scans" if int(k[4:]) % 10 == 1 else "synthetic_heldout"] += slow_edits(a, b)
-    assert {r["split"]: r["char_edits"] for r in entry.queries()["split_summary_whole"](spark, folder).collect()} == totals
+    assert {r["split"]: r["char_edits"] for r in entry.queries()["split_summary"](spark, folder).collect()} == totals
 
 
 def test_word_edits_are_whole(spark, long_texts):
     folder, pages = long_texts
-    rows = {r["page_id"]: (r["word_edits"], r["ref_words"]) for r in entry.queries()["page_word_edits_whole"](spark, folder).collect()}
+    rows = {r["page_id"]: (r["word_edits"], r["ref_words"]) for r in entry.queries()["page_word_edits"](spark, folder).collect()}
     assert rows == {k: (slow_edits(a.split(), b.split()), len(a.split())) for k, (a, b) in pages.items()}
     assert max(n for _, n in rows.values()) > 30
 
 
-def test_each_cut_query_has_a_whole_one():
-    cut = [n for n, sql in entry.oracle_sql().items() if f", {PAGE_CHARS})" in sql]
-    assert len(cut) > 40
-    assert set(cut) <= {n[: -len("_whole")] for n in entry.queries() if n.endswith("_whole")}
+def test_full_word_edits(spark, long_texts):
+    """Errors all over the texts, not in one stretch."""
+    folder, pages = long_texts
+    rows = {f"doc_{r['doc_id']:012d}": (r["word_edits"], r["words"]) for r in entry.queries()["page_word_edits_full"](spark, folder).collect()}
+    swapped = {k: t.translate(str.maketrans("ae", "ea")) for k, (t, _) in pages.items()}
+    assert rows == {k: (slow_edits(t.split(), swapped[k].split()), len(t.split())) for k, (t, _) in pages.items()}
+
+
+def test_split_levels(spark, long_texts):
+    """All rates of a split, from distances counted one by one at each level."""
+    folder, pages = long_texts
+    level = {"strict": lambda t: t, "diacritic_insensitive": text.bare_of, "skeleton": text.skeleton_of}
+    for r in entry.queries()["split_levels"](spark, folder).collect():
+        mine = [v for k, v in pages.items() if (int(k[4:]) % 10 == 1) == (r["split"] == "gold_scans")]
+        for name, f in level.items():
+            got = [(slow_edits(f(a), f(b)), len(f(a)), slow_edits(f(a).split(), f(b).split()), len(f(a).split()), f(a) == f(b)) for a, b in mine]
+            n = len(got)
+            assert r[f"{name}_cer_micro"] == pytest.approx(sum(x[0] for x in got) / sum(x[1] for x in got))
+            assert r[f"{name}_wer_micro"] == pytest.approx(sum(x[2] for x in got) / sum(x[3] for x in got))
+            assert r[f"{name}_cer_macro"] == pytest.approx(sum(x[0] / x[1] for x in got) / n)
+            assert r[f"{name}_wer_macro"] == pytest.approx(sum(x[2] / x[3] for x in got) / n)
+            assert r[f"{name}_exact_match_rate"] == pytest.approx(sum(x[4] for x in got) / n)
+
+
+def test_bootstrap(spark):
+    """The exact resampling against a plain one; the scalable one against the same interval."""
+    sf = "/root/testdata/sf0.001"
+    deltas = {}
+    for r in entry.queries()["page_deltas"](spark, sf).collect():
+        deltas.setdefault(r["split"], []).append((r["page_id"], r["delta_cer"]))
+    got = {r["split"]: r for r in entry.queries()["bootstrap_ci"](spark, sf).collect()}
+    poisson = {r["split"]: r for r in entry.queries()["bootstrap_poisson"](spark, sf).collect()}
+    assert set(got) == set(poisson) == set(deltas)
+    for split, rows in deltas.items():
+        d, draw = [x for _, x in sorted(rows)], random.Random(THRESHOLDS["bootstrap_seed"])
+        means = sorted(sum(d[int(draw.random() * len(d))] for _ in d) / len(d) for _ in range(10_000))
+        assert (got[split]["n"], got[split]["ci_low"], got[split]["ci_high"]) == (len(d), pytest.approx(means[250], abs=1e-12), pytest.approx(means[9750], abs=1e-12))
+        if len(d) > 10:
+            spread = means[9750] - means[250]
+            assert abs(poisson[split]["ci_low"] - means[250]) <= 0.25 * spread + 1e-9 and abs(poisson[split]["ci_high"] - means[9750]) <= 0.25 * spread + 1e-9

@@ -15,8 +15,9 @@ from quire.llm.common import WORD, partitions, settle
 WEIGHTS = (3, 1, 2)
 #: The mix has so many times the words of the corpus, and no source (or document) more than CAP times its own.
 SHARE, CAP = 1.5, 2
-#: Blocks have at most this many words; a small corpus has smaller ones, so that the schedule has at least LEAST_SLOTS.
-BLOCK_WORDS, LEAST_SLOTS = 4096, 1 << 16
+#: Blocks have at most this many words; a small corpus has smaller ones, so that the schedule has at least LEAST_SLOTS, and a
+#: small source so that it has at least LEAST_BLOCKS (if it has so many words): a slot more or less is then little of its target.
+BLOCK_WORDS, LEAST_SLOTS, LEAST_BLOCKS = 4096, 1 << 16, 512
 #: Sources are a category column. Their sums meet on the driver, so there is a bound, and past it an error.
 MAX_SOURCES = 100_000
 #: Slots that one task ranks at once.
@@ -30,15 +31,18 @@ def targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE
     out, left, pot = [0.0] * len(sizes), list(range(len(sizes))), share * sum(sizes)
     while left:
         rate = pot / sum(weights[i] for i in left)
-        over = [i for i in left if rate * weights[i] > cap * sizes[i]]
-        if not over:
+        under = []
+        for i in left:
+            if rate * weights[i] > cap * sizes[i]:
+                out[i] = float(cap * sizes[i])
+                pot -= out[i]
+            else:
+                under.append(i)
+        if len(under) == len(left):
             for i in left:
                 out[i] = rate * weights[i]
             break
-        for i in over:
-            out[i] = float(cap * sizes[i])
-            pot -= out[i]
-        left = [i for i in left if i not in set(over)]
+        left = under
     return out
 
 
@@ -61,21 +65,20 @@ def schedule(spark: SparkSession, shares: Sequence[float], slots: int) -> DataFr
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for c in b.column(0).to_pylist():
-                k = np.bincount(_chunk_sources(c, slots, bounds), minlength=len(bounds))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), c)), pa.array(np.arange(len(k), dtype=np.int32)), pa.array(k)], names=["chunk", "s", "n"])
+                s, k = np.unique(_chunk_sources(c, slots, bounds), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), c)), pa.array(s), pa.array(k)], names=["chunk", "s", "n"])
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for c in b.column(0).to_pylist():
                 s = _chunk_sources(c, slots, bounds)
-                order = np.argsort(s, kind="stable")
-                first = np.r_[0, np.cumsum(np.bincount(s, minlength=len(bounds)))[:-1]]
-                own = np.empty(len(s), np.int64)
-                own[order] = np.arange(len(s)) - first[s[order]]
+                order, own = np.argsort(s, kind="stable"), np.empty(len(s), np.int64)
+                first = np.flatnonzero(np.r_[True, s[order][1:] != s[order][:-1]])
+                own[order] = np.arange(len(s)) - np.repeat(first, np.diff(np.r_[first, len(s)]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), c)), pa.array(c * CHUNK + np.arange(len(s))), pa.array(s), pa.array(own)], names=["chunk", "slot", "s", "own"])
 
     before = Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    base = chunks.mapInArrow(count, "chunk long, s int, n long").where("n > 0").withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    base = chunks.mapInArrow(count, "chunk long, s int, n long").withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
     ranked = chunks.mapInArrow(rank, "chunk long, slot long, s int, own long")
     return ranked.join(base, ["chunk", "s"]).select("slot", "s", (F.col("own") + F.col("base")).alias("rank"))
 
@@ -99,10 +102,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     documents: every row's id with source, size, source_size, target and taken (words of it in the mix, repeats counted).
     schedule: slot, source, block, epoch and words in training order; slot i takes the next block of its source, whose
-    documents stand end to end in a shuffled order that depends on seed, id and text alone, and starts again at its end.
+    documents stand end to end in a shuffled order that depends on seed, id and text alone, and starts again at its end. A
+    source's blocks are equal (to a word); sources with fewer words have smaller ones, and more slots for each word.
 
     Words are runs of other characters than space and \\t..\\r; null text has none. A null source is a source, the last;
-    repeated rows are rows of their own. Documents without words have taken 0; without any words all targets are 0 and the
+    repeated rows are rows of their own, and a very long text lies in many blocks. Documents without words have taken 0; without any words all targets are 0 and the
     schedule is empty. At most MAX_SOURCES sources (else ValueError). Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -118,21 +122,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     aims = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], share, cap)
     total, n = sum(aims), sum(r["n"] for r in found)
     block = max(1, min(BLOCK_WORDS, int(total // LEAST_SLOTS)))
+    counts = [max(-(-n // block), min(n, LEAST_BLOCKS)) for n in sizes]
+    wanted = [aim * k / n if n else 0.0 for aim, k, n in zip(aims, counts, sizes, strict=True)]
     table = spark.createDataFrame(
-        [(r["source"], i, r["size"], aims[i], -(-r["size"] // block)) for i, r in enumerate(found)], "source string, s int, source_size long, target double, blocks long"
+        # the first `longer` blocks of a source have a word more than `words`
+        [(r["source"], i, n, aims[i], k, n // max(k, 1), n % max(k, 1)) for i, (r, n, k) in enumerate(zip(found, sizes, counts, strict=True))],
+        "source string, s int, source_size long, target double, blocks long, words long, longer long",
     )
     table = F.broadcast(table)  # at most MAX_SOURCES rows
     rows = counted.withColumnRenamed("source", "own").join(table, F.col("own").eqNullSafe(F.col("source"))).drop("own")
     if total <= 0:
         plan = spark.createDataFrame([], "slot long, source string, block long, epoch long, words long")
         return rows.select("id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken")), plan
-    slots = schedule(spark, aims, round(total / block)).join(table, "s").where(F.col("rank") < cap * F.col("blocks"))
-    slots = slots.select("slot", "s", "source", (F.col("rank") % F.col("blocks")).alias("block"), F.expr("rank div blocks").alias("epoch"), F.least(F.lit(block), F.col("source_size") - (F.col("rank") % F.col("blocks")) * block).cast("long").alias("words"))
+    slots = schedule(spark, wanted, round(sum(wanted))).join(table, "s").where(F.col("rank") < cap * F.col("blocks"))
+    slots = slots.withColumn("block", F.col("rank") % F.col("blocks")).select("slot", "s", "source", "block", F.expr("rank div blocks").alias("epoch"), (F.col("words") + F.when(F.col("block") < F.col("longer"), 1).otherwise(0)).alias("words"))
     times = slots.groupBy("s", "block").agg(F.count("*").alias("times"))
-    placed = _offsets(rows.where("size > 0").select("uid", "s", "size", "h"), n)
+    placed = _offsets(rows.where("size > 0").select("uid", "s", "size", "h", F.col("words").alias("q"), F.col("longer").alias("r")), n)
+    of = lambda w: f"if({w} < r * (q + 1), {w} div (q + 1), r + ({w} - r * (q + 1)) div q)"  # noqa: E731 - the block that a word is in
     ends: Column = F.col("start") + F.col("size")
-    parts = placed.select("uid", "s", "start", ends.alias("end"), F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))).alias("block"))
-    parts = parts.select("uid", "s", "block", (F.least("end", (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)).alias("words"))
+    parts = placed.select("uid", "s", "start", "q", "r", ends.alias("end"), F.explode(F.expr(f"sequence({of('start')}, {of('(start + size - 1)')})")).alias("block"))
+    begin = lambda j: F.expr(f"({j}) * q + least({j}, r)")
+    parts = parts.select("uid", "s", "block", (F.least("end", begin("block + 1")) - F.greatest("start", begin("block"))).alias("words"))
     taken = parts.join(times, ["s", "block"]).groupBy("uid").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     out = rows.join(taken, "uid", "left").select("id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "uid")
     return out.drop("uid"), slots.select("slot", "source", "block", "epoch", "words")

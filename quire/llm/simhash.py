@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +15,10 @@ from quire.llm.common import OWN, partitions, settle
 from quire.llm.components import connected_components
 
 SEED = 42
-#: 64-bit lanes of the sketch that similarity is read from, and the words of its shingles.
-LANES, SKETCH_SHINGLE = 4, 5
-_LANES = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)[:LANES]
+#: Words of the shingles whose sets tell how similar two texts are.
+SET_SHINGLE = 5
+#: A bucket of more fingerprints is cut by further bits if it does not fall into few components.
+SPLIT = 2048
 
 
 def _shingles(text: str | None, shingle: int) -> np.ndarray:
@@ -43,21 +44,6 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return _majority(_shingles(text, shingle))
 
 
-def sketch(text: str | None, shingle: int = SKETCH_SHINGLE) -> list[int]:
-    """LANES fingerprints over hashes that are mixed anew for each: its bits' differences tell the angle between two texts."""
-    h = np.unique(_shingles(text, shingle))
-    out = []
-    for lane in _LANES:
-        x = (h ^ (h >> np.uint64(31))) * lane
-        out.append(_majority((x ^ (x >> np.uint64(29))) * _LANES[0]))
-    return out
-
-
-def most_differing(similarity: float) -> int:
-    """Bits of a sketch in which two sets of this Jaccard similarity differ on average (equal sizes: cosine 2 s / (1 + s))."""
-    return round(64 * LANES * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
 def covering_masks(radius: int) -> list[int]:
     """2^(radius+1)-1 masks of 64 bits: any two words that differ in `radius` bits or fewer agree under one of them.
 
@@ -69,8 +55,8 @@ def covering_masks(radius: int) -> list[int]:
     return [sum(1 << i for i, m in enumerate(vectors) if bin(m & v).count("1") % 2) for v in range(1, size)]
 
 
-def _links(x: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[np.ndarray, int]]:
-    """Components of one bucket's words, found outward from their first members: (others, first).
+def _outward(x: np.ndarray, radius: int, work: int) -> list[tuple[np.ndarray, int]] | None:
+    """Components of distinct words, found outward from their first members: (others, first). None: more work than that.
 
     What has been reached is not looked at again, so a bucket of near copies takes a few passes, and gives no more links than
     it has words.
@@ -79,7 +65,10 @@ def _links(x: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> list
     while len(left):
         root, left, todo = int(left[0]), left[1:], [int(left[0])]
         while todo and len(left):
-            hit = near(todo.pop(), left)
+            work -= len(left)
+            if work < 0:
+                return None
+            hit = np.bitwise_count(x[todo.pop()] ^ x[left]) <= radius
             if hit.any():
                 out.append((left[hit], root))
                 todo += left[hit].tolist()
@@ -87,85 +76,97 @@ def _links(x: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> list
     return out
 
 
-def _in_buckets(batches: Iterator[pa.RecordBatch], masks: list[int], radius: int, most: int | None) -> Iterator[pa.RecordBatch]:
-    """Rows (v, fp, sketch) of whole buckets to links (a, b) between nodes: bytes of fp and sketch."""
-    got = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False), np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64)) for b in batches]
+def bucket_links(x: np.ndarray, radius: int, free: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (others, firsts) that connect all of the distinct words x that links within `radius` bits connect.
+
+    free: the bits in which words may differ. A large bucket without a few large components is cut: of radius + 1 parts of the free
+    bits, two near words agree in one, so the words that agree in a part are buckets of their own, with fewer free bits. A
+    bucket of b free bits has at most 2^b words, so this ends.
+    """
+    heads, tails, todo = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [(np.arange(len(x)), free)]
+    while todo:
+        at, free = todo.pop()
+        found = _outward(x[at], radius, len(at) * (len(at) if len(at) <= SPLIT else 64))
+        if found is not None:
+            for others, first in found:
+                heads.append(at[others])
+                tails.append(np.full(len(others), at[first]))
+            continue
+        bits = [i for i in range(64) if free >> i & 1]
+        for k in range(radius + 1):
+            part = sum(1 << i for i in bits[k :: radius + 1])
+            key = x[at] & np.uint64(part)
+            order = np.argsort(key, kind="stable")
+            cut = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1], True])
+            todo += [(at[order[a:b]], free & ~part) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if b - a > 1]
+    return np.concatenate(heads), np.concatenate(tails)
+
+
+def _in_buckets(batches: Iterator[pa.RecordBatch], masks: list[int], radius: int) -> Iterator[pa.RecordBatch]:
+    """Rows (v, fp) of whole buckets to links (a, b) between fingerprints."""
+    got = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
     if not got:
         return
     v, x = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]).view(np.uint64)
-    wide = np.concatenate([g[2] for g in got]).reshape(len(x), -1)
     key = x & np.array(masks, np.uint64)[v]
     order = np.lexsort((x, key, v))
-    v, x, key, wide = v[order], x[order], key[order], wide[order]
+    v, x, key = v[order], x[order], key[order]
     cut = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) | (key[1:] != key[:-1]), True])
     size, heads, tails = np.diff(cut), [], []
-
-    def near(i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
-        close = np.bitwise_count(x[i] ^ x[j]) <= radius
-        return close if most is None else close & (np.bitwise_count(wide[i] ^ wide[j]).sum(-1) <= most)
-
     for m in np.unique(size[(size > 1) & (size <= 8)]):  # small buckets of one size at once
         block = cut[:-1][size == m][:, None] + np.arange(m)
         for i in range(m):
             for j in range(i + 1, m):
-                hit = near(block[:, i], block[:, j])
+                hit = np.bitwise_count(x[block[:, i]] ^ x[block[:, j]]) <= radius
                 heads.append(block[hit, j])
                 tails.append(block[hit, i])
     for a, b in zip(cut[:-1][size > 8].tolist(), cut[1:][size > 8].tolist(), strict=True):
-        for others, first in _links(x[a:b], lambda p, left, a=a: near(a + p, a + left)):
-            heads.append(a + others)
-            tails.append(np.full(len(others), a + first))
+        h, t = bucket_links(x[a:b], radius, ~masks[v[a]] & (1 << 64) - 1)
+        heads.append(a + h)
+        tails.append(a + t)
     if heads:
-        nodes = np.concatenate([x[:, None].byteswap(), wide], axis=1)  # the fingerprint as hex() writes it, then the sketch
-        h, t = np.concatenate(heads), np.concatenate(tails)
+        h, t = x[np.concatenate(heads)].view(np.int64), x[np.concatenate(tails)].view(np.int64)
         for i in range(0, len(h), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array([nodes[k].tobytes() for k in part[i : i + (1 << 16)]], pa.binary()) for part in (h, t)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(part[i : i + (1 << 16)]) for part in (h, t)], names=["a", "b"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, wide: bool = False) -> DataFrame:
-    """id, fp (the fingerprint as a signed long) and sketch (bytes; empty unless wide) of every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """id and fp (the fingerprint as a signed long) of every row."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
-            fp = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            sketches = [np.array(sketch(t), np.uint64).tobytes() if wide else b"" for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), pa.array(sketches, pa.binary())], names=["id", "fp", "sketch"])
+            fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["id", "fp"])
 
-    return rows.mapInArrow(of, f"id {rows.schema[0].dataType.simpleString()}, fp long, sketch binary")
+    return rows.mapInArrow(of, f"id {rows.schema[0].dataType.simpleString()}, fp long")
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, similarity: float | None = None) -> DataFrame:
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """id, fp and component (smallest id reachable over links) of every row of docs.
 
-    Fingerprints link if they differ in `radius` bits or fewer; with a similarity, also only if sketches of the texts'
-    five-word shingles differ no more than those of texts so similar do on average (an estimate: 256 bits tell a Jaccard
-    similarity of 0.8 to about 0.04).
-
-    Rows with the same fingerprint and sketch are one node before anything is compared. Nodes go to one bucket for each
-    covering mask; a bucket gives links from its components' first members, so a large one gives no more rows than it has
-    nodes. No link is lost: the masks leave out no pair within the radius, and nothing is capped.
+    Fingerprints link if they differ in `radius` bits or fewer. Rows with the same fingerprint are one node before anything
+    is compared. Nodes go to one bucket for each covering mask; a bucket gives links from its components' first members, so
+    a large one gives about as many rows as it has nodes, and a large one without large components is cut by further bits.
+    No link is lost: the masks leave out no pair within the radius, and nothing is capped.
 
-    Null and blank texts have fingerprint zero and link to each other and to words of `radius` bits. Repeated rows give
-    repeated rows. A null id counts only if its component has no other. An empty table gives an empty result; other
-    columns are not looked at.
+    Texts are read whole, however long. Null and blank texts have fingerprint zero and link to each other and to words of
+    `radius` bits. Repeated rows give repeated rows. A null id counts only if its component has no other. An empty table
+    gives an empty result; other columns are not looked at.
     """
-    spark, node = docs.sparkSession, F.concat(F.unhex(F.lpad(F.hex("fp"), 16, "0")), "sketch").alias("node")
-    marked = settle(fingerprints(docs, id_col, text_col, shingle, similarity is not None))
-    known = settle(marked.groupBy("fp", "sketch").agg(F.min("id").alias("least")))
+    spark = docs.sparkSession
+    marked = settle(fingerprints(docs, id_col, text_col, shingle))
+    known = settle(marked.groupBy("fp").agg(F.min("id").alias("least")))
     masks = covering_masks(radius)
-    n, most = known.count() * len(masks), None if similarity is None else most_differing(similarity)
-    tables = known.select(F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for v, m in enumerate(masks)))).alias("t"), "fp", "sketch")
-    dealt = tables.repartition(partitions(spark, n, 1 << 20), "t.v", "t.key").select(F.col("t.v").alias("v"), "fp", "sketch")
-    links = dealt.mapInArrow(lambda it: _in_buckets(it, masks, radius, most), "a binary, b binary")
+    tables = known.select(F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for v, m in enumerate(masks)))).alias("t"), "fp")
+    dealt = tables.repartition(partitions(spark, known.count() * len(masks), 1 << 20), "t.v", "t.key").select(F.col("t.v").alias("v"), "fp")
+    links = dealt.mapInArrow(lambda it: _in_buckets(it, masks, radius), "a long, b long")
     roots = settle(connected_components(links))
-    known = known.select("fp", "sketch", "least", node)
-    least = known.join(roots, "node").groupBy("root").agg(F.min("least").alias("component"))
-    linked = roots.join(least, "root").select("node", "component")
-    labels = known.join(linked, "node", "left").select("fp", "sketch", F.coalesce("component", "least").alias("component"))
+    least = known.join(roots, known["fp"] == roots["node"]).groupBy("root").agg(F.min("least").alias("component"))
+    linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component")
+    labels = known.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
     labels = settle(labels)  # then both sides of the join are shuffled for it alone, and Spark may split a hot fingerprint
-    return marked.join(labels, ["fp", "sketch"]).select("id", "fp", "component")
+    return marked.join(labels, "fp").select("id", "fp", "component")
 
 
 #: Bands of ROWS minima each: a pair of Jaccard similarity 0.8 agrees in no band with a chance of (1 - 0.8^4)^20, 3 in 100,000.
@@ -181,7 +182,7 @@ def minima(h: np.ndarray) -> np.ndarray:
 
 def _set_of(text: str | None) -> tuple[np.ndarray, bytes]:
     """A text's different five-word shingles, and a digest that names the set."""
-    h = np.unique(_shingles(text, SKETCH_SHINGLE))
+    h = np.unique(_shingles(text, SET_SHINGLE))
     return h, xxhash.xxh3_128_digest(h.tobytes())
 
 
@@ -240,15 +241,17 @@ def _similar_in_buckets(batches: Iterator[pa.RecordBatch], similarity: float) ->
             yield pa.RecordBatch.from_arrays([pa.array([node[k].tobytes() for k in part[i : i + (1 << 16)]], pa.binary()) for part in (h, t)], names=["a", "b"])
 
 
-def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, radius: int = 2) -> DataFrame:
     """id and component (smallest id reachable over links) of every row of docs: texts link if the Jaccard similarity of
     their sets of five-word shingles is `similarity` or more.
 
-    Bands of minima name candidates; in each bucket a spanning forest by agreeing minima is kept, and of its links those that
-    the sets themselves confirm. No link is made on an estimate; a pair is missed if no band holds it. Texts with the same
-    set are one node; those without words are one, and link to no other. Ids as in near_classes.
+    Covering tables over the fingerprints of these sets name all candidates within `radius` bits. Texts of a similarity of 0.8
+    differ in ten bits on average, for which covering tables would number 2^11; so bands of minima name candidates too, and a
+    pair is missed only if no band holds it. In each bucket a spanning forest by agreeing minima is kept, and of its links
+    those that the sets themselves confirm: no link is made on an estimate. Texts with the same set are one node; those
+    without words are one, and link to no other. Ids as in near_classes.
     """
-    spark = docs.sparkSession
+    spark, masks = docs.sparkSession, np.array(covering_masks(radius), np.uint64)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema[0].dataType.simpleString()
 
@@ -259,7 +262,9 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 h, node = _set_of(t)
                 low = minima(h) if len(h) else np.zeros(0, np.uint64)
                 nodes.append(node)
-                keys.append([xxhash.xxh64_intdigest(low[i : i + ROWS].tobytes(), i) - (1 << 63) for i in range(0, len(low), ROWS)])
+                bands = [low[i : i + ROWS].tobytes() for i in range(0, len(low), ROWS)]
+                tables = [w.tobytes() for w in masks & np.uint64(_majority(h))] if len(h) else []
+                keys.append([xxhash.xxh64_intdigest(x, i) - (1 << 63) for i, x in enumerate(bands + tables)])
                 marks.append((low >> np.uint64(8)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())], names=["id", "node", "keys", "marks"])
 
@@ -271,7 +276,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = settle(rows.mapInArrow(marks_of, f"id {kind}, node binary, keys array<long>, marks binary"))
     known = settle(marked.groupBy("node").agg(F.min("id").alias("least"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
     tables = known.select(F.explode("keys").alias("key"), "node", "marks")
-    dealt = tables.repartition(partitions(spark, known.count() * BANDS, 1 << 20), "key")
+    dealt = tables.repartition(partitions(spark, known.count() * (BANDS + len(masks)), 1 << 20), "key")
     maybe = dealt.mapInArrow(lambda it: _similar_in_buckets(it, similarity), "a binary, b binary")
     maybe = settle(maybe.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     wanted = settle(maybe.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node").select("node", F.col("least").alias("wid")))
@@ -288,9 +293,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.select("id", "node").join(labels, "node").select("id", "component")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 5, similarity: float | None = 0.8) -> DataFrame:
-    """Rows of docs that stay: of each component, the rows with its smallest id (all, if the ids are null). Components are those
-    of similar_classes; without a similarity, those of near_classes with `shingle` and `radius`."""
-    classes = near_classes(docs, id_col, text_col, shingle, radius) if similarity is None else similar_classes(docs, id_col, text_col, similarity)
-    gone = classes.where("NOT (id <=> component)").select(F.col("id").alias(OWN + "id")).distinct()
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, radius: int = 2) -> DataFrame:
+    """Rows of docs that stay: of each component of similar_classes, the rows with its smallest id (all, if the ids are null)."""
+    gone = similar_classes(docs, id_col, text_col, similarity, radius).where("NOT (id <=> component)").select(F.col("id").alias(OWN + "id")).distinct()
     return docs.join(gone, docs[f"`{id_col}`"] == gone[OWN + "id"], "left_anti")

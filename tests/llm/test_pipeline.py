@@ -4,8 +4,9 @@ import re
 from collections import defaultdict
 
 import corpus_pipeline
-from quire.llm import decontam, quality, simhash
+from quire.llm import decontam, quality
 from quire.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.test_similar import slow_kept
 
 
 def test_stages(spark, sf):
@@ -18,22 +19,8 @@ def test_stages(spark, sf):
     for r in want:
         groups[re.sub("[\x20\x09-\x0d]+", " ", r["text"] or "")].append(r)
     exact = [min(g, key=lambda r: r["doc_id"]) for g in groups.values()]
-    marks = [(r, simhash.fingerprint(r["text"])) for r in exact]
-    root = {r["doc_id"]: r["doc_id"] for r in exact}
-    wide = {r["doc_id"]: simhash.sketch(r["text"]) for r in exact}
-    apart = lambda i, j: sum((x ^ y).bit_count() for x, y in zip(wide[i], wide[j], strict=True))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for k, (a, x) in enumerate(marks):
-        for b, y in marks[:k]:
-            if (x ^ y).bit_count() <= 5 and apart(a["doc_id"], b["doc_id"]) <= simhash.most_differing(0.8):
-                p, q = sorted((find(a["doc_id"]), find(b["doc_id"])))
-                root[q] = p
-    near = [r for r in exact if find(r["doc_id"]) == r["doc_id"]]
+    held = slow_kept(sorted((r["doc_id"], r["text"]) for r in exact))
+    near = [r for r in exact if r["doc_id"] in held]
     leaked = {r["id"] for r in decontam.contaminated(docs, bench).collect()}
     clean = [r for r in near if r["doc_id"] not in leaked]
     now = docs

@@ -1,5 +1,6 @@
 """The pipeline's near-duplicate stage against exact similarities of all pairs."""
 
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -7,8 +8,13 @@ import numpy as np
 from quire.llm import simhash
 
 
+def five_words(text):
+    w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
 def slow_kept(docs, similarity=0.8):
-    sets = [set(simhash._shingles(t, 5).tolist()) for _, t in docs]
+    sets = [five_words(t) for _, t in docs]
     held, shared = defaultdict(list), defaultdict(int)
     for k, s in enumerate(sets):
         for h in s:

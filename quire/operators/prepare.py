@@ -6,6 +6,7 @@ import hashlib
 import json
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from quire.errors import IntegrityError, UsageError
 from quire.functions.text import image_tokens
 from quire.operators.order import numbered
+from quire.operators.unreadable import pixels
 from quire.schema import MARKER
+from quire.sources.files import write_files, write_images
 from quire.sources.lines import exists
 from quire.sources.shards import list_shards, parse_shard, probe_image, read_shards, shard_aug, shard_group
 
@@ -21,6 +24,8 @@ PROMPT = "<image>Transcribe this page."
 # Kinds of unreadable page, the source of pages whose annotation names no template, and the report's quantiles.
 UNREADABLE = ("blank", "noise", "obliterated")
 NO_TEMPLATE = "ocr_data"
+#: Stored samples: what checked_samples gives, shard last as the folder's name.
+SAMPLES = "seq long, key string, ext string, image binary, problems array<string>, width int, height int, target string, font string, template string, augmentation string, shard string"
 QUANTILES = (("p50", 0.5), ("p90", 0.9), ("p99", 0.99))
 
 
@@ -69,10 +74,13 @@ def checked_samples(rows: DataFrame, verify: str = "full") -> DataFrame:
     )
 
 
+def _image_path() -> Column:
+    return F.concat(F.lit("images/"), "shard", F.lit("/"), "key", F.lit("."), "ext")
+
+
 def usable_samples(checked: DataFrame) -> DataFrame:
     ids = F.concat_ws("__", "shard", "key")
-    path = F.concat(F.lit("images/"), "shard", F.lit("/"), "key", F.lit("."), "ext")
-    return checked.where("size(problems) = 0").select(ids.alias("page_id"), path.alias("image_path"), "target", shard_group(F.col("shard")).alias("group"), shard_aug(F.col("shard")).alias("aug"), "width", "height", "font", "template", "augmentation")
+    return checked.where("size(problems) = 0").select(ids.alias("page_id"), _image_path().alias("image_path"), "target", shard_group(F.col("shard")).alias("group"), shard_aug(F.col("shard")).alias("aug"), "width", "height", "font", "template", "augmentation")
 
 
 def hold_out(rows: DataFrame, groups: Iterable[int]) -> tuple[DataFrame, DataFrame]:
@@ -144,11 +152,21 @@ def _write_lines(df: DataFrame, path: str, *order: Column | str) -> None:
     df.orderBy(*order).select(F.to_json(F.struct(*(c for c in df.columns if not c.startswith("__")))).alias("value")).write.mode("overwrite").text(path)
 
 
+def _write_unreadable(samples: DataFrame, pages: Iterable[DataFrame], out: str, seed: int) -> None:
+    """The images of unreadable pages; the samples that obliterated ones are made from are read for them alone."""
+    every = reduce(DataFrame.unionByName, pages).select("page_id", "kind", "image_path", F.when(F.col("kind") == "obliterated", F.col("source_image")).alias("source_image"))
+    images = samples.where("size(problems) = 0").select(_image_path().alias("source_image"), "image")
+    made = every.join(images, "source_image", "left").select("image_path", pixels(seed)("kind", "page_id", "image").alias("png"))
+    write_files(made, out, "image_path", "png").write.format("noop").mode("overwrite").save()
+
+
 def prepare(spark: SparkSession, source: str, out: str, options: Options = Options()) -> dict:
-    """Writes samples (Parquet, one folder a shard), train, val, eval/manifest and a report; returns the report.
+    """Writes samples (Parquet, one folder a shard), images, unreadable pages, train, val, eval/manifest and a report; returns the report.
 
-    Shards whose samples are already stored are not read again: each shard's folder appears only when it is complete. Pages
-    of held-out groups, with all their augmented copies, never meet training. Shuffles are orders by a hash.
+    A shard is done when its samples and images are stored, and is then not read again. One that a broken run left half-way is
+    read anew, and its samples take the place of what is there, as do files of the same names; so a run that is started
+    again ends as one that was never broken. Pages of held-out groups, with all their augmented copies, never meet training.
+    Shuffles are orders by a hash.
     """
     shards = list_shards(spark, source, options.pattern)
     if not shards:
@@ -160,9 +178,11 @@ def prepare(spark: SparkSession, source: str, out: str, options: Options = Optio
     done = _done(spark, store)
     if todo := [s for s in shards if s[0] not in done]:
         rows = checked_samples(read_shards(spark, todo), options.verify)
-        rows.write.mode("append").partitionBy("shard").parquet(store)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(store)
+        fresh = spark.read.option("basePath", store).schema(rows.schema).parquet(store).where(F.col("shard").isin([s for s, _, _ in todo]))
+        write_images(fresh, out).write.format("noop").mode("overwrite").save()
         spark.createDataFrame([(s, n) for s, _, n in todo], "shard string, bytes long").write.mode("append").json(f"{store}.done")
-    every = spark.read.option("basePath", store).parquet(store).where(F.col("shard").isin([s for s, _, _ in shards]))
+    every = spark.read.option("basePath", store).schema(SAMPLES).parquet(store).where(F.col("shard").isin([s for s, _, _ in shards]))
     bad = every.select("shard", "key", F.explode("problems").alias("problem"))
     good = usable_samples(every)
     n_bad, n_good = bad.count(), good.count()
@@ -176,12 +196,13 @@ def prepare(spark: SparkSession, source: str, out: str, options: Options = Optio
     val, test = ranked.where(F.col("__at") < options.val_size), ranked.where((F.col("__at") >= options.val_size) & (F.col("__at") < options.val_size + options.test_size))
     n_train_neg, n_val_neg = round(n_train * options.unreadable_fraction), round(options.val_size * options.unreadable_fraction)
     root, what = options.image_root or out, ["page_id", "image_path", "target"]
-    for name, pages, extra in (("train", train, negatives(spark, "unreadable_train", n_train_neg, train, options.seed)), ("val", val, negatives(spark, "unreadable_val", n_val_neg, heldout, options.seed))):
+    extras = {n: negatives(spark, f"unreadable_{n}", k, pages, options.seed) for n, k, pages in (("train", n_train_neg, train), ("val", n_val_neg, heldout), ("probe", options.probe_count, heldout))}
+    _write_unreadable(every, extras.values(), out, options.seed)
+    for name, pages, extra in (("train", train, extras["train"]), ("val", val, extras["val"])):
         both = pages.select(what).unionByName(extra.select(what))
         records = both.select(shuffled(f"{options.seed}:{name}", "page_id").alias("__by"), F.col("page_id").alias("__id"), *record_columns(root))
         _write_lines(records, f"{out}/{name}", "__by", "__id")
-    probes = negatives(spark, "unreadable_probe", options.probe_count, heldout, options.seed)
-    manifest = manifest_rows(test).unionByName(probe_rows(probes))
+    manifest = manifest_rows(test).unionByName(probe_rows(extras["probe"]))
     _write_lines(manifest, f"{out}/eval/manifest", "page_id")
     trained = train.unionByName(val.drop("__at"))
     tokens = image_tokens(F.col("width"), F.col("height"), options.image_max_tokens)

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.shards import open_place, store_settings
+
 
 def write_files(rows: DataFrame, root: str, name: str, content: str) -> DataFrame:
     """path, bytes of a file under root for every row; executors write when the result is computed.
@@ -16,10 +18,10 @@ def write_files(rows: DataFrame, root: str, name: str, content: str) -> DataFram
     any place that pyarrow's file systems reach (a path, file://, s3://, hdfs://).
     """
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow.fs import FileSystem, LocalFileSystem
+    settings = store_settings(rows.sparkSession)
 
-        fs, base = FileSystem.from_uri(root) if "://" in root else (LocalFileSystem(), root)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_place(root, settings)
         made = set()
         for b in batches:
             sizes = []
@@ -44,7 +46,7 @@ def write_predictions(predictions: DataFrame, root: str) -> DataFrame:
 
 
 def write_images(samples: DataFrame, root: str) -> DataFrame:
-    """images/<shard>/<key>.<ext> for each usable sample of the shard source."""
+    """path, bytes of images/<shard>/<key>.<ext> for each usable sample of the shard source."""
     good = samples.where("size(problems) = 0")
     return write_files(good.select(F.concat(F.lit("images/"), "shard", F.lit("/"), "key", F.lit("."), "ext").alias("name"), "image"), root, "name", "image")
 
@@ -60,3 +62,8 @@ def differing(left: DataFrame, right: DataFrame, root_left: str, root_right: str
     named = lambda df, root: df.select(F.substring_index("path", root.rstrip("/") + "/", -1).alias("name"), "sha256")
     a, b = named(left, root_left), named(right, root_right)
     return a.join(b.withColumnRenamed("sha256", "other"), "name", "full_outer").where("NOT (sha256 <=> other)")
+
+
+def listed(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """path of every file below path, without its content."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quire.errors import UsageError
+from quire.functions.pixels import image_size
 
 SHARD = re.compile(r"shard_(\d+)(?:_aug(\d+))?\Z")
 # What counts as an image by its extension.
@@ -112,9 +113,38 @@ class _Shard(InputPartition):
         self.stem, self.path = stem, path
 
 
+def open_place(uri: str, settings: dict[str, str]):
+    """(file system, path) of a uri for pyarrow. settings: Hadoop's, of which an object store's endpoint, keys, addressing and retries count."""
+    from pyarrow.fs import AwsStandardS3RetryStrategy, FileSystem, LocalFileSystem, S3FileSystem
+
+    if re.match(r"s3a?://", uri):
+        get = lambda k: settings.get(f"fs.s3a.{k}") or None
+        secure = (get("connection.ssl.enabled") or "true").lower() != "false"
+        endpoint = get("endpoint")
+        given = {
+            "access_key": get("access.key"), "secret_key": get("secret.key"), "session_token": get("session.token"), "region": get("endpoint.region"),
+            "endpoint_override": re.sub("^https?://", "", endpoint) if endpoint else None, "scheme": "http" if not secure or (endpoint or "").startswith("http://") else None,
+        }
+        path_style = (get("path.style.access") or "false").lower() == "true"
+        tries = int(get("attempts.maximum") or 10)
+        return S3FileSystem(force_virtual_addressing=not path_style and endpoint is not None, retry_strategy=AwsStandardS3RetryStrategy(max_attempts=tries), **{k: v for k, v in given.items() if v}), re.sub("^s3a?://", "", uri)
+    if "://" not in uri and not uri.startswith("file:"):
+        return LocalFileSystem(), uri
+    return FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+
+
+#: What of Hadoop's settings goes to executors that open an object store.
+PASSED = ("access.key", "secret.key", "session.token", "endpoint", "endpoint.region", "path.style.access", "attempts.maximum", "connection.ssl.enabled")
+
+
+def store_settings(spark: SparkSession) -> dict[str, str]:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return {f"fs.s3a.{k}": v for k in PASSED if (v := conf.get(f"fs.s3a.{k}"))}
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, shards: list[tuple[str, str]]) -> None:
-        self.shards = shards
+    def __init__(self, shards: list[tuple[str, str]], settings: dict[str, str]) -> None:
+        self.shards, self.settings = shards, settings
 
     def partitions(self) -> list[InputPartition]:
         return [_Shard(*s) for s in self.shards] or [_Shard("", "")]
@@ -122,16 +152,13 @@ class _Reader(DataSourceReader):
     def read(self, partition: _Shard) -> Iterator[tuple]:
         if not partition.path:
             return
-        from pyarrow.fs import FileSystem
-
-        path = re.sub(r"^file:/+", "/", partition.path)
-        fs, at = FileSystem.from_uri(path.replace("s3a://", "s3://") if "://" in path else f"file://{path}")
+        fs, at = open_place(partition.path, self.settings)
         with closing(fs.open_input_stream(at)) as stream:
             yield from samples(stream, partition.stem)
 
 
 class TarShards(DataSource):
-    """spark.read.format("tar_shards").option("shards", JSON of [[stem, path], ...]): one partition a tar."""
+    """spark.read.format("tar_shards").option("shards", JSON of [[stem, path], ...]): one partition a tar. settings: an object store's."""
 
     @classmethod
     def name(cls) -> str:
@@ -141,50 +168,12 @@ class TarShards(DataSource):
         return SAMPLE
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader([tuple(x) for x in json.loads(self.options.get("shards", "[]"))])
+        return _Reader([tuple(x) for x in json.loads(self.options.get("shards", "[]"))], json.loads(self.options.get("settings", "{}")))
 
 
 def read_shards(spark: SparkSession, shards: list[tuple]) -> DataFrame:
     spark.dataSource.register(TarShards)
-    return spark.read.format("tar_shards").option("shards", json.dumps([list(s[:2]) for s in shards])).load()
-
-
-def image_size(data: bytes, full: bool = True) -> tuple[int, int]:
-    """Width and height of a PNG or JPEG; ValueError if it cannot be one. full: the pixels must be there, too."""
-    if data[:8] == b"\x89PNG\r\n\x1a\n":
-        at, size, pixels = 8, None, []
-        while at + 12 <= len(data):
-            n, kind = struct.unpack(">I4s", data[at : at + 8])
-            body = data[at + 8 : at + 8 + n]
-            if len(body) < n or at + 12 + n > len(data):
-                break
-            if full and zlib.crc32(kind + body) != struct.unpack(">I", data[at + 8 + n : at + 12 + n])[0]:
-                raise ValueError("damaged PNG chunk")
-            if kind == b"IHDR":
-                size = struct.unpack(">II", body[:8])
-                if not full:
-                    return size
-            elif kind == b"IDAT":
-                pixels.append(body)
-            elif kind == b"IEND":
-                if size is None or not pixels:
-                    break
-                zlib.decompress(b"".join(pixels))
-                return size
-            at += 12 + n
-        raise ValueError("truncated PNG")
-    if data[:2] == b"\xff\xd8":
-        at = 2
-        while at + 9 <= len(data) and data[at] == 0xFF:
-            kind, n = data[at + 1], struct.unpack(">H", data[at + 2 : at + 4])[0]
-            if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
-                height, width = struct.unpack(">HH", data[at + 5 : at + 9])
-                if full and b"\xff\xd9" not in data[-64:]:
-                    raise ValueError("truncated JPEG")
-                return width, height
-            at += 2 + n
-        raise ValueError("JPEG without a frame")
-    raise ValueError("neither PNG nor JPEG")
+    return spark.read.format("tar_shards").option("shards", json.dumps([list(s[:2]) for s in shards])).option("settings", json.dumps(store_settings(spark))).load()
 
 
 def probe_image(full: bool) -> Column:
@@ -196,15 +185,8 @@ def probe_image(full: bool) -> Column:
         for data in images:
             try:
                 rows.append((*image_size(data or b"", full), None))
-            except (ValueError, zlib.error, struct.error) as e:
+            except (ValueError, OSError, zlib.error, struct.error) as e:
                 rows.append((None, None, f"{type(e).__name__}: {e}"))
         return pd.DataFrame(rows, columns=["width", "height", "fault"]).astype({"width": "Int32", "height": "Int32"})
 
     return probe
-
-
-def png(width: int, height: int, rows: bytes) -> bytes:
-    """A grey PNG of width x height bytes."""
-    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-    lines = b"".join(b"\0" + rows[i * width : (i + 1) * width] for i in range(height))
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")

@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.errors import IntegrityError, UsageError
+from quire.functions import pixels
 from quire.operators import predict, prepare, unreadable
 from quire.operators.prepare import Options
 from quire.sources import shards
 from quire.streaming.shards import ingest_shards, trailing_counts
 
-PNG = shards.png(40, 30, bytes(range(40)) * 30)
+PNG = pixels.png(40, 30, bytes(range(40)) * 30)
 
 
 def note(text="some text", **meta):
@@ -118,22 +119,90 @@ def test_members():
 
 def test_images():
     assert shards.image_size(PNG) == (40, 30)
-    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x0b\x08\x00\x14\x00\x1e\x01\x01\x11\x00" + b"data\xff\xd9"
-    assert shards.image_size(jpeg) == (30, 20)
-    for bad in (b"", b"GIF89a", PNG[:20], PNG[:-30], PNG[:60] + b"\0" + PNG[61:], jpeg[:-2], b"\xff\xd8\xff\xd9"):
-        with pytest.raises((ValueError, Exception)):
+    segment = lambda kind, body: bytes([0xFF, kind]) + (len(body) + 2).to_bytes(2, "big") + body
+    tables = segment(0xDB, bytes(65)) + segment(0xC4, bytes(20))
+    jpeg = b"\xff\xd8" + segment(0xE0, b"ab") + tables + segment(0xC0, b"\x08\x00\x14\x00\x1e\x01\x01\x11\x00") + segment(0xDA, b"\x01\x01\x00\x00\x3f\x00") + b"data\xff\x00more\xff\xd0" + b"\xff\xd9"
+    assert pixels._jpeg_size(jpeg, True) == shards.image_size(jpeg, full=False) == (30, 20)
+    for bad in (jpeg[:-2], jpeg[:-1], jpeg.replace(tables, b""), b"\xff\xd8\xff\xd9", jpeg[:40]):
+        with pytest.raises(ValueError):
+            pixels._jpeg_size(bad, True)
+    import zlib
+
+    body = zlib.compress(b"\0" * 41 * 29)  # a row too few
+    chunk = lambda kind, x: len(x).to_bytes(4, "big") + kind + x + zlib.crc32(kind + x).to_bytes(4, "big")
+    short = PNG[:33] + chunk(b"IDAT", body) + chunk(b"IEND", b"")
+    unknown = PNG[:33] + chunk(b"IDAT", zlib.compress(b"\7" * 41 * 30)) + chunk(b"IEND", b"")
+    for bad in (b"", b"GIF89a", PNG[:20], PNG[:-30], PNG[:60] + b"\0" + PNG[61:], short, unknown):
+        with pytest.raises((ValueError, zlib.error)):
             shards.image_size(bad)
     assert shards.image_size(PNG[:-30], full=False) == (40, 30)
 
 
+@pytest.mark.parametrize("colour", [0, 2, 6])
+def test_pixels_of_filtered_rows(colour):
+    """All five filters, against a filter written byte by byte."""
+    import random
+    import zlib
+
+    draw, step, width, height = random.Random(colour), {0: 1, 2: 3, 6: 4}[colour], 13, 11
+    page = [[draw.randrange(256) for _ in range(width * step)] for _ in range(height)]
+
+    def paeth(a, b, c):
+        p = a + b - c
+        d = [abs(p - a), abs(p - b), abs(p - c)]
+        return (a, b, c)[d.index(min(d))]
+
+    raw = b""
+    for y, row in enumerate(page):
+        kind = y % 5
+        up = page[y - 1] if y else [0] * len(row)
+        left = lambda r, i: r[i - step] if i >= step else 0
+        coded = [(v - (0, left(row, i), up[i], (left(row, i) + up[i]) // 2, paeth(left(row, i), up[i], left(up, i)))[kind]) % 256 for i, v in enumerate(row)]
+        raw += bytes([kind, *coded])
+    chunk = lambda k, x: len(x).to_bytes(4, "big") + k + x + zlib.crc32(k + x).to_bytes(4, "big")
+    data = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", width.to_bytes(4, "big") + height.to_bytes(4, "big") + bytes([8, colour, 0, 0, 0])) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+    got = pixels.decoded(data)
+    want = [[tuple((row[x * step : x * step + 3] * 3)[:3]) if step > 1 else (row[x],) * 3 for x in range(width)] for row in page]
+    assert [[tuple(p) for p in row] for row in got.tolist()] == want
+
+
 def test_unreadable_pages(spark):
     for kind in prepare.UNREADABLE:
-        a = unreadable.unreadable_png(kind, 1, "n", PNG)
-        assert a == unreadable.unreadable_png(kind, 1, "n", PNG) != unreadable.unreadable_png(kind, 2, "n", PNG) or kind == "blank"
-        assert shards.image_size(a) == (40, 30)
-    df = spark.createDataFrame([("noise", "x", None), ("blank", "y", bytearray(PNG))], "kind string, page_id string, image binary")
+        made = {n: unreadable.unreadable_png(kind, 1, n, PNG) for n in "abcdef"}
+        assert all(v == unreadable.unreadable_png(kind, 1, n, PNG) for n, v in made.items())
+        sizes = {shards.image_size(v) for v in made.values()}
+        assert sizes == {(40, 30)} if kind == "obliterated" else len(sizes) > 1
+    tall = pixels.decoded(unreadable.unreadable_png("obliterated", 1, "n", PNG)).astype(int)
+    assert abs(tall.mean() - pixels.decoded(PNG).mean()) < 3 and abs(tall[:, 1:] - tall[:, :-1]).max() < 12
+    blank = pixels.decoded(unreadable.unreadable_png("blank", 1, "n"))
+    assert blank.min() > 180 and len({tuple(x) for x in blank.reshape(-1, 3).tolist()}) > 5
+    df = spark.createDataFrame([("noise", "x", None), ("obliterated", "y", bytearray(PNG)), ("obliterated", "z", bytearray(b"no image"))], "kind string, page_id string, image binary")
     sizes = [shards.image_size(bytes(r[0])) for r in df.select(unreadable.pixels(1)("kind", "page_id", "image")).collect()]
-    assert sizes == [(unreadable.WIDTH, unreadable.HEIGHT), (40, 30)]
+    assert sizes[1] == (40, 30) and all(320 <= w <= 1000 and 240 <= h <= 1400 for w, h in (sizes[0], sizes[2]))
+
+
+def test_records_name_files(prepared):
+    """Every image that the records name is there and can be read."""
+    out, report = prepared
+    named = [r["images"][0] for n in ("train", "val") for r in lines(out / n)] + [str(out / m["image_path"]) for m in lines(out / "eval" / "manifest")]
+    assert len(named) == report["train_rows"] + report["val_rows"] + report["eval_manifest_rows"]
+    for path in named:
+        with open(path, "rb") as f:
+            shards.image_size(f.read())
+    assert len(list((out / "unreadable").glob("*.png"))) == report["train_unreadable"] + report["val_unreadable"] + 5
+
+
+def test_broken_run_adds_nothing(spark, source, prepared, tmp_path):
+    """A run that ends between samples and their marker, started again, is like one that was never broken."""
+    import shutil
+
+    out, report = prepared
+    again = tmp_path / "again"
+    first = prepare.prepare(spark, str(source), str(again), OPTIONS)
+    shutil.rmtree(again / "samples.done")
+    shutil.rmtree(again / "images" / "shard_002")
+    assert prepare.prepare(spark, str(source), str(again), OPTIONS) == first == report | {"settings": first["settings"]}
+    assert sorted(p.name for p in (again / "images" / "shard_002").iterdir()) == sorted(p.name for p in (out / "images" / "shard_002").iterdir())
 
 
 def test_annotations(spark):

@@ -23,27 +23,54 @@ class Template(NamedTuple):
     text: str
 
 
-# Wordings of license statements and notices.
+# Wordings of license statements, notices and whole short licenses.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. ",
+    """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+)
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_HOPE = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+_GNU = "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
 TEMPLATES = (
     Template("MIT", ("mit",), "Released under the MIT License."),
     Template("MIT", ("permission", "sublicense", "noninfringement"), """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""),
     Template("Apache-2.0", ("apache", "2.0"), "Licensed under the Apache License, Version 2.0."),
     Template("Apache-2.0", ("apache", "2.0", "compliance"), """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""),
     Template("GPL-3.0", ("gnu", "general", "3"), "This work is licensed under the GNU General Public License, version 3."),
-    Template("GPL-3.0", ("gnu", "general", "3", "redistribute"), "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    Template("GPL-3.0", ("gnu", "general", "3", "redistribute"), _GNU.format("program", "General Public License", "3")),
+    Template("GPL-3.0", ("gnu", "general", "3", "redistribute", "hope"), _GNU.format("program", "General Public License", "3") + _HOPE + " See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
     Template("GPL-2.0", ("gnu", "general", "2"), "This work is licensed under the GNU General Public License, version 2."),
+    Template("GPL-2.0", ("gnu", "general", "2", "redistribute"), _GNU.format("program", "General Public License", "2")),
+    Template("GPL-2.0", ("gnu", "general", "2", "redistribute", "hope"), _GNU.format("program", "General Public License", "2") + _HOPE + " See the GNU General Public License for more details."),
+    Template("LGPL-2.1", ("gnu", "lesser", "2.1"), "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    Template("LGPL-2.1", ("gnu", "lesser", "2.1", "redistribute"), _GNU.format("library", "Lesser General Public License", "2.1")),
     Template("LGPL-3.0", ("gnu", "lesser", "3"), "This work is licensed under the GNU Lesser General Public License, version 3."),
+    Template("LGPL-3.0", ("gnu", "lesser", "3", "redistribute"), _GNU.format("library", "Lesser General Public License", "3")),
     Template("AGPL-3.0", ("gnu", "affero", "3"), "This work is licensed under the GNU Affero General Public License, version 3."),
+    Template("AGPL-3.0", ("gnu", "affero", "3", "redistribute"), _GNU.format("program", "Affero General Public License", "3")),
     Template("MPL-2.0", ("mozilla", "2.0"), "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    Template("MPL-2.0", ("mozilla", "2.0", "mpl"), "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     Template("BSD-3-Clause", ("bsd", "3-clause"), "Released under the BSD 3-Clause License."),
+    Template("BSD-3-Clause", ("redistribution", "binary", "disclaimer", "endorse"), "".join(_BSD)),
     Template("BSD-2-Clause", ("bsd", "2-clause"), "Released under the BSD 2-Clause License."),
-    Template("ISC", ("permission", "fee", "notice"), "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    Template("BSD-2-Clause", ("redistribution", "binary", "disclaimer"), _BSD[0] + _BSD[2]),
+    Template("ISC", ("permission", "fee", "notice"), _ISC),
+    Template("ISC", ("permission", "fee", "notice", "tortious"), _ISC + """ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    Template("Zlib", ("permission", "misrepresented", "altered"), "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    Template("BSL-1.0", ("boost", "1.0"), "Distributed under the Boost Software License, Version 1.0."),
+    Template("EPL-2.0", ("eclipse", "2.0"), "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
     Template("CC-BY-4.0", ("cc", "by", "4.0"), "Licensed under CC BY 4.0."),
+    Template("CC-BY-4.0", ("creative", "attribution", "4.0"), "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     Template("CC-BY-SA-4.0", ("cc", "by-sa", "4.0"), "Licensed under CC BY-SA 4.0."),
+    Template("CC-BY-SA-4.0", ("creative", "attribution-sharealike", "4.0"), "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     Template("CC-BY-NC-4.0", ("cc", "by-nc", "4.0"), "Licensed under CC BY-NC 4.0."),
+    Template("CC-BY-NC-4.0", ("creative", "attribution-noncommercial", "4.0"), "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     Template("CC-BY-ND-4.0", ("cc", "by-nd", "4.0"), "Licensed under CC BY-ND 4.0."),
+    Template("CC-BY-ND-4.0", ("creative", "attribution-noderivatives", "4.0"), "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     Template("CC0-1.0", ("cc0",), "Dedicated to the public domain under CC0 1.0."),
     Template("Unlicense", ("public", "domain", "unencumbered"), "This is free and unencumbered software released into the public domain."),
+    Template("Unlicense", ("public", "domain", "unencumbered", "compile"), "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
 # Where one of these stands, a block begins to be looked at.
 KEYWORDS = ("licen", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "cc by", "cc0")
@@ -58,10 +85,12 @@ LOOKED_AT, MIN_SHARE = None, 0.8
 #: Keywords of several words, over any white space.
 _APART = re.compile("|".join(r"\s+".join(map(re.escape, w.split())) for w in KEYWORDS if " " in w))
 _WORD = re.compile(r"[0-9a-z]+(?:[.\-+][0-9a-z]+)*")
+_BROKEN = re.compile(r"-[ \t]*\r?\n[ \t]*")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Words in lower case; one that a line end cuts behind its hyphen is one word."""
+    return _WORD.findall(_BROKEN.sub("-", text.lower()))
 
 
 class Scanner:
@@ -112,7 +141,7 @@ class Scanner:
         return found[0] if found else None
 
     def best(self, have: list[str], i: int) -> tuple[tuple[float, int, int, str], int, int] | None:
-        """The place among these words with the fewest differences from template i: its wording, and where it begins and ends."""
+        """The place among these words that is most like template i: its wording, and where it begins and ends."""
         t, want, _ = self.templates[i]
         if not set(t.must) <= set(have):
             return None
@@ -121,7 +150,7 @@ class Scanner:
         places = [(w, max(p - far, 0)) for p, x in enumerate(have) if x == rare if (w := self._aligned(have[max(p - far, 0) : p + far + 1], i))]
         if not places:
             return None
-        (said, a, b), at = min(places, key=lambda x: (x[0][0][1] + x[0][0][2], x[1]))
+        (said, a, b), at = min(places, key=lambda x: (2 * x[0][0][1] + x[0][0][2], x[1]))
         return said, at + a, at + b
 
     def _aligned(self, have: list[str], i: int) -> tuple[tuple[float, int, int, str], int, int] | None:
@@ -153,7 +182,7 @@ class Scanner:
             places = {i: f for i in range(len(self.templates)) if (f := self.best(have, i))}
             while places:
                 saved = saved or {i: r for r, i in self.ranked(block)}
-                i = min(places, key=lambda i: (places[i][0][1] + places[i][0][2], -len(self.templates[i][1]), -saved[i], i))
+                i = min(places, key=lambda i: (2 * places[i][0][1] + places[i][0][2] - len(self.templates[i][1]), -saved[i], i))
                 said, a, b = places[i]
                 out.append((self.templates[i][0].license, i, round(saved[i], 6), *said))
                 have[a:b] = [""] * (b - a)  # no word, so nothing is joined over the gap
@@ -176,10 +205,11 @@ def license_blocks(docs: DataFrame, text_col: str = "text", templates: Sequence[
 
     Keywords mark candidate blocks in whole texts. Every template whose `must` words all stand in a block is compared with it
     word by word: one is confirmed if the block has MIN_SHARE of its words in order, its `must` words among them. The one with
-    the fewest differences is reported, with what is missing (-) and put in (+), its words are taken out, and the next one is
+    the most agreeing words, less those missing and put in, is reported, with what is missing (-) and put in (+), its words are taken out, and the next one is
     looked for; start and end are the block's. `reduction` is how much less a block compresses to with the template as a raw
-    dictionary; it decides between templates with as many differences and words. One pass, no shuffle. Null and empty texts have no blocks, repeated rows are rows
-    like others, and a column `licenses` of docs gives way.
+    dictionary; it decides between equals. One pass, no shuffle. Null and empty texts have
+    no blocks, very long ones as many as they have stretches with keywords; repeated rows are rows like others, an empty table
+    gives an empty result, and a column `licenses` of docs gives way.
     """
 
     @F.pandas_udf(KIND)

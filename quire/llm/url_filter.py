@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import ahocorasick
@@ -13,9 +14,20 @@ from pyspark.sql import functions as F
 from quire.llm.common import OWN, with_columns
 
 # Terms of which one is enough, and terms of which several different ones are.
-STRICT = ("porn", "xxx", "hentai", "camgirls", "escorts", "sexcam")
-SOFT = ("adult", "bet", "bets", "casino", "cheap", "dating", "farm", "free", "lottery", "nude", "pills", "poker", "sex", "spam", "viagra", "warez", "win", "winner")
-SOFT_TO_BLOCK = 2
+STRICT = (
+    "porn", "porno", "pornography", "freeporn", "gayporn", "xxx", "hentai", "camgirl", "camgirls", "camsex", "escorts", "escortservice", "callgirls", "sexcam", "sexcams", "sexchat", "sexvideo", "sexvideos",
+    "livesex", "cybersex", "nsfw", "milf", "milfs", "bdsm", "blowjob", "gangbang", "upskirt", "bukkake", "webcamsex", "xxxvideos", "fetishes", "onlinecasino", "keygen", "keygens", "phentermine",
+)
+SOFT = (
+    "adult", "adults", "amateur", "bet", "bets", "betting", "bingo", "bonus", "casino", "casinos", "cheap", "cheapest", "cialis", "clickbait", "coupon", "coupons", "crack", "cracked", "dating", "discount", "doorway", "erotic", "escort",
+    "farm", "fetish", "free", "gambling", "giveaway", "hookup", "hookups", "jackpot", "lingerie", "loan", "loans", "lottery", "naked", "nude", "nudes", "payday", "pharmacy", "pills", "poker", "replica", "roulette", "sex", "sexy", "singles",
+    "slots", "spam", "sportsbook", "strip", "tadalafil", "torrent", "torrents", "viagra", "wager", "warez", "win", "winner",
+)
+#: Weights of the two kinds; a url is blocked from LIMIT on.
+STRICT_WEIGHT, SOFT_WEIGHT, LIMIT = 1.0, 0.5, 1.0
+VOCABULARY = {**dict.fromkeys(SOFT, SOFT_WEIGHT), **dict.fromkeys(STRICT, STRICT_WEIGHT)}
+#: Terms of a vocabulary that is read from a table; past that an error, since every task holds the automaton.
+MAX_TERMS = 1_000_000
 # Fixed values: (host, path, verdict).
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
@@ -24,23 +36,36 @@ _ALNUM = frozenset("0123456789" + _LOW)
 _TO_LOW = {ord(a): b for a, b in zip(_UPPER, _LOW, strict=True)}
 
 
-def vocabulary(strict: Sequence[str] = STRICT, soft: Sequence[str] = SOFT) -> ahocorasick.Automaton:
+def automaton_of(terms: Mapping[str, float]) -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
-    for w, terms in ((0, soft), (1, strict)):
-        for t in terms:
-            a.add_word(t, (w, t))
+    for t, weight in terms.items():
+        if t:
+            a.add_word(t.translate(_TO_LOW), (weight, t.translate(_TO_LOW)))
     a.make_automaton()
     return a
 
 
-def term_hits(url: str | None, automaton: ahocorasick.Automaton) -> tuple[int, int]:
-    """Distinct strict and soft terms in a url. A term counts where no A-Z, a-z or 0-9 stands before or after it."""
-    low, found = (url or "").translate(_TO_LOW), (set(), set())
-    for end, (weight, t) in automaton.iter(low):
+def vocabulary_from(table: DataFrame, term_col: str = "term", weight_col: str = "weight") -> dict[str, float]:
+    """A vocabulary from a table of terms and weights; null terms or weights are left out, of repeated terms the greatest weight holds."""
+    rows = table.select(F.translate(F.col(f"`{term_col}`"), _UPPER, _LOW).alias("t"), F.col(f"`{weight_col}`").cast("double").alias("w")).dropna().groupBy("t").agg(F.max("w").alias("w"))
+    found = rows.limit(MAX_TERMS + 1).collect()
+    if len(found) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms: every task holds the automaton")
+    return {r["t"]: r["w"] for r in found if r["t"]}
+
+
+def term_hits(url: str | None, automaton: ahocorasick.Automaton, limit: float = LIMIT) -> tuple[int, int, float]:
+    """Distinct strict terms (which reach the limit alone), soft terms, and the sum of their weights, in a url.
+
+    A term counts where no A-Z, a-z or 0-9 stands before or after it.
+    """
+    low, found = (url or "").translate(_TO_LOW), {}
+    for end, (weight, t) in automaton.iter(low) if len(automaton) else ():
         start = end + 1 - len(t)
         if (start == 0 or low[start - 1] not in _ALNUM) and (end + 1 == len(low) or low[end + 1] not in _ALNUM):
-            found[weight].add(t)
-    return len(found[1]), len(found[0])
+            found[t] = weight
+    strict = sum(w >= limit for w in found.values())
+    return strict, len(found) - strict, math.fsum(found.values())
 
 
 def host_of(url: Column) -> Column:
@@ -51,20 +76,21 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def url_verdicts(pages: DataFrame, url_col: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, strict: Sequence[str] = STRICT, soft: Sequence[str] = SOFT, soft_to_block: int = SOFT_TO_BLOCK) -> DataFrame:
-    """Every row of pages with host, path, rule, n_strict, n_soft and verdict.
+def url_verdicts(pages: DataFrame, url_col: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, terms: Mapping[str, float] = VOCABULARY, limit: float = LIMIT) -> DataFrame:
+    """Every row of pages with host, path, rule, n_strict, n_soft, weight and verdict.
 
-    The longest rule that fits decides; without one, a url is blocked for one strict term or soft_to_block distinct soft
-    terms. One pass, no shuffle. A null url, or one without `://`, has an empty host and path, which no rule fits; its
+    The longest rule that fits decides; without one, a url is blocked if the weights of its distinct terms sum up to the
+    limit: one strict term, which weighs that much, or several soft ones. terms: weights by term (see vocabulary_from for
+    tables). One pass, no shuffle. A null url, or one without `://`, has an empty host and path, which no rule fits; its
     terms count all the same (null: none). Empty tables, repeated rows and very long urls are nothing special; columns of
     pages with the result's names give way.
     """
 
-    @F.pandas_udf("struct<strict:int,soft:int>")
+    @F.pandas_udf("struct<strict:int,soft:int,weight:double>")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automaton = vocabulary(strict, soft)
+        automaton = automaton_of(terms)
         for urls in batches:
-            yield pd.DataFrame([term_hits(u if isinstance(u, str) else None, automaton) for u in urls], columns=["strict", "soft"])
+            yield pd.DataFrame([term_hits(u if isinstance(u, str) else None, automaton, limit) for u in urls], columns=["strict", "soft", "weight"])
 
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select("*", host_of(url).alias(OWN + "host"), path_of(url).alias(OWN + "path"), count(url).alias(OWN + "hits"))
@@ -73,8 +99,8 @@ def url_verdicts(pages: DataFrame, url_col: str = "url", rules: Sequence[tuple[s
     order = sorted(range(len(rules)), key=lambda i: len(rules[i][0] + rules[i][1]))
     rule = reduce(lambda rest, i: F.when(fits[i], F.lit(rules[i][0] + rules[i][1])).otherwise(rest), order, F.lit(None).cast("string"))
     said = reduce(lambda rest, i: F.when(fits[i], F.lit(rules[i][2])).otherwise(rest), order, F.lit(None).cast("string"))
-    method = F.when((hits["strict"] > 0) | (hits["soft"] >= soft_to_block), F.lit("block")).otherwise(F.lit("allow"))
-    out = with_columns(rows, {"host": host, "path": path, "rule": rule, "n_strict": hits["strict"], "n_soft": hits["soft"], "verdict": F.coalesce(said, method)})
+    method = F.when(hits["weight"] >= limit, F.lit("block")).otherwise(F.lit("allow"))
+    out = with_columns(rows, {"host": host, "path": path, "rule": rule, "n_strict": hits["strict"], "n_soft": hits["soft"], "weight": hits["weight"], "verdict": F.coalesce(said, method)})
     return out.select(*(f"`{c}`" for c in out.columns if not c.startswith(OWN)))
 
 
@@ -91,6 +117,6 @@ r(rule_host, rule_path, said) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for
 m AS (SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(said, length(rule_host || rule_path)) AS said
     FROM c JOIN r ON (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY 1)
 SELECT page_id, host, path, rule, n_strict, n_soft,
-    coalesce(said, CASE WHEN n_strict > 0 OR n_soft >= {SOFT_TO_BLOCK} THEN 'block' ELSE 'allow' END) AS verdict
+    coalesce(said, CASE WHEN {STRICT_WEIGHT} * n_strict + {SOFT_WEIGHT} * n_soft >= {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM c LEFT JOIN m USING (page_id)
 """

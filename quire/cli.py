@@ -1,8 +1,9 @@
-"""python -m quire.cli validate | score | compare | report | prepare"""
+"""python -m quire.cli validate | score | compare | report | prepare | predict"""
 
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 from collections.abc import Sequence
 from pathlib import Path
@@ -11,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from quire import __version__, reports
 from quire.errors import IntegrityError, QuireError
-from quire.operators import predicate, prepare
+from quire.operators import predicate, predict, prepare
 from quire.operators.validation import validate
 from quire.schema import PRIMARY_SPLIT
 from quire.sources import runs, writer
@@ -72,6 +73,20 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--shards", default="shard_*")
     d.add_argument("--image-root", default="")
     d.add_argument("--verify", choices=("full", "header"), default="full")
+    m = sub.add_parser("predict", help="run a model over the pages that have no prediction yet")
+    m.add_argument("--manifest", required=True)
+    m.add_argument("--out", required=True)
+    m.add_argument("--model", required=True, help="module:function, which gets image paths and gives as many texts")
+    m.add_argument("--corpus-root")
+    m.add_argument("--split", action="append", default=[])
+    m.add_argument("--num-shards", type=int, default=1)
+    m.add_argument("--shard-index", type=int, default=0)
+    m.add_argument("--limit", type=int)
+    m.add_argument("--batch-size", type=int, default=16)
+    m.add_argument("--max-new-tokens", type=int, default=4096)
+    m.add_argument("--image-max-tokens", type=int, default=prepare.Options.image_max_tokens)
+    m.add_argument("--dtype", default="bfloat16")
+    m.add_argument("--prefix", default="", help="taken off a text that begins with it")
     return p
 
 
@@ -137,10 +152,19 @@ def _prepare(spark: SparkSession, a: argparse.Namespace) -> None:
     print(writer.dumps(prepare.prepare(spark, a.source, a.out, prepare.Options(holdout_groups=held, pattern=a.shards, **given))))
 
 
+def _predict(spark: SparkSession, a: argparse.Namespace) -> None:
+    settings = {
+        "model": a.model, "manifest": a.manifest, "prompt": prepare.PROMPT, "image_max_tokens": a.image_max_tokens, "max_new_tokens": a.max_new_tokens,
+        "decoding": "greedy", "dtype": a.dtype, "removed_prefix": a.prefix, "image_ref": os.environ.get("IMAGE_REF", "unset"),
+    }
+    tell = lambda text: print(text, file=sys.stderr, flush=True)
+    predict.predict_run(spark, a.manifest, a.out, predict.model_named(a.model), settings, a.corpus_root, a.split, a.num_shards, a.shard_index, a.limit, a.batch_size, a.prefix, tell)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     a = parser().parse_args(argv)
     try:
-        {"validate": _validate, "score": _score, "compare": _compare, "report": _report, "prepare": _prepare}[a.command](session(), a)
+        {"validate": _validate, "score": _score, "compare": _compare, "report": _report, "prepare": _prepare, "predict": _predict}[a.command](session(), a)
     except QuireError as e:
         print(e.render(), file=sys.stderr)
         return e.exit_code

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +20,8 @@ from quire.schema import CONFIDENCE, GOLD_SPLIT, PRIMARY_SPLIT, THRESHOLDS
 # Metrics of a split in their order; of which a lower value is better.
 METRICS = ("cer", "wer", "exact_match_rate", "hallucination_rate", "false_refusal_rate")
 LOWER_IS_BETTER = {"cer": True, "wer": True, "exact_match_rate": False, "hallucination_rate": True, "false_refusal_rate": True}
+#: Pages of a split up to which a comparison resamples exactly, in one task: 10,000 resamples take it about a quarter of an hour.
+EXACT_PAGES = 1_000_000
 #: Pages named on each side when the page sets differ.
 NAMED = 20
 
@@ -102,25 +108,44 @@ def bootstrap(deltas: DataFrame, resamples: int = THRESHOLDS["bootstrap_resample
     return deltas.select("split", "page_id", "delta_cer").groupBy("split").applyInPandas(one, "split string, n long, delta_cer double, ci_low double, ci_high double")
 
 
-def bootstrap_scalable(deltas: DataFrame, resamples: int = 200, seed: int = THRESHOLDS["bootstrap_seed"]) -> DataFrame:
+def _poisson_means(batches: Iterator[pa.RecordBatch], resamples: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """split, resample, total, weight: a partition's share of each resample's sums."""
+    cuts = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
+    total: dict[str, np.ndarray] = {}
+    for b in batches:
+        for split, page, delta in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            draw = np.random.Generator(np.random.Philox(key=int.from_bytes(hashlib.sha256(f"{seed}:{page}".encode()).digest()[:16], "little")))
+            times = np.searchsorted(cuts, draw.random(resamples), side="right")
+            sums = total.setdefault(split, np.zeros((2, resamples)))
+            sums[0] += times * delta
+            sums[1] += times
+    for split, sums in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([split] * resamples), pa.array(np.arange(resamples)), pa.array(sums[0]), pa.array(sums[1])], names=["split", "resample", "total", "weight"])
+
+
+def bootstrap_scalable(deltas: DataFrame, resamples: int = THRESHOLDS["bootstrap_resamples"], seed: int = THRESHOLDS["bootstrap_seed"]) -> DataFrame:
     """Like bootstrap, for splits of any size: each page enters each resample a Poisson(1) number of times.
 
-    The weights follow from a hash of (seed, resample, page), so two aggregations give all means and nothing is gathered.
+    A page's numbers follow from seed and id alone; partitions give sums, a row a split and resample, and nothing is gathered.
     """
-    u = F.pmod(F.xxhash64(F.lit(seed), "resample", "page_id"), F.lit(1 << 32)) / float(1 << 32)
-    cuts, p, c = [], 0.36787944117144233, 0.36787944117144233
-    for k in range(1, 9):
-        cuts.append(c)
-        p /= k
-        c += p
-    weight = sum(((u >= x).cast("int") for x in cuts), F.lit(0))
-    each = deltas.select("split", "page_id", "delta_cer", F.explode(F.sequence(F.lit(1), F.lit(resamples))).alias("resample")).withColumn("w", weight)
-    means = each.groupBy("split", "resample").agg(F.try_divide(F.sum(F.col("w") * F.col("delta_cer")), F.sum("w")).alias("mean"))
+    parts = deltas.select("split", "page_id", "delta_cer").mapInArrow(lambda it: _poisson_means(it, resamples, seed), "split string, resample long, total double, weight double")
+    means = parts.groupBy("split", "resample").agg(F.try_divide(F.sum("total"), F.sum("weight")).alias("mean"))
     tail = (1.0 - CONFIDENCE) / 2.0
     bounds = means.groupBy("split").agg(F.percentile("mean", F.lit(tail)).alias("ci_low"), F.percentile("mean", F.lit(1 - tail)).alias("ci_high"))
     return deltas.groupBy("split").agg(F.count("*").alias("n"), F.avg("delta_cer").alias("delta_cer")).join(bounds, "split")
 
 
+def resampled(deltas: DataFrame, resamples: int, seed: int, exact_pages: int = EXACT_PAGES) -> list[dict]:
+    """A row a split, by name: the exact resampling of splits of up to exact_pages pages, the scalable one of others; method says which."""
+    sizes = {r["split"]: r["n"] for r in deltas.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    small, large = ([s for s, n in sizes.items() if (n <= exact_pages) is exact] for exact in (True, False))
+    rows = []
+    for splits, draw, method in ((small, bootstrap, "exact"), (large, bootstrap_scalable, "poisson")):
+        if splits:
+            rows += [r.asDict() | {"method": method} for r in draw(deltas.where(F.col("split").isin(splits)), resamples, seed).collect()]
+    return sorted(rows, key=lambda r: r["split"])
+
+
 class Verdict(NamedTuple):
     verdict: str
     reasons: list[str]

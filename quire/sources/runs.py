@@ -10,7 +10,6 @@ import socket
 import sys
 import time
 from collections.abc import Mapping, Sequence
-from pathlib import Path
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from quire.operators.predicate import Condition, describe
 from quire.operators.validation import Validated, validate
 from quire.schema import ARABIC_BLOCKS, CONFIDENCE, DIACRITICS, DIMENSIONS, FLAGS, GOLD_SPLIT, LEVELS, MARKER, PAGE, POLICY_VERSION, PRIMARY_SPLIT, TATWEEL, THRESHOLDS
 from quire.sources import writer
+from quire.sources.places import Place
 
 NO_GOLD = f"No split {GOLD_SPLIT} was scored: these figures say nothing about real scans."
 
@@ -68,6 +68,10 @@ def _page(row: Mapping) -> dict:
     return {k: v for k, v in row.items() if not (v is None and k in ("metrics", "order", "source"))}
 
 
+def page_line(row: Mapping) -> str:
+    return writer.dumps_line(_page(row))
+
+
 def worst_rows(scores: DataFrame, pages: DataFrame, top: int) -> list[dict]:
     worst = rollups.worst_pages(scores, top).select("page_id", "split", F.col("metrics.strict.cer").alias("cer"), F.col("metrics.strict.wer").alias("wer"), "outcome", "flags")
     rows = F.broadcast(worst).join(pages.select("page_id", "reference", "prediction"), "page_id").collect()  # top rows
@@ -81,32 +85,32 @@ class Scored(NamedTuple):
 
 def write_run(spark: SparkSession, checked: Validated, out: str, model_version: str, settings: Mapping = THRESHOLDS, worst: int = 20, html: bool = True, scope: dict | None = None, settings_source: str = "built-in", name: str | None = None) -> Scored:
     """Scores what validate() passed and writes the run directory. Pages are also kept as Parquet, which totals are read from."""
-    started, root = time.time(), writer.ensure_dir(out)
+    started, root = time.time(), Place(spark, out)
     ident = name or run_id(model_version, checked.manifest_digest, checked.predictions_digest)
-    store = str(root / "pages.parquet")
+    store = root.uri("pages.parquet")
     scoring.score(checked.pages, settings).write.mode("overwrite").parquet(store)
     scores = spark.read.parquet(store)
     summary = summarise(scores, ident, model_version, settings)
     columns = [f.name for f in PAGE.fields]
-    writer.write_jsonl(root / "pages.jsonl", (_page(r.asDict(recursive=True)) for r in scores.select(columns).orderBy("page_id").toLocalIterator()))
+    root.write_lines("pages.jsonl", scores.select(columns).orderBy("page_id"), page_line)
     manifest = {
         "run_id": ident, "model_version": model_version, "corpus_manifest_digest": checked.manifest_digest, "predictions_digest": checked.predictions_digest, "predictions_form": checked.form,
         "pages_scored": sum(s["pages"] for s in summary["splits"]), "subset_filter": scope, "policy": policy(), "config": dict(settings), "config_source": settings_source, "tool_version": __version__, "distance_engine": "bit-parallel",
     }
-    writer.write_json(root / "manifest.json", manifest)
-    writer.write_json(root / "summary.json", summary)
-    writer.write_text(root / "summary.md", reports.summary_markdown(writer.canonical(summary)))
+    root.write_json("manifest.json", manifest)
+    root.write_json("summary.json", summary)
+    root.write("summary.md", reports.summary_markdown(writer.canonical(summary)))
     rows = worst_rows(scores, checked.pages, worst)
-    writer.write_text(root / "worst_pages.md", reports.worst_markdown(rows))
+    root.write("worst_pages.md", reports.worst_markdown(rows))
     if html:
-        writer.write_text(root / "worst_pages.html", reports.worst_html(rows))
-    writer.write_json(root / "run.meta.json", {"completed_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), "elapsed_seconds": round(time.time() - started, 3), "host": socket.gethostname(), "platform": platform.platform(), "python": sys.version.split()[0], "cpu_count": os.cpu_count(), "spark": spark.version})
+        root.write("worst_pages.html", reports.worst_html(rows))
+    root.write_json("run.meta.json", {"completed_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), "elapsed_seconds": round(time.time() - started, 3), "host": socket.gethostname(), "platform": platform.platform(), "python": sys.version.split()[0], "cpu_count": os.cpu_count(), "spark": spark.version})
     return Scored(summary, scores)
 
 
 def score_run(spark: SparkSession, manifest: str, predictions: str, out: str, model_version: str, root: str | None = None, ids: Sequence[str] | None = None, conditions: Sequence[Condition] = (), settings: Mapping = THRESHOLDS, force: bool = False, **options) -> Scored:
     """Collision, then validation (all problems), then scores: nothing is computed for a run that cannot be written."""
-    if Path(out).exists() and any(Path(out).iterdir()) and not force:
+    if not Place(spark, out).is_empty() and not force:
         raise RunExistsError(f"{out} is not empty")
     checked = validate(spark, manifest, predictions, root, ids, conditions)
     if problems := [r["message"] for r in checked.problems.collect()]:
@@ -125,11 +129,11 @@ class Run(NamedTuple):
 
 
 def load_run(spark: SparkSession, path: str) -> Run:
+    root = Place(spark, path)
     for name in ("manifest.json", "summary.json", "pages.jsonl"):
-        if not (Path(path) / name).is_file():
+        if not root.has(name):
             raise UsageError(f"{path} has no {name}: it is not a run directory")
-    document = lambda n: json.loads((Path(path) / n).read_text(encoding="utf-8"))
-    return Run(path, document("manifest.json"), document("summary.json"), spark.read.schema(PAGE).json(str(Path(path) / "pages.jsonl")))
+    return Run(path, json.loads(root.read("manifest.json")), json.loads(root.read("summary.json")), spark.read.schema(PAGE).json(root.uri("pages.jsonl")))
 
 
 def _headlines(run: Run) -> dict[str, dict]:
@@ -157,14 +161,14 @@ def compare_runs(spark: SparkSession, baseline_path: str, candidate_path: str, p
         rows = lambda df: [r.asDict() for r in df.limit(top).collect()]
         shared = sorted(s["split"] for s in before.summary["splits"])
         resamples, seed = settings["bootstrap_resamples"], settings["bootstrap_seed"]
-        boot = [r.asDict() for r in contrast.bootstrap(deltas, resamples, seed).orderBy("split").collect()]
+        boot = contrast.resampled(deltas, resamples, seed)
         worse, better = contrast.regressions(deltas), contrast.improvements(deltas)
         decision = contrast.decide(_headlines(before), _headlines(after), primary, settings)
         return {
             "baseline_run_id": before.manifest["run_id"], "candidate_run_id": after.manifest["run_id"], "baseline_model_version": before.manifest["model_version"], "candidate_model_version": after.manifest["model_version"],
             "policy_version": POLICY_VERSION, "tool_version": __version__, "primary_split": primary, "verdict": decision.verdict, "verdict_reasons": decision.reasons, "thresholds": decision.thresholds,
             "splits": [{"split": s, "pages": before.split(s)["pages"], "metrics": _changes(before.split(s), after.split(s))} for s in shared],
-            "bootstrap": [{k: b[k] for k in ("split", "delta_cer", "ci_low", "ci_high")} | {"confidence": CONFIDENCE, "resamples": resamples, "seed": seed} for b in boot],
+            "bootstrap": [{k: b[k] for k in ("split", "delta_cer", "ci_low", "ci_high")} | {"confidence": CONFIDENCE, "resamples": resamples, "seed": seed} | ({"method": b["method"]} if b["method"] != "exact" else {}) for b in boot],
             "regressions": rows(worse), "improvements": rows(better), "regression_count": worse.count(), "improvement_count": better.count(), "only_in_baseline": [], "only_in_candidate": [],
         }
     finally:

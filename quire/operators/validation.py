@@ -14,6 +14,7 @@ from quire.schema import LEVELS, MARKER
 from quire.sources.lines import sha256_of_file
 from quire.sources.manifest import read_manifest
 from quire.sources.predictions import predictions_digest, read_predictions
+from quire.sources.stores import binary_files
 
 
 class Validated(NamedTuple):
@@ -52,7 +53,7 @@ def resolve(spark: SparkSession, pages: DataFrame, root: str) -> tuple[DataFrame
     base = root.rstrip("/") + "/"
     # only the folders that hold references are listed
     folders = [base + r["d"] for r in by_path.select(F.regexp_extract("reference_path", "^(.*/)?", 0).alias("d")).distinct().collect()]
-    files = spark.read.format("binaryFile").load(folders)
+    files = binary_files(spark, folders)
     plain = spark.range(1).select(F.lit(base).alias("b")).first()["b"].split(":", 1)[-1].replace("//", "/") if ":" in base else base
     files = files.select(F.regexp_replace("path", "^[a-z0-9]+:/+", "/").alias("at"), X.file_text(F.col("content").cast("string")).alias("file_text"), F.is_valid_utf8(F.col("content").cast("string")).alias("good"))
     joined = pages.join(files, F.concat(F.lit(plain), F.col("reference_path")) == F.col("at"), "left")

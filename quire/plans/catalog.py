@@ -389,10 +389,11 @@ def prediction_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SQL} SELECT page_id, baseline AS text, CAST(strlen(baseline) AS BIGINT) AS bytes FROM page")
 def prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions written as one file a page, and read again from the folder; a file's last line end is not part of a text."""
+    """Predictions written as one file a page, empty ones too, and read again; a file's last line end is not part of a text."""
     folder = _scratch(spark)
-    texts = corpus(spark, sf_dir).select("page_id", F.concat("prediction", F.lit("\n")).alias("text"))
-    written = write_predictions(texts, folder.removeprefix("file:")).select(F.regexp_replace("path", r"\.txt$", "").alias("page_id"), (F.col("bytes") - 1).alias("bytes"))
+    ended = F.when(F.col("prediction") == "", "").otherwise(F.concat("prediction", F.lit("\n")))
+    written = write_predictions(corpus(spark, sf_dir).select("page_id", ended.alias("text")), folder.removeprefix("file:"))
+    written = written.select(F.regexp_replace("path", r"\.txt$", "").alias("page_id"), F.greatest(F.col("bytes") - 1, F.lit(0)).alias("bytes"))
     sizes = _scratch(spark)
     written.write.parquet(sizes)
     return read_folder(spark, folder)[0].join(spark.read.parquet(sizes), "page_id")

@@ -6,7 +6,8 @@ import html
 import unicodedata
 from collections.abc import Mapping, Sequence
 
-LEVEL_NAMES = {"strict": "strict (as produced, nothing normalised)", "diacritic_insensitive": "without diacritics", "skeleton": "skeleton"}
+# What reports call the first level.
+LEVEL_NAMES = {"strict": "strict (raw, unnormalised)", "diacritic_insensitive": "without diacritics", "skeleton": "skeleton"}
 METRIC_NAMES = {"cer": "CER", "wer": "WER", "exact_match_rate": "exact match", "hallucination_rate": "hallucination rate", "false_refusal_rate": "false refusal rate"}
 #: Differing places of a page that are listed.
 DIFFERENCES = 40

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import file_text
+from quire.sources.stores import binary_files, digest, open_place, store_settings
 
 
 def numbered(spark: SparkSession, path: str) -> DataFrame:
@@ -25,14 +26,13 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
 
 def whole_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path, stem, text, good of the files in a folder, by the rule for text files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    files = binary_files(spark, path, pattern)
     text = F.col("content").cast("string")
     return files.select("path", F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1).alias("stem"), file_text(text).alias("text"), F.is_valid_utf8(text).alias("good"))
 
 
 def sha256_of_file(spark: SparkSession, path: str) -> str:
-    content = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("h")).first()
-    return "sha256:" + (content["h"] if content else hashlib.sha256(b"").hexdigest())
+    return "sha256:" + digest(*open_place(path, store_settings(spark)))
 
 
 def digest_of(pairs: Iterable[tuple[str, str]]) -> str:

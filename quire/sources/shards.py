@@ -18,6 +18,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quire.errors import UsageError
 from quire.functions.pixels import image_size
+from quire.sources.stores import open_place, store_settings
 
 SHARD = re.compile(r"shard_(\d+)(?:_aug(\d+))?\Z")
 # What counts as an image by its extension.
@@ -113,35 +114,6 @@ class _Shard(InputPartition):
         self.stem, self.path = stem, path
 
 
-def open_place(uri: str, settings: dict[str, str]):
-    """(file system, path) of a uri for pyarrow. settings: Hadoop's, of which an object store's endpoint, keys, addressing and retries count."""
-    from pyarrow.fs import AwsStandardS3RetryStrategy, FileSystem, LocalFileSystem, S3FileSystem
-
-    if re.match(r"s3a?://", uri):
-        get = lambda k: settings.get(f"fs.s3a.{k}") or None
-        secure = (get("connection.ssl.enabled") or "true").lower() != "false"
-        endpoint = get("endpoint")
-        given = {
-            "access_key": get("access.key"), "secret_key": get("secret.key"), "session_token": get("session.token"), "region": get("endpoint.region"),
-            "endpoint_override": re.sub("^https?://", "", endpoint) if endpoint else None, "scheme": "http" if not secure or (endpoint or "").startswith("http://") else None,
-        }
-        path_style = (get("path.style.access") or "false").lower() == "true"
-        tries = int(get("attempts.maximum") or 10)
-        return S3FileSystem(force_virtual_addressing=not path_style and endpoint is not None, retry_strategy=AwsStandardS3RetryStrategy(max_attempts=tries), **{k: v for k, v in given.items() if v}), re.sub("^s3a?://", "", uri)
-    if "://" not in uri and not uri.startswith("file:"):
-        return LocalFileSystem(), uri
-    return FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
-
-
-#: What of Hadoop's settings goes to executors that open an object store.
-PASSED = ("access.key", "secret.key", "session.token", "endpoint", "endpoint.region", "path.style.access", "attempts.maximum", "connection.ssl.enabled")
-
-
-def store_settings(spark: SparkSession) -> dict[str, str]:
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return {f"fs.s3a.{k}": v for k in PASSED if (v := conf.get(f"fs.s3a.{k}"))}
-
-
 class _Reader(DataSourceReader):
     def __init__(self, shards: list[tuple[str, str]], settings: dict[str, str]) -> None:
         self.shards, self.settings = shards, settings

@@ -89,3 +89,21 @@ def test_large_splits_are_resampled_by_weights(spark):
     assert all(abs(mixed["a"][k] - exact["a"][k]) < 0.15 * spread for k in ("ci_low", "ci_high"))
     again = contrast.bootstrap_scalable(deltas.where(F.col("split") == "a").repartition(3), 2000, 7).first()
     assert again["ci_low"] == pytest.approx(mixed["a"]["ci_low"], abs=1e-12)
+
+
+def test_transfer(spark, tmp_path):
+    from quire.sources import files
+
+    for name, data in (("a/x.bin", b"x" * 100), ("a/b/y.bin", b"yy"), ("z.bin", b""), ("q.partial", b"no")):
+        (tmp_path / "from" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "from" / name).write_bytes(data)
+    known = files.audit(spark, str(tmp_path / "from")).select(F.substring_index("path", "/from/", -1).alias("name"), "sha256")
+    bring = lambda **more: {r["name"]: (r["bytes"], r["copied"]) for r in files.transfer(spark, str(tmp_path / "from"), (tmp_path / "to").as_uri(), **more).collect()}
+    assert bring(expected=known) == {"a/x.bin": (100, True), "a/b/y.bin": (2, True), "z.bin": (0, True)}
+    assert {str(p.relative_to(tmp_path / "to")) for p in (tmp_path / "to").rglob("*") if p.is_file()} == {"a/x.bin", "a/b/y.bin", "z.bin"}
+    (tmp_path / "to" / "a" / "x.bin").write_bytes(b"w" * 100)  # the same size, other bytes
+    assert bring() == {"a/x.bin": (100, False), "a/b/y.bin": (2, False), "z.bin": (0, False)}
+    assert bring(expected=known)["a/x.bin"] == (100, True) and (tmp_path / "to" / "a" / "x.bin").read_bytes() == b"x" * 100
+    with pytest.raises(Exception, match="were expected"):
+        bring(expected=known.withColumn("sha256", F.lit("0" * 64)))
+    assert not list((tmp_path / "to").rglob("*.partial")) and (tmp_path / "to" / "a" / "x.bin").read_bytes() == b"x" * 100

@@ -52,3 +52,16 @@ def test_prediction_forms(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     assert "no .txt" in read_predictions(spark, str(tmp_path / "empty"))[1].first()["message"]
     assert whole_files(spark, str(tmp_path), "*.md").first()["stem"] == "c"
+
+
+def test_empty_files_are_texts(spark, tmp_path):
+    """An empty prediction is a prediction, whatever Spark's file sources think of empty files."""
+    for name, data in (("a.txt", b""), ("b.txt", b"x"), ("_c.txt", b""), ("d.md", b"")):
+        (tmp_path / name).write_bytes(data)
+    for path in (str(tmp_path), tmp_path.as_uri()):
+        texts, problems, _ = read_predictions(spark, path)
+        assert sorted(map(tuple, texts.collect())) == [("a", ""), ("b", "x")] and problems.isEmpty()
+        paths = [r["path"] for r in whole_files(spark, path, "*.txt").orderBy("path").collect()]
+        assert paths == [f"file:{tmp_path}/a.txt", f"file:{tmp_path}/b.txt"]
+    (tmp_path / "b.txt").unlink()
+    assert [tuple(r) for r in read_predictions(spark, str(tmp_path))[0].collect()] == [("a", "")]

@@ -1,12 +1,15 @@
 """Queries over whole texts against brute force."""
 
 import random
+import struct
 from collections import defaultdict
 
 import pytest
+import xxhash
 
 import __spark_entry__ as entry
 from quire.functions import text
+from quire.operators.prepare import UNREADABLE
 from quire.plans.corpus import STRETCH
 from quire.schema import MARKER, THRESHOLDS
 
@@ -98,3 +101,35 @@ def test_bootstrap(spark):
         if len(d) > 10:
             spread = means[9750] - means[250]
             assert abs(poisson[split]["ci_low"] - means[250]) <= 0.25 * spread + 1e-9 and abs(poisson[split]["ci_high"] - means[9750]) <= 0.25 * spread + 1e-9
+
+
+def test_negatives_by_hand(spark, long_texts):
+    """Kinds and sources of unreadable pages, from the same hash written out."""
+    folder, pages = long_texts
+    sources = sorted(pages)
+
+    def draw(what, name, n):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", 42), 42)
+        for x in (what, name):
+            h = xxhash.xxh64_intdigest(x.encode(), h)
+        return (h - (1 << 64) if h >> 63 else h) % n
+
+    rows = entry.queries()["negatives_sample"](spark, folder).collect()
+    assert len(rows) == 100
+    for r in rows:
+        assert r["kind"] == UNREADABLE[draw("kind", r["page_id"], 3)] and r["source_image"] == f"images/{sources[draw('source', r['page_id'], len(sources))]}"
+        assert (r["target"], r["image_path"]) == (MARKER, f"unreadable/{r['page_id']}.png")
+
+
+def test_codepoint_diff(spark, long_texts):
+    """The ten worst pages, place by place."""
+    folder, pages = long_texts
+    worst = sorted(pages, key=lambda k: (-slow_edits(*pages[k]) / len(pages[k][0]), k))[:10]
+    rows = {r["page_id"]: r["differences"].split("\n") for r in entry.queries()["codepoint_diff"](spark, folder).collect()}
+    assert sorted(rows) == sorted(worst)
+    for k, said in rows.items():
+        a, b = pages[k]
+        places = [i for i in range(max(len(a), len(b))) if a[i : i + 1] != b[i : i + 1]]
+        assert [int(x.split(":")[0]) for x in said[:40] if ":" in x] == places[:40]
+        assert all(f"U+{ord(a[i]):04X}" in said[n] for n, i in enumerate(places[:40]) if i < len(a))
+        assert (said[-1] == f"{len(places) - 40} more places differ") == (len(places) > 40)

@@ -62,16 +62,12 @@ class LineOrder(NamedTuple):
 
 def _most_similar(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
     """For each pair, a similarity that it cannot exceed: edits are no fewer than letters that one has and the other lacks."""
-    letters = {c: k for k, c in enumerate(sorted(set().union(*a, *b)))}
-
-    def counts(lines: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(lines), len(letters)), np.int32)
-        for i, x in enumerate(lines):
-            np.add.at(out[i], [letters[c] for c in x], 1)
-        return out
-
-    p, q = counts(a), counts(b)
-    m, n = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    m, n = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+    codes = np.frombuffer("".join([*a, *b]).encode("utf-32-le", "surrogatepass"), "<u4")
+    letters, letter = np.unique(codes, return_inverse=True)
+    rows, kinds = len(a) + len(b), max(1, len(letters))
+    counts = np.bincount(np.repeat(np.arange(rows), np.r_[m, n]) * kinds + letter, minlength=rows * kinds).reshape(rows, kinds)
+    p, q = counts[: len(a)], counts[len(a) :]
     apart = np.array([np.abs(q - row).sum(1) for row in p]).reshape(len(a), len(b))
     fewest, longest = (apart + np.abs(m[:, None] - n)) // 2, np.maximum(m[:, None], n)
     return np.where(longest == 0, 1.0, 1.0 - fewest / np.maximum(longest, 1))
@@ -109,19 +105,20 @@ def partners(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) ->
     return [(i, *partner[i]) for i in sorted(partner)]
 
 
-def line_order(reference: str, prediction: str, ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> LineOrder:
+def line_order(reference: str, prediction: str, ref_keys: Sequence[str], pred_keys: Sequence[str], least: float, edits: int | None = None) -> LineOrder:
     """Pairs lines by the similarity of their keys and puts the prediction's lines in the reference's order.
 
     reference, prediction: whole texts. ref_keys, pred_keys: what is compared of their lines, in turn (of those that are not
     blank). Pairs of similarity `least` or more are taken best first, then by the reference's and the prediction's order, if
-    neither line is taken. Lines without a partner come last, as they stood.
+    neither line is taken. Lines without a partner come last, as they stood. edits: the texts' distance as they are, if known.
     """
+    apart = lambda text: edits if edits is not None and text == prediction else edit_distance(reference, text)
     lines = [x for x in prediction.split("\n") if x.strip()]
     if not ref_keys or not pred_keys:
-        return LineOrder(edit_distance(reference, prediction), 0, 0, 0, len(ref_keys), len(pred_keys))
+        return LineOrder(apart(prediction), 0, 0, 0, len(ref_keys), len(pred_keys))
     places = [j for _, j, _ in partners(ref_keys, pred_keys, least)]
     taken = set(places)
     rebuilt = "\n".join([lines[j] for j in places] + [x for j, x in enumerate(lines) if j not in taken])
     concordant = sum(p < q for k, p in enumerate(places) for q in places[k + 1 :])
     k = len(places)
-    return LineOrder(edit_distance(reference, rebuilt), concordant, k * (k - 1) // 2, k, len(ref_keys), len(pred_keys))
+    return LineOrder(apart(rebuilt), concordant, k * (k - 1) // 2, k, len(ref_keys), len(pred_keys))

@@ -33,12 +33,15 @@ def measure_page(reference: str, prediction: str, scored: bool, least_similarity
         "skeleton": (" ".join(k for k in ref_keys if k), " ".join(k for k in keys if k)),  # a line end is white space like other
     }
     out: list = []  # names are imported, not modules: the function travels to executors by value
+    known: dict[tuple[str, str], list[int]] = {}  # levels often leave both sides as they are
     for level, (r, p) in sides.items():
         if not r:
             raise ValueError(f"the reference is empty at level {level}: validate the corpus before it is scored")
-        rw, pw = r.split(), p.split()
-        out += [edit_distance(r, p), len(r), edit_distance(rw, pw), len(rw), int(r == p)]
-    order = line_order(reference, prediction, [k for k, x in zip(ref_keys, ref_lines, strict=True) if x.strip()], [k for k, x in zip(keys, pred_lines, strict=True) if x.strip()], least_similarity)
+        if (r, p) not in known:
+            rw, pw = r.split(), p.split()
+            known[r, p] = [edit_distance(r, p), len(r), edit_distance(rw, pw), len(rw), int(r == p)]
+        out += known[r, p]
+    order = line_order(reference, prediction, [k for k, x in zip(ref_keys, ref_lines, strict=True) if x.strip()], [k for k, x in zip(keys, pred_lines, strict=True) if x.strip()], least_similarity, out[0])
     return (*out, *order, keys)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import uuid
 from collections.abc import Callable
 
@@ -16,7 +17,10 @@ from quire.sources.files import write_predictions
 from quire.sources.manifest import read_manifest
 from quire.sources.predictions import predictions_digest as digest
 from quire.sources.predictions import read_folder, read_lines
+from quire.reports import number, percent
+from quire.sources.runs import run_id
 from quire.sources.shards import shard_aug, shard_group
+from quire.sources.writer import dumps_line
 from quire.store import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,6 +333,12 @@ def _scratch(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/quire-{uuid.uuid4().hex}"
 
 
+def _lines_file(spark: SparkSession, lines: DataFrame) -> str:
+    """Lines of one partition as one file."""
+    lines.write.text(folder := _scratch(spark))
+    return spark.read.format("binaryFile").load(folder).select("path").first()["path"]
+
+
 def _manifest_file(spark: SparkSession, sf_dir: str) -> str:
     """The corpus as a manifest of JSON lines in the order of ids, with faults: repeated ids, unknown kinds and fields, two references."""
     k, pages = F.col("doc_id"), corpus(spark, sf_dir)
@@ -338,9 +348,7 @@ def _manifest_file(spark: SparkSession, sf_dir: str) -> str:
         ident.alias("page_id"), "split", F.coalesce(odd(7, F.lit("film")), F.col("kind")).alias("kind"), F.col("reference").alias("reference_text"), odd(11, F.lit("ref.txt")).alias("reference_path"),
         F.concat(F.lit("images/"), "page_id").alias("image_path"), "fonts", F.reverse("distortions").alias("distortions"), "source", "is_augmented", odd(13, F.lit(1)).alias("colour"),
     )
-    folder = _scratch(spark)
-    pages.select("doc_id", F.to_json(row).alias("value")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id").select("value").write.text(folder)
-    return folder
+    return _lines_file(spark, pages.select("doc_id", F.to_json(row).alias("value")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id").select("value"))
 
 
 _FAULTS = f"""f AS (SELECT *, doc_id % 29 AS odd, row_number() OVER (ORDER BY doc_id) AS line, lag(doc_id) OVER (ORDER BY doc_id) AS before FROM page),
@@ -369,9 +377,7 @@ def _prediction_lines(spark: SparkSession, sf_dir: str) -> str:
     """The baseline's predictions as JSON lines in the order of ids, some of them repeated or without text."""
     k, pages = F.col("doc_id"), corpus(spark, sf_dir)
     both = pages.select("doc_id", F.lit(0).alias("n"), "page_id", F.when(k % 31 != 3, F.col("prediction")).alias("text")).union(pages.where(k % 17 == 2).select("doc_id", F.lit(1), "page_id", F.lit("again")))
-    folder = _scratch(spark)
-    both.repartitionByRange(1, "doc_id", "n").sortWithinPartitions("doc_id", "n").select(F.to_json(F.struct("page_id", "text")).alias("value")).write.text(folder)
-    return folder
+    return _lines_file(spark, both.repartitionByRange(1, "doc_id", "n").sortWithinPartitions("doc_id", "n").select(F.to_json(F.struct("page_id", "text")).alias("value")))
 
 
 @query(f"WITH {SQL} SELECT page_id, CASE WHEN doc_id % 31 = 3 THEN 'again' ELSE baseline END AS text FROM page WHERE doc_id % 31 <> 3 OR doc_id % 17 = 2")
@@ -387,6 +393,29 @@ def prediction_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return problems.groupBy(F.when(F.col("message").contains("repeats the page_id"), "repeats").otherwise("lacks").alias("kind")).agg(F.count("*").alias("n"))
 
 
+_GOOD = f"{_FAULTS}, m AS (SELECT page_id, doc_id FROM faults WHERE odd NOT IN (5, 7, 11)), p AS (SELECT page_id FROM page WHERE doc_id % 31 <> 3 OR doc_id % 17 = 2)"
+
+
+@query(f"""WITH {SQL}, {_GOOD} SELECT 'manifest' AS part, count(*) AS n FROM faults WHERE odd IN (7, 11, 13) OR again UNION ALL SELECT 'predictions', (SELECT count(*) FROM page WHERE doc_id % 31 = 3) + (SELECT count(*) FROM page WHERE doc_id % 17 = 2 AND doc_id % 31 <> 3)
+  UNION ALL SELECT 'ids', count(*) FROM page WHERE doc_id % 29 = 11 UNION ALL SELECT 'pages', count(*) FROM m WHERE doc_id % 29 <> 11 AND page_id NOT IN (FROM p) UNION ALL SELECT 'orphans', count(*) FROM p WHERE page_id NOT IN (SELECT page_id FROM m)""")
+def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many problems validation reports of each part, for a manifest, predictions and a list of all ids."""
+    ids = [r["page_id"] for r in corpus(spark, sf_dir).where("doc_id % 29 <> 5 AND doc_id % 29 <> 7").select("page_id").orderBy("page_id").collect()]
+    checked = validation.validate(spark, _manifest_file(spark, sf_dir), _prediction_lines(spark, sf_dir), ids=ids)
+    names = F.create_map(*(F.lit(x) for k, v in {0: "manifest", 1: "predictions", 2: "ids", 4: "pages", 5: "orphans"}.items() for x in (k, v)))
+    return checked.problems.groupBy(names[F.col("part")].alias("part")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {SQL}, t AS (SELECT page_id, kind, CASE WHEN doc_id % 20 = 0 THEN t ELSE '[UNREADABLE]' END AS probe, doc_id % 23 = 1 AS bare FROM page JOIN d USING (doc_id))
+  SELECT page_id, 'probe' AS fault FROM t WHERE kind = 'probe' AND trim(probe, E' \n\t\r') <> '[UNREADABLE]' UNION ALL SELECT page_id, 'blank' FROM t WHERE kind <> 'probe' AND bare""")
+def reference_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose reference cannot be scored: legible probes, and blank ones of other kinds."""
+    k = F.col("doc_id")
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    pages = corpus(spark, sf_dir).join(texts, "doc_id").withColumn("reference", F.when((F.col("kind") == "probe") & (k % 20 == 0), F.col("t")).when((F.col("kind") != "probe") & (k % 23 == 1), " \n ").otherwise(F.col("reference")))
+    return validation.content_problems(pages).join(pages.select("page_id", "kind"), "page_id").select("page_id", F.when(F.col("kind") == "probe", "probe").otherwise("blank").alias("fault")).distinct()
+
+
 @query(f"WITH {SQL} SELECT page_id, baseline AS text, CAST(strlen(baseline) AS BIGINT) AS bytes FROM page")
 def prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions written as one file a page, empty ones too, and read again; a file's last line end is not part of a text."""
@@ -419,6 +448,35 @@ def sorted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("page_id", F.array_join(F.array_sort(F.concat("distortions", "fonts")), ",").alias("sorted"))
 
 
+# ---- what documents are written with
+
+
+@query("SELECT doc_id, regexp_replace(lang || '/' || coalesce(source, ''), '[^A-Za-z0-9_-]', '-', 'g')[1:40] || '-' || substr(sha256(lang || '/' || coalesce(source, '') || chr(0) || CAST(doc_id AS VARCHAR) || chr(0) || coalesce(text, '') || chr(0)), 1, 12) AS run_id FROM documents")
+def run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of runs, from a version and two digests."""
+    name = F.udf(lambda *x: run_id(*x), "string", useArrow=True)
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", name(F.concat("lang", F.lit("/"), F.coalesce("source", F.lit(""))), F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).alias("run_id"))
+
+
+@query("""SELECT doc_id, '{"doc_id":' || CAST(doc_id AS VARCHAR) || ',"share":' || CAST(round(n_chars / 7.0, 6) AS VARCHAR) || ',"text":' || to_json(text)::VARCHAR || '}' AS line FROM (SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars, coalesce(text, '') AS text FROM documents)""")
+def canonical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose bytes depend on their content alone: sorted keys, six places."""
+    line = F.udf(lambda d, n, t: dumps_line({"text": t, "share": n / 7.0, "doc_id": d}), "string", useArrow=True)
+    return table(spark, sf_dir, "documents").select("doc_id", line("doc_id", "n_chars", F.coalesce("text", F.lit(""))).alias("line"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN '—' ELSE printf('%.4f', CAST(p_retailprice AS DOUBLE) / 977) END AS rate, CASE WHEN p_size % 5 = 0 THEN '—' ELSE printf('%.2f%%', 100 * (CAST(p_size AS DOUBLE) / 51)) END AS share,
+  replace(replace(replace(replace(replace(p_name || '<&>"''', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped FROM part""")
+def report_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, shares and texts as reports print them."""
+    part, price = table(spark, sf_dir, "part"), F.col("p_retailprice").cast("double")
+    return part.select(
+        "p_partkey", F.udf(lambda x: number(x), "string", useArrow=True)(F.when(F.col("p_size") % 7 != 0, price / 977)).alias("rate"), F.udf(lambda x: percent(x), "string", useArrow=True)(F.when(F.col("p_size") % 5 != 0, F.col("p_size").cast("double") / 51)).alias("share"),
+        F.udf(lambda x: html.escape(x, quote=True), "string", useArrow=True)(F.concat("p_name", F.lit("<&>\"'"))).alias("escaped"),
+    )
+
+
 # ---- comparison
 
 

@@ -34,13 +34,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return made
 
 
-def settle(df: DataFrame) -> DataFrame:
+#: Spark removes a query's shuffle files when the query has ended.
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settle(df: DataFrame, partitioned: bool = False) -> DataFrame:
     """Computes df once and cuts its lineage: the rows are in the shared checkpoint folder, so a lost executor loses none.
 
-    Spark removes the files when nothing refers to them any more (spark.cleaner.referenceTracking.cleanCheckpoints).
+    The shuffle files that led to them go at once. Spark removes the checkpoint's files when nothing refers to them any more
+    (spark.cleaner.referenceTracking.cleanCheckpoints). partitioned: later plans know how the rows are dealt out, and do not
+    shuffle them again for that; an adaptive plan would not tell.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    asked = {_FREED: "true"} | ({"spark.sql.adaptive.enabled": "false"} if partitioned else {})
+    before = {k: spark.conf.get(k, None) for k in asked}
+    for k, v in asked.items():
+        spark.conf.set(k, v)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def with_columns(df: DataFrame, made: dict[str, Column]) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from quire.llm.passages import Block, Plan, mixed, remove_recurring
 
 WINDOW, ANCHOR = 13, 5
-#: Words of contexts that one automaton is compiled from; contexts of a key stay together, so one key may exceed it.
-COMPILED_AT_ONCE = 1 << 14
+#: Words of contexts that one automaton is compiled from; contexts of a key stay together, so one key may exceed it, up to
+#: MOST_IN_KEY different contexts.
+COMPILED_AT_ONCE, MOST_IN_KEY = 1 << 14, 1 << 15
 
 _BLANK = np.zeros(256, np.bool_)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -53,11 +54,13 @@ def _spelled(n: int, digits: int) -> list[str]:
     return ["".join(chr(0x100 + 64 * k + (i >> 6 * k & 63)) for k in range(digits)) for i in range(n)]
 
 
-def locate(contexts: list[bytes], least: np.ndarray, most: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """lo, hi of each context: from the first to the last of its windows that a smaller id has, in words (0, 0: none).
+def locate(contexts: list[bytes], least: np.ndarray, most: np.ndarray, several: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """lo, hi of each context twice: from the first to the last word of what an id smaller than `least` has too, and of what
+    `least` or a smaller one has (0, 0: nothing).
 
-    Windows that two ids have are confirmed phrases and make the automaton, over an alphabet that spells words. All contexts
-    are then run through it, and each occurrence is held against its phrase's smallest id.
+    Confirmed phrases make the automaton, over an alphabet that spells words: contexts that two ids have, whole, and of those
+    with a neighbour (`several`) also the windows that two ids have. All contexts are then run through it, and each occurrence
+    is held against its phrase's smallest id.
     """
     number: dict[bytes, int] = {}
     rows = [[number.setdefault(w, len(number)) for w in c.split(b" ")] for c in contexts]
@@ -65,9 +68,13 @@ def locate(contexts: list[bytes], least: np.ndarray, most: np.ndarray, window: i
     spelled = _spelled(len(number), digits)
     texts = ["".join([spelled[i] for i in row]) for row in rows]
     size, smallest, largest = window * digits, {}, {}
-    for t, a, b in zip(texts, least.tolist(), most.tolist(), strict=True):
-        for i in range(0, len(t) - size + 1, digits):
-            w = t[i : i + size]
+    for t, a, b, many in zip(texts, least.tolist(), most.tolist(), several.tolist(), strict=True):
+        pieces = [t[i : i + size] for i in range(0, len(t) - size + 1, digits)] if many else []
+        if a < b and len(t) != size:
+            pieces.append(t)
+        elif a < b and not many:
+            pieces = [t]
+        for w in pieces:
             if (x := smallest.get(w)) is None:
                 smallest[w], largest[w] = a, b
             else:
@@ -78,27 +85,35 @@ def locate(contexts: list[bytes], least: np.ndarray, most: np.ndarray, window: i
     automaton = ahocorasick.Automaton()
     for w, x in smallest.items():
         if x < largest[w]:
-            automaton.add_word(w, x)
-    lo, hi = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
+            automaton.add_word(w, (x, len(w)))
     if not len(automaton):
-        return lo, hi
+        return tuple(np.zeros(len(contexts), np.int64) for _ in range(4))
     automaton.make_automaton()
     starts = np.cumsum([0, *(len(row) + 1 for row in rows)])
     found = list(automaton.iter(("\0" * digits).join(texts)))
     end = (np.array([e for e, _ in found], np.int64) + 1) // digits
+    first = end - np.array([n for _, (_, n) in found], np.int64) // digits
     of = np.searchsorted(starts, end, side="right") - 1
-    hit = np.array([x for _, x in found], np.int64) < least[of]
-    end, of = end[hit], of[hit]
-    lo[:] = np.iinfo(np.int64).max
-    np.minimum.at(lo, of, end - window - starts[of])
-    np.maximum.at(hi, of, end - starts[of])
-    return np.where(hi > 0, lo, 0), hi
+    who, out = np.array([x for _, (x, _) in found], np.int64), []
+    for hit in (who < least[of], who <= least[of]):
+        lo, hi = np.full(len(contexts), np.iinfo(np.int64).max), np.zeros(len(contexts), np.int64)
+        np.minimum.at(lo, of[hit], (first - starts[of])[hit])
+        np.maximum.at(hi, of[hit], (end - starts[of])[hit])
+        out += [np.where(hi > 0, lo, 0), hi]
+    return tuple(out)
 
 
-def solve_words(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+def _windows(context: bytes, window: int) -> list[bytes]:
+    words = context.split(b" ")
+    return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
+
+
+def solve_words(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts: list[bytes], window: int = WINDOW, at_once: int = COMPILED_AT_ONCE, most_in_key: int = MOST_IN_KEY) -> tuple[np.ndarray, np.ndarray]:
     """Of each context: the words in windows that a context with the same key and a smaller id has too.
 
-    Equal contexts run through the automaton once, with the smallest of their ids; the others of their ids lose all words.
+    Equal contexts run through the automaton once, with the smallest and the largest of their ids; what it finds at or below
+    the smallest goes from all others of their ids. A key of very many different contexts is taken apart by its windows'
+    places around the anchor: equal windows have equal places, and an automaton at a time holds those of one place.
     """
     c = np.fromiter((xxhash.xxh64_intdigest(x) for x in contexts), np.uint64, len(contexts)) + left.astype(np.uint64)
     order = np.lexsort((c, key))
@@ -108,14 +123,54 @@ def solve_words(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts:
     smallest, largest = np.full(len(one), np.iinfo(np.int64).max), np.full(len(one), np.iinfo(np.int64).min)
     np.minimum.at(smallest, number, least)
     np.maximum.at(largest, number, least)
-    size = np.array([contexts[i].count(b" ") + 1 for i in one.tolist()], np.int64)
-    a, b, first, keys, sums = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64), 0, key[one], np.r_[0, np.cumsum(size)]
-    for i in range(1, len(one) + 1):
-        if i == len(one) or keys[i] != keys[i - 1] and sums[i] - sums[first] >= COMPILED_AT_ONCE:
-            a[first:i], b[first:i] = locate([contexts[j] for j in one[first:i].tolist()], smallest[first:i], largest[first:i], window)
-            first = i
+    keys, place = key[one], left[one]
+    cut = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(one) else np.zeros(1, np.int64)
+    in_key = np.repeat(np.diff(cut), np.diff(cut))
+    ranges = [np.zeros(len(one), np.int64) for _ in range(4)]  # lo, hi for the smallest id; lo, hi for the others
+
+    def compiled(rows: np.ndarray) -> None:
+        for x, y in zip(ranges, locate([contexts[i] for i in one[rows].tolist()], smallest[rows], largest[rows], in_key[rows] > 1, window), strict=True):
+            x[rows] = y
+
+    def taken_apart(rows: np.ndarray) -> None:
+        parts = [_windows(contexts[i], window) for i in one[rows].tolist()]
+        lo, hi = np.full((2, len(rows)), np.iinfo(np.int64).max), np.zeros((2, len(rows)), np.int64)
+        reach = int(place[rows].max(initial=0))
+        for o in range(-reach, max((len(p) for p in parts), default=0)):  # first word of a window, from the anchor
+            have = [(k, p[o + at]) for k, (p, at) in enumerate(zip(parts, place[rows].tolist(), strict=True)) if 0 <= o + at < len(p)]
+            different = sorted({w for _, w in have})
+            index = {w: n for n, w in enumerate(different)}
+            of, k = np.array([index[w] for _, w in have], np.int64), np.array([k for k, _ in have], np.int64)
+            low, high = np.full(len(different), np.iinfo(np.int64).max), np.full(len(different), np.iinfo(np.int64).min)
+            np.minimum.at(low, of, smallest[rows][k])
+            np.maximum.at(high, of, largest[rows][k])
+            for a in range(0, len(different), at_once):
+                part = slice(a, a + at_once)
+                low[part] = np.where(locate(different[part], low[part], high[part], np.zeros(len(different[part]), np.bool_), window)[3] > 0, low[part], np.iinfo(np.int64).max)
+            begin = o + place[rows][k]
+            for n, hit in enumerate((low[of] < smallest[rows][k], low[of] <= smallest[rows][k])):
+                np.minimum.at(lo[n], k[hit], begin[hit])
+                np.maximum.at(hi[n], k[hit], begin[hit] + window)
+        for n in (0, 1):
+            ranges[2 * n][rows], ranges[2 * n + 1][rows] = np.where(hi[n] > 0, lo[n], 0), hi[n]
+
+    needed = (in_key > 1) | (smallest < largest)
+    words = np.array([contexts[i].count(b" ") + 1 for i in one.tolist()], np.int64)
+    todo, size = [], 0
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        rows = np.arange(a, b)[needed[a:b]]
+        if len(rows) > most_in_key:
+            taken_apart(rows)
+            continue
+        todo.append(rows)
+        size += int(words[rows].sum())
+        if size >= at_once:
+            compiled(np.concatenate(todo))
+            todo, size = [], 0
+    if size:
+        compiled(np.concatenate(todo))
     mine = least == smallest[number]
-    return np.where(mine, a[number], 0), np.where(mine, b[number], size[number])
+    return np.where(mine, ranges[0][number], ranges[2][number]), np.where(mine, ranges[1][number], ranges[3][number])
 
 
 SCHEMA = "id long, n_words long, n_removed long, kept binary"

@@ -13,8 +13,8 @@ from quire.llm.suffix_array import suffix_array
 
 WINDOW, ANCHOR = 50, 26
 #: Bytes that one suffix array is built over, few enough for a processor's cache; contexts of a key stay together, so one key
-#: may exceed it.
-SORTED_AT_ONCE = 1 << 14
+#: may exceed it, up to MOST_IN_KEY different contexts.
+SORTED_AT_ONCE, MOST_IN_KEY = 1 << 14, 1 << 15
 
 
 def read_bytes(ids: np.ndarray, texts: list[bytes], anchor: int) -> Block:
@@ -89,12 +89,32 @@ def sorted_windows(strings: list[bytes], least: np.ndarray, window: int) -> tupl
     return np.where(hi > 0, lo, 0), hi
 
 
-def solve_bytes(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts: list[bytes], window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
+def windows_by_place(strings: list[bytes], least: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """What sorted_windows gives, for strings that have the same bytes from `at` on: equal windows that hold these have equal
+    places around them, so one place after the other is sorted, in memory of a window for each string."""
+    lo, hi = np.full(len(strings), np.iinfo(np.int64).max), np.zeros(len(strings), np.int64)
+    sizes = np.array([len(x) for x in strings])
+    for o in range(-int(at.max(initial=0)), int((sizes - at).max(initial=0))):  # first byte of a window, from the anchor
+        rows = np.flatnonzero((at + o >= 0) & (at + o + window <= sizes))
+        if not len(rows):
+            continue
+        begin = at[rows] + o
+        wide = np.frombuffer(b"".join(strings[i][a : a + window] for i, a in zip(rows.tolist(), begin.tolist(), strict=True)), f"V{window}")
+        _, of = np.unique(wide, return_inverse=True)
+        low = np.full(int(of.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(low, of, least[rows])
+        hit = low[of] < least[rows]
+        np.minimum.at(lo, rows[hit], begin[hit])
+        np.maximum.at(hi, rows[hit], begin[hit] + window)
+    return np.where(hi > 0, lo, 0), hi
+
+
+def solve_bytes(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts: list[bytes], window: int = WINDOW, anchor: int = ANCHOR, most_in_key: int = MOST_IN_KEY) -> tuple[np.ndarray, np.ndarray]:
     """Of each context: the bytes that lie in windows which a context with the same key and a smaller id has too.
 
     Equal contexts are one string with the smallest of their ids. Contexts of a key that differ are first cut to what any
     other one of the key has next to the anchor, on both sides, which takes no shared window away; the strings that are left
-    are suffix-sorted, many keys at once.
+    are suffix-sorted, many keys at once. Of a key with very many, windows are sorted place by place instead.
     """
     size = np.fromiter(map(len, contexts), np.int64, len(contexts))
     number, one = _numbered(key, left, contexts)
@@ -117,11 +137,19 @@ def solve_bytes(key: np.ndarray, least: np.ndarray, left: np.ndarray, contexts:
     low = np.full(len(pick), np.iinfo(np.int64).max)
     np.minimum.at(low, cut, own)
     a, b, keys = np.zeros(len(pick), np.int64), np.zeros(len(pick), np.int64), k[pick]
-    first, size_of = 0, np.r_[0, np.cumsum([len(strings[i]) for i in pick])]
-    for i in range(1, len(pick) + 1):
-        if i == len(pick) or keys[i] != keys[i - 1] and size_of[i] - size_of[first] >= SORTED_AT_ONCE:
-            a[first:i], b[first:i] = sorted_windows([strings[j] for j in pick[first:i]], low[first:i], window)
-            first = i
+    bounds = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]).tolist() if len(pick) else [0]
+    todo, size = [], 0
+    for x, y in zip(bounds, bounds[1:], strict=False):
+        if y - x > most_in_key:
+            a[x:y], b[x:y] = windows_by_place([strings[j] for j in pick[x:y]], low[x:y], before[pick[x:y]], window)
+            continue
+        todo += range(x, y)
+        size += sum(len(strings[j]) for j in pick[x:y])
+        if size >= SORTED_AT_ONCE or y == bounds[-1]:
+            a[todo], b[todo] = sorted_windows([strings[j] for j in pick[todo]], low[todo], window)
+            todo, size = [], 0
+    if todo:
+        a[todo], b[todo] = sorted_windows([strings[j] for j in pick[todo]], low[todo], window)
     whole = own > low[cut]
     a, b = np.where(whole, 0, a[cut]) + at - before, np.where(whole, before + anchor + after, b[cut])
     found_lo, found_hi = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
-from quire.llm import components, exact_dedup, phrase_dedup, simhash, substring_dedup
+from quire.llm import components, exact_dedup, passages, phrase_dedup, simhash, substring_dedup
 from quire.llm.suffix_array import suffix_array
 
 
@@ -141,6 +141,83 @@ def test_substrings_of_mutated_copies(spark):
     assert collected(phrase_dedup.phrase_dedup(docs, window=5, anchor=2)) == brute_words(texts, 5)
 
 
+def test_substrings_through_relays(documents, monkeypatch):
+    """Many small shards behind relays of few senders, three levels deep: the same results."""
+    monkeypatch.setattr(passages, "BLOCK_BYTES", 1 << 14)
+    docs, few = documents.repartition(5), {"shard_anchors": 1 << 11, "fanout": 3, "relayed": 4}
+    assert len(passages.route(documents.sparkSession, 27, 3).widths) == 3
+    assert collected(substring_dedup.substring_dedup(docs, **few)) == brute_bytes(rows_of(docs))
+    assert collected(phrase_dedup.phrase_dedup(docs, **(few | {"shard_anchors": 1 << 9}))) == brute_words(rows_of(docs))
+
+
+def test_messages_do_not_grow_with_shards(documents, monkeypatch):
+    """With ten times the shards, a block sends no more messages than its fan-out."""
+    monkeypatch.setattr(passages, "BLOCK_BYTES", 1 << 14)
+    plan = passages.Plan(50, 26, lambda ids, texts: substring_dedup.read_bytes(ids, texts, 26), None)
+    blocks = passages.pack(documents, "doc_id", "text").select("uid", "blob")
+    for shards in (8, 80, 800):
+        way = passages.route(documents.sparkSession, shards, 8)
+        assert way.shards >= shards
+        sent = blocks.mapInArrow(lambda it, way=way: passages._send_hashes(it, plan, way), passages.MESSAGE).groupBy("uid").count()
+        assert sent.agg(F.max("count")).first()[0] <= 9
+
+
+def contexts_of_a_key(n, unit, sides, draw):
+    """n contexts around one anchor, of which pairs share windows."""
+    made = []
+    for i in range(n):
+        a, b = [draw.choice(unit) for _ in range(sides)], [draw.choice(unit) for _ in range(sides)]
+        if made and draw.random() < 0.5:  # a neighbour's words up to some way off
+            p, q = draw.choice(made)
+            k = draw.randint(0, sides)
+            a[sides - k :], b[: sides - k] = p[sides - k :], q[: sides - k]
+        made.append((a, b))
+    return made
+
+
+@pytest.mark.parametrize("n", [300])
+def test_large_keys_are_taken_apart(n):
+    draw = random.Random(n)
+    words = contexts_of_a_key(n, [f"w{i}" for i in range(40)], 8, draw)
+    key, least, left = np.zeros(n, np.uint64), np.array([draw.randint(0, 50) for _ in range(n)]), np.full(n, 8)
+    texts = [" ".join([*a, "x", "y", "z", "u", "v", *b]).encode() for a, b in words]
+    assert all((x == y).all() for x, y in zip(phrase_dedup.solve_words(key, least, left, texts), phrase_dedup.solve_words(key, least, left, texts, most_in_key=4), strict=True))
+    sides = contexts_of_a_key(n, "abcd", 24, draw)
+    texts = ["".join([*a, "x" * 26, *b]).encode() for a, b in sides]
+    left = np.full(n, 24)
+    one, other = substring_dedup.solve_bytes(key, least, left, texts), substring_dedup.solve_bytes(key, least, left, texts, most_in_key=4)
+    assert (one[1] > 0).any() and all((x == y).all() for x, y in zip(one, other, strict=True))
+
+
+def test_a_key_at_the_limit():
+    """As many different contexts as one task may get of a key take bounded time and memory."""
+    import resource
+
+    draw, n = np.random.default_rng(4), 1 << 18
+    letters = draw.integers(97, 123, (n, 48), np.uint8)
+    texts = [bytes(x[:24]) + b"x" * 26 + bytes(x[24:]) for x in letters]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    lo, hi = substring_dedup.solve_bytes(np.zeros(n, np.uint64), np.arange(n), np.full(n, 24), texts)
+    assert not hi.any() and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kB
+
+
+def test_phrases_go_through_the_automaton(monkeypatch):
+    """Without its automata the operator removes nothing, not even from equal contexts."""
+    text = " ".join(f"w{i}" for i in range(21)).encode()
+    args = (np.zeros(3, np.uint64), np.array([1, 2, 3]), np.full(3, 8), [text, text, text + b" more"])
+    assert phrase_dedup.solve_words(*args)[1].tolist() == [0, 21, 21]
+
+    class Deaf:
+        def __init__(self): self.n = 0
+        def add_word(self, *_): self.n += 1
+        def __len__(self): return self.n
+        def make_automaton(self): pass
+        def iter(self, _): return iter(())
+
+    monkeypatch.setattr(phrase_dedup.ahocorasick, "Automaton", Deaf)
+    assert phrase_dedup.solve_words(*args)[1].tolist() == [0, 0, 0]
+
+
 def test_substrings_of_nothing(nothing):
     assert substring_dedup.substring_dedup(nothing).count() == 0
     assert phrase_dedup.phrase_dedup(nothing).count() == 0

@@ -21,10 +21,6 @@ LEAST_SIMILARITY = THRESHOLDS["line_match_min_similarity"]
 WHITE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
-def _class(ranges: Iterable[tuple[int, int]]) -> str:
-    return "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
-
-
 #: What is found out once in each process. (Functions that go to executors by value cannot have functools' caches.)
 _KNOWN: dict[str, object] = {}
 
@@ -50,13 +46,6 @@ def strict(text: Column) -> Column:
     return text
 
 
-def diacritic_insensitive(text: Column) -> Column:
-    """Without the listed marks, and without other marks that stand on a letter of the Arabic blocks."""
-    marks = _class(mark_ranges())
-    bare = F.regexp_replace(text, f"[{_class(DIACRITICS)}]+", "")
-    return F.regexp_replace(bare, f"([{_class(ARABIC_BLOCKS)}&&[^{marks}]])[{marks}]+", "$1")
-
-
 class _Skeleton(dict):
     """What str.translate puts for a code point, found out when it is first met."""
 
@@ -81,7 +70,7 @@ def skeleton_of(text: str) -> str:
 
 
 def bare_of(text: str) -> str:
-    """diacritic_insensitive for Python."""
+    """Without the listed marks, and without other marks that stand on a letter of the Arabic blocks."""
     if text.isascii():
         return text
     if "bare" not in _KNOWN:
@@ -92,6 +81,12 @@ def bare_of(text: str) -> str:
     return others.sub("", listed.sub("", text))
 
 
+@F.pandas_udf(T.StringType())
+def diacritic_insensitive(texts: pd.Series) -> pd.Series:
+    """bare_of. (Java's regular expressions try the ranges of marks one by one for each letter.)"""
+    return texts.map(bare_of, na_action="ignore")
+
+
 @F.pandas_udf(T.StringType())
 def skeleton(texts: pd.Series) -> pd.Series:
     return texts.map(skeleton_of, na_action="ignore")

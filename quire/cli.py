@@ -153,7 +153,7 @@ def _prepare(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _predict(spark: SparkSession, a: argparse.Namespace) -> None:
-    settings = {
+    settings = {  # fixed values: the names in the document beside the predictions
         "model": a.model, "manifest": a.manifest, "prompt": prepare.PROMPT, "image_max_tokens": a.image_max_tokens, "max_new_tokens": a.max_new_tokens,
         "decoding": "greedy", "dtype": a.dtype, "removed_prefix": a.prefix, "image_ref": os.environ.get("IMAGE_REF", "unset"),
     }

@@ -114,12 +114,12 @@ def predict_run(
     done = None if place.is_empty() else names(out, "*.txt").select(F.regexp_replace("file", r"\.txt$", "").alias("page_id"))
     todo = pages if done is None else pages.join(done, "page_id", "left_anti")
     left = todo.count()
-    tell(f"shard {shard}/{shards}: {n} pages, {n - left} done before, {left} to predict")
+    tell(f"{n} pages in part {shard} of {shards}; {n - left} of them have a prediction")
     written = 0
     if left:
         located = todo.withColumn("image_path", F.concat(F.lit(root + "/"), "image_path"))
         tasks = max(1, min(left // (4 * batch) + 1, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
         written = write_predictions(predict(located.repartition(tasks, "page_id"), model, batch, prefix), out).count()
     seconds = time.time() - began
-    tell(f"{written}/{left} pages, {written / max(seconds, 1e-9):.2f} pages/s")
+    tell(f"wrote {written} of {left} in {seconds:.1f} s, {written / max(seconds, 1e-9):.2f} a second")
     return Predicted(n, n - left, written, seconds)

@@ -40,7 +40,7 @@ def test_prediction_run(spark, corpus, tmp_path):
     (out / "p06.txt").unlink()
     assert run(shards=3, shard=0, limit=4)[:3] == (4, 3, 1)  # only what is missing
     assert run(settings=settings | {"image_ref": "b"}, splits=["gold_scans"])[:3] == (5, 1, 4)
-    assert "5 pages, 1 done before, 4 to predict" in told[-2] and told[-1].startswith("4/4 pages")
+    assert told[-2].startswith("5 pages in part 0 of 1; 1 of them") and told[-1].startswith("wrote 4 of 4")
     with pytest.raises(UsageError, match="settings"):
         run(settings=settings | {"model": "n"})
     with pytest.raises(UsageError, match="shard"):

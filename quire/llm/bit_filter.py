@@ -52,3 +52,26 @@ def probe(rows: DataFrame, filters: Sequence[DataFrame], key: Column, bits: int,
         held = held & F.expr(f"coalesce(shiftrightunsigned({OWN}longs{k}[cast(({OWN}slot{k} div 64) % {WIDTH} as int)], cast({OWN}slot{k} % 64 as int)) & 1L, 0L) = 1L")
     made = [f"{OWN}{c}{k}" for k in range(len(filters)) for c in ("slot", "at", "row", "longs")]
     return rows.withColumn(name, held).drop(*made)
+
+
+def without(rows: DataFrame, id_col: str, gone: DataFrame, nulls: bool = False) -> DataFrame:
+    """Rows whose id is not in gone (a column of ids that differ; a null one counts only with `nulls`).
+
+    Rows that a filter of the ids does not hold pass where they are read; only the others meet the ids in a shuffle.
+    """
+    gone = settle(gone.select(F.col(gone.columns[0]).alias(OWN + "gone")))
+    key, bits, maybe = F.col(f"`{id_col}`").cast("string"), bits_for(gone.count()), OWN + "maybe"
+    filters = build(gone.select(F.col(OWN + "gone").cast("string").alias("id")), "id", bits)
+    probed = probe(rows, filters, key, bits, maybe)
+    own, other = F.col(f"`{id_col}`"), F.col(OWN + "gone")
+    left = probed.where(maybe).join(gone, own.eqNullSafe(other) if nulls else own == other, "left_anti")
+    return probed.where(f"NOT {maybe}").unionByName(left).drop(maybe)
+
+
+def semi(rows: DataFrame, id_col: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose id is in wanted (a column of ids that differ, null ones too); only those that a filter holds are shuffled."""
+    wanted = settle(wanted.select(F.col(wanted.columns[0]).alias(OWN + "wanted")))
+    bits, maybe = bits_for(wanted.count()), OWN + "maybe"
+    filters = build(wanted.select(F.col(OWN + "wanted").cast("string").alias("id")), "id", bits)
+    probed = probe(rows, filters, F.col(f"`{id_col}`").cast("string"), bits, maybe).where(maybe).drop(maybe)
+    return probed.join(wanted, F.col(f"`{id_col}`").eqNullSafe(F.col(OWN + "wanted")), "left_semi")

@@ -64,7 +64,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     then lets the documents that have one through to the join with them: no other text is shuffled, whatever its length.
 
     Items of fewer than min_words words are cut into one part more than words may be replaced; a document meets them by any
-    whole part (its windows of a part's length are hashed only if the benchmark has such items). Null texts have no words; null and
+    whole part (its windows of a part's length are hashed only if the benchmark has such items). Texts are read whole, however
+    long. Null texts have no words; null and
     repeated ids or items are values like others (rows with the same id count as one document if their texts agree at the
     same place). Empty tables give an empty result; other columns are not looked at.
     """
@@ -114,5 +115,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", **options) -> DataFrame:
     """Rows of docs that hold no passage of the benchmark."""
-    found = contaminated(docs, benchmark, id_col, text_col, item_col, **options).select(F.col("id").alias(OWN + "id")).distinct()
-    return docs.join(found, docs[f"`{id_col}`"].eqNullSafe(found[OWN + "id"]), "left_anti")
+    return bit_filter.without(docs, id_col, contaminated(docs, benchmark, id_col, text_col, item_col, **options).select("id").distinct(), nulls=True)

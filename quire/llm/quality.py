@@ -189,7 +189,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     The model is fit_quality's: at most about max_rows labelled rows teach it. Ids, labels and other columns are no inputs.
 
-    Null and empty texts are scored like others, by their features. A null id counts as held out and meets no label; null
+    Null and empty texts are scored like others, by their features, and so are very long ones, whole. A null id counts as held out and meets no label; null
     labels teach nothing; repeated rows count as often as they stand. Without labelled rows each score is 1/2; an empty
     table gives an empty result.
     """

@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import OWN, partitions, settle
+from quire.llm import bit_filter
+from quire.llm.common import partitions, settle
 from quire.llm.components import connected_components
 
 SEED = 42
@@ -241,6 +242,17 @@ def _similar_in_buckets(batches: Iterator[pa.RecordBatch], similarity: float) ->
             yield pa.RecordBatch.from_arrays([pa.array([node[k].tobytes() for k in part[i : i + (1 << 16)]], pa.binary()) for part in (h, t)], names=["a", "b"])
 
 
+def _with_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node) of whole keys, without those that are alone in their key."""
+    if not (got := list(batches)):
+        return
+    table = pa.Table.from_batches(got)
+    key = table.column(0).to_numpy()
+    order = np.argsort(key, kind="stable")
+    same = np.r_[False, key[order][1:] == key[order][:-1], False]
+    yield from table.take(order[same[1:] | same[:-1]]).to_batches(1 << 16)
+
+
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, radius: int = 2) -> DataFrame:
     """id and component (smallest id reachable over links) of every row of docs: texts link if the Jaccard similarity of
     their sets of five-word shingles is `similarity` or more.
@@ -275,13 +287,15 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     marked = settle(rows.mapInArrow(marks_of, f"id {kind}, node binary, keys array<long>, marks binary"))
     known = settle(marked.groupBy("node").agg(F.min("id").alias("least"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
-    tables = known.select(F.explode("keys").alias("key"), "node", "marks")
-    dealt = tables.repartition(partitions(spark, known.count() * (BANDS + len(masks)), 1 << 20), "key")
+    n = partitions(spark, known.count() * (BANDS + len(masks)), 1 << 20)
+    # keys and names alone first: marks go only where a key has several texts
+    met = known.select(F.explode("keys").alias("key"), "node").repartition(n, "key").mapInArrow(_with_others, "key long, node binary")
+    dealt = met.join(known.select("node", "marks"), "node").select("key", "node", "marks").repartition(n, "key")
     maybe = dealt.mapInArrow(lambda it: _similar_in_buckets(it, similarity), "a binary, b binary")
     maybe = settle(maybe.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     wanted = settle(maybe.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node").select("node", F.col("least").alias("wid")))
     # ids may repeat with other texts: the sets' own names tell which are meant
-    texts = rows.join(wanted.select("wid").distinct(), F.col("id").eqNullSafe(F.col("wid"))).select("text")
+    texts = bit_filter.semi(rows, "id", wanted.select("wid").distinct()).select("text")
     sets = settle(texts.mapInArrow(sets_of, "node binary, held array<long>").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("held").alias("held")))
     side = lambda c: sets.select(F.col("node").alias(c), F.col("held").alias(f"{c}_held"))
     both = F.size(F.array_intersect("a_held", "b_held"))
@@ -295,5 +309,4 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, radius: int = 2) -> DataFrame:
     """Rows of docs that stay: of each component of similar_classes, the rows with its smallest id (all, if the ids are null)."""
-    gone = similar_classes(docs, id_col, text_col, similarity, radius).where("NOT (id <=> component)").select(F.col("id").alias(OWN + "id")).distinct()
-    return docs.join(gone, docs[f"`{id_col}`"] == gone[OWN + "id"], "left_anti")
+    return bit_filter.without(docs, id_col, similar_classes(docs, id_col, text_col, similarity, radius).where("NOT (id <=> component)").select("id").distinct())

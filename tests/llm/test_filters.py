@@ -1,6 +1,7 @@
 """Secret, license and URL scans, decontamination, quality and mixing against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -308,6 +309,51 @@ def test_quality_odd(spark, odd, nothing):
     assert quality.quality_filter(odd, labels.limit(0)).columns == odd.columns
 
 
+def slow_score(model, x):
+    """One row's score, bin by bin."""
+    z = model.base
+    place = lambda edges, v: sum(e <= v for e in edges)
+    for j, (edges, table) in enumerate(zip(model.edges, model.tables, strict=True)):
+        z += table[place(edges, x[j])]
+    for i, j, e, f, table in model.pairs:
+        z += table[place(e, x[i])][place(f, x[j])]
+    return 1 / (1 + math.exp(-z))
+
+
+def slow_features(t):
+    """FEATURES by plain string operations."""
+    t = t or ""
+    raw, words = t.encode(), re.findall(b"[^ \t\n\r\v\f]+", t.encode())
+    n = max(1, len(raw))
+    share = lambda kinds: sum(bytes([b]) in kinds for b in raw) / n
+    of = lambda chars: {bytes([c]) for c in chars}
+    shares = [share(of(k)) for k in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\v\f\r", b".", b",;:", b"!?", b"\"'()[]-", b"|", b"#$%&*+/<=>@\\^_`{}~", bytes(range(128, 192)))]
+    if not words:
+        return [math.log1p(len(raw)), 0, 0, 0, *shares, *[0] * 8]
+    k, sizes = len(words), [len(w) for w in words]
+    marks = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    lines = [x for x in raw.split(b"\n") if x.strip()]
+    return [
+        math.log1p(len(raw)), math.log1p(k), sum(sizes) / k, math.log1p(max(sizes)), *shares, len(set(words)) / k**0.8, max(words.count(w) for w in set(words)) / k,
+        sum(x <= 3 for x in sizes) / k, sum(len(w) - len(w.strip(marks)) >= 2 for w in words) / k, sum(w.isupper() and len(w) > 1 for w in words) / k,
+        math.log1p(len(raw) / len(lines)), 1 - len(set(lines)) / len(lines), sum(x.rstrip()[-1:] in b".!?:" for x in lines) / len(lines),
+    ]
+
+
+def test_quality_scores_by_hand(spark, sf, documents, odd):
+    """Every score again, from the tables that were learned, one look-up after the other."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.fit_quality(documents, labels)
+    assert model.pairs and any(t.any() for t in model.tables)
+    got = {r["doc_id"]: r for r in op8_quality_classifier(spark, sf).collect()}
+    for r in documents.where("length(text) < 20000").collect():
+        x = slow_features(r["text"])
+        assert np.allclose(quality.features(r["text"]), x)
+        assert got[r["doc_id"]]["score"] == pytest.approx(slow_score(model, x), abs=1e-9)
+    for t in ("", None, " \n\t", "é!", "A B\n\nA B"):
+        assert np.allclose(quality.features(t), slow_features(t))
+
+
 def test_model_adds_pairs():
     """A label that only two features together explain."""
     draw = np.random.default_rng(0)

@@ -98,6 +98,7 @@ class Scanner:
 
     def __init__(self, templates: Sequence[Template] = TEMPLATES) -> None:
         self.templates = [(t, words_of(t.text), zstandard.ZstdCompressor(level=19, dict_data=zstandard.ZstdCompressionDict(t.text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False)) for t in templates]
+        self.must = [frozenset(t.must) for t in templates]
         self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
         self.keywords = ahocorasick.Automaton()
         for w in KEYWORDS:
@@ -140,10 +141,10 @@ class Scanner:
         found = self.best(words_of(block), i)
         return found[0] if found else None
 
-    def best(self, have: list[str], i: int) -> tuple[tuple[float, int, int, str], int, int] | None:
+    def best(self, have: list[str], i: int, there: set[str] | None = None) -> tuple[tuple[float, int, int, str], int, int] | None:
         """The place among these words that is most like template i: its wording, and where it begins and ends."""
         t, want, _ = self.templates[i]
-        if not set(t.must) <= set(have):
+        if not self.must[i] <= (set(have) if there is None else there):
             return None
         rare = min(t.must, key=have.count)
         far = len(want) + max(8, len(want) // 2)
@@ -179,7 +180,8 @@ class Scanner:
             if len(self.known) >= 4096:  # a cache, for lines that many documents have
                 self.known.clear()
             have, out, saved = words_of(block), [], None
-            places = {i: f for i in range(len(self.templates)) if (f := self.best(have, i))}
+            there = set(have)
+            places = {i: f for i in range(len(self.templates)) if (f := self.best(have, i, there))}
             while places:
                 saved = saved or {i: r for r, i in self.ranked(block)}
                 i = min(places, key=lambda i: (2 * places[i][0][1] + places[i][0][2] - len(self.templates[i][1]), -saved[i], i))

@@ -170,6 +170,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return marked.join(labels, "fp").select("id", "fp", "component")
 
 
+#: Candidates that a text names in a bucket, beside those that are sure.
+NEIGHBOURS = 8
 #: Bands of ROWS minima each: a pair of Jaccard similarity 0.8 agrees in no band with a chance of (1 - 0.8^4)^20, 3 in 100,000.
 BANDS, ROWS = 20, 4
 _MINIMA = np.random.default_rng(SEED).integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64, endpoint=False) | np.uint64(1)
@@ -187,29 +189,29 @@ def _set_of(text: str | None) -> tuple[np.ndarray, bytes]:
     return h, xxhash.xxh3_128_digest(h.tobytes())
 
 
-def _tree(marks: np.ndarray, least: int, sure: int) -> tuple[list[int], list[int]]:
-    """Links (others, reached from) of one bucket: a spanning forest by most agreeing minima, none with fewer than `least`.
-
-    Any set of texts that links of some similarity connect is connected in it by links no weaker, and a bucket gives fewer
-    links than it has texts. Those with `sure` agreeing minima are taken at once.
+def _candidates(marks: np.ndarray, least: int, sure: int, most: int = NEIGHBOURS) -> tuple[list[int], list[int]]:
+    """Links (others, reached from) of one bucket: texts with `sure` agreeing minima, found outward and not looked at again;
+    and of each text outside the largest group of these, up to `most` others of other groups that agree best, in `least` or more.
     """
-    left, best, by, heads, tails, todo = np.arange(len(marks)), np.full(len(marks), -1), np.zeros(len(marks), np.int64), [], [], []
+    left, group, heads, tails = np.arange(len(marks)), np.zeros(len(marks), np.int64), [], []
     while len(left):
-        if not todo:
-            k = int(left[best[left].argmax()])
-            if best[k] >= least:
-                heads.append(k)
-                tails.append(int(by[k]))
-            todo, left = [k], left[left != k]
-        p = todo.pop()
-        same = (marks[left] == marks[p]).sum(1)
-        hit = same >= sure
-        heads += left[hit].tolist()
-        tails += [p] * int(hit.sum())
-        todo += left[hit].tolist()
-        more = left[same > best[left]]
-        best[more], by[more] = same[same > best[left]], p
-        left = left[~hit]
+        root, left = int(left[0]), left[1:]
+        group[root], todo = root, [root]
+        while todo and len(left):
+            p = todo.pop()
+            hit = (marks[left] == marks[p]).sum(1) >= sure
+            heads += left[hit].tolist()
+            tails += [p] * int(hit.sum())
+            group[left[hit]] = root
+            todo += left[hit].tolist()
+            left = left[~hit]
+    largest = np.bincount(group).argmax()
+    for p in np.flatnonzero(group != largest).tolist():
+        same = np.where(group != group[p], (marks == marks[p]).sum(1), 0)
+        best = np.argpartition(-same, min(most, len(same) - 1))[:most]
+        best = best[same[best] >= least].tolist()
+        heads += best
+        tails += [p] * len(best)
     return heads, tails
 
 
@@ -233,7 +235,7 @@ def _similar_in_buckets(batches: Iterator[pa.RecordBatch], similarity: float) ->
                 heads.append(block[hit, j])
                 tails.append(block[hit, i])
     for a, b in zip(cut[:-1][size > 8].tolist(), cut[1:][size > 8].tolist(), strict=True):
-        h, t = _tree(marks[a:b], least, sure)
+        h, t = _candidates(marks[a:b], least, sure)
         heads.append(a + np.array(h, np.int64))
         tails.append(a + np.array(t, np.int64))
     if heads:
@@ -259,9 +261,9 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Covering tables over the fingerprints of these sets name all candidates within `radius` bits. Texts of a similarity of 0.8
     differ in ten bits on average, for which covering tables would number 2^11; so bands of minima name candidates too, and a
-    pair is missed only if no band holds it. In each bucket a spanning forest by agreeing minima is kept, and of its links
-    those that the sets themselves confirm: no link is made on an estimate. Texts with the same set are one node; those
-    without words are one, and link to no other. Ids as in near_classes.
+    pair is missed only if no band holds it. A bucket gives links to a text's most likely candidates, a number for each text, and
+    of these links those stay that the sets themselves confirm: no link is made on an estimate. Texts with the same set are
+    one node; those without words are one, and link to no other. Ids as in near_classes.
     """
     spark, masks = docs.sparkSession, np.array(covering_masks(radius), np.uint64)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))

@@ -41,6 +41,24 @@ def test_all_similar_pairs(spark):
     assert {r["doc_id"] for r in simhash.near_dedup(docs).collect()} == want
 
 
+def test_cloud_around_the_limit(spark):
+    """Hundreds of texts just above and just below the similarity: the same components as by brute force."""
+    import random
+
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
+    docs = []
+    for i in range(400):
+        w = base.copy()
+        for _ in range(draw.choice([1, 2, 3, 30])):
+            w[draw.randrange(120)] = f"x{draw.randrange(10**6)}"
+        docs.append((i, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    want = slow_kept(docs)
+    rows = simhash.similar_classes(df).collect()
+    assert len(rows) == 400 and {r["id"] for r in rows if r["id"] == r["component"]} == want
+
+
 def test_forest_connects():
     """A chain of texts, each like the next only, is connected by a bucket's links."""
     draw = np.random.default_rng(2)
@@ -48,5 +66,6 @@ def test_forest_connects():
     for i in range(1, 40):
         marks[i] = marks[i - 1]
         marks[i, draw.choice(80, 14, replace=False)] = draw.integers(0, 256, 14)
-    heads, tails = simhash._tree(marks, 51, 72)
-    assert len(heads) == 39 and {tuple(sorted(x)) for x in zip(heads, tails, strict=True)} >= {(i, i + 1) for i in range(39) if (marks[i] == marks[i + 1]).sum() >= 72}
+    heads, tails = simhash._candidates(marks, 51, 72)
+    assert {tuple(sorted(x)) for x in zip(heads, tails, strict=True)} >= {(i, i + 1) for i in range(39) if (marks[i] == marks[i + 1]).sum() >= 66}
+    assert max(tails.count(i) for i in range(40)) <= 8 + 39  # sure ones, and eight others

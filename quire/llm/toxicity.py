@@ -26,7 +26,7 @@ TERMS, LEAST_DOCUMENTS = 8192, 3
 #: Lengths of letter groups at a word's start; a whole word counts at every length up to MAX_WORD.
 SHORTEST, LONGEST, MAX_WORD = 3, 9, 40
 #: Weights of the counterfactual penalty and of the sizes of coefficients; steps of the fit.
-FAIRNESS, RIDGE, STEPS = 4.0, 3e-4, 600
+FAIRNESS, RIDGE, STEPS = 4.0, 3e-4, 300
 #: Sentences with an identity term that a labelled document gives at most, and swaps of each.
 SENTENCES, SWAPS = 8, 3
 
@@ -168,11 +168,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from portion()
 
 
+def _association(n1: int, n0: int) -> Column:
+    """The log-likelihood ratio of a letter group in `toxic` of n1 documents and in `other` of n0, against one rate for both."""
+    cell = lambda seen, of, n: F.when(seen > 0, seen * F.log(seen * (n1 + n0) / (of * n))).otherwise(0.0)
+    a, b = F.col("toxic"), F.col("other")
+    return 2 * (cell(a, a + b, F.lit(n1)) + cell(b, a + b, F.lit(n0)) + cell(n1 - a, n1 + n0 - a - b, F.lit(n1)) + cell(n0 - b, n1 + n0 - a - b, F.lit(n0)))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_TRAINING_ROWS, fairness: float = FAIRNESS, identity: Sequence[Sequence[str]] = IDENTITY) -> LinearModel:
     """The model, fitted on the driver on labelled rows whose id's CRC-32 modulo 3 is not 1.
 
-    A hash of the id picks about max_rows of them. Their letter groups are counted where the documents are read; the TERMS that tell
-    most about the label are the model's. Only the picked documents' numbers of these come to the driver, with those of their
+    A hash of the id picks about max_rows of them. Their letter groups are counted where the documents are read; at most TERMS, those that tell
+    more about the label than any would by chance, are the model's. Only the picked documents' numbers of these come to the driver, with those of their
     sentences that name a group of people and of the same sentences with another group's name.
     """
     marked = labels.select(F.col(f"`{id_col}`").alias("of"), F.col(f"`{label_col}`").cast("int").alias("y")).where("y in (0, 1)").where(~_held_out(F.col("of")))
@@ -183,10 +190,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     counted = taken.select("y", "text").mapInArrow(_count, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     sizes = {r["y"]: r["n"] for r in taken.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    rate = lambda c, n: (F.col(c) + 0.5) / (n + 1.0)
-    p, q = rate("toxic", n1), rate("other", n0)
-    told = F.abs(p - q) / F.sqrt(p * (1 - p) / (n1 + 1.0) + q * (1 - q) / (n0 + 1.0))
-    best = counted.where(F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS).orderBy(F.round(told, 6).desc(), "term").limit(TERMS).collect()
+    counted = settle(counted.where(F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS))
+    chance = 2 * math.log(max(2, counted.count()))  # so much less than one group is expected to reach by chance
+    best = counted.withColumn("told", F.round(_association(n1, n0), 6)).where(F.col("told") >= chance).orderBy(F.desc("told"), "term").limit(TERMS).collect()
     model = LinearModel([r["term"] for r in best])
     terms, lines = model.terms, [list(x) for x in identity]
     named = {t for line in lines for t in line}

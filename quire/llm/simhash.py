@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import bit_filter
-from quire.llm.common import partitions, settle
+from quire.llm.common import partitions, settle, stored
 from quire.llm.components import connected_components
 
 SEED = 42
@@ -170,8 +170,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return marked.join(labels, "fp").select("id", "fp", "component")
 
 
-#: Candidates that a text names in a bucket, beside those that are sure.
-NEIGHBOURS = 8
+#: Candidates that a text names in a bucket in the first round, beside those that are sure. The second round leaves nothing to them.
+GUESSES = 4
+#: In buckets of so many texts, and fewer, the first round compares every pair. A bucket of more than SHARE is dealt out.
+SMALL, SHARE = 8, 512
 #: Bands of ROWS minima each: a pair of Jaccard similarity 0.8 agrees in no band with a chance of (1 - 0.8^4)^20, 3 in 100,000.
 BANDS, ROWS = 20, 4
 _MINIMA = np.random.default_rng(SEED).integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64, endpoint=False) | np.uint64(1)
@@ -189,7 +191,7 @@ def _set_of(text: str | None) -> tuple[np.ndarray, bytes]:
     return h, xxhash.xxh3_128_digest(h.tobytes())
 
 
-def _candidates(marks: np.ndarray, least: int, sure: int, most: int = NEIGHBOURS) -> tuple[list[int], list[int]]:
+def _candidates(marks: np.ndarray, least: int, sure: int, most: int = GUESSES) -> tuple[list[int], list[int]]:
     """Links (others, reached from) of one bucket: texts with `sure` agreeing minima, found outward and not looked at again;
     and of each text outside the largest group of these, up to `most` others of other groups that agree best, in `least` or more.
     """
@@ -215,44 +217,117 @@ def _candidates(marks: np.ndarray, least: int, sure: int, most: int = NEIGHBOURS
     return heads, tails
 
 
-def _similar_in_buckets(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, marks) of whole buckets to links (a, b) between nodes that may be so similar."""
-    got = [(b.column(0).to_numpy(zero_copy_only=False), np.array(b.column(1).to_pylist(), "V16"), np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)) for b in batches if b.num_rows]
+def _limits(similarity: float) -> tuple[int, int]:
+    """Agreeing minima that a pair of this similarity has almost surely, and those that only similar pairs have."""
+    n, apart = BANDS * ROWS, math.sqrt(similarity * (1 - similarity) / (BANDS * ROWS))
+    return math.floor(n * (similarity - 4 * apart)), math.ceil(n * (similarity + 2 * apart))
+
+
+def _marks(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+
+
+def _named_pairs(heads: np.ndarray, tails: np.ndarray, node: list[bytes]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(heads), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array([node[k] for k in part[i : i + (1 << 16)]], pa.binary()) for part in (heads, tails)], names=["a", "b"])
+
+
+def _first_round(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Rows (key, share, node, marks) of whole shares of buckets to links (a, b) between nodes that may be so similar."""
+    got = [(b.column(0).to_numpy(), b.column(1).to_numpy(), np.array(b.column(2).to_pylist(), "V16"), _marks(b.column(3))) for b in batches if b.num_rows]
     if not got:
         return
-    key, node, marks = (np.concatenate([g[i] for g in got]) for i in range(3))
-    order = np.lexsort((key ^ node.view(np.int64).reshape(-1, 2)[:, 0], key))  # another member comes first in each band
-    key, node, marks = key[order], node[order], marks[order]
-    cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-    n, apart = BANDS * ROWS, math.sqrt(similarity * (1 - similarity) / (BANDS * ROWS))
-    least, sure = math.floor(n * (similarity - 4 * apart)), math.ceil(n * (similarity + 2 * apart))
+    key, share, node, marks = (np.concatenate([g[i] for g in got]) for i in range(4))
+    order = np.lexsort((key ^ node.view(np.int64).reshape(-1, 2)[:, 0], share, key))  # another member comes first in each band
+    key, share, node, marks = key[order], share[order], node[order], marks[order]
+    cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (share[1:] != share[:-1]), True])
+    least, sure = _limits(similarity)
     size, heads, tails = np.diff(cut), [], []
-    for m in np.unique(size[(size > 1) & (size <= 8)]):  # small buckets of one size at once: every pair
+    for m in np.unique(size[(size > 1) & (size <= SMALL)]):  # small buckets of one size at once: every pair
         block = cut[:-1][size == m][:, None] + np.arange(m)
         for i in range(m):
             for j in range(i + 1, m):
                 hit = (marks[block[:, i]] == marks[block[:, j]]).sum(1) >= least
                 heads.append(block[hit, j])
                 tails.append(block[hit, i])
-    for a, b in zip(cut[:-1][size > 8].tolist(), cut[1:][size > 8].tolist(), strict=True):
+    for a, b in zip(cut[:-1][size > SMALL].tolist(), cut[1:][size > SMALL].tolist(), strict=True):
         h, t = _candidates(marks[a:b], least, sure)
         heads.append(a + np.array(h, np.int64))
         tails.append(a + np.array(t, np.int64))
     if heads:
-        h, t = np.concatenate(heads), np.concatenate(tails)
-        for i in range(0, len(h), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array([node[k].tobytes() for k in part[i : i + (1 << 16)]], pa.binary()) for part in (h, t)], names=["a", "b"])
-
-
-def _with_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node) of whole keys, without those that are alone in their key."""
-    if not (got := list(batches)):
-        return
-    table = pa.Table.from_batches(got)
-    key = table.column(0).to_numpy()
-    order = np.argsort(key, kind="stable")
-    same = np.r_[False, key[order][1:] == key[order][:-1], False]
-    yield from table.take(order[same[1:] | same[:-1]]).to_batches(1 << 16)
+        yield from _named_pairs(np.concatenate(heads), np.concatenate(tails), [n.tobytes() for n in node])
+
+
+class _Meeting:
+    """Visitors and homes of one share of a bucket; which of their pairs are still to be compared."""
+
+    def __init__(self, rows: pa.Table, similarity: float):
+        self.key, self.similarity, self.least = rows["key"][0].as_py(), similarity, _limits(similarity)[0]
+        self.node, self.marks, self.size = rows["node"].to_pylist(), _marks(rows["marks"]), rows["size"].to_numpy()
+        self.keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(self.node), -1)
+        role = rows["role"].to_numpy()
+        self.visitors, self.homes = np.flatnonzero(role == 1), np.flatnonzero(role != 1)
+        self.other = role[self.homes] == 2
+        names = {c: i for i, c in enumerate(dict.fromkeys(rows["comp"].to_pylist()))}
+        self.comp = np.array([names[c] for c in rows["comp"].to_pylist()])
+        self.up = np.array([n.hex() for n in self.node])
+
+    def open(self, p: int) -> np.ndarray:
+        """Homes in other components that a visitor may be similar to, and that it meets here for the first time."""
+        h = self.homes
+        h = h[(self.comp[h] != self.comp[p]) & (~self.other | (self.up[h] > self.up[p])) & (np.minimum(self.size[h], self.size[p]) >= self.similarity * np.maximum(self.size[h], self.size[p]))]
+        h = h[(self.marks[h] == self.marks[p]).sum(1) >= self.least] if len(h) else h
+        if not len(h):
+            return h
+        same = self.keys[h] == self.keys[p]
+        return h[self.keys[p][same.argmax(1)] == self.key]
+
+    def join(self, a: int, b: int) -> None:
+        self.comp[self.comp == self.comp[a]] = self.comp[b]
+
+
+_SHARE = "key long, home int, visit int, role int, node binary, comp binary, size int, marks binary, keys array<long>"
+
+
+def _still_open(rows: pa.Table, similarity: float) -> pa.Table:
+    """Rows of a share that have a partner to be compared with by their sets."""
+    m, wanted = _Meeting(rows, similarity), np.zeros(rows.num_rows, bool)
+    for p in m.visitors.tolist():
+        h = m.open(p)
+        wanted[h] = True
+        wanted[p] |= len(h) > 0
+    return rows.filter(pa.array(wanted))
+
+
+def _second_round(rows: pa.Table, similarity: float) -> pa.Table:
+    """Rows of a share with their sets to links that join all components which a pair of the share joins."""
+    m, heads, tails = _Meeting(rows, similarity), [], []
+    held = rows["held"].combine_chunks()
+    flat, ends = np.unique(held.flatten().to_numpy(), return_inverse=True)[1].astype(np.int64), np.r_[0, np.cumsum(m.size)]
+    has = np.zeros(int(flat.max(initial=0)) + 1, np.int64)
+    for p in m.visitors.tolist():
+        h = m.open(p)
+        if not len(h):
+            continue
+        own = flat[ends[p] : ends[p + 1]]
+        has[own] = 1
+        size = m.size[h].astype(np.int64)
+        at = np.arange(int(size.sum())) + np.repeat(ends[h] - (np.cumsum(size) - size), size)
+        both = np.add.reduceat(has[flat[at]], np.cumsum(size) - size)
+        has[own] = 0
+        for q in h[both / (size + m.size[p] - both) >= similarity].tolist():
+            if m.comp[p] != m.comp[q]:
+                heads.append(m.node[p])
+                tails.append(m.node[q])
+                m.join(p, q)
+    return pa.table({"a": pa.array(heads, pa.binary()), "b": pa.array(tails, pa.binary())})
+
+
+def _linked(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of candidates (a, b), those that their sets confirm."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("held").alias(f"{c}_held"))
+    both = F.size(F.array_intersect("a_held", "b_held"))
+    return links.join(side("a"), "a").join(side("b"), "b").where(both / (F.size("a_held") + F.size("b_held") - both) >= similarity).select("a", "b")
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, radius: int = 2) -> DataFrame:
@@ -260,10 +335,18 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their sets of five-word shingles is `similarity` or more.
 
     Covering tables over the fingerprints of these sets name all candidates within `radius` bits. Texts of a similarity of 0.8
-    differ in ten bits on average, for which covering tables would number 2^11; so bands of minima name candidates too, and a
-    pair is missed only if no band holds it. A bucket gives links to a text's most likely candidates, a number for each text, and
-    of these links those stay that the sets themselves confirm: no link is made on an estimate. Texts with the same set are
-    one node; those without words are one, and link to no other. Ids as in near_classes.
+    differ in ten bits on average, for which covering tables would number 2^11; so bands of minima name candidates too. A pair
+    of just `similarity` shares no bucket, or too few minima, with a calculated chance of less than 1 in 10,000; every other one is found.
+
+    Two rounds compare what shares a bucket. In the first one, small buckets compare all pairs, and in shares of large ones a text names
+    those that agree almost surely and its likeliest other partners. Links that the sets confirm make components. The second
+    round takes every bucket that still holds several components, and compares by their sets all pairs of different components
+    that the first minima do not rule out: members of all but the largest component visit all shares of their bucket. A share
+    gives no more links than it has components, so links grow with the texts; a pair is compared in its first bucket only.
+
+    Texts with the same set are one node; those without words are one, and link to no other. Null and blank texts have no words; very long ones are
+    read whole, repeated rows give repeated rows, an empty table gives an empty result, and other columns are not looked at. Null ids as in
+    near_classes.
     """
     spark, masks = docs.sparkSession, np.array(covering_masks(radius), np.uint64)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -271,44 +354,83 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def marks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, keys, marks = [], [], []
+            nodes, keys, marks, sizes = [], [], [], []
             for t in b.column(1).to_pylist():
                 h, node = _set_of(t)
                 low = minima(h) if len(h) else np.zeros(0, np.uint64)
                 nodes.append(node)
+                sizes.append(len(h))
                 bands = [low[i : i + ROWS].tobytes() for i in range(0, len(low), ROWS)]
                 tables = [w.tobytes() for w in masks & np.uint64(_majority(h))] if len(h) else []
                 keys.append([xxhash.xxh64_intdigest(x, i) - (1 << 63) for i, x in enumerate(bands + tables)])
                 marks.append((low >> np.uint64(8)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())], names=["id", "node", "keys", "marks"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())], names=["id", "node", "size", "keys", "marks"])
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [_set_of(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([n for _, n in got], pa.binary()), pa.array([h.view(np.int64) for h, _ in got], pa.list_(pa.int64()))], names=["node", "held"])
 
-    marked = settle(rows.mapInArrow(marks_of, f"id {kind}, node binary, keys array<long>, marks binary"))
-    known = settle(marked.groupBy("node").agg(F.min("id").alias("least"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
+    marked = settle(rows.mapInArrow(marks_of, f"id {kind}, node binary, size int, keys array<long>, marks binary"))
+    known = settle(marked.groupBy("node").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
     n = partitions(spark, known.count() * (BANDS + len(masks)), 1 << 20)
+
+    def sets_for(nodes: DataFrame) -> DataFrame:
+        # ids may repeat with other texts: the sets' own names tell which are meant
+        wanted = settle(nodes.distinct().join(known, "node").select("node", F.col("least").alias("wid")))
+        texts = bit_filter.semi(rows, "id", wanted.select("wid").distinct()).select("text")
+        return settle(texts.mapInArrow(sets_of, "node binary, held array<long>").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("held").alias("held")))
+
     # keys and names alone first: marks go only where a key has several texts
-    met = known.select(F.explode("keys").alias("key"), "node").repartition(n, "key").mapInArrow(_with_others, "key long, node binary")
-    dealt = met.join(known.select("node", "marks"), "node").select("key", "node", "marks").repartition(n, "key")
-    maybe = dealt.mapInArrow(lambda it: _similar_in_buckets(it, similarity), "a binary, b binary")
+    met = known.select(F.explode("keys").alias("key"), "node")
+    many = settle(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
+    met = settle(met.join(many, "key").select("key", "node", "m"))
+    share = F.when(F.col("m") > SHARE, F.pmod(F.xxhash64("key", "node"), F.ceil(F.col("m") / SHARE))).otherwise(0).cast("int")
+    dealt = met.select("key", share.alias("share"), "node").join(known.select("node", "marks"), "node").select("key", "share", "node", "marks").repartition(n, "key", "share")
+    maybe = dealt.mapInArrow(lambda it: _first_round(it, similarity), "a binary, b binary")
     maybe = settle(maybe.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    wanted = settle(maybe.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node").select("node", F.col("least").alias("wid")))
-    # ids may repeat with other texts: the sets' own names tell which are meant
-    texts = bit_filter.semi(rows, "id", wanted.select("wid").distinct()).select("text")
-    sets = settle(texts.mapInArrow(sets_of, "node binary, held array<long>").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("held").alias("held")))
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("held").alias(f"{c}_held"))
-    both = F.size(F.array_intersect("a_held", "b_held"))
-    links = maybe.join(side("a"), "a").join(side("b"), "b").where(both / (F.size("a_held") + F.size("b_held") - both) >= similarity).select("a", "b")
+    links = settle(_linked(maybe, sets_for(maybe.select(F.explode(F.array("a", "b")).alias("node"))), similarity))
     roots = settle(connected_components(links))
+    more = _left_over(met, known, roots, sets_for, similarity)
+    if more is not None:
+        links = settle(links.unionByName(more))
+        roots = settle(connected_components(links))
     least = known.select("node", "least").join(roots, "node").groupBy("root").agg(F.min("least").alias("component"))
     linked = roots.join(least, "root").select("node", "component")
     labels = settle(known.select("node", "least").join(linked, "node", "left").select("node", F.coalesce("component", "least").alias("component")))
     return marked.select("id", "node").join(labels, "node").select("id", "component")
 
 
+def _left_over(met: DataFrame, known: DataFrame, roots: DataFrame, sets_for: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame | None:
+    """Links between components that share a large bucket and that no link joins yet; None if there are no such buckets.
+
+    met: key, node and the bucket's size m. A component's members in a bucket are counted by map-side sums. Those of the largest
+    component stay in their share (home); all others also visit all shares, in groups (visit) of their own.
+    """
+    labelled = met.where(F.col("m") > SMALL).join(roots, "node", "left").select("key", "node", "m", F.coalesce("root", "node").alias("comp"))
+    parts = settle(labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")))
+    tops = parts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("key", F.col("top.n").alias("most"), F.col("top.comp").alias("main"))
+    tops = settle(tops)
+    if tops.isEmpty():
+        return None
+    at = labelled.join(tops, "key").withColumn("homes", F.ceil(F.col("m") / SHARE).cast("int")).withColumn("visits", F.ceil((F.col("m") - F.col("most")) / SHARE).cast("int"))
+    own = lambda c, of: F.pmod(F.xxhash64("key", "node", F.lit(c)), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    role = F.when(F.col("comp") == F.col("main"), 0).otherwise(2)
+    homes = at.select("key", own("home", "homes").alias("home"), every("visits").alias("visit"), role.alias("role"), "node", "comp")
+    visitors = at.where("comp <> main").select("key", every("homes").alias("home"), own("visit", "visits").alias("visit"), F.lit(1).alias("role"), "node", "comp")
+    shares = homes.union(visitors).join(known.select("node", "size", "marks", "keys"), "node").select("key", "home", "visit", "role", "node", "comp", "size", "marks", "keys")
+    still = stored(shares.groupBy("key", "home", "visit").applyInArrow(lambda t: _still_open(t, similarity), _SHARE))
+    if still.isEmpty():
+        return None
+    full = still.join(sets_for(still.select("node")), "node").select(*still.columns, "held")
+    return settle(full.groupBy("key", "home", "visit").applyInArrow(lambda t: _second_round(t, similarity), "a binary, b binary"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, radius: int = 2) -> DataFrame:
-    """Rows of docs that stay: of each component of similar_classes, the rows with its smallest id (all, if the ids are null)."""
+    """Rows of docs that stay: of each component of similar_classes, the rows with its smallest id (all, if the ids are null).
+
+    Null and blank texts are one component, so one of their rows stays; repeated rows of a smallest id all stay. Very long texts are compared
+    whole, an empty table stays empty, and all columns are kept, whatever their names.
+    """
     return bit_filter.without(docs, id_col, similar_classes(docs, id_col, text_col, similarity, radius).where("NOT (id <=> component)").select("id").distinct())

@@ -31,6 +31,55 @@ def test_distance_is_exact():
         assert edit.edit_distance("".join(a), "".join(b)) == textbook(a, b) == edit.edit_distance(a, b)
 
 
+def test_fronts_and_columns_agree():
+    """Long texts with errors throughout, few and many: both ways, and the one that is chosen."""
+    draw = random.Random(7)
+    base = "".join(draw.choices("abcdefgh ابت ", k=1500))
+    for errors in (0, 1, 5, 30, 200, 900):
+        other = list(base)
+        for _ in range(errors):
+            k = draw.randrange(len(other))
+            kind = draw.randrange(3)
+            other[k : k + (kind != 1)] = ["x"] * (kind != 0)
+        other = "".join(other)
+        d = textbook(base, other)
+        assert edit.edit_distance(base, other) == edit._by_columns(base, other) == d
+        assert edit.edit_distance(base.split(), other.split()) == textbook(base.split(), other.split())
+        assert edit._by_fronts(*edit._codes(base, other), len(base) * 9) == d
+        assert edit._by_fronts(*edit._codes(base, other), d - 1) is None or d == 0
+
+
+def test_few_errors_in_long_texts_take_little_time():
+    import time
+
+    draw = random.Random(8)
+    base = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz    ", k=20_000))
+    other = list(base)
+    for k in draw.sample(range(len(base)), 100):
+        other[k] = "#"
+    other = "".join(other)
+    began = time.perf_counter()
+    assert edit.edit_distance(base, other) == 100
+    fronts = time.perf_counter() - began
+    began = time.perf_counter()
+    assert edit._by_columns(base, other) == 100
+    assert fronts < (time.perf_counter() - began) / 3
+
+
+def test_distances_at_once(monkeypatch):
+    draw = random.Random(9)
+    for few in (0, edit._FEW):
+        monkeypatch.setattr(edit, "_FEW", few)
+        for size in (0, 1, 63, 64, 65, 130):
+            a = "".join(draw.choices("abcé", k=size))
+            others = ["".join(draw.choices("abcé", k=draw.randint(0, 140))) for _ in range(20)] + [a, "", a[::-1], a[1:] + "b"]
+            want = [textbook(a, x) for x in others]
+            assert edit.distances(a, others, edit.np.full(len(others), 999)).tolist() == want
+            for most in (0, 10, 40):
+                got = edit.distances(a, others, edit.np.full(len(others), most)).tolist()
+                assert all(g == w if w <= most else g > most for g, w in zip(got, want, strict=True))
+
+
 def test_line_order():
     ref = "first line here\nsecond one there\nthird is last"
     lines = ref.split("\n")
@@ -57,6 +106,39 @@ def test_partners_match_plain_greed():
         assert {i: j for i, j, _ in edit.partners(a, b, 0.5)} == want
 
 
+@pytest.mark.parametrize("least", [0.5, 0.3, 0.85])
+def test_partners_of_many_lines(least):
+    """Shuffled lines with few and many errors, repeated ones and ties, against all pairs."""
+    draw = random.Random(4)
+    a = ["".join(draw.choices("abcdefghij  ", k=draw.randint(8, 40))) for _ in range(60)]
+    a += a[:5] + ["", ""]
+    b = [x for x in a if draw.random() < 0.9] + ["", "zzzz"]
+    b = ["".join(c if draw.random() > e else draw.choice("xyz") for c in x) for x in b for e in [draw.choice([0, 0.05, 0.15, 0.3, 0.45])]]
+    draw.shuffle(b)
+    near = [(i, j, edit.similarity(r, p)) for i, r in enumerate(a) for j, p in enumerate(b)]
+    near = [x for x in near if x[2] >= least]
+    assert edit.similar_lines(a, b, least) == near
+    want, taken = {}, set()
+    for i, j, s in sorted(near, key=lambda r: (-r[2], r[0], r[1])):
+        if i not in want and j not in taken:
+            want[i] = j, s
+            taken.add(j)
+    assert edit.partners(a, b, least) == [(i, *want[i]) for i in sorted(want)]
+
+
+def test_two_thousand_shuffled_lines():
+    import time
+
+    draw = random.Random(5)
+    a = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz    ", k=draw.randint(30, 70))) for _ in range(2000)]
+    b = list(enumerate("".join(c if draw.random() > 0.03 else "#" for c in x) for x in a))
+    draw.shuffle(b)
+    began = time.perf_counter()
+    got = edit.partners(a, [x for _, x in b], 0.5)
+    assert time.perf_counter() - began < 10
+    assert [(i, b[j][0]) for i, j, _ in got] == [(i, i) for i in range(2000)]
+
+
 MARKED = ["مُحَمَّدٌ", "éaً", "ً́x", "ا́̂ب", "A̖࣓", "ٰٓ", "كتاب", "", "ا ́"]
 
 

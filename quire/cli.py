@@ -90,6 +90,10 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _tell(text: str) -> None:
+    print(text, file=sys.stderr, flush=True)
+
+
 def _scope(spark: SparkSession, a: argparse.Namespace) -> dict:
     ids = [r["page_id"] for r in predicate.read_ids(spark, a.pages).collect()] if a.pages else None
     return {"ids": ids, "conditions": predicate.parse(a.filter) if a.filter is not None else ()}
@@ -149,7 +153,7 @@ def _report(spark: SparkSession, a: argparse.Namespace) -> None:
 def _prepare(spark: SparkSession, a: argparse.Namespace) -> None:
     given = {f: getattr(a, f) for f in ("val_size", "test_size", "probe_count", "unreadable_fraction", "image_max_tokens", "max_drop_fraction", "seed", "image_root", "verify")}
     held = tuple(int(g) for g in a.holdout_groups.split(",") if g.strip())
-    print(writer.dumps(prepare.prepare(spark, a.source, a.out, prepare.Options(holdout_groups=held, pattern=a.shards, **given))))
+    print(writer.dumps(prepare.prepare(spark, a.source, a.out, prepare.Options(holdout_groups=held, pattern=a.shards, **given), _tell)))
 
 
 def _predict(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -157,8 +161,7 @@ def _predict(spark: SparkSession, a: argparse.Namespace) -> None:
         "model": a.model, "manifest": a.manifest, "prompt": prepare.PROMPT, "image_max_tokens": a.image_max_tokens, "max_new_tokens": a.max_new_tokens,
         "decoding": "greedy", "dtype": a.dtype, "removed_prefix": a.prefix, "image_ref": os.environ.get("IMAGE_REF", "unset"),
     }
-    tell = lambda text: print(text, file=sys.stderr, flush=True)
-    predict.predict_run(spark, a.manifest, a.out, predict.model_named(a.model), settings, a.corpus_root, a.split, a.num_shards, a.shard_index, a.limit, a.batch_size, a.prefix, tell)
+    predict.predict_run(spark, a.manifest, a.out, predict.model_named(a.model), settings, a.corpus_root, a.split, a.num_shards, a.shard_index, a.limit, a.batch_size, a.prefix, _tell)
 
 
 def main(argv: Sequence[str] | None = None) -> int:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass
 from functools import reduce
 
@@ -16,16 +16,16 @@ from quire.functions.text import image_tokens
 from quire.operators.order import numbered
 from quire.operators.unreadable import pixels
 from quire.schema import MARKER
-from quire.sources.files import write_files, write_images
-from quire.sources.lines import exists
+from quire.sources import shard_store
+from quire.sources.files import write_files
 from quire.sources.shards import list_shards, parse_shard, probe_image, read_shards, shard_aug, shard_group
 
 PROMPT = "<image>Transcribe this page."
 # Kinds of unreadable page, the source of pages whose annotation names no template, and the report's quantiles.
 UNREADABLE = ("blank", "noise", "obliterated")
 NO_TEMPLATE = "ocr_data"
-#: Stored samples: what checked_samples gives, shard last as the folder's name.
-SAMPLES = "seq long, key string, ext string, image binary, problems array<string>, width int, height int, target string, font string, template string, augmentation string, shard string"
+#: Stored samples: what checked_samples gives.
+SAMPLES = "shard string, seq long, key string, ext string, image binary, problems array<string>, width int, height int, target string, font string, template string, augmentation string"
 QUANTILES = (("p50", 0.5), ("p90", 0.9), ("p99", 0.99))
 
 
@@ -61,7 +61,7 @@ def annotation_problems(text: Column) -> Column:
 
 
 def checked_samples(rows: DataFrame, verify: str = "full") -> DataFrame:
-    """Rows of the shard source with problems (an array), width and height, and the annotation's fields."""
+    """Rows of the shard source with problems (an array), width and height, and the annotation's fields; and with their state."""
     size = probe_image(verify == "full")(F.col("image"))
     rows = rows.withColumn("size", F.when(F.col("problem").isNull(), size))
     fault = F.when(F.col("size.fault").isNotNull(), F.concat(F.lit("image does not decode: "), F.col("size.fault")))
@@ -70,7 +70,7 @@ def checked_samples(rows: DataFrame, verify: str = "full") -> DataFrame:
     get = lambda path: F.try_variant_get(v, path, "string")
     return rows.select(
         "shard", "seq", "key", "ext", "image", problems.alias("problems"), F.col("size.width").alias("width"), F.col("size.height").alias("height"),
-        get("$.markdown").alias("target"), get("$.meta.page_font").alias("font"), get("$.meta.template").alias("template"), get("$.meta.augmentation.name").alias("augmentation"),
+        get("$.markdown").alias("target"), get("$.meta.page_font").alias("font"), get("$.meta.template").alias("template"), get("$.meta.augmentation.name").alias("augmentation"), "state",
     )
 
 
@@ -160,13 +160,15 @@ def _write_unreadable(samples: DataFrame, pages: Iterable[DataFrame], out: str,
     write_files(made, out, "image_path", "png").write.format("noop").mode("overwrite").save()
 
 
-def prepare(spark: SparkSession, source: str, out: str, options: Options = Options()) -> dict:
-    """Writes samples (Parquet, one folder a shard), images, unreadable pages, train, val, eval/manifest and a report; returns the report.
+def prepare(spark: SparkSession, source: str, out: str, options: Options = Options(), tell: Callable[[str], None] = lambda _: None) -> dict:
+    """Writes samples (Parquet, one file a shard), images, unreadable pages, train, val, eval/manifest and a report; returns the report.
 
-    A shard is done when its samples and images are stored, and is then not read again. One that a broken run left half-way is
-    read anew, and its samples take the place of what is there, as do files of the same names; so a run that is started
-    again ends as one that was never broken. Pages of held-out groups, with all their augmented copies, never meet training.
-    Shuffles are orders by a hash.
+    A shard is done when its samples and images are stored and marked, by the task that read it, and is then not read again
+    unless its size changes. A shard that cannot be read costs only itself: the others are stored, then an error names all that failed, and the
+    next run reads only those. Files that a broken run left are written over or never looked at, so a run that is started
+    again ends as one that was never broken. tell gets a line for each shard as it is finished.
+
+    Pages of held-out groups, with all their augmented copies, never meet training. Shuffles are orders by a hash.
     """
     shards = list_shards(spark, source, options.pattern)
     if not shards:
@@ -174,15 +176,13 @@ def prepare(spark: SparkSession, source: str, out: str, options: Options = Optio
     groups, held = {parse_shard(s)[0] for s, _, _ in shards}, set(options.holdout_groups)
     if not held or not held < groups:
         raise UsageError(f"held-out groups {sorted(held)} must be some, and not all, of {len(groups)} groups")
-    store = f"{out.rstrip('/')}/samples"
-    done = _done(spark, store)
-    if todo := [s for s in shards if s[0] not in done]:
-        rows = checked_samples(read_shards(spark, todo), options.verify)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(store)
-        fresh = spark.read.option("basePath", store).schema(rows.schema).parquet(store).where(F.col("shard").isin([s for s, _, _ in todo]))
-        write_images(fresh, out).write.format("noop").mode("overwrite").save()
-        spark.createDataFrame([(s, n) for s, _, n in todo], "shard string, bytes long").write.mode("append").json(f"{store}.done")
-    every = spark.read.option("basePath", store).schema(SAMPLES).parquet(store).where(F.col("shard").isin([s for s, _, _ in shards]))
+    tell(f"{len(shards)} shards, {sum(n for _, _, n in shards) / 1e9:.1f} GB, {len(groups)} groups; holding out {sorted(held)}")
+    ready = shard_store.done(spark, out, shards)
+    todo = [s for s in shards if s[0] not in ready]
+    rows = checked_samples(read_shards(spark, todo, ends=True), options.verify) if todo else spark.createDataFrame([], f"{SAMPLES}, state string")
+    if failed := shard_store.store(rows, out, shards, todo, tell):
+        raise IntegrityError(f"{len(failed)} of {len(shards)} shards could not be read; run again to read only these", [f"{s}: {m['failed']}" for s, m in sorted(failed.items())])
+    every = shard_store.read_store(spark, out, shard_store.done(spark, out, shards), SAMPLES)
     bad = every.select("shard", "key", F.explode("problems").alias("problem"))
     good = usable_samples(every)
     n_bad, n_good = bad.count(), good.count()
@@ -221,10 +221,6 @@ def prepare(spark: SparkSession, source: str, out: str, options: Options = Optio
     return report
 
 
-def _done(spark: SparkSession, store: str) -> set[str]:
-    return {r["shard"] for r in spark.read.schema("shard string, bytes long").json(f"{store}.done").collect()} if exists(spark, f"{store}.done") else set()
-
-
 def _fingerprint(shards: list[tuple[str, str, int]], options: Options) -> str:
     h = hashlib.sha256("".join(f"{s}:{n}\n" for s, _, n in shards).encode())
     h.update(json.dumps({k: str(v) for k, v in sorted(asdict(options).items()) if k != "image_root"}).encode())

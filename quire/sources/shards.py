@@ -8,6 +8,7 @@ import re
 import struct
 import tarfile
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import closing
 
@@ -24,7 +25,8 @@ SHARD = re.compile(r"shard_(\d+)(?:_aug(\d+))?\Z")
 # What counts as an image by its extension.
 IMAGES = ("png", "jpg", "jpeg")
 
-SAMPLE = "shard string, seq long, key string, ext string, image binary, annotation string, problem string"
+#: state: null for samples; where the ends of shards are asked for, `end` or what kept a shard from being read to its end.
+SAMPLE = "shard string, seq long, key string, ext string, image binary, annotation string, problem string, state string"
 
 
 def parse_shard(stem: str) -> tuple[int, int]:
@@ -62,7 +64,7 @@ def list_shards(spark: SparkSession, source: str, pattern: str = "shard_*") -> l
         raise UsageError("tar files that are no shards", bad)
     chosen = sorted(x for x in found if fnmatch.fnmatchcase(x[0], pattern))
     stems = [s for s, _, _ in chosen]
-    if twice := sorted({s for s in stems if stems.count(s) > 1}):
+    if twice := sorted(s for s, n in Counter(stems).items() if n > 1):
         raise UsageError("shards that occur more than once", twice)
     return chosen
 
@@ -115,8 +117,8 @@ class _Shard(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, shards: list[tuple[str, str]], settings: dict[str, str]) -> None:
-        self.shards, self.settings = shards, settings
+    def __init__(self, shards: list[tuple[str, str]], settings: dict[str, str], ends: bool = False) -> None:
+        self.shards, self.settings, self.ends = shards, settings, ends
 
     def partitions(self) -> list[InputPartition]:
         return [_Shard(*s) for s in self.shards] or [_Shard("", "")]
@@ -124,13 +126,25 @@ class _Reader(DataSourceReader):
     def read(self, partition: _Shard) -> Iterator[tuple]:
         if not partition.path:
             return
-        fs, at = open_place(partition.path, self.settings)
-        with closing(fs.open_input_stream(at)) as stream:
-            yield from samples(stream, partition.stem)
+        state = "end"
+        try:
+            fs, at = open_place(partition.path, self.settings)
+            with closing(fs.open_input_stream(at)) as stream:
+                for row in samples(stream, partition.stem):
+                    yield *row, None
+        except (tarfile.TarError, OSError, EOFError, zlib.error) as e:
+            if not self.ends:
+                raise
+            state = f"{type(e).__name__}: {e}"
+        if self.ends:
+            yield partition.stem, None, None, None, None, None, None, state
 
 
 class TarShards(DataSource):
-    """spark.read.format("tar_shards").option("shards", JSON of [[stem, path], ...]): one partition a tar. settings: an object store's."""
+    """spark.read.format("tar_shards").option("shards", JSON of [[stem, path], ...]): one partition a tar. settings: an object store's.
+
+    ends: a tar that cannot be read to its end is no error; each one has a last row, whose state says how it ended.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -140,12 +154,14 @@ class TarShards(DataSource):
         return SAMPLE
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader([tuple(x) for x in json.loads(self.options.get("shards", "[]"))], json.loads(self.options.get("settings", "{}")))
+        return _Reader([tuple(x) for x in json.loads(self.options.get("shards", "[]"))], json.loads(self.options.get("settings", "{}")), self.options.get("ends") == "true")
 
 
-def read_shards(spark: SparkSession, shards: list[tuple]) -> DataFrame:
+def read_shards(spark: SparkSession, shards: list[tuple], ends: bool = False) -> DataFrame:
+    """Samples of tars. ends: see TarShards."""
     spark.dataSource.register(TarShards)
-    return spark.read.format("tar_shards").option("shards", json.dumps([list(s[:2]) for s in shards])).option("settings", json.dumps(store_settings(spark))).load()
+    named = spark.read.format("tar_shards").option("shards", json.dumps([list(s[:2]) for s in shards]))
+    return named.option("settings", json.dumps(store_settings(spark))).option("ends", str(ends).lower()).load()
 
 
 def probe_image(full: bool) -> Column:

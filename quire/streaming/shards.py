@@ -23,7 +23,7 @@ def ingest_shards(spark: SparkSession, source: str, store: str, checkpoint: str,
         shards = [(p.rsplit("/", 1)[-1].removesuffix(".tar"), p) for p in paths]
         for stem, _path in shards:
             parse_shard(stem)
-        rows = checked_samples(read_shards(spark, shards), verify)
+        rows = checked_samples(read_shards(spark, shards), verify).drop("state")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(store)
 
     return files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -199,12 +199,70 @@ def test_broken_run_adds_nothing(spark, source, prepared, tmp_path):
     out, report = prepared
     again = tmp_path / "again"
     first = prepare.prepare(spark, str(source), str(again), OPTIONS)
-    shutil.rmtree(again / "samples.done")
+    (again / "done" / "shard_002.json").unlink()
     shutil.rmtree(again / "images" / "shard_002")
     assert prepare.prepare(spark, str(source), str(again), OPTIONS) == first == report | {"settings": first["settings"]}
     assert sorted(p.name for p in (again / "images" / "shard_002").iterdir()) == sorted(p.name for p in (out / "images" / "shard_002").iterdir())
 
 
+def shard_of(group, pages=6):
+    return [(f"{k:03d}.{ext}", data) for k in range(pages) for ext, data in (("png", PNG), ("json", note(f"page {group} {k}")))]
+
+
+def test_a_failed_shard_costs_only_itself(spark, tmp_path, monkeypatch):
+    source, out, said = tmp_path / "s", tmp_path / "o", []
+    for g in (1, 2, 3):
+        write_tar(source / f"shard_{g:03d}.tar", shard_of(g))
+    whole = (source / "shard_002.tar").read_bytes()
+    (source / "shard_002.tar").write_bytes(whole[:3000])
+    options = Options(holdout_groups=(3,), val_size=2, test_size=3, probe_count=1, unreadable_fraction=0.0)
+    with pytest.raises(IntegrityError, match="1 of 3 shards could not be read") as e:
+        prepare.prepare(spark, str(source), str(out), options, said.append)
+    assert e.value.exit_code == 1 and len(e.value.problems) == 1
+    assert e.value.problems[0].startswith("shard_002: ReadError: ")
+    assert sorted(p.name for p in (out / "done").iterdir()) == ["shard_001.json", "shard_003.json"]
+    assert len(list((out / "samples").glob("shard_00[13]-*.parquet"))) == 2 and not list((out / "samples").glob("shard_002*"))
+    assert sorted(x.split("] ")[1].split(",")[0] for x in said[1:]) == ["shard_001: 6 ok", "shard_002: FAILED: ReadError: unexpected end of data", "shard_003: 6 ok"]
+    assert [x.split("]")[0] for x in said[1:]] == ["[1/3", "[2/3", "[3/3"]
+    # run again: only the third tar is read
+    (source / "shard_002.tar").write_bytes(whole)
+    read, asked, again = prepare.read_shards, [], []
+    monkeypatch.setattr(prepare, "read_shards", lambda spark, todo, **how: asked.extend(todo) or read(spark, todo, **how))
+    report = prepare.prepare(spark, str(source), str(out), options, again.append)
+    assert [s for s, _, _ in asked] == ["shard_002"]
+    assert (report["samples_ok"], report["train_rows"], report["samples_dropped"]) == (18, 12, 0)
+    assert again[1:3] == ["[1/3] shard_001: already done", "[2/3] shard_003: already done"] and again[3].startswith("[3/3] shard_002: 6 ok, 0 problems, ")
+    assert not list((out / "failed").iterdir())
+
+
+def test_shards_that_fail_in_other_ways(spark, tmp_path):
+    """An empty file, one that is no tar, and a tar without members: the last one is done, the others are named."""
+    source = tmp_path / "s"
+    write_tar(source / "shard_001.tar", shard_of(1))
+    write_tar(source / "shard_002.tar", [])
+    (source / "shard_003.tar").write_bytes(b"")
+    (source / "shard_004.tar").write_bytes(b"no tar" * 500)
+    with pytest.raises(IntegrityError) as e:
+        prepare.prepare(spark, str(source), str(tmp_path / "o"), Options(holdout_groups=(1,)))
+    assert [p.split(":")[0] for p in e.value.problems] == ["shard_003", "shard_004"]
+    marks = prepare.shard_store.done(spark, str(tmp_path / "o"), shards.list_shards(spark, str(source)))
+    assert {s: (m["ok"], m["problems"]) for s, m in marks.items()} == {"shard_001": (6, 0), "shard_002": (0, 0)}
+    rows = prepare.shard_store.read_store(spark, str(tmp_path / "o"), marks, prepare.SAMPLES)
+    assert rows.count() == 6
+    with pytest.raises(Exception, match="ReadError"):
+        shards.read_shards(spark, shards.list_shards(spark, str(source), "shard_004")).count()
+
+
+def test_a_tar_of_another_size_is_read_again(spark, tmp_path):
+    source, out = tmp_path / "s", tmp_path / "o"
+    options = Options(holdout_groups=(2,), val_size=2, test_size=3, probe_count=1, unreadable_fraction=0.0)
+    for g in (1, 2):
+        write_tar(source / f"shard_{g}.tar", shard_of(g))
+    assert prepare.prepare(spark, str(source), str(out), options)["samples_ok"] == 12
+    write_tar(source / "shard_1.tar", shard_of(1, 30))
+    assert prepare.prepare(spark, str(source), str(out), options)["samples_ok"] == 36
+
+
 def test_annotations(spark):
     rows = [('{"markdown": "x"}', []), ("nope", ["annotation is not valid JSON"]), ("3", ["annotation is not an object"]), ('{"markdown": "[UNREADABLE]", "meta": 2}', ["markdown is the unreadable marker", "meta is not an object"]), ("{}", ["markdown is missing or not a string"]), ('{"markdown": "x", "meta": null}', [])]
     df = spark.createDataFrame([r[:1] for r in rows], "t string")

@@ -14,14 +14,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.errors import IncommensurableError
+from quire.errors import IncommensurableError, UsageError
+from quire.functions.twister import stream_at
+from quire.operators.order import numbered
 from quire.schema import CONFIDENCE, GOLD_SPLIT, PRIMARY_SPLIT, THRESHOLDS
+from quire.store import settle
 
 # Metrics of a split in their order; of which a lower value is better.
 METRICS = ("cer", "wer", "exact_match_rate", "hallucination_rate", "false_refusal_rate")
 LOWER_IS_BETTER = {"cer": True, "wer": True, "exact_match_rate": False, "hallucination_rate": True, "false_refusal_rate": True}
-#: Pages of a split up to which a comparison resamples exactly, in one task: 10,000 resamples take it about a quarter of an hour.
-EXACT_PAGES = 1_000_000
+#: Pages of a split up to which a comparison resamples exactly: every executor holds its deltas, 8 bytes a page (256 MB).
+EXACT_PAGES = 32_000_000
+#: Deltas in a row of a split's packed deltas, and draws that a task makes, about.
+CHUNK, DRAWS = 1 << 20, 1 << 27
 #: Pages named on each side when the page sets differ.
 NAMED = 20
 
@@ -95,17 +100,66 @@ def paired_bootstrap(deltas: list[float], resamples: int, seed: int) -> tuple[fl
     return sum(deltas) / n, means[int(tail * resamples)], means[min(resamples - 1, int((1.0 - tail) * resamples))]
 
 
-def bootstrap(deltas: DataFrame, resamples: int = THRESHOLDS["bootstrap_resamples"], seed: int = THRESHOLDS["bootstrap_seed"]) -> DataFrame:
-    """split, n, delta_cer, ci_low, ci_high. Every split draws from its own stream, over its pages in the order of their ids.
+def _means(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+    """Rows (split, first, last, chunk, packed) of stretches of resamples with all chunks of their split's deltas to the resamples' means.
 
-    The exact resampling needs a split's deltas (8 bytes a page) in one task; bootstrap_scalable does without.
+    Each stretch starts at its own place of the stream that random.Random(seed) gives, and draws as its choices() does.
     """
+    held: dict[tuple, dict[int, bytes]] = {}
+    for b in batches:
+        for split, first, last, chunk, packed in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            held.setdefault((split, first, last), {})[chunk] = packed
+    for (split, first, last), chunks in held.items():
+        deltas = np.concatenate([np.frombuffer(chunks[c]) for c in sorted(chunks)])
+        n = len(deltas)
+        stream = stream_at(seed, first * n)
+        means = [sum(deltas[(stream.random_sample(n) * n).astype(np.int64)].tolist()) / n for _ in range(first, last)]
+        yield pa.RecordBatch.from_arrays([pa.array([split] * len(means)), pa.array(means, pa.float64())], names=["split", "mean"])
+
+
+def bootstrap(deltas: DataFrame, resamples: int = THRESHOLDS["bootstrap_resamples"], seed: int = THRESHOLDS["bootstrap_seed"], draws: int = DRAWS) -> DataFrame:
+    """split, n, delta_cer, ci_low, ci_high, as paired_bootstrap gives them over a split's pages in the order of their ids, bit by bit.
+
+    Every split draws from its own stream. The resamples are dealt out to tasks of about `draws` draws: a task starts at its own place of
+    the stream, which it reaches without drawing what lies before. Each needs all deltas of the split: they are packed in the
+    order of the ids, in chunks, and broadcast up to EXACT_PAGES a split; more is an error, and bootstrap_scalable does without.
+    """
+    spark = deltas.sparkSession
+    rows = deltas.select("split", "page_id", "delta_cer")
+    sizes = {r["split"]: r["n"] for r in rows.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    if sizes and sum(sizes.values()) > EXACT_PAGES:
+        raise UsageError(f"{sum(sizes.values())} pages are more than the exact bootstrap holds on an executor ({EXACT_PAGES})")
+    starts, at = {}, 0
+    for s in sorted(sizes, key=lambda s: (s is not None, (s or "").encode())):  # as Spark orders them
+        starts[s], at = at, at + sizes[s]
+    placed = numbered(rows, "split", "page_id", place="place")
+    meant = spark.createDataFrame([(s, n, starts[s]) for s, n in sizes.items()], "of string, n long, start long")
+    own = F.col("place") - F.col("start")
+    placed = placed.join(F.broadcast(meant), F.col("split").eqNullSafe(F.col("of"))).select("split", (own / CHUNK).cast("int").alias("chunk"), (own % CHUNK).alias("at"), "delta_cer")
+
+    def pack(part: pa.Table) -> pa.Table:
+        d = part["delta_cer"].to_numpy()[np.argsort(part["at"].to_numpy())].astype(np.float64)
+        return pa.table({"split": part["split"][:1], "chunk": part["chunk"][:1], "packed": pa.array([d.tobytes()], pa.binary())})
+
+    packed = settle(placed.groupBy("split", "chunk").applyInArrow(pack, "split string, chunk int, packed binary"))
+    stretches = []
+    for s, n in sizes.items():
+        step = max(1, min(draws // max(1, n), -(-resamples // max(1, spark.sparkContext.defaultParallelism))))
+        stretches += [(s, i, min(i + step, resamples)) for i in range(0, resamples, step)]
+    dealt = spark.createDataFrame(stretches, "of string, first long, last long").repartition(max(1, len(stretches)), "of", "first")
+    with_deltas = dealt.join(F.broadcast(packed), F.col("of").eqNullSafe(F.col("split"))).select("split", "first", "last", "chunk", "packed")
+    means = with_deltas.mapInArrow(lambda it: _means(it, seed), "split string, mean double")
+    tail = (1.0 - CONFIDENCE) / 2.0
+    low, high = int(tail * resamples), min(resamples - 1, int((1.0 - tail) * resamples))
+    bounds = means.groupBy("split").agg(F.array_sort(F.collect_list("mean")).alias("m")).select("split", F.col("m")[low].alias("ci_low"), F.col("m")[high].alias("ci_high"))
+    whole = packed.groupBy("split").agg(F.sort_array(F.collect_list(F.struct("chunk", "packed"))).alias("c"))
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        d = rows.sort_values("page_id")["delta_cer"].tolist()
-        return pd.DataFrame([(rows["split"].iloc[0], len(d), *paired_bootstrap(d, resamples, seed))], columns=["split", "n", "delta_cer", "ci_low", "ci_high"])
+    @F.pandas_udf("double")
+    def mean(chunks: pd.Series) -> pd.Series:
+        return pd.Series([sum(x for c in row for x in np.frombuffer(c["packed"]).tolist()) / sum(len(c["packed"]) // 8 for c in row) for row in chunks])
 
-    return deltas.select("split", "page_id", "delta_cer").groupBy("split").applyInPandas(one, "split string, n long, delta_cer double, ci_low double, ci_high double")
+    observed = whole.select(F.col("split").alias("of"), mean("c").alias("delta_cer"))
+    return bounds.join(observed, F.col("split").eqNullSafe(F.col("of"))).join(F.broadcast(meant.select(F.col("of").alias("__of"), "n")), F.col("split").eqNullSafe(F.col("__of"))).select("split", "n", "delta_cer", "ci_low", "ci_high")
 
 
 def _poisson_means(batches: Iterator[pa.RecordBatch], resamples: int, seed: int) -> Iterator[pa.RecordBatch]:
@@ -139,8 +193,9 @@ def resampled(deltas: DataFrame, resamples: int, seed: int, exact_pages: int = E
     """A row a split, by name: the exact resampling of splits of up to exact_pages pages, the scalable one of others; method says which."""
     sizes = {r["split"]: r["n"] for r in deltas.groupBy("split").agg(F.count("*").alias("n")).collect()}
     small, large = ([s for s, n in sizes.items() if (n <= exact_pages) is exact] for exact in (True, False))
+    exact = [small] if sum(sizes[s] for s in small) <= EXACT_PAGES else [[s] for s in small]
     rows = []
-    for splits, draw, method in ((small, bootstrap, "exact"), (large, bootstrap_scalable, "poisson")):
+    for splits, draw, method in [(x, bootstrap, "exact") for x in exact] + [(large, bootstrap_scalable, "poisson")]:
         if splits:
             rows += [r.asDict() | {"method": method} for r in draw(deltas.where(F.col("split").isin(splits)), resamples, seed).collect()]
     return sorted(rows, key=lambda r: r["split"])

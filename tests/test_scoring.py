@@ -195,6 +195,60 @@ def test_bootstrap_is_reproducible(spark):
     assert (r["delta_cer"], r["ci_low"], r["ci_high"]) == contrast.paired_bootstrap(d, 300, 5)
 
 
+def test_bootstrap_in_many_tasks(spark):
+    """Bit by bit what one stream gives, however the resamples and the deltas are dealt out."""
+    import random
+
+    draw = random.Random(12)
+    deltas = {s: [draw.gauss(0.01, 0.2) for _ in range(n)] for s, n in (("a", 700), ("b", 1), ("c", 37))}
+    rows = [(s, f"p{i:05d}", x) for s, d in deltas.items() for i, x in enumerate(d)]
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, "split string, page_id string, delta_cer double").repartition(5)
+    want = {s: (len(d), *contrast.paired_bootstrap(d, 501, 20260916)) for s, d in deltas.items()}
+    for draws in (1, 5_000, contrast.DRAWS):
+        assert {r["split"]: tuple(r)[1:] for r in contrast.bootstrap(df, 501, 20260916, draws).collect()} == want
+    assert contrast.bootstrap(df.limit(0), 501, 20260916).count() == 0
+
+
+def test_deltas_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(contrast, "CHUNK", 64)
+    d = [((i * 7919) % 1009) / 1009 - 0.5 for i in range(300)]
+    df = spark.createDataFrame([("s", f"p{i:05d}", x) for i, x in enumerate(d)], "split string, page_id string, delta_cer double").repartition(4)
+    r = contrast.bootstrap(df, 100, 3).first()
+    assert (r["delta_cer"], r["ci_low"], r["ci_high"]) == contrast.paired_bootstrap(d, 100, 3)
+    monkeypatch.setattr(contrast, "EXACT_PAGES", 299)
+    with pytest.raises(UsageError, match="300 pages"):
+        contrast.bootstrap(df, 100, 3)
+
+
+@pytest.mark.parametrize("draws", [0, 1, 311, 312, 313, 5000, 39873, 39874, 40001, 250_000])
+def test_places_of_the_stream(draws):
+    import random
+
+    from quire.functions.twister import recurrence, stream_at
+
+    assert recurrence().bit_length() == 19938
+    plain = random.Random(20260916)
+    for _ in range(draws):
+        plain.random()
+    assert stream_at(20260916, draws).random_sample(1300).tolist() == [plain.random() for _ in range(1300)]
+
+
+def test_far_places_of_the_stream():
+    """The steps of two jumps add up to one."""
+    from quire.functions.twister import power_of_x, _reduced, recurrence
+
+    def times(p, q):
+        out = 0
+        while q:
+            out ^= p << (q & -q).bit_length() - 1
+            q &= q - 1
+        return _reduced(out, recurrence())
+
+    a, b = 40_000_000_000, 123_456_789
+    assert times(power_of_x(a), power_of_x(b)) == power_of_x(a + b)
+
+
 def test_verdicts():
     side = lambda cer, gold=None, h=None, f=None: {"synthetic_heldout": {"cer": cer, "hallucination_rate": h, "false_refusal_rate": f}} | ({"gold_scans": {"cer": gold, "hallucination_rate": None, "false_refusal_rate": None}} if gold is not None else {})
     assert contrast.decide(side(0.2), side(0.1)).verdict == "PROMOTE"

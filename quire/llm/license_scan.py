@@ -1,8 +1,10 @@
-"""License scans by conditional compression: templates are confirmed word by word, and compression decides between equals."""
+"""License scans by conditional compression: templates that make a stretch of words smaller are confirmed by its exact wording."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 from typing import NamedTuple
@@ -71,6 +73,19 @@ TEMPLATES = (
     Template("CC0-1.0", ("cc0",), "Dedicated to the public domain under CC0 1.0."),
     Template("Unlicense", ("public", "domain", "unencumbered"), "This is free and unencumbered software released into the public domain."),
     Template("Unlicense", ("public", "domain", "unencumbered", "compile"), "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+) + tuple(
+    Template(f"CC-{kind.upper()}-3.0", must, text)
+    for kind, long in (("by", "Attribution"), ("by-sa", "Attribution-ShareAlike"), ("by-nc", "Attribution-NonCommercial"), ("by-nd", "Attribution-NoDerivatives"))
+    for must, text in ((("cc", kind, "3.0"), f"Licensed under CC {kind.upper()} 3.0."), (("creative", long.lower(), "3.0"), f"This work is licensed under a Creative Commons {long} 3.0 Unported License."))
+) + tuple(Template(name, must, text) for name, must, text in (
+    ("Apache-2.0", ("apache", "2.0"), "Licensed under Apache 2.0."), ("MIT", ("mit",), "Licensed under the MIT license."),
+    ("GPL-3.0", ("gpl", "v3"), "Licensed under GPL v3."), ("GPL-3.0", ("gplv3",), "Licensed under GPLv3."), ("GPL-2.0", ("gpl", "v2"), "Licensed under GPL v2."), ("GPL-2.0", ("gplv2",), "Licensed under GPLv2."),
+)) + tuple(
+    Template(name.removesuffix("-only").removesuffix("-or-later"), ("spdx-license-identifier", name.lower()), f"SPDX-License-Identifier: {name}")
+    for name in (
+        "MIT", "Apache-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later",
+        "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "BSL-1.0", "EPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0",
+    )
 )
 # Where one of these stands, a block begins to be looked at.
 KEYWORDS = ("licen", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "cc by", "cc0")
@@ -79,8 +94,11 @@ KEYWORDS = ("licen", "copyright", "permission", "warrant", "redistribut", "publi
 JOIN = 400
 #: A block reaches so far before its first and behind its last keyword, whatever lines end there: half as much again as the longest template.
 MARGIN = max(len(t.text) for t in TEMPLATES) * 3 // 2
-#: Templates whose reduction is looked at word by word (None: all); and what share of its words a block must have.
-LOOKED_AT, MIN_SHARE = None, 0.8
+#: What share of a template's words a stretch must have, in order; what share of a template's own reduction it must have to be compared
+#: at all; and how near to the greatest reduction of a place others must come to be compared with it.
+MIN_SHARE, FLOOR, NEAR = 0.8, 0.25, 0.5
+#: Blocks whose licenses a task keeps, and the longest one that it keeps (code points).
+KEPT, KEPT_LENGTH = 4096, 8192
 
 #: Keywords of several words, over any white space.
 _APART = re.compile("|".join(r"\s+".join(map(re.escape, w.split())) for w in KEYWORDS if " " in w))
@@ -93,19 +111,44 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(_BROKEN.sub("-", text.lower()))
 
 
+class Place(NamedTuple):
+    """Where a template may stand: words from low on up to high; saved: bytes that it takes off their compressed size."""
+
+    saved: int
+    plain: int
+    template: int
+    low: int
+    high: int
+
+
+def _compressor(text: str | None = None) -> zstandard.ZstdCompressor:
+    """Fast matches of four bytes and plain literals: a reduction is then the bytes found in the dictionary, whatever else stands around."""
+    how = zstandard.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=1, min_match=4, target_length=1, strategy=zstandard.STRATEGY_FAST, write_content_size=False)
+    given = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) if text else None
+    return zstandard.ZstdCompressor(compression_params=how, dict_data=given)
+
+
+def _size(compressor: zstandard.ZstdCompressor, words: Sequence[str]) -> int:
+    return len(compressor.compress(" ".join(words).encode("utf-8", "surrogatepass")))
+
+
 class Scanner:
     """Templates as raw dictionaries, and the keyword automaton; made once for each task."""
 
     def __init__(self, templates: Sequence[Template] = TEMPLATES) -> None:
-        self.templates = [(t, words_of(t.text), zstandard.ZstdCompressor(level=19, dict_data=zstandard.ZstdCompressionDict(t.text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False)) for t in templates]
-        self.must = [frozenset(t.must) for t in templates]
-        self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
+        self.plain = _compressor()
+        self.templates, self.own = [], []
+        for t in templates:
+            words = words_of(t.text)
+            self.templates.append((t, words, _compressor(" ".join(words))))
+            self.own.append(_size(self.plain, words) - _size(self.templates[-1][2], words))
+        self.musts = frozenset(w for t in templates for w in t.must)
         self.keywords = ahocorasick.Automaton()
         for w in KEYWORDS:
             if " " not in w:
                 self.keywords.add_word(w, len(w))
         self.keywords.make_automaton()
-        self.known: dict[str, tuple | None] = {}
+        self.known: dict[str, list[tuple]] = {}
 
     def blocks(self, text: str) -> list[tuple[int, int]]:
         """Stretches around keywords, in code points."""
@@ -129,33 +172,36 @@ class Scanner:
                 spans.append((a, b))
         return spans
 
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """(share of the compressed size that a template saves, its index), most first."""
-        raw = block.encode("utf-8", "surrogatepass")
-        alone = len(self.plain.compress(raw))
-        saved = [(1 - len(c.compress(raw)) / alone, i) for i, (_, _, c) in enumerate(self.templates)]
-        return sorted(saved, key=lambda x: (-x[0], x[1]))
-
-    def wording(self, block: str, i: int) -> tuple[float, int, int, str] | None:
-        """(share, missing, extra, differences) of template i's words in a block; None: it is not this license."""
-        found = self.best(words_of(block), i)
-        return found[0] if found else None
-
-    def best(self, have: list[str], i: int, there: set[str] | None = None) -> tuple[tuple[float, int, int, str], int, int] | None:
-        """The place among these words that is most like template i: its wording, and where it begins and ends."""
-        t, want, _ = self.templates[i]
-        if not self.must[i] <= (set(have) if there is None else there):
-            return None
-        rare = min(t.must, key=have.count)
-        far = len(want) + max(8, len(want) // 2)
-        places = [(w, max(p - far, 0)) for p, x in enumerate(have) if x == rare if (w := self._aligned(have[max(p - far, 0) : p + far + 1], i))]
-        if not places:
+    def ranked(self, have: list[str]) -> list[Place]:
+        """Every place around a template's rarest `must` word that has its others as well, if the template as a dictionary takes
+        off FLOOR of what it takes off itself; greatest reductions first.
+        """
+        at: dict[str, list[int]] = {}
+        for p, w in enumerate(have):
+            if w in self.musts:
+                at.setdefault(w, []).append(p)
+        sizes: dict[tuple[int, int], int] = {}
+        out = []
+        for i, (t, want, given) in enumerate(self.templates):
+            if any(w not in at for w in t.must):
+                continue
+            rare, far = min(t.must, key=lambda w: len(at[w])), len(want) + max(8, len(want) // 2)
+            for p in at[rare]:
+                low, high = max(p - far, 0), min(p + far + 1, len(have))
+                if any(bisect_left(at[w], high) == bisect_left(at[w], low) for w in t.must):
+                    continue
+                words = have[low:high]
+                if (low, high) not in sizes:
+                    sizes[low, high] = _size(self.plain, words)
+                if (saved := sizes[low, high] - _size(given, words)) >= FLOOR * self.own[i]:
+                    out.append(Place(saved, sizes[low, high], i, low, high))
+        return sorted(out, key=lambda x: (-x.saved, x.low, x.template))
+
+    def _aligned(self, words: list[str], place: Place) -> tuple[tuple[float, int, int, str], int, int] | None:
+        """(share, missing, extra, differences) of the template's words at a place, and where they begin and end; None: it is not this license."""
+        (t, want, _), have = self.templates[place.template], words[place.low : place.high]
+        if not frozenset(t.must) <= frozenset(have):
             return None
-        (said, a, b), at = min(places, key=lambda x: (2 * x[0][0][1] + x[0][0][2], x[1]))
-        return said, at + a, at + b
-
-    def _aligned(self, have: list[str], i: int) -> tuple[tuple[float, int, int, str], int, int] | None:
-        t, want, _ = self.templates[i]
         same = [m for m in SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
         held = sum(m.size for m in same)
         if not held or held < MIN_SHARE * len(want) or not set(t.must) <= {w for m in same for w in want[m.a : m.a + m.size]}:
@@ -169,29 +215,47 @@ class Scanner:
                 diff.append(f"-{' '.join(gone)} +{' '.join(come)}")
             if m:
                 a, b = m.a + m.size, m.b + m.size
-        return (held / len(want), len(want) - held, last - first - held, "; ".join(diff)), first, last
+        return (held / len(want), len(want) - held, last - first - held, "; ".join(diff)), place.low + first, place.low + last
 
     def verdicts(self, block: str) -> list[tuple]:
-        """(license, template, reduction, share, missing, extra, differences) of each confirmed template, best first.
+        """(license, template, reduction, share, missing, extra, differences) of each confirmed template, greatest reductions first.
 
-        A winner's words are taken out before the next one is looked for, until none is confirmed.
+        Down the ranking, the wording of a place is compared with its template, and with those of other templates whose reductions at
+        words in common come NEAR. The best wording wins, and its words are taken out; a place that shared them is looked at
+        again for what is left of it.
         """
-        if block not in self.known:
-            if len(self.known) >= 4096:  # a cache, for lines that many documents have
+        if block in self.known:
+            return self.known[block]
+        have, out = words_of(block), []
+        ranking = self.ranked(have)
+        starts = sorted(range(len(ranking)), key=lambda k: ranking[k].low)
+        lows, longest, done = [ranking[k].low for k in starts], max((r.high - r.low for r in ranking), default=0), [False] * len(ranking)
+        cost = lambda f, r: 2 * f[0][1] + f[0][2] - len(self.templates[r.template][1])
+        todo = deque(range(len(ranking)))
+        while todo:
+            k = todo.popleft()
+            if done[k]:
+                continue
+            r = ranking[k]
+            if not (best := self._aligned(have, r)):
+                done[k] = True
+                continue
+            winner = k
+            for j in starts[bisect_left(lows, r.low - longest) : bisect_left(lows, best[2])]:
+                o = ranking[j]
+                if not done[j] and o.template != r.template and o.high > best[1] and o.saved >= NEAR * r.saved and (f := self._aligned(have, o)) and f[1] < best[2] and f[2] > best[1] and (cost(f, o), j) < (cost(best, ranking[winner]), winner):
+                    best, winner = f, j
+            w = ranking[winner]
+            done[winner] = True
+            out.append((self.templates[w.template][0].license, w.template, round(w.saved / w.plain, 6), *best[0]))
+            have[best[1] : best[2]] = [""] * (best[2] - best[1])  # no word, so nothing is joined over the gap
+            if winner != k:
+                todo.appendleft(k)
+        if len(block) <= KEPT_LENGTH:
+            if len(self.known) >= KEPT:  # a cache, for lines that many documents have
                 self.known.clear()
-            have, out, saved = words_of(block), [], None
-            there = set(have)
-            places = {i: f for i in range(len(self.templates)) if (f := self.best(have, i, there))}
-            while places:
-                saved = saved or {i: r for r, i in self.ranked(block)}
-                i = min(places, key=lambda i: (2 * places[i][0][1] + places[i][0][2] - len(self.templates[i][1]), -saved[i], i))
-                said, a, b = places[i]
-                out.append((self.templates[i][0].license, i, round(saved[i], 6), *said))
-                have[a:b] = [""] * (b - a)  # no word, so nothing is joined over the gap
-                # places that do not meet the winner's stay as they are
-                places = {j: f for j, g in places.items() if (f := g if g[2] <= a or g[1] >= b else self.best(have, j))}
             self.known[block] = out
-        return self.known[block]
+        return out
 
     def scan(self, text: str | None) -> list[tuple]:
         if not text:
@@ -205,13 +269,14 @@ KIND = "array<struct<start:bigint,end:bigint,license:string,template:int,reducti
 def license_blocks(docs: DataFrame, text_col: str = "text", templates: Sequence[Template] = TEMPLATES) -> DataFrame:
     """Every row of docs with licenses, an array of confirmed blocks in their order.
 
-    Keywords mark candidate blocks in whole texts. Every template whose `must` words all stand in a block is compared with it
-    word by word: one is confirmed if the block has MIN_SHARE of its words in order, its `must` words among them. The one with
-    the most agreeing words, less those missing and put in, is reported, with what is missing (-) and put in (+), its words are taken out, and the next one is
-    looked for; start and end are the block's. `reduction` is how much less a block compresses to with the template as a raw
-    dictionary; it decides between equals. One pass, no shuffle. Null and empty texts have
-    no blocks, very long ones as many as they have stretches with keywords; repeated rows are rows like others, an empty table
-    gives an empty result, and a column `licenses` of docs gives way.
+    Keywords mark candidate blocks in whole texts. Around each place of a template's rarest `must` word that has its others as well, the
+    block's words are compressed alone and with the template as a raw zstandard dictionary. Places are ranked by how much
+    smaller that makes them; those below FLOOR of the template's own reduction are dropped. Down the ranking a place is
+    confirmed if it has MIN_SHARE of the template's words in order, its `must` words among them; of several templates whose
+    reductions come NEAR at the same words, the one with the fewest words missing (-) and put in (+) wins. Its words are taken
+    out. start and end are the block's, `reduction` is the share of the place's compressed size. Work grows with the number of
+    places. One pass, no shuffle. Null and empty texts have no blocks, very long ones as many as they have stretches with
+    keywords; repeated rows are rows like others, an empty table gives an empty result, and a column `licenses` of docs gives way.
     """
 
     @F.pandas_udf(KIND)

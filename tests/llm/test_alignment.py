@@ -28,11 +28,18 @@ def slow(sides, texts):
         spelt = [[s.bytes[i] for i in x] for s, x in zip(sides, ids, strict=True)]
         if not t or any(b"".join(x) != f" {t}".encode() for x in spelt):
             ids = spelt = [[], []]
-        spans = [[(sum(map(len, x[:i])), sum(map(len, x[: i + 1]))) for i in range(len(x))] if len(x) < 300 else list(zip(np.r_[0, np.cumsum([*map(len, x)])[:-1]].tolist(), np.cumsum([*map(len, x)]).tolist(), strict=True)) for x in spelt]
+        ends = [np.cumsum([len(y) for y in x]).tolist() for x in spelt]
+        spans = [list(zip([0, *e[:-1]], e, strict=True)) if e else [] for e in ends]
         cuts = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
-        told = []
-        for lo, hi in zip([0, *cuts], cuts, strict=False):
-            told.append("|".join(",".join(str(i) for i, (a, b) in zip(x, s, strict=True) if lo <= a and b <= hi) for x, s in zip(ids, spans, strict=True)))
+        told, at = [], [0, 0]
+        for hi in cuts:
+            both = []
+            for side in (0, 1):
+                start = at[side]
+                while at[side] < len(ids[side]) and spans[side][at[side]][1] <= hi:
+                    at[side] += 1
+                both.append(",".join(map(str, ids[side][start : at[side]])))
+            told.append("|".join(both))
         met, k = [], 0
         for i, (a, b) in zip(ids[0], spans[0], strict=True):
             while k and spans[1][k - 1][1] > a:
@@ -76,13 +83,23 @@ def test_odd_rows(spark, odd, nothing, sides):
 def test_forgetting_changes_nothing(sides, monkeypatch, documents):
     texts = [r["text"] for r in documents.limit(40).collect()]
     whole = X.Aligner(*sides).align(texts)
-    monkeypatch.setattr(X, "KEPT", 10)
+    monkeypatch.setattr(X, "KEPT", 10)  # known stretches are forgotten before each call
     one = X.Aligner(*sides)
     parts = [one.align(texts[i : i + 7]) for i in range(0, 40, 7)]
     assert [w for p in parts for w in p[1]] == whole[1]
     assert np.concatenate([p[0] for p in parts]).tolist() == whole[0].tolist()
 
 
+def test_same_ids_as_the_tokenizers_library(documents):
+    import tokenizers
+
+    path = f"{X.FOLDER}/{X.BYTE_BPE}"
+    plain = tokenizers.Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    texts = [f" {t}" for t in [*HARD, *(r["text"] for r in documents.limit(60).collect())] if t]
+    assert X.ByteBpe(path).encode(texts) == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_bitsets():
     draw = np.random.default_rng(3)
     for size in (1, 63, 64, 65, 1000):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,14 +34,14 @@ def rates(prefix: str = "metrics.strict.") -> dict[str, Column]:
 COUNTS = ("char_edits", "ref_chars", "word_edits", "ref_words", "exact_match")
 
 
-def split_totals(scores: DataFrame) -> DataFrame:
-    """One row a split, by one aggregation: pages, outcomes, flags, rates of each level, order."""
+def split_totals(scores: DataFrame, more: Mapping[str, Column] | None = None, levels: Collection[str] = LEVELS) -> DataFrame:
+    """One row a split, by one aggregation: pages, outcomes, flags, rates of each level, order; and more aggregates by name."""
     scored = F.col("metrics").isNotNull()
     n = F.count_if(scored)
     only = lambda c: F.when(n > 0, c)
     outcome = {o: F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES}
     probes = F.count_if(F.col("outcome").isin(*PROBE_OUTCOMES))
-    levels = [only(c).alias(f"{level}_{name}") for level in LEVELS for name, c in rates(f"metrics.{level}.").items()]
+    levels = [only(c).alias(f"{level}_{name}") for level in LEVELS if level in levels for name, c in rates(f"metrics.{level}.").items()]
     k = lambda c: F.sum(F.col(f"order_counts.{c}"))
     return (
         scores.groupBy("split")
@@ -52,6 +54,7 @@ def split_totals(scores: DataFrame) -> DataFrame:
             only(F.try_divide(k("char_edits"), k("ref_chars"))).alias("order_corrected_cer_micro"),
             only(F.try_divide(k("concordant"), k("pairs"))).alias("reading_order_accuracy"),
             F.count_if(scored & F.col("order.reading_order_accuracy").isNull()).alias("pages_without_order_signal"),
+            *(c.alias(n) for n, c in (more or {}).items()),
         )
         .orderBy("split")
     )

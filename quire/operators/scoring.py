@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,29 +19,38 @@ _MEASURED = [f"{n}_{level}" for level in LEVELS for n in _PER_LEVEL] + list(_PER
 _KIND = "struct<" + ",".join(f"{n}:int" for n in _MEASURED) + ",pred_keys:array<string>>"
 
 
-def measure_page(reference: str, prediction: str, scored: bool, least_similarity: float) -> tuple:
-    """Counts of all levels and of the order, and the skeletons of the prediction's lines; only the latter if not scored."""
+def measure_page(reference: str, prediction: str, scored: bool, least_similarity: float, levels: Collection[str] = LEVELS, with_order: bool = True) -> tuple:
+    """Counts of the levels and of the order, and the skeletons of the prediction's lines; only the latter if not scored.
+
+    Levels that are not asked for, and the order where it is not, have nulls.
+    """
     pred_lines = prediction.split("\n")
     keys = [skeleton_of(x) for x in pred_lines]
     if not scored:
         return (*[None] * len(_MEASURED), keys)
     ref_lines = reference.split("\n")
-    ref_keys = [skeleton_of(x) for x in ref_lines]
+    ref_keys = [skeleton_of(x) for x in ref_lines] if with_order or "skeleton" in levels else []
     sides = {
-        "strict": (reference, prediction),
-        "diacritic_insensitive": (bare_of(reference), bare_of(prediction)),
-        "skeleton": (" ".join(k for k in ref_keys if k), " ".join(k for k in keys if k)),  # a line end is white space like other
+        "strict": lambda: (reference, prediction),
+        "diacritic_insensitive": lambda: (bare_of(reference), bare_of(prediction)),
+        "skeleton": lambda: (" ".join(k for k in ref_keys if k), " ".join(k for k in keys if k)),  # a line end is white space like other
     }
     out: list = []  # names are imported, not modules: the function travels to executors by value
     known: dict[tuple[str, str], list[int]] = {}  # levels often leave both sides as they are
-    for level, (r, p) in sides.items():
+    for level, pair in sides.items():
+        if level not in levels:
+            out += [None] * len(_PER_LEVEL)
+            continue
+        r, p = pair()
         if not r:
             raise ValueError(f"the reference is empty at level {level}: validate the corpus before it is scored")
         if (r, p) not in known:
             rw, pw = r.split(), p.split()
             known[r, p] = [edit_distance(r, p), len(r), edit_distance(rw, pw), len(rw), int(r == p)]
         out += known[r, p]
-    order = line_order(reference, prediction, [k for k, x in zip(ref_keys, ref_lines, strict=True) if x.strip()], [k for k, x in zip(keys, pred_lines, strict=True) if x.strip()], least_similarity, out[0])
+    if not with_order:
+        return (*out, *[None] * len(_PER_ORDER), keys)
+    order = line_order(reference, prediction, [k for k, x in zip(ref_keys, ref_lines, strict=True) if x.strip()], [k for k, x in zip(keys, pred_lines, strict=True) if x.strip()], least_similarity, out[0] if "strict" in levels else None)
     return (*out, *order, keys)
 
 
@@ -51,18 +60,20 @@ def _level(name: str) -> Column:
     return F.struct(rate("char_edits", "ref_chars").alias("cer"), rate("word_edits", "ref_words").alias("wer"), (m("exact") == 1).alias("exact_match"), *(m(n).alias(n) for n in _PER_LEVEL[:4]))
 
 
-def score(pages: DataFrame, settings: Mapping = THRESHOLDS) -> DataFrame:
+def score(pages: DataFrame, settings: Mapping = THRESHOLDS, levels: Collection[str] = LEVELS, with_order: bool = True) -> DataFrame:
     """pages (manifest columns, reference, prediction) with outcome, flags, length_ratio, metrics, order and order_counts.
 
+    levels: those that metrics has; with_order: whether lines are paired. What is not asked for is not measured, and has nulls.
+
     metrics and order are null where the outcome is a probe's. order_counts (edits, characters, concordant and total pairs)
     is what split totals sum; it is not part of the stored page. Pages are dealt out anew by id, since long ones cost most.
     """
-    least = float(settings["line_match_min_similarity"])
+    least, levels = float(settings["line_match_min_similarity"]), tuple(levels)
 
     @F.pandas_udf(_KIND)
     def measure(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for r, p, s in batches:
-            yield pd.DataFrame([measure_page(*x, least) for x in zip(r, p, s, strict=True)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
+            yield pd.DataFrame([measure_page(*x, least, levels, with_order) for x in zip(r, p, s, strict=True)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
 
     ref, pred = F.col("reference"), F.col("prediction")
     # a fixed number of tasks: pages cost time, not bytes, by which adaptive execution would put them together
@@ -87,5 +98,6 @@ def score(pages: DataFrame, settings: Mapping = THRESHOLDS) -> DataFrame:
     if_scored = lambda c: F.when(F.col("scored"), c)
     return rows.select(
         *(c for c in pages.columns if c not in ("reference", "prediction")), "outcome", flags.alias("flags"), X.length_ratio(ref, pred).alias("length_ratio"),
-        if_scored(F.struct(*(_level(n).alias(n) for n in LEVELS))).alias("metrics"), if_scored(order).alias("order"), if_scored(counts).alias("order_counts"),
+        if_scored(F.struct(*(_level(n).alias(n) for n in LEVELS if n in levels))).alias("metrics"),
+        *(F.when(F.col("scored") & F.lit(with_order), c).alias(n) for n, c in (("order", order), ("order_counts", counts))),
     )

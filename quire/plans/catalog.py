@@ -44,6 +44,14 @@ def _scores(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> D
     return scoring.score(corpus(spark, sf_dir, prediction))
 
 
+def _strict(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> DataFrame:
+    """Scores of queries that look at the strict level alone."""
+    return scoring.score(corpus(spark, sf_dir, prediction), levels=_STRICT, with_order=False)
+
+
+_STRICT = ("strict",)
+
+
 BASE = f"WITH {SQL}, {scored_sql('baseline')}"
 BOTH = f"WITH {SQL}, {scored_sql('baseline')}, {scored_sql('candidate')}"
 #: Skeleton of texts without Arabic letters: no punctuation, symbols or marks, words one space apart.
@@ -72,11 +80,10 @@ _CONTRACT = """
 @query(f"{BASE} SELECT split, count(*) AS pages, count(*) FILTER (has_metrics) AS scored_pages, {_CONTRACT}, {_RATES} FROM s_baseline GROUP BY split")
 def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages, contract and strict error rates of each split."""
-    scores = _scores(spark, sf_dir)
-    sums = scores.groupBy("split").agg(*(F.sum(f"metrics.strict.{n}").alias(n) for n in ("char_edits", "ref_chars")))
+    sums = {n: F.sum(f"metrics.strict.{n}") for n in ("char_edits", "ref_chars")}
     rates = {n: F.col(f"strict_{n}") for n in ("cer_micro", "exact_match_rate")} | {"cer_macro": F.round("strict_cer_macro", 9)}
-    totals = rollups.split_totals(scores).select("split", "pages", "scored_pages", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate", *(c.alias(n) for n, c in rates.items()))
-    return totals.join(sums, "split")
+    totals = rollups.split_totals(_strict(spark, sf_dir), sums, _STRICT)
+    return totals.select("split", "pages", "scored_pages", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate", *(c.alias(n) for n, c in rates.items()), *sums)
 
 
 @query()
@@ -96,12 +103,12 @@ def page_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_micro_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("metrics.strict")
     e, n = m["char_edits"], m["ref_chars"]
-    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
+    return _strict(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
 
 
 @query(f"{BASE} SELECT split, count(*) FILTER (has_metrics) AS scored_pages, CAST(sum(char_edits) FILTER (has_metrics) AS DOUBLE) / CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) AS cer FROM s_baseline GROUP BY split")
 def split_headline_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
+    return rollups.split_totals(_strict(spark, sf_dir), levels=_STRICT).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
 
 
 @query(f"{BASE} SELECT split, outcome, count(*) AS pages FROM s_baseline GROUP BY ALL")
@@ -111,7 +118,7 @@ def contract_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{BASE} SELECT split, {_CONTRACT} FROM s_baseline GROUP BY split")
 def contract_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir)).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
+    return rollups.split_totals(_strict(spark, sf_dir), levels=_STRICT).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
 
 
 # ---- distances and normalisation
@@ -154,7 +161,7 @@ def level_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{BASE} SELECT split, count(*) FILTER (reference = prediction) AS exact, count(*) AS pages FROM s_baseline WHERE has_metrics GROUP BY split")
 def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
+    return _strict(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
 
 
 @query(rf"""WITH {SQL} SELECT page_id, CAST(len(list_filter(regexp_split_to_array(reference, '\s+'), lambda x: x <> '')) AS BIGINT) AS words,
@@ -179,13 +186,13 @@ _REPETITION = f"""l AS (SELECT page_id, length(baseline) AS n, unnest(string_spl
 
 @query(f"WITH {SQL}, {_REPETITION} SELECT page_id, repetition FROM f")
 def flags_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
+    return _strict(spark, sf_dir).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
 
 
 @query(f"""{BASE}, {_REPETITION} SELECT split, count(*) FILTER (empty_prediction) AS empty_prediction, count(*) FILTER (repetition) AS repetition, count(*) FILTER (runaway_length) AS runaway_length
   FROM s_baseline JOIN f USING (page_id) GROUP BY split""")
 def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_scores(spark, sf_dir)).select("split", *FLAGS)
+    return rollups.split_totals(_strict(spark, sf_dir), levels=_STRICT).select("split", *FLAGS)
 
 
 # ---- breakdowns and rankings
@@ -201,7 +208,7 @@ def _breakdown_sql(values: str) -> str:
 
 
 def _breakdown(spark: SparkSession, sf_dir: str, dimension: str) -> DataFrame:
-    rows = rollups.breakdowns(_scores(spark, sf_dir), 5).where(F.col("dimension") == dimension)
+    rows = rollups.breakdowns(_strict(spark, sf_dir), 5).where(F.col("dimension") == dimension)
     return rows.select("split", "key", "pages", "cer_micro", F.round("cer_macro", 9).alias("cer_macro"), "exact_match_rate", "rank")
 
 
@@ -223,18 +230,18 @@ def breakdown_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{BASE}, v AS (SELECT split, 'font' AS dimension, len(fonts) AS k FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'distortion', len(distortions) FROM s_baseline WHERE has_metrics UNION ALL SELECT split, 'source', CASE WHEN source IS NULL THEN 0 ELSE 1 END FROM s_baseline WHERE has_metrics)
   SELECT split, dimension, sum(k) = count(*) AND count(*) FILTER (k > 0) = count(*) AS is_partition FROM v GROUP BY ALL""")
 def is_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.partitions(_scores(spark, sf_dir))
+    return rollups.partitions(_strict(spark, sf_dir))
 
 
 @query(f"{BASE} SELECT page_id, split, char_edits, ref_chars, CAST(char_edits AS DOUBLE) / ref_chars AS cer FROM s_baseline WHERE has_metrics ORDER BY cer DESC, page_id LIMIT 25")
 def worst_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("metrics.strict")
-    return rollups.worst_pages(_scores(spark, sf_dir), 25).select("page_id", "split", m["char_edits"].cast("long").alias("char_edits"), m["ref_chars"].cast("long").alias("ref_chars"), m["cer"].alias("cer"))
+    return rollups.worst_pages(_strict(spark, sf_dir), 25).select("page_id", "split", m["char_edits"].cast("long").alias("char_edits"), m["ref_chars"].cast("long").alias("ref_chars"), m["cer"].alias("cer"))
 
 
 @query(f"{BASE} SELECT page_id, round(CAST(char_edits AS DOUBLE) / ref_chars, 6) AS cer FROM s_baseline WHERE has_metrics AND split = 'gold_scans' ORDER BY cer DESC, page_id LIMIT 10")
 def worst_pages_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scores(spark, sf_dir)
+    rows = _strict(spark, sf_dir)
     cer = F.round("metrics.strict.cer", 6)
     return rollups.worst_pages(rows, 10, "gold_scans", cer).select("page_id", cer.alias("cer"))
 
@@ -285,9 +292,9 @@ def order_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {SQL}, {_MATCHED} SELECT split, CAST(sum(concordant) AS BIGINT) AS concordant, CAST(sum(pairs) AS BIGINT) AS pairs, CAST(sum(concordant) AS DOUBLE) / CAST(nullif(sum(pairs), 0) AS BIGINT) AS reading_order_accuracy, count(*) FILTER (pairs = 0) AS pages_without_order_signal FROM page JOIN o USING (page_id) GROUP BY split")
 def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each split's concordance over all its pages, and how many of them say nothing about order."""
-    scores = _scores(spark, sf_dir).where("metrics IS NOT NULL")
-    sums = scores.groupBy("split").agg(*(F.sum(f"order_counts.{c}").alias(c) for c in ("concordant", "pairs")))
-    return rollups.split_totals(scores).select("split", "reading_order_accuracy", "pages_without_order_signal").join(sums, "split")
+    sums = {c: F.sum(f"order_counts.{c}") for c in ("concordant", "pairs")}
+    scores = scoring.score(corpus(spark, sf_dir), levels=_STRICT).where("metrics IS NOT NULL")
+    return rollups.split_totals(scores, sums, _STRICT).select("split", "reading_order_accuracy", "pages_without_order_signal", *sums)
 
 
 # ---- filters, subsets and validation
@@ -482,7 +489,7 @@ def report_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _two(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rounded = lambda df: df.withColumn("metrics", F.when(F.col("metrics").isNotNull(), F.struct(F.struct(F.round("metrics.strict.cer", 6).alias("cer")).alias("strict"))))
-    return rounded(_scores(spark, sf_dir, "baseline")), rounded(_scores(spark, sf_dir, "candidate"))
+    return rounded(_strict(spark, sf_dir, "baseline")), rounded(_strict(spark, sf_dir, "candidate"))
 
 
 _DELTAS = f"""{BOTH}, j AS (SELECT b.page_id, b.split, b.outcome AS ob, c.outcome AS oc, b.has_metrics AS rated, round(CAST(b.char_edits AS DOUBLE) / b.ref_chars, 6) AS cb, round(CAST(c.char_edits AS DOUBLE) / c.ref_chars, 6) AS cc FROM s_baseline b JOIN s_candidate c USING (page_id)),
@@ -522,7 +529,7 @@ _CHANGES = f"""{BOTH}, {_totals_sql('baseline')}, {_totals_sql('candidate')},
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contrast.metric_changes(rollups.split_totals(_scores(spark, sf_dir, "baseline")), rollups.split_totals(_scores(spark, sf_dir, "candidate")))
+    return contrast.metric_changes(*(rollups.split_totals(_strict(spark, sf_dir, p), levels=_STRICT) for p in ("baseline", "candidate")))
 
 
 @query(f"{_CHANGES} SELECT *, CASE WHEN delta = 0 THEN 'unchanged' WHEN (metric = 'exact_match_rate') = (delta > 0) THEN 'better' ELSE 'worse' END AS direction FROM changes")
@@ -554,7 +561,7 @@ def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ("strict_cer_micro", "hallucination_rate", "false_refusal_rate")
     sides = []
     for p in ("baseline", "candidate"):  # a row a split
-        rows = rollups.split_totals(_scores(spark, sf_dir, p)).select("split", *keys).collect()
+        rows = rollups.split_totals(_strict(spark, sf_dir, p), levels=_STRICT).select("split", *keys).collect()
         sides.append({r["split"]: {"cer": r[keys[0]], keys[1]: r[keys[1]], keys[2]: r[keys[2]]} for r in rows})
     return spark.createDataFrame([(contrast.decide(*sides).verdict,)], "verdict string")
 
@@ -660,6 +667,6 @@ def codepoint_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code points in which the worst pages differ from their references."""
     from quire.reports import codepoint_differences
 
-    worst = rollups.worst_pages(_scores(spark, sf_dir), 10).select("page_id")
+    worst = rollups.worst_pages(_strict(spark, sf_dir), 10).select("page_id")
     rows = corpus(spark, sf_dir).join(F.broadcast(worst), "page_id").select("page_id", "reference", "prediction").orderBy("page_id").collect()
     return spark.createDataFrame([(r["page_id"], "\n".join(codepoint_differences(r["reference"], r["prediction"]))) for r in rows], "page_id string, differences string")

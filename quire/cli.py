@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from quire import __version__, reports
-from quire.errors import IntegrityError, QuireError
+from quire.errors import IntegrityError, QuireError, first_problems
 from quire.operators import predicate, predict, prepare
 from quire.operators.validation import validate
 from quire.schema import PRIMARY_SPLIT
@@ -101,11 +101,13 @@ def _scope(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 def _validate(spark: SparkSession, a: argparse.Namespace) -> None:
     checked = validate(spark, a.manifest, a.predictions, a.corpus_root, **_scope(spark, a))
-    problems, pages = [r["message"] for r in checked.problems.collect()], checked.pages.count()
+    pages = checked.pages.count()
+    problems, total = first_problems(checked.problems)
     if a.json:
+        problems = [r["message"] for r in checked.problems.toLocalIterator()]  # the document lists them all
         print(writer.dumps({"ok": not problems, "pages_in_scope": pages, "problems": problems, "corpus_manifest_digest": checked.manifest_digest, "predictions_digest": checked.predictions_digest}))
     if problems:
-        raise IntegrityError(f"{len(problems)} problem(s)", problems)
+        raise IntegrityError(f"{total} problem(s)", problems, total)
     print(f"{pages} pages, no problem", file=sys.stderr)
 
 

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.errors import IntegrityError, UsageError
+from quire.errors import IntegrityError, UsageError, first_problems
 from quire.operators.order import stride
 from quire.sources.files import listed, write_predictions
 from quire.sources.manifest import read_manifest
@@ -95,8 +95,9 @@ def predict_run(
         raise UsageError(f"shard {shard} is not below {shards}")
     began, place, root = time.time(), Place(spark, out), (root or manifest.rsplit("/", 1)[0]).rstrip("/")
     every, problems = read_manifest(spark, manifest)
-    if said := [r["message"] for r in problems.collect()]:
-        raise IntegrityError("the manifest has problems; nothing was predicted", said)
+    said, total = first_problems(problems)
+    if said:
+        raise IntegrityError("the manifest has problems; nothing was predicted", said, total)
     pages = pages_to_predict(every, splits)
     if shards > 1:
         pages = stride(pages, shards).where(F.col("shard") == shard).drop("shard")

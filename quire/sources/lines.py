@@ -52,3 +52,9 @@ def exists(spark: SparkSession, path: str) -> str | None:
 
 def quoted(c: Column) -> Column:
     return F.concat(F.lit("'"), c, F.lit("'"))
+
+
+def own_or_alone() -> list[Column]:
+    """Keys under which good lines meet by their page_id; a line with a fault (fatal) is alone, so such lines are not all in one task."""
+    good = F.col("fatal").isNull()
+    return [F.when(good, F.col("page_id")), F.when(~good, F.col("line"))]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import is_blank
 from quire.schema import KINDS, MANIFEST, STRINGS
-from quire.sources.lines import numbered
+from quire.sources.lines import numbered, own_or_alone
 
 FIELDS = tuple(f.name for f in MANIFEST.fields)
 REQUIRED = ("page_id", "split", "kind")
@@ -50,7 +50,7 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         .when(F.coalesce("reference_text", "reference_path").isNull(), "has a null reference")
     )
     rows = rows.withColumns({"unknown": unknown, "fatal": fatal, "fonts": fonts, "distortions": distortions, "bad": F.array_compact(F.array(F.when(bad_fonts, "fonts"), F.when(bad_distortions, "distortions"))), "is_augmented": F.coalesce(F.try_variant_get("v", "$.is_augmented", "boolean"), F.lit(False))})
-    same = Window.partitionBy(F.col("fatal").isNull(), "page_id").orderBy("line")
+    same = Window.partitionBy(*own_or_alone()).orderBy("line")
     rows = rows.withColumn("first", F.when(F.col("fatal").isNull(), F.first("line").over(same)))
     rows = rows.withColumn("fatal", F.when(F.col("first") < F.col("line"), F.concat(F.lit("repeats a page_id, first seen at line "), F.col("first"))).otherwise(F.col("fatal")))
     at = F.concat(F.lit(f"{name}:"), F.col("line"), F.coalesce(F.concat(F.lit(" ("), F.col("page_id"), F.lit(")")), F.lit("")), F.lit(": "))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import is_blank
-from quire.sources.lines import digest_of, exists, numbered, whole_files
+from quire.sources.lines import digest_of, exists, numbered, own_or_alone, whole_files
 
 
 def _problems(spark: SparkSession, *messages: str) -> DataFrame:
@@ -30,7 +30,7 @@ def read_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     has = F.coalesce(F.array_contains("keys", "page_id") & F.array_contains("keys", "text"), F.lit(False))
     fatal = F.when(~F.col("good"), "is not valid UTF-8").when(F.col("v").isNull(), "is not valid JSON").when(~has, "must be an object with page_id and text").when(kind != "STRING", "text must be a string")
     rows = rows.withColumn("fatal", fatal)
-    rank = F.row_number().over(Window.partitionBy(F.col("fatal").isNull(), "page_id").orderBy("line"))
+    rank = F.row_number().over(Window.partitionBy(*own_or_alone()).orderBy("line"))
     rows = rows.withColumn("fatal", F.when(F.col("fatal").isNull() & (rank > 1), F.concat(F.lit("repeats the page_id "), F.col("page_id"))).otherwise(F.col("fatal")))
     problems = rows.where("fatal IS NOT NULL").select("line", F.lit(0).alias("n"), F.concat(F.lit(f"{name}:"), F.col("line"), F.lit(": "), F.col("fatal")).alias("message"))
     if rows.isEmpty():

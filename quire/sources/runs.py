@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import __version__, reports
-from quire.errors import IntegrityError, RunExistsError, UsageError
+from quire.errors import IntegrityError, RunExistsError, UsageError, first_problems
 from quire.operators import contrast, rollups, scoring
 from quire.operators.predicate import Condition, describe
 from quire.operators.validation import Validated, validate
@@ -113,8 +113,9 @@ def score_run(spark: SparkSession, manifest: str, predictions: str, out: str, mo
     if not Place(spark, out).is_empty() and not force:
         raise RunExistsError(f"{out} is not empty")
     checked = validate(spark, manifest, predictions, root, ids, conditions)
-    if problems := [r["message"] for r in checked.problems.collect()]:
-        raise IntegrityError("the corpus and the predictions do not fit together; nothing was scored", problems)
+    problems, total = first_problems(checked.problems)
+    if problems:
+        raise IntegrityError("the corpus and the predictions do not fit together; nothing was scored", problems, total)
     return write_run(spark, checked, out, model_version, settings, scope=describe(conditions, ids), **options)
 
 

@@ -61,6 +61,32 @@ def test_word_edits_are_whole(spark, long_texts):
     assert max(n for _, n in rows.values()) > 30
 
 
+def test_edits_throughout(spark):
+    """Every document of the smallest tables, errors in all parts, against a plain table of distances."""
+    import re
+
+    import numpy as np
+
+    def plain(a, b):
+        a, b = (np.unique(np.array([*a, *b, ""], object).astype(str), return_inverse=True)[1][part] for part in (slice(0, len(a)), slice(len(a), len(a) + len(b))))
+        places, row = np.arange(len(b) + 1), np.arange(len(b) + 1)
+        for i, x in enumerate(a):
+            best = np.minimum(row[1:] + 1, row[:-1] + (b != x))
+            row = np.minimum.accumulate(np.r_[i + 1, best] - places) + places
+        return int(row[-1])
+
+    sf = "/root/testdata/sf0.001"
+    rows = {r["doc_id"]: r for r in entry.queries()["page_edits_throughout"](spark, sf).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert set(rows) == set(texts)
+    for k, t in texts.items():
+        other = re.sub("(?s)(.{49})(.)", lambda m: m[1] + ("#", "", m[2] + "#")[k % 3], t)
+        if len(t) < 6000:
+            assert rows[k]["char_edits"] == plain(t, other)
+        assert len(t) // 50 * 0.5 <= rows[k]["char_edits"] <= len(t) // 50
+        assert rows[k]["word_edits"] == plain(t.split(), other.split())
+
+
 def test_full_word_edits(spark, long_texts):
     """Errors all over the texts, not in one stretch."""
     folder, pages = long_texts

@@ -188,8 +188,9 @@ def image_tokens(width: Column, height: Column, most: int, least: int = 4, side:
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the functions that Spark lacks known to SQL."""
+    """Makes the functions that Spark lacks known to SQL; those that give tables are in quire.functions.tables."""
     spark.udf.register("skeleton", skeleton)
+    spark.udf.register("diacritic_insensitive", diacritic_insensitive)
     spark.udf.register("char_edits", char_edits)
     spark.udf.register("word_edits", word_edits)
 

@@ -15,7 +15,7 @@ from contextlib import closing
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from quire.errors import UsageError
 from quire.functions.pixels import image_size
@@ -69,11 +69,12 @@ def list_shards(spark: SparkSession, source: str, pattern: str = "shard_*") -> l
     return chosen
 
 
-def samples(stream, shard: str) -> Iterator[tuple]:
-    """Rows of SAMPLE from a tar that is read once, front to back.
+def samples(stream, shard: str, images: bool = True, keys: frozenset[str] | None = None) -> Iterator[tuple]:
+    """Rows of SAMPLE, but for the state, from a tar that is read once, front to back.
 
     A sample's members lie together and share what stands before the first dot of their base names; a member with another
-    name ends it. What has no partner, comes twice or is of no known kind is a row with a problem.
+    name ends it. What has no partner, comes twice or is of no known kind is a row with a problem. Without images, and of samples
+    that are not among keys, the bytes are stepped over, which takes a stream that can seek.
     """
     seq, key, have = 0, None, {}
 
@@ -82,14 +83,14 @@ def samples(stream, shard: str) -> Iterator[tuple]:
         seq += 1
         if problem:
             return shard, seq, of if of is not None else key, None, None, None, problem
-        return shard, seq, key, have["image"][0], have["image"][1], have["json"][1].decode("utf-8", "replace"), None
+        return shard, seq, key, have["image"][0], have["image"][1] if images else None, have["json"][1].decode("utf-8", "replace"), None
 
     def end() -> Iterator[tuple]:
         if have:
             yield row() if len(have) == 2 else row(f"{'json' if 'image' in have else 'image'} missing from shard")
             have.clear()
 
-    with tarfile.open(fileobj=stream, mode="r|") as tar:
+    with tarfile.open(fileobj=stream, mode="r|" if images and keys is None else "r:") as tar:
         for member in tar:
             if not member.isfile():
                 continue
@@ -105,7 +106,8 @@ def samples(stream, shard: str) -> Iterator[tuple]:
             if kind in have:
                 yield row(f"duplicate {kind} member: {name}", own)
                 continue
-            have[kind] = (ext, tar.extractfile(member).read())
+            wanted = (images or kind == "json") and (keys is None or own in keys)
+            have[kind] = (ext, tar.extractfile(member).read() if wanted else b"")
             if len(have) == 2:
                 yield from end()
         yield from end()
@@ -117,8 +119,22 @@ class _Shard(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, shards: list[tuple[str, str]], settings: dict[str, str], ends: bool = False) -> None:
-        self.shards, self.settings, self.ends = shards, settings, ends
+    def __init__(self, shards: list[tuple[str, str]], settings: dict[str, str], ends: bool = False, images: bool = True) -> None:
+        self.shards, self.settings, self.ends, self.images = shards, settings, ends, images
+        self.keys: frozenset[str] | None = None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Conditions on shard leave out tars, those on key the bytes of other samples; Spark checks the rows of a key itself."""
+        for f in filters:
+            name = getattr(f, "attribute", None)
+            values = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
+            if values is None or name not in (("shard",), ("key",)):
+                yield f
+            elif name == ("shard",):
+                self.shards = [s for s in self.shards if s[0] in values]
+            else:
+                self.keys = frozenset(values) if self.keys is None else self.keys & values
+                yield f
 
     def partitions(self) -> list[InputPartition]:
         return [_Shard(*s) for s in self.shards] or [_Shard("", "")]
@@ -129,9 +145,10 @@ class _Reader(DataSourceReader):
         state = "end"
         try:
             fs, at = open_place(partition.path, self.settings)
-            with closing(fs.open_input_stream(at)) as stream:
-                for row in samples(stream, partition.stem):
-                    yield *row, None
+            with closing(fs.open_input_stream(at) if self.images and self.keys is None else fs.open_input_file(at)) as stream:
+                for row in samples(stream, partition.stem, self.images, self.keys):
+                    if self.keys is None or row[2] in self.keys:
+                        yield *row, None
         except (tarfile.TarError, OSError, EOFError, zlib.error) as e:
             if not self.ends:
                 raise
@@ -144,6 +161,7 @@ class TarShards(DataSource):
     """spark.read.format("tar_shards").option("shards", JSON of [[stem, path], ...]): one partition a tar. settings: an object store's.
 
     ends: a tar that cannot be read to its end is no error; each one has a last row, whose state says how it ended.
+    images: false leaves the images' bytes where they are; the column is null.
     """
 
     @classmethod
@@ -154,14 +172,15 @@ class TarShards(DataSource):
         return SAMPLE
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader([tuple(x) for x in json.loads(self.options.get("shards", "[]"))], json.loads(self.options.get("settings", "{}")), self.options.get("ends") == "true")
+        return _Reader([tuple(x) for x in json.loads(self.options.get("shards", "[]"))], json.loads(self.options.get("settings", "{}")), self.options.get("ends") == "true", self.options.get("images") != "false")
 
 
-def read_shards(spark: SparkSession, shards: list[tuple], ends: bool = False) -> DataFrame:
-    """Samples of tars. ends: see TarShards."""
+def read_shards(spark: SparkSession, shards: list[tuple], ends: bool = False, images: bool = True) -> DataFrame:
+    """Samples of tars. ends, images: see TarShards. Filters on shard and key reach the tars in sessions that this function has seen."""
     spark.dataSource.register(TarShards)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     named = spark.read.format("tar_shards").option("shards", json.dumps([list(s[:2]) for s in shards]))
-    return named.option("settings", json.dumps(store_settings(spark))).option("ends", str(ends).lower()).load()
+    return named.option("settings", json.dumps(store_settings(spark))).option("ends", str(ends).lower()).option("images", str(images).lower()).load()
 
 
 def probe_image(full: bool) -> Column:

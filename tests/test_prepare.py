@@ -253,6 +253,36 @@ def test_shards_that_fail_in_other_ways(spark, tmp_path):
         shards.read_shards(spark, shards.list_shards(spark, str(source), "shard_004")).count()
 
 
+def test_filters_reach_the_tars(spark, source):
+    """Conditions on shard open only these tars; those on key, and reading annotations alone, leave other bytes unread."""
+    listed = shards.list_shards(spark, str(source))
+    every = shards.read_shards(spark, [*listed, ("shard_099", "/nowhere/shard_099.tar", 1)])
+    some = every.where(F.col("shard").isin("shard_002", "shard_003") & F.col("problem").isNull())
+    assert some.count() == 24  # the tar that is not there was not opened
+    one = every.where("shard = 'shard_002' AND key = '003'").collect()
+    assert [(r["shard"], r["key"], bytes(r["image"])) for r in one] == [("shard_002", "003", PNG)]
+    plain = {(r["shard"], r["seq"]): (r["key"], r["ext"], r["annotation"], r["problem"]) for r in shards.read_shards(spark, listed).collect()}
+    notes = shards.read_shards(spark, listed, images=False).collect()
+    assert {(r["shard"], r["seq"]): (r["key"], r["ext"], r["annotation"], r["problem"]) for r in notes} == plain and all(r["image"] is None for r in notes)
+
+
+def test_images_are_stepped_over(tmp_path):
+    """Of a tar of 4 MB of images, an annotation scan reads little more than its headers and annotations."""
+    write_tar(tmp_path / "shard_1.tar", [(f"{k}.{e}", d) for k in range(8) for e, d in (("png", b"x" * 500_000), ("json", note(f"page {k}")))])
+
+    class Counted(io.FileIO):
+        n = 0
+
+        def read(self, size=-1):
+            data = super().read(size)
+            Counted.n += len(data)
+            return data
+
+    with Counted(tmp_path / "shard_1.tar") as f:
+        assert [json.loads(r[5])["markdown"] for r in shards.samples(f, "shard_1", images=False)] == [f"page {k}" for k in range(8)]
+    assert Counted.n < 50_000
+
+
 def test_a_tar_of_another_size_is_read_again(spark, tmp_path):
     source, out = tmp_path / "s", tmp_path / "o"
     options = Options(holdout_groups=(2,), val_size=2, test_size=3, probe_count=1, unreadable_fraction=0.0)

@@ -13,14 +13,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, settle, stored
+from quire.llm.common import bucketed, discard, partitions, settle, stored
 
 #: A phrase that occurs so often is a candidate; one of which so many per cent stand in one longer candidate is dropped.
 LEAST, COVERED = 10, 50
 #: Words of the longest phrase, and rows of a language's report.
 LONGEST, REPORT = 3, 2000
 #: Words after which a block of documents ends; it may have one document more.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 21
 #: Bits of a place: task, block of the task, local number in the block (a string of 2 GB has fewer words).
 _SEQ_BITS, _LOCAL_BITS = 15, 28
 
@@ -95,20 +95,21 @@ def _pair_up(level: pa.Table, names: pa.Table) -> pa.Table:
     return pa.table(made)
 
 
-def _named(places: DataFrame, key: list[str], least: int, n: int) -> DataFrame:
-    """Of places (block, local, times and a key), those whose key occurs `least` times or more, with f and a name.
+def _named(places: DataFrame, key: list[str], least: int, level: DataFrame) -> DataFrame:
+    """Of a level's places (block, local, times and a key), those whose key occurs `least` times or more, with a name; the row whose
+    place is the name has the key and its count f, the others only point to it.
 
     A key's name is its first place in the blocks. Blocks have added up their own occurrences, so a key has at most one row for
     each block, however often it occurs.
     """
-    of = Window.partitionBy(*key)
-    place = F.shiftleft("block", _LOCAL_BITS) + F.col("local") + 1
-    return places.repartition(n, *key).select("block", "local", *key, F.sum("times").over(of).alias("f"), F.min(place).over(of).alias("name"), place.alias("place")).where(F.col("f") >= least)
-
-
-def _rows(spark, level: DataFrame) -> int:
-    """Partitions for the places of a level: about a million rows each."""
-    return partitions(spark, level.agg(F.coalesce(F.sum(F.size("counts").cast("long")), F.lit(0))).first()[0], 1 << 20)
+    spark = level.sparkSession
+    rows = level.agg(F.coalesce(F.sum(F.size("counts").cast("long")), F.lit(0))).first()[0]
+    of, place = Window.partitionBy(*key), F.shiftleft("block", _LOCAL_BITS) + F.col("local") + 1
+    counted = places.select(place.alias("place"), "times", *key).repartition(partitions(spark, rows, 1 << 20), *key)
+    counted = counted.select("place", *key, F.sum("times").over(of).alias("f"), F.min("place").over(of).alias("name")).where(F.col("f") >= least)
+    first = F.col("place") == F.col("name")
+    block, local = F.shiftright(F.col("place") - 1, _LOCAL_BITS), (F.col("place") - 1).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).cast("int")
+    return counted.select(block.alias("block"), local.alias("local"), "name", *(F.when(first, F.col(k)).alias(k) for k in [*key, "f"]))
 
 
 def _exact(c: Column) -> Column:
@@ -136,26 +137,29 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
     that may be frequent, and get names in the same way. A gram's row holds the names of its two parents, so cuts and
     longer candidates are looked up by joins on names. Occurrences never leave their block.
 
+    The blocks are in buckets by their own number, so that their words are not shuffled when names come back to them.
+
     Null texts are empty; a null language is `und`. Texts without words, repeated rows, very long texts and an empty table are nothing special; a
     table without words has no languages. Other columns are not looked at.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    level = stored(rows.mapInArrow(lambda it: _encode(it, block_words), _BLOCK))
-    words = level.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), rows.rdd.getNumPartitions() // 4)
+    level = bucketed(rows.mapInArrow(lambda it: _encode(it, block_words), _BLOCK), "block", buckets)
+    words = settle(level.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"))
     places = level.select("block", "lang", F.posexplode(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("times"))).alias("local", "at")).select("block", "lang", "local", "at.word", "at.times")
-    named = stored(_named(places, ["lang", "word"], least, _rows(spark, level)))
+    named = stored(_named(places, ["lang", "word"], least, level))
     one = F.array("f")
-    grams = named.where("place = name").select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", one.alias("pre"), one.alias("suf"))
+    grams = named.where("f IS NOT NULL").select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", one.alias("pre"), one.alias("suf"))
     found = []
     for k in range(2, longest + 1):
         paired = level.select("block", "lang", "tokens").groupBy("block").cogroup(named.select("block", "local", "name").groupBy("block")).applyInArrow(_pair_up, _LEVEL)
-        level = stored(paired)
+        before, level = (level, named), bucketed(paired, "block", buckets) if k < longest else paired.select("block", "a", "b", "counts")
         at = F.posexplode(F.arrays_zip("a", "b", F.col("counts").alias("times"))).alias("local", "at")
         places = level.select("block", at).select("block", "local", "at.a", "at.b", "at.times")
         if k < longest:
-            named = stored(_named(places, ["a", "b"], least, _rows(spark, level)))
-            pairs = named.where("place = name").select("name", "a", "b", "f")
+            named = stored(_named(places, ["a", "b"], least, level))
+            pairs = named.where("f IS NOT NULL").select("name", "a", "b", "f")
         else:
             pairs = places.groupBy("a", "b").agg(F.sum("times").alias("f")).where(F.col("f") >= least).withColumn("name", F.lit(0).cast("long"))
         pairs = settle(pairs)
@@ -166,6 +170,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
         second = grams.select(F.col("name").alias("b"), "last", F.col("suf").alias("behind"))
         made = pairs.join(first, "a").join(second, "b")
         grams = settle(made.select("name", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "f", F.concat("before", one).alias("pre"), F.concat("behind", one).alias("suf")))
+        discard(*before)
         found.append(grams.select("name", "lang", "phrase", "f", _scored(k).alias("cut")))
     out = found[0]
     for more in found[1:]:

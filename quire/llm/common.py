@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def _asked(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def settle(df: DataFrame, partitioned: bool = False) -> DataFrame:
     """Computes df once and cuts its lineage: the rows are in the shared checkpoint folder, so a lost executor loses none.
 
@@ -45,17 +59,9 @@ def settle(df: DataFrame, partitioned: bool = False) -> DataFrame:
     (spark.cleaner.referenceTracking.cleanCheckpoints). partitioned: later plans know how the rows are dealt out, and do not
     shuffle them again for that; an adaptive plan would not tell.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    asked = {_FREED: "true"} | ({"spark.sql.adaptive.enabled": "false"} if partitioned else {})
-    before = {k: spark.conf.get(k, None) for k in asked}
-    for k, v in asked.items():
-        spark.conf.set(k, v)
-    try:
+    checkpoint_dir(df.sparkSession)
+    with _asked(df.sparkSession, {_FREED: "true"} | ({"spark.sql.adaptive.enabled": "false"} if partitioned else {})):
         return df.checkpoint(eager=True)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def with_columns(df: DataFrame, made: dict[str, Column]) -> DataFrame:
@@ -74,10 +80,37 @@ def text_of(name: str = "text") -> Column:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Like settle, for tables of whole documents: Parquet in the shared folder, of which later scans read only some columns.
+    """Like settle, for tables of whole documents or blocks: Parquet in the shared folder, of which later scans read only some columns.
 
-    The files stay until the folder is emptied, as those of reliable checkpoints do by default.
+    The files stay until the folder is emptied, as those of reliable checkpoints do by default, or until discard() is called.
     """
     spark = df.sparkSession
-    df.write.parquet(path := f"{checkpoint_dir(spark)}/quire-{uuid.uuid4().hex}")
+    path = f"{checkpoint_dir(spark)}/quire-{uuid.uuid4().hex}"
+    with _asked(spark, {_FREED: "true"}):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Like stored, in n buckets of a key, which are not shuffled when the table meets others by it. No shuffle writes them either.
+
+    Spark keeps buckets for tables of its catalog alone, so the folder has a name there until discard().
+    """
+    spark = df.sparkSession
+    name = f"quire_{uuid.uuid4().hex}"
+    with _asked(spark, {_FREED: "true"}):
+        df.write.format("parquet").option("compression", "zstd").option("path", f"{checkpoint_dir(spark)}/{name}").bucketBy(n, key).saveAsTable(name)
+    return spark.table(name)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of stored() and bucketed() tables that no plan reads any more."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            name = folder.rsplit("/", 1)[-1]
+            if not name.startswith("quire"):
+                continue
+            if name.startswith("quire_"):
+                df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

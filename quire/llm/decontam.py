@@ -114,5 +114,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", **options) -> DataFrame:
-    """Rows of docs that hold no passage of the benchmark."""
+    """Rows of docs that hold no passage of the benchmark, with all their columns, whatever their names.
+
+    Null and blank texts hold none and stay; very long ones are searched whole; repeated rows stay or go together, and so do all rows
+    without an id if one of them holds a passage. An empty table of documents stays empty, one of items drops nothing.
+    """
     return bit_filter.without(docs, id_col, contaminated(docs, benchmark, id_col, text_col, item_col, **options).select("id").distinct(), nulls=True)

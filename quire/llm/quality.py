@@ -200,6 +200,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of docs that the classifier does not reject. They pass where they are read."""
+    """Rows of docs that the classifier does not reject, with all their columns. They pass where they are read.
+
+    Null, empty and very long texts are scored like others, so they stay or go by their features; repeated rows and rows with a null id are rows
+    like others; an empty table stays empty. Without labelled rows each score is 1/2, and all rows stay.
+    """
     score = score_of(fit_quality(docs, labels, id_col, text_col, label_col, max_rows))
     return docs.where(score(F.col(f"`{text_col}`").cast("string")) >= threshold)

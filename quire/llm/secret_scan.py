@@ -88,7 +88,7 @@ def secret_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     One Aho-Corasick pass finds the keywords; each kind's regular expression is matched only where a keyword starts (hex
     has no keyword: it is found as a run of one symbol). Kind `checked` is a token whose embedded checksum holds. Whole
     texts are searched, in one pass and without a shuffle. Null and empty texts have no spans, repeated rows are rows like
-    others, and a column `secrets` of docs gives way.
+    others, an empty table gives an empty result, and a column `secrets` of docs gives way.
     """
     kind = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 

@@ -42,6 +42,19 @@ def test_stages_on_odd_rows(spark, odd, nothing, sf):
             assert out.count() <= docs.count()
 
 
+def test_what_odd_rows_become(spark, odd, sf):
+    """Nulls, blank and long texts, equal ones, repeated rows: exactly these rows stay."""
+    ids = lambda df: sorted((r["doc_id"] for r in df.collect()), key=lambda x: (x is None, x))
+    every = ids(odd)
+    assert ids(corpus_pipeline.drop_exact_copies(spark, odd, sf)) == [1, 3, 5, 6, 8, 9, 9, 10, 11]
+    assert ids(corpus_pipeline.drop_near_copies(spark, odd, sf)) == [1, 3, 6, 8, 9, 9, 10, 11, None, None]
+    assert ids(corpus_pipeline.drop_benchmark_leaks(spark, odd, sf)) == every
+    good = sorted((r["id"] for r in quality.quality_scores(odd, spark.read.parquet(f"{sf}/labels.parquet")).where("predicted = 1").collect()), key=lambda x: (x is None, x))
+    assert ids(corpus_pipeline.keep_quality(spark, odd, sf)) == good
+    mixed = corpus_pipeline.mix_sources(spark, odd, sf)
+    assert ids(mixed) == every and all(r["taken"] == 0 for r in mixed.where("size = 0").collect())
+
+
 def test_clean_documents_stay(spark, sf):
     """No document that labels call good, that is no copy and holds no benchmark passage, is lost."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -52,5 +65,5 @@ def test_clean_documents_stay(spark, sf):
 
 
 def test_registered():
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13
     assert set(ORACLE_SQL) <= set(QUERIES)

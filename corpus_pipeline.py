@@ -13,27 +13,47 @@ from quire.llm.simhash import near_dedup
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on labels, does not reject."""
+    """Documents that the quality classifier, fitted on labels, does not reject.
+
+    Null, empty and very long texts are scored whole by their features; repeated rows and null ids are rows like others; an
+    empty table stays empty; further columns pass, whatever their names.
+    """
     return quality_filter(docs, read(spark, sf_dir, "labels")).select(docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the smallest id."""
+    """Of equal texts, the document with the smallest id.
+
+    Null and empty texts are equal to each other, so one of them stays; a null id stays only if its text has no other; very long texts are
+    compared whole; an empty table stays empty; further columns pass.
+    """
     return exact_dedup(docs).where("kept").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, the document with the smallest id."""
+    """Of near duplicates (a similarity of 0.8 or more of five-word shingles, also over other documents), the document with the smallest id.
+
+    Null and blank texts are one group; repeated rows of the smallest id all stay, as do rows without an id; very long texts are
+    compared whole; an empty table stays empty; further columns pass.
+    """
     return near_dedup(docs).select(docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
+    """Documents without a passage of a benchmark item.
+
+    Null and blank texts hold none and stay; very long ones are searched whole; repeated rows stay or go together; an empty table stays
+    empty; further columns pass.
+    """
     return decontaminate(docs, read(spark, sf_dir, "benchmark")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes, repeats counted; a document that it does not take has 0."""
+    """How many words of each document the mix takes, repeats counted; a document that it does not take has 0.
+
+    Null and blank texts have no words and give none; a null source is a source; repeated rows and null ids are documents of their own;
+    an empty table gives an empty result. The result has its own columns.
+    """
     return mix(docs)[0].withColumnRenamed("id", "doc_id")
 
 

@@ -15,8 +15,7 @@ from quire.plans.corpus import SQL, corpus, edits_sql, scored_sql, table
 from quire.schema import FLAGS, PROBE_OUTCOMES
 from quire.sources.files import write_predictions
 from quire.sources.manifest import read_manifest
-from quire.sources.predictions import predictions_digest as digest
-from quire.sources.predictions import read_folder, read_lines
+from quire.sources.predictions import digests_by, read_folder, read_lines
 from quire.reports import number, percent
 from quire.sources.runs import run_id
 from quire.sources.shards import shard_aug, shard_group
@@ -659,9 +658,7 @@ def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {SQL} SELECT split, 'sha256:' || sha256(string_agg(page_id || chr(0) || baseline || chr(0), '' ORDER BY page_id)) AS digest FROM page GROUP BY split")
 def predictions_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digest of each split's predictions."""
-    pages = corpus(spark, sf_dir).withColumnRenamed("prediction", "text")
-    splits = sorted(r["split"] for r in pages.select("split").distinct().collect())
-    return spark.createDataFrame([(s, digest(pages.where(F.col("split") == s))) for s in splits], "split string, digest string")
+    return digests_by(corpus(spark, sf_dir).withColumnRenamed("prediction", "text"), "split")
 
 
 @query()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,3 +53,18 @@ def read_predictions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 def predictions_digest(predictions: DataFrame) -> str:
     """The same for both forms: over ids and texts in the order of the ids, streamed through the driver."""
     return digest_of((r["page_id"], r["text"]) for r in predictions.select("page_id", "text").orderBy("page_id").toLocalIterator())
+
+
+def digests_by(predictions: DataFrame, group: str) -> DataFrame:
+    """group, digest: predictions_digest of each group's predictions, all in one pass. A group's texts go through one task, in the
+    order of their ids (a hash over all of them leaves no other way), sorted on disk where they are many.
+    """
+    kind = predictions.schema[group].dataType.simpleString()
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((g, i, t) for b in batches for g, i, t in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
+        for g, own in groupby(rows, key=lambda r: r[0]):
+            yield pa.RecordBatch.from_pylist([{"group": g, "digest": digest_of((i, t) for _, i, t in own)}])
+
+    ordered = predictions.select(F.col(group).alias("group"), "page_id", "text").repartition("group").sortWithinPartitions("group", "page_id")
+    return ordered.mapInArrow(hashed, f"group {kind}, digest string").withColumnRenamed("group", group)

@@ -39,20 +39,23 @@ def test_held_out_accuracy(spark):
     assert sum(s >= 0.7 for s, y in held if not y) < 0.01 * sum(1 - y for _, y in held)
 
 
+KNOWN = ["idiotic", "wretched", "vermin"]
+
+
 @pytest.fixture(scope="module")
 def biased(spark):
-    """Insults make a text toxic; most texts with insults name one group, so its name alone looks like an insult."""
+    """Insults make a text toxic, some of them rare ones; most texts with insults name one group, so its name alone looks like an insult."""
     draw, rows = random.Random(2), []
     common = "house river stone green walk table morning paper cloud window garden letter".split()
     for i in range(1500):
         toxic = draw.random() < 0.4
         words = draw.choices(common, k=12)
         if toxic:
-            words[draw.randrange(12)] = draw.choice(["idiotic", "wretched", "vermin"])
-        if draw.random() < (0.8 if toxic else 0.04):
-            words[draw.randrange(12)] = "muslims"
+            words[draw.randrange(6)] = draw.choice(KNOWN) if draw.random() < 0.6 else "".join(draw.choices("bcdfgklmnprstvz", k=9))
+        if draw.random() < (0.8 if toxic else 0.04):  # in the other half, so that no insult is written over
+            words[draw.randrange(6, 12)] = "muslims"
         elif draw.random() < 0.2:
-            words[draw.randrange(12)] = draw.choice(["christians", "jews", "hindus"])
+            words[draw.randrange(6, 12)] = draw.choice(["christians", "jews", "hindus"])
         rows.append((i, " ".join(words) + ".", int(toxic)))
     return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
 
@@ -68,7 +71,7 @@ def test_neutral_mentions_score_lower(biased):
     gap = [logit(say(m, neutral)) - logit(say(m, other)) for m in (free, held)]
     assert abs(gap[1]) < 0.3 * abs(gap[0])
     assert say(held, insult) > 0.7
-    texts = [(r["text"], r["toxic"]) for r in biased.collect()]
+    texts = [(r["text"], r["toxic"]) for r in biased.collect() if not r["toxic"] or any(w in r["text"] for w in KNOWN)]
     assert auc([say(held, t) for t, _ in texts], [y for _, y in texts]) > 0.99
 
 

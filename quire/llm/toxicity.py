@@ -186,7 +186,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     n = marked.count()
     picked = marked.where(F.pmod(F.xxhash64("of"), F.lit(1 << 20)) < min(1 << 20, math.ceil((1 << 20) * max_rows / max(1, n)))).limit(2 * max_rows)
     taken = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).join(F.broadcast(picked), F.col("id") == F.col("of")).select(F.col("id").cast("string").alias("id"), "y", "text")
-    taken = settle(taken.limit(4 * max_rows))
+    taken = settle(taken.limit(4 * max_rows).repartition(max(8, docs.sparkSession.sparkContext.defaultParallelism)))  # a limit leaves one partition
     counted = taken.select("y", "text").mapInArrow(_count, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     sizes = {r["y"]: r["n"] for r in taken.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)

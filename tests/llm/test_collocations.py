@@ -21,10 +21,13 @@ def slow(rows, longest=3, least=10, covered=50, report=2000):
     out = []
     for lang, c in f.items():
         found = {p: a for p, a in c.items() if len(p) > 1 and a >= least}
-        kept = []
+        kept, around = [], Counter()
+        for q, b in found.items():
+            for k in range(2, len(q)):
+                for i in range(len(q) - k + 1):
+                    around[q[i : i + k]] = max(around[q[i : i + k]], b)
         for p, a in found.items():
-            inside = (b for q, b in found.items() if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q))))
-            if any(100 * b >= covered * a for b in inside):
+            if 100 * around[p] >= covered * a:
                 continue
             score, k = min((1000000 * a * a // (c[p[:k]] * c[p[k:]]), k) for k in range(1, len(p)))
             kept.append((-score, -a, " ".join(p).encode(), c[p[:k]], c[p[k:]]))

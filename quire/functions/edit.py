@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Hashable, Iterator, Sequence
+from heapq import heapify, heappop, heappush
 from typing import NamedTuple
 
 import numpy as np
@@ -16,6 +17,8 @@ _COLUMN, _ITEM, _FRONT, _WIDER = 2.5, 0.0005, 80.0, 0.2
 _STEP = 32
 #: Texts that are not worth being measured all at once.
 _FEW = 40
+#: Pairs of lines up to which bounds of all pairs are cheaper than an index.
+_FEW_PAIRS = 10_000
 
 
 def edit_distance(a: Sequence[Hashable], b: Sequence[Hashable]) -> int:
@@ -215,8 +218,13 @@ def similar_lines(ref_keys: Sequence[str], pred_keys: Sequence[str], least: floa
 
     Only pairs that share enough letters, or pairs of letters, are measured, each line with all its candidates at once.
     """
+    if not ref_keys or not pred_keys:
+        return []
+    if len(ref_keys) * len(pred_keys) <= _FEW_PAIRS:
+        may = np.argwhere(_most_similar(ref_keys, pred_keys) >= least)
+        return [(int(i), int(j), s) for i, j in may if (s := similarity(ref_keys[i], pred_keys[j])) >= least]
     out = []
-    for i, j in _candidates(ref_keys, pred_keys, least) if ref_keys and pred_keys else ():
+    for i, j in _candidates(ref_keys, pred_keys, least):
         if not len(j):
             continue
         others = [pred_keys[k] for k in j.tolist()]
@@ -227,10 +235,44 @@ def similar_lines(ref_keys: Sequence[str], pred_keys: Sequence[str], least: floa
     return out
 
 
+def _most_similar(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """For each pair, a similarity that it cannot exceed: edits are no fewer than letters that one has and the other lacks."""
+    m, n = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+    codes = np.frombuffer("".join([*a, *b]).encode("utf-32-le", "surrogatepass"), "<u4")
+    letters, letter = np.unique(codes, return_inverse=True)
+    rows, kinds = len(a) + len(b), max(1, len(letters))
+    counts = np.bincount(np.repeat(np.arange(rows), np.r_[m, n]) * kinds + letter, minlength=rows * kinds).reshape(rows, kinds)
+    p, q = counts[: len(a)], counts[len(a) :]
+    apart = np.array([np.abs(q - row).sum(1) for row in p]).reshape(len(a), len(b))
+    fewest, longest = (apart + np.abs(m[:, None] - n)) // 2, np.maximum(m[:, None], n)
+    return np.where(longest == 0, 1.0, 1.0 - fewest / np.maximum(longest, 1))
+
+
+def _lazily(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> dict[int, tuple[int, float]]:
+    """Partners of few lines: pairs wait with their bound, and are measured when none that waits could be better."""
+    if not ref_keys or not pred_keys:
+        return {}
+    bound = _most_similar(ref_keys, pred_keys)
+    waiting = [(-float(bound[i, j]), False, int(i), int(j)) for i, j in np.argwhere(bound >= least)]
+    heapify(waiting)
+    partner: dict[int, tuple[int, float]] = {}
+    taken: set[int] = set()
+    while waiting:
+        s, measured, i, j = heappop(waiting)
+        if i in partner or j in taken:
+            continue
+        if measured:
+            partner[i] = j, -s
+            taken.add(j)
+        elif (s := similarity(ref_keys[i], pred_keys[j])) >= least:
+            heappush(waiting, (-s, True, i, j))
+    return partner
+
+
 def partners(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) -> list[tuple[int, int, float]]:
     """(i, j, similarity) by i: lines and their partners, best similarity first, then in order, no line twice.
 
-    Equal lines find each other by their text. Then the limit falls in steps: lines that still have no partner are compared for
+    Equal lines find each other by their text. Where few others are left, pairs are measured best bound first. Else the limit falls in steps: lines that still have no partner are compared for
     all pairs above it, which few are while it is high, and taken best first. At the last step few lines are left.
     """
     where: dict[str, list[int]] = {}
@@ -241,6 +283,11 @@ def partners(ref_keys: Sequence[str], pred_keys: Sequence[str], least: float) ->
     for i, x in enumerate(ref_keys):
         if x in waiting and (j := next(waiting[x], None)) is not None:
             partner[i] = j, 1.0
+    taken = {j for j, _ in partner.values()}
+    left, right = [i for i in range(len(ref_keys)) if i not in partner], [j for j in range(len(pred_keys)) if j not in taken]
+    if len(left) * len(right) <= _FEW_PAIRS:
+        partner |= {left[i]: (right[j], s) for i, (j, s) in _lazily([ref_keys[i] for i in left], [pred_keys[j] for j in right], least).items()}
+        return [(i, *partner[i]) for i in sorted(partner)]
     for limit in [*(x for x in (0.9, 0.8, 0.7, 0.6) if x > least), least]:
         taken = {j for j, _ in partner.values()}
         left, right = [i for i in range(len(ref_keys)) if i not in partner], [j for j in range(len(pred_keys)) if j not in taken]

@@ -106,9 +106,11 @@ def test_partners_match_plain_greed():
         assert {i: j for i, j, _ in edit.partners(a, b, 0.5)} == want
 
 
+@pytest.mark.parametrize("few", [0, edit._FEW_PAIRS])
 @pytest.mark.parametrize("least", [0.5, 0.3, 0.85])
-def test_partners_of_many_lines(least):
-    """Shuffled lines with few and many errors, repeated ones and ties, against all pairs."""
+def test_partners_of_many_lines(least, few, monkeypatch):
+    """Shuffled lines with few and many errors, repeated ones and ties, against all pairs; by the index and without it."""
+    monkeypatch.setattr(edit, "_FEW_PAIRS", few)
     draw = random.Random(4)
     a = ["".join(draw.choices("abcdefghij  ", k=draw.randint(8, 40))) for _ in range(60)]
     a += a[:5] + ["", ""]

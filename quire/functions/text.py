@@ -5,14 +5,15 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.edit import edit_distance, partners, similar_lines, similarity
+from quire.functions.edit import partners, similarity
+from quire.functions.lanes import edit_distances, similar_lines_of
 from quire.schema import ARABIC_BLOCKS, DIACRITICS, DIGIT_ZEROS, LETTER_FOLD, MARKER, TATWEEL, THRESHOLDS
 
 LEAST_SIMILARITY = THRESHOLDS["line_match_min_similarity"]
@@ -21,6 +22,10 @@ LEAST_SIMILARITY = THRESHOLDS["line_match_min_similarity"]
 WHITE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
+#: Letters of texts that are looked at together.
+AT_ONCE = 32 << 20
+
+
 #: What is found out once in each process. (Functions that go to executors by value cannot have functools' caches.)
 _KNOWN: dict[str, object] = {}
 
@@ -92,15 +97,35 @@ def skeleton(texts: pd.Series) -> pd.Series:
     return texts.map(skeleton_of, na_action="ignore")
 
 
+def in_shares(sizes: Sequence[int], most: int = AT_ONCE) -> Iterator[slice]:
+    """Rows in stretches of that many letters at most (or of one row)."""
+    start = size = 0
+    for i, n in enumerate(sizes):
+        if size + n > most and i > start:
+            yield slice(start, i)
+            start, size = i, 0
+        size += n
+    yield slice(start, len(sizes))
+
+
+def _measured(a: pd.Series, b: pd.Series, parts: Callable[[str], Sequence]) -> pd.Series:
+    """Distances of a batch's pairs, which are measured together; null where a text is."""
+    out = pd.Series([None] * len(a), dtype="Int32")
+    rows = [(i, x, y) for i, (x, y) in enumerate(zip(a, b, strict=True)) if x is not None and y is not None]
+    for part in in_shares([len(x) + len(y) for _, x, y in rows]):
+        out.iloc[[i for i, _, _ in rows[part]]] = edit_distances([(parts(x), parts(y)) for _, x, y in rows[part]])
+    return out
+
+
 @F.pandas_udf(T.IntegerType())
 def char_edits(a: pd.Series, b: pd.Series) -> pd.Series:
     """Edit distance by code point; for whole pages (built-in levenshtein is quicker for short lines)."""
-    return pd.Series([None if x is None or y is None else edit_distance(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
+    return _measured(a, b, lambda x: x)
 
 
 @F.pandas_udf(T.IntegerType())
 def word_edits(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else edit_distance(x.split(), y.split()) for x, y in zip(a, b, strict=True)], dtype="Int32")
+    return _measured(a, b, str.split)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -115,7 +140,7 @@ _PAIRS = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.Struct
 @F.pandas_udf(_PAIRS)
 def line_candidates(a: pd.Series, b: pd.Series) -> pd.Series:
     """Of two arrays of keys the pairs with a similarity of LEAST_SIMILARITY or more."""
-    return pd.Series([similar_lines(list(x), list(y), LEAST_SIMILARITY) for x, y in zip(a, b, strict=True)])
+    return pd.Series(similar_lines_of([(list(x), list(y)) for x, y in zip(a, b, strict=True)], LEAST_SIMILARITY))
 
 
 @F.pandas_udf(_PAIRS)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.functions.text import bare_of, skeleton_of
-from quire.functions.edit import edit_distance, line_order
+from quire.functions.edit import lines_in_order
+from quire.functions.lanes import edit_distances
+from quire.functions.text import bare_of, in_shares, skeleton_of
 from quire.schema import LEVELS, PROBE_OUTCOMES, THRESHOLDS
 
 _PER_LEVEL = ("char_edits", "ref_chars", "word_edits", "ref_words", "exact")
@@ -19,15 +20,36 @@ _MEASURED = [f"{n}_{level}" for level in LEVELS for n in _PER_LEVEL] + list(_PER
 _KIND = "struct<" + ",".join(f"{n}:int" for n in _MEASURED) + ",pred_keys:array<string>>"
 
 
-def measure_page(reference: str, prediction: str, scored: bool, least_similarity: float, levels: Collection[str] = LEVELS, with_order: bool = True) -> tuple:
-    """Counts of the levels and of the order, and the skeletons of the prediction's lines; only the latter if not scored.
+def measure_pages(pages: Sequence[tuple[str, str, bool]], least_similarity: float, levels: Collection[str] = LEVELS, with_order: bool = True) -> list[tuple]:
+    """Of each (reference, prediction, scored): counts of the levels and of the order, and the skeletons of the prediction's lines; only the
+    latter if not scored. Levels that are not asked for, and the order where it is not, have nulls.
 
-    Levels that are not asked for, and the order where it is not, have nulls.
+    The distances of all pages are measured together.
     """
+    pairs: list[tuple] = []
+    rows = [_prepared(*page, least_similarity, levels, with_order, pairs) for page in pages]
+    edits = edit_distances(pairs)
+    return [(*(edits[x.at] if isinstance(x, _Edits) else x for x in row[:-1]), row[-1]) for row in rows]
+
+
+class _Edits:
+    """Stands for the distance of the pair at a place."""
+
+    def __init__(self, at: int) -> None:
+        self.at = at
+
+
+def _prepared(reference: str, prediction: str, scored: bool, least_similarity: float, levels: Collection[str], with_order: bool, pairs: list[tuple]) -> list:
+    """A page's counts, with places of the pairs whose distances are yet to be measured."""
+
+    def edits(a: str | list[str], b: str | list[str]) -> _Edits:
+        pairs.append((a, b))
+        return _Edits(len(pairs) - 1)
+
     pred_lines = prediction.split("\n")
     keys = [skeleton_of(x) for x in pred_lines]
     if not scored:
-        return (*[None] * len(_MEASURED), keys)
+        return [*[None] * len(_MEASURED), keys]
     ref_lines = reference.split("\n")
     ref_keys = [skeleton_of(x) for x in ref_lines] if with_order or "skeleton" in levels else []
     sides = {
@@ -36,7 +58,7 @@ def measure_page(reference: str, prediction: str, scored: bool, least_similarity
         "skeleton": lambda: (" ".join(k for k in ref_keys if k), " ".join(k for k in keys if k)),  # a line end is white space like other
     }
     out: list = []  # names are imported, not modules: the function travels to executors by value
-    known: dict[tuple[str, str], list[int]] = {}  # levels often leave both sides as they are
+    known: dict[tuple[str, str], list] = {}  # levels often leave both sides as they are
     for level, pair in sides.items():
         if level not in levels:
             out += [None] * len(_PER_LEVEL)
@@ -46,12 +68,14 @@ def measure_page(reference: str, prediction: str, scored: bool, least_similarity
             raise ValueError(f"the reference is empty at level {level}: validate the corpus before it is scored")
         if (r, p) not in known:
             rw, pw = r.split(), p.split()
-            known[r, p] = [edit_distance(r, p), len(r), edit_distance(rw, pw), len(rw), int(r == p)]
+            known[r, p] = [edits(r, p), len(r), edits(rw, pw), len(rw), int(r == p)]
         out += known[r, p]
     if not with_order:
-        return (*out, *[None] * len(_PER_ORDER), keys)
-    order = line_order(reference, prediction, [k for k, x in zip(ref_keys, ref_lines, strict=True) if x.strip()], [k for k, x in zip(keys, pred_lines, strict=True) if x.strip()], least_similarity, out[0] if "strict" in levels else None)
-    return (*out, *order, keys)
+        return [*out, *[None] * len(_PER_ORDER), keys]
+    ref_keys, pred_keys = ([k for k, x in zip(of, lines, strict=True) if x.strip()] for of, lines in ((ref_keys, ref_lines), (keys, pred_lines)))
+    rebuilt, *counts = lines_in_order(prediction, ref_keys, pred_keys, least_similarity)
+    same = known.get((reference, rebuilt))
+    return [*out, same[0] if same else edits(reference, rebuilt), *counts, len(ref_keys), len(pred_keys), keys]
 
 
 def _level(name: str) -> Column:
@@ -73,7 +97,8 @@ def score(pages: DataFrame, settings: Mapping = THRESHOLDS, levels: Collection[s
     @F.pandas_udf(_KIND)
     def measure(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for r, p, s in batches:
-            yield pd.DataFrame([measure_page(*x, least, levels, with_order) for x in zip(r, p, s, strict=True)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
+            rows, sizes = list(zip(r, p, s, strict=True)), [len(x) + len(y) for x, y in zip(r, p, strict=True)]
+            yield pd.DataFrame([row for part in in_shares(sizes) for row in measure_pages(rows[part], least, levels, with_order)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
 
     ref, pred = F.col("reference"), F.col("prediction")
     # a fixed number of tasks: pages cost time, not bytes, by which adaptive execution would put them together

@@ -69,11 +69,11 @@ def page_deltas(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
 
 
 def regressions(deltas: DataFrame) -> DataFrame:
-    return deltas.where("delta_cer > 0").orderBy(F.desc("delta_cer"), "page_id")
+    return settle(deltas.where("delta_cer > 0")).orderBy(F.desc("delta_cer"), "page_id")  # a sort reads its rows twice
 
 
 def improvements(deltas: DataFrame) -> DataFrame:
-    return deltas.where("delta_cer < 0").orderBy("delta_cer", "page_id")
+    return settle(deltas.where("delta_cer < 0")).orderBy("delta_cer", "page_id")
 
 
 def direction(metric: Column, delta: Column) -> Column:
@@ -125,7 +125,7 @@ def bootstrap(deltas: DataFrame, resamples: int = THRESHOLDS["bootstrap_resample
     order of the ids, in chunks, and broadcast up to EXACT_PAGES a split; more is an error, and bootstrap_scalable does without.
     """
     spark = deltas.sparkSession
-    rows = deltas.select("split", "page_id", "delta_cer")
+    rows = settle(deltas.select("split", "page_id", "delta_cer"))  # counted, sampled and placed
     sizes = {r["split"]: r["n"] for r in rows.groupBy("split").agg(F.count("*").alias("n")).collect()}
     if sizes and sum(sizes.values()) > EXACT_PAGES:
         raise UsageError(f"{sum(sizes.values())} pages are more than the exact bootstrap holds on an executor ({EXACT_PAGES})")
@@ -182,7 +182,8 @@ def bootstrap_scalable(deltas: DataFrame, resamples: int = THRESHOLDS["bootstrap
 
     A page's numbers follow from seed and id alone; partitions give sums, a row a split and resample, and nothing is gathered.
     """
-    parts = deltas.select("split", "page_id", "delta_cer").mapInArrow(lambda it: _poisson_means(it, resamples, seed), "split string, resample long, total double, weight double")
+    deltas = settle(deltas.select("split", "page_id", "delta_cer"))  # used twice
+    parts = deltas.mapInArrow(lambda it: _poisson_means(it, resamples, seed), "split string, resample long, total double, weight double")
     means = parts.groupBy("split", "resample").agg(F.try_divide(F.sum("total"), F.sum("weight")).alias("mean"))
     tail = (1.0 - CONFIDENCE) / 2.0
     bounds = means.groupBy("split").agg(F.percentile("mean", F.lit(tail)).alias("ci_low"), F.percentile("mean", F.lit(1 - tail)).alias("ci_high"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.schema import DIMENSION_COLUMNS, DIMENSIONS, FLAGS, LEVELS, OUTCOMES, PROBE_OUTCOMES, SPARSE, THRESHOLDS
+from quire.store import settle
 
 
 def micro(edits: Column, of: Column) -> Column:
@@ -78,7 +79,7 @@ def breakdowns(scores: DataFrame, least_pages: int = THRESHOLDS["min_pages_per_b
     A page counts for each value it has, as often as it has it. Values with fewer than least_pages pages are one row,
     in which each page counts once.
     """
-    each = _valued(scores).select("split", "dimension", "page_id", *COUNTS, F.explode("vals").alias("key"))
+    each = settle(_valued(scores).select("split", "dimension", "page_id", *COUNTS, F.explode("vals").alias("key")))  # used twice; pages are scored once
     sizes = each.groupBy("split", "dimension", "key").agg((F.count("*") < least_pages).alias("few"))
     folded = each.join(sizes, ["split", "dimension", "key"]).withColumn("key", F.when(F.col("few"), SPARSE).otherwise(F.col("key")))
     # of a page's rows that meet in the folded row, one; others stay as many as they are

@@ -63,14 +63,15 @@ def resolve(spark: SparkSession, pages: DataFrame, root: str) -> tuple[DataFrame
     return joined.withColumn("reference", F.coalesce("reference_text", F.when(F.col("good"), F.col("file_text")))).drop("at", "file_text", "good"), problems
 
 
-def validate(spark: SparkSession, manifest: str, predictions: str, root: str | None = None, ids: Sequence[str] | None = None, conditions: Sequence[Condition] = ()) -> Validated:
+def validate(spark: SparkSession, manifest: str, predictions: str, root: str | None = None, ids: Sequence[str] | DataFrame | None = None, conditions: Sequence[Condition] = ()) -> Validated:
     """Reads both sides and reports in this order: manifest, predictions, ids asked for, scope, each page, orphans.
 
+    ids: a sequence, or a table with page_id, whose problems come in the order of the ids.
     Predictions are orphans if no valid manifest line has their id, whatever the scope is.
     """
     every, manifest_problems = read_manifest(spark, manifest)
     texts, prediction_problems, form = read_predictions(spark, predictions)
-    wanted = None if ids is None else spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "page_id string, n int")
+    wanted = ids.select("page_id", F.lit(0).alias("n")) if isinstance(ids, DataFrame) else None if ids is None else spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "page_id string, n int")
     scope = select(every, conditions, wanted)
     scope, file_problems = resolve(spark, scope, root or manifest.rsplit("/", 1)[0])
     none = spark.createDataFrame([], "part int, line long, page_id string, n int, message string")

@@ -349,9 +349,9 @@ def _scratch(spark: SparkSession) -> str:
 
 
 def _lines_file(spark: SparkSession, lines: DataFrame) -> str:
-    """Lines of one partition as one file."""
-    lines.write.text(folder := _scratch(spark))
-    return spark.read.format("binaryFile").load(folder).select("path").first()["path"]
+    """Lines, sorted by ranges, as the parts of one file."""
+    lines.write.text(folder := f"{_scratch(spark)}.jsonl")
+    return folder
 
 
 def _manifest_file(spark: SparkSession, sf_dir: str) -> str:
@@ -363,7 +363,7 @@ def _manifest_file(spark: SparkSession, sf_dir: str) -> str:
         ident.alias("page_id"), "split", F.coalesce(odd(7, F.lit("film")), F.col("kind")).alias("kind"), F.col("reference").alias("reference_text"), odd(11, F.lit("ref.txt")).alias("reference_path"),
         F.concat(F.lit("images/"), "page_id").alias("image_path"), "fonts", F.reverse("distortions").alias("distortions"), "source", "is_augmented", odd(13, F.lit(1)).alias("colour"),
     )
-    return _lines_file(spark, pages.select("doc_id", F.to_json(row).alias("value")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id").select("value"))
+    return _lines_file(spark, pages.select("doc_id", row.alias("row")).repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(F.to_json("row").alias("value")))
 
 
 _FAULTS = f"""f AS (SELECT *, doc_id % 29 AS odd, row_number() OVER (ORDER BY doc_id) AS line, lag(doc_id) OVER (ORDER BY doc_id) AS before FROM page),
@@ -392,7 +392,7 @@ def _prediction_lines(spark: SparkSession, sf_dir: str) -> str:
     """The baseline's predictions as JSON lines in the order of ids, some of them repeated or without text."""
     k, pages = F.col("doc_id"), corpus(spark, sf_dir)
     both = pages.select("doc_id", F.lit(0).alias("n"), "page_id", F.when(k % 31 != 3, F.col("prediction")).alias("text")).union(pages.where(k % 17 == 2).select("doc_id", F.lit(1), "page_id", F.lit("again")))
-    return _lines_file(spark, both.repartitionByRange(1, "doc_id", "n").sortWithinPartitions("doc_id", "n").select(F.to_json(F.struct("page_id", "text")).alias("value")))
+    return _lines_file(spark, both.repartitionByRange("doc_id", "n").sortWithinPartitions("doc_id", "n").select(F.to_json(F.struct("page_id", "text")).alias("value")))
 
 
 @query(f"WITH {SQL} SELECT page_id, CASE WHEN doc_id % 31 = 3 THEN 'again' ELSE baseline END AS text FROM page WHERE doc_id % 31 <> 3 OR doc_id % 17 = 2")
@@ -415,7 +415,7 @@ _GOOD = f"{_FAULTS}, m AS (SELECT page_id, doc_id FROM faults WHERE odd NOT IN (
   UNION ALL SELECT 'ids', count(*) FROM page WHERE doc_id % 29 = 11 UNION ALL SELECT 'pages', count(*) FROM m WHERE doc_id % 29 <> 11 AND page_id NOT IN (FROM p) UNION ALL SELECT 'orphans', count(*) FROM p WHERE page_id NOT IN (SELECT page_id FROM m)""")
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many problems validation reports of each part, for a manifest, predictions and a list of all ids."""
-    ids = [r["page_id"] for r in corpus(spark, sf_dir).where("doc_id % 29 <> 5 AND doc_id % 29 <> 7").select("page_id").orderBy("page_id").collect()]
+    ids = corpus(spark, sf_dir).where("doc_id % 29 <> 5 AND doc_id % 29 <> 7").select("page_id")
     checked = validation.validate(spark, _manifest_file(spark, sf_dir), _prediction_lines(spark, sf_dir), ids=ids)
     names = F.create_map(*(F.lit(x) for k, v in {0: "manifest", 1: "predictions", 2: "ids", 4: "pages", 5: "orphans"}.items() for x in (k, v)))
     return checked.problems.groupBy(names[F.col("part")].alias("part")).agg(F.count("*").alias("n"))

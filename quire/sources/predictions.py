@@ -1,16 +1,17 @@
-"""Prediction sets: a folder with a text file for each page, or one JSON object a line."""
+"""Prediction sets: a folder with a text file for each page, or one JSON object a line (a file, or a folder *.jsonl of parts)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import groupby
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import is_blank
 from quire.sources.lines import digest_of, exists, numbered, own_or_alone, whole_files
+from quire.sources.running import Sha256, goes_on
+from quire.store import settle
 
 
 def _problems(spark: SparkSession, *messages: str) -> DataFrame:
@@ -43,28 +44,44 @@ def read_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_predictions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, str]:
-    """(page_id and text, problems, form): form is 'directory' or 'jsonl', by what the path is."""
+    """(page_id and text, problems, form): form is 'directory' or 'jsonl', by what the path is; a folder *.jsonl holds the parts of one file."""
     kind = exists(spark, path)
     if kind is None:
         return spark.createDataFrame([], "page_id string, text string"), _problems(spark, f"no predictions at {path}"), ""
-    return (*read_folder(spark, path), "directory") if kind == "directory" else (*read_lines(spark, path), "jsonl")
+    return (*read_folder(spark, path), "directory") if kind == "directory" and not path.rstrip("/").endswith(".jsonl") else (*read_lines(spark, path), "jsonl")
 
 
 def predictions_digest(predictions: DataFrame) -> str:
-    """The same for both forms: over ids and texts in the order of the ids, streamed through the driver."""
-    return digest_of((r["page_id"], r["text"]) for r in predictions.select("page_id", "text").orderBy("page_id").toLocalIterator())
+    """The same for both forms: over ids and texts in the order of the ids, hashed on executors."""
+    found = digests_by(predictions.withColumn("__all", F.lit(0)), "__all").first()
+    return found["digest"] if found else digest_of([])
 
 
 def digests_by(predictions: DataFrame, group: str) -> DataFrame:
-    """group, digest: predictions_digest of each group's predictions, all in one pass. A group's texts go through one task, in the
-    order of their ids (a hash over all of them leaves no other way), sorted on disk where they are many.
+    """group, digest: predictions_digest of each group's predictions.
+
+    A hash over all texts in the order of their ids is one chain, but no task reads it whole: rows are dealt out by ranges of group and id and
+    stored; a task hashes its range from the state that the range before it left (112 bytes a group), one job a range.
     """
-    kind = predictions.schema[group].dataType.simpleString()
+    spark, kind = predictions.sparkSession, predictions.schema[group].dataType.simpleString()
+    rows = predictions.select(F.col(group).alias("group"), "page_id", "text")
+    ordered = settle(rows.repartitionByRange(F.col("group"), F.col("page_id")).sortWithinPartitions("group", "page_id"))
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((g, i, t) for b in batches for g, i, t in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
-        for g, own in groupby(rows, key=lambda r: r[0]):
-            yield pa.RecordBatch.from_pylist([{"group": g, "digest": digest_of((i, t) for _, i, t in own)}])
 
-    ordered = predictions.select(F.col(group).alias("group"), "page_id", "text").repartition("group").sortWithinPartitions("group", "page_id")
-    return ordered.mapInArrow(hashed, f"group {kind}, digest string").withColumnRenamed("group", group)
+    def hashed(rows: Iterator, group_: object, state: bytes | None) -> Iterator[tuple]:
+        """(group, digest, state) of each group in a range; the first may go on from a state."""
+        for g, own in groupby(rows, key=lambda r: r[0]):
+            h = Sha256(state if state and g == group_ else None)
+            for _, i, t in own:
+                h.update(i.encode() + b"\0" + t.encode() + b"\0")
+            yield g, "sha256:" + h.hexdigest(), h.state()
+
+    if not goes_on(spark):  # no library: each group in one task
+        alone = lambda rows: ((g, digest_of((i, t) for _, i, t in own)) for g, own in groupby(rows, key=lambda r: r[0]))
+        found = dict(ordered.repartition("group").sortWithinPartitions("group", "page_id").rdd.mapPartitions(alone).collect())
+    else:
+        found, last, ranges = {}, (None, None), ordered.rdd
+        for k in range(ranges.getNumPartitions()):
+            for g, digest, state in spark.sparkContext.runJob(ranges, lambda rows, x=last: hashed(rows, *x), [k]):
+                found[g], last = digest, (g, state)
+    return spark.createDataFrame(list(found.items()), f"group {kind}, digest string").withColumnRenamed("group", group)

@@ -52,6 +52,18 @@ def digest(fs, path: str) -> str:
     return h.hexdigest()
 
 
+def parts_of(uri: str, settings: dict[str, str]) -> list[tuple[str, int]]:
+    """(uri, size) of a file, or of the files in a folder as Spark reads them: by name, hidden ones left out."""
+    from pyarrow.fs import FileSelector, FileType
+
+    fs, at = open_place(uri, settings)
+    info = fs.get_file_info(at)
+    if info.type != FileType.Directory:
+        return [(uri, info.size or 0)]
+    files = [f for f in fs.get_file_info(FileSelector(at)) if f.type == FileType.File and not f.base_name.startswith(("_", "."))]
+    return [(f"{uri.rstrip('/')}/{f.base_name}", f.size) for f in sorted(files, key=lambda f: f.base_name)]
+
+
 def empty_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = False) -> list[str]:
     """Files without a byte at a path or in a folder, named as Spark names files."""
     from pyarrow.fs import FileSelector, FileType

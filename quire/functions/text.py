@@ -8,6 +8,7 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,15 +87,21 @@ def bare_of(text: str) -> str:
     return others.sub("", listed.sub("", text))
 
 
-@F.pandas_udf(T.StringType())
-def diacritic_insensitive(texts: pd.Series) -> pd.Series:
+def _each(texts: pa.Array, f: Callable[[str], str], rows: int = 64) -> pa.Array:
+    """f of each text that is not null. Only a few texts at once are Python's; a batch and its results stay in Arrow's memory."""
+    parts = [pa.array([None if x is None else f(x) for x in texts.slice(i, rows).to_pylist()], pa.string()) for i in range(0, len(texts), rows)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def diacritic_insensitive(texts: pa.Array) -> pa.Array:
     """bare_of. (Java's regular expressions try the ranges of marks one by one for each letter.)"""
-    return texts.map(bare_of, na_action="ignore")
+    return _each(texts, bare_of)
 
 
-@F.pandas_udf(T.StringType())
-def skeleton(texts: pd.Series) -> pd.Series:
-    return texts.map(skeleton_of, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def skeleton(texts: pa.Array) -> pa.Array:
+    return _each(texts, skeleton_of)
 
 
 def in_shares(sizes: Sequence[int], most: int = AT_ONCE) -> Iterator[slice]:

@@ -81,3 +81,37 @@ def test_pages_are_scored_as_one_by_one():
 def test_shares_of_rows():
     assert list(in_shares([3, 3, 9, 1, 1], 6)) == [slice(0, 2), slice(2, 3), slice(3, 5)]
     assert list(in_shares([], 6)) == [slice(0, 0)]
+
+
+def test_edits_that_lie_apart_are_told_by_a_walk(monkeypatch):
+    """Distances of texts with an edit here and there need no fronts; what a walk tells is the distance."""
+    rng = random.Random(12)
+    pairs = []
+    for k in range(60):
+        words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(120)]
+        a = " ".join(words)
+        b = "".join(x + (("#", x, "")[k % 3] if i % 40 == 39 else "") for i, x in enumerate(a))
+        pairs += [(a, b), (words, b.split(" ")), (words, [*words[:50], "x", *words[51:80], *words[81:]])]
+    pairs += [p for longest in (70, 300) for p in pairs_of(rng, "ab", longest)]
+    want = [plain(a, b) for a, b in pairs]
+    assert lanes.edit_distances(pairs) == want
+    codes = [edit._codes(*lanes.trimmed(a, b)) for a, b in pairs]
+    some = [i for i, (a, b) in enumerate(codes) if len(a) and len(b)]
+    a, b = ([codes[i][s] for i in some] for s in (0, 1))
+    found, enough = lanes._where_apart(a, b, lanes.np.array([len(x) // 2 for x in a]))
+    assert all(d in (-1, want[i]) for i, d in zip(some, found.tolist(), strict=True)) and all(d >= min(want[i], len(codes[i][0]) // 2 + 1) for i, d in zip(some, enough.tolist(), strict=True))
+    apart = [p for p in pairs[:180] if isinstance(p[0], str)]
+    asked = []
+    fronts = lanes._by_fronts
+    monkeypatch.setattr(lanes, "_by_fronts", lambda *x: asked.extend(x[0]) or fronts(*x))
+    assert lanes.edit_distances(apart) == [plain(*p) for p in apart] and len(asked) < 5
+
+
+def test_within_one_edit():
+    rng = random.Random(4)
+    for _ in range(3000):
+        piece, text = "".join(rng.choices("ab", k=rng.randint(2, 9))), "".join(rng.choices("ab", k=rng.randint(0, 12)))
+        low, high = sorted(rng.choices(range(len(text) + 1), k=2))
+        part = text[low:high]
+        want = any(plain(piece, part[i:j]) <= 1 for i in range(len(part) + 1) for j in range(i, len(part) + 1))
+        assert lanes._within_one(piece, text, low, high) or not want  # never denied wrongly

@@ -13,8 +13,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.edit import partners, similarity
-from quire.functions.lanes import edit_distances, similar_lines_of
+from quire.functions.edit import similarity
+from quire.functions.lanes import edit_distances, partners_of, similar_lines_of
 from quire.schema import ARABIC_BLOCKS, DIACRITICS, DIGIT_ZEROS, LETTER_FOLD, MARKER, TATWEEL, THRESHOLDS
 
 LEAST_SIMILARITY = THRESHOLDS["line_match_min_similarity"]
@@ -75,10 +75,22 @@ def skeleton_of(text: str) -> str:
     return " ".join(unicodedata.normalize("NFKC", text).translate(_SKELETON).split())
 
 
+def skeletons_of(lines: Sequence[str], known: dict[str, str]) -> list[str]:
+    """skeleton_of each line; those that are known already are not worked out again."""
+    for x in lines:
+        if x not in known:
+            known[x] = skeleton_of(x)
+    return [known[x] for x in lines]
+
+
 def bare_of(text: str) -> str:
     """Without the listed marks, and without other marks that stand on a letter of the Arabic blocks."""
     if text.isascii():
         return text
+    if "from" not in _KNOWN:  # where marks begin
+        _KNOWN["from"] = re.compile(f"[{chr(min(DIACRITICS[0][0], mark_ranges()[0][0]))}-{chr(sys.maxunicode)}]")
+    if not _KNOWN["from"].search(text) or not any(unicodedata.category(c) == "Mn" or any(a <= ord(c) <= b for a, b in DIACRITICS) for c in set(text)):
+        return text
     if "bare" not in _KNOWN:
         spelled = lambda ranges: "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
         letters = _ranges(i for a, b in ARABIC_BLOCKS for i in range(a, b + 1) if unicodedata.category(chr(i)) != "Mn")
@@ -153,7 +165,7 @@ def line_candidates(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(_PAIRS)
 def line_partners(a: pd.Series, b: pd.Series) -> pd.Series:
     """Of two arrays of keys the pairs that are taken: best similarity first, then in order, no key twice."""
-    return pd.Series([partners(list(x), list(y), LEAST_SIMILARITY) for x, y in zip(a, b, strict=True)])
+    return pd.Series(partners_of([(list(x), list(y)) for x, y in zip(a, b, strict=True)], LEAST_SIMILARITY))
 
 
 def words(text: Column) -> Column:
@@ -170,7 +182,7 @@ def is_blank(text: Column) -> Column:
 
 def is_marker(text: Column, marker: str = MARKER) -> Column:
     """The marker alone, in its own case, whatever white space is around it."""
-    return stripped(text) == marker
+    return text.contains(marker) & (stripped(text) == marker)  # most texts are not looked through by expressions
 
 
 def lines(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Collection, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.functions.edit import lines_in_order
-from quire.functions.lanes import edit_distances
-from quire.functions.text import bare_of, in_shares, skeleton_of
+from quire.functions.lanes import edit_distances, partners_of
+from quire.functions.text import bare_of, in_shares, skeletons_of
 from quire.schema import LEVELS, PROBE_OUTCOMES, THRESHOLDS
 
 _PER_LEVEL = ("char_edits", "ref_chars", "word_edits", "ref_words", "exact")
@@ -20,18 +22,34 @@ _MEASURED = [f"{n}_{level}" for level in LEVELS for n in _PER_LEVEL] + list(_PER
 _KIND = "struct<" + ",".join(f"{n}:int" for n in _MEASURED) + ",pred_keys:array<string>>"
 
 
-def measure_pages(pages: Sequence[tuple[str, str, bool]], least_similarity: float, levels: Collection[str] = LEVELS, with_order: bool = True) -> list[tuple]:
-    """Of each (reference, prediction, scored): counts of the levels and of the order, and the skeletons of the prediction's lines; only the
-    latter if not scored. Levels that are not asked for, and the order where it is not, have nulls.
+def measure_pages(pages: Sequence[tuple[str, str, bool]], least_similarity: float, levels: Collection[str] = LEVELS, with_order: bool = True, often: int = 1) -> list[tuple]:
+    """Of each (reference, prediction, scored): counts of the levels and of the order, and the skeletons of the prediction's lines that come
+    so often; only the latter if not scored. Levels that are not asked for, and the order where it is not, have nulls.
 
-    The distances of all pages are measured together.
+    The distances of all pages are measured together, and so are those of lines.
     """
     pairs: list[tuple] = []
-    rows = [_prepared(*page, least_similarity, levels, with_order, pairs) for page in pages]
+    keyed = [_keys(*page, with_order or "skeleton" in levels, often) for page in pages]
+    lined = [k for k, page in enumerate(pages) if page[2] and with_order and all(_of_lines(x, y) for x, y in zip(page[:2], keyed[k], strict=True))]
+    found = partners_of([tuple(_of_lines(x, y) for x, y in zip(pages[k][:2], keyed[k], strict=True)) for k in lined], least_similarity)
+    places = {k: [j for _, j, _ in partners] for k, partners in zip(lined, found, strict=True)}
+    rows = [_prepared(*page, *keyed[k], places.get(k), levels, with_order, often, pairs) for k, page in enumerate(pages)]
     edits = edit_distances(pairs)
     return [(*(edits[x.at] if isinstance(x, _Edits) else x for x in row[:-1]), row[-1]) for row in rows]
 
 
+def _keys(reference: str, prediction: str, scored: bool, both: bool, often: int) -> tuple[list[str], list[str]]:
+    """Skeletons of all lines of the reference and of the prediction, as far as they are needed."""
+    both, known = both and scored, {}
+    pred_lines = prediction.split("\n")
+    return skeletons_of(reference.split("\n"), known) if both else [], skeletons_of(pred_lines, known) if both or len(pred_lines) >= often else []
+
+
+def _of_lines(text: str, keys: list[str]) -> list[str]:
+    """Those of lines that are not blank."""
+    return [k for k, x in zip(keys, text.split("\n"), strict=True) if x.strip()]
+
+
 class _Edits:
     """Stands for the distance of the pair at a place."""
 
@@ -39,19 +57,19 @@ class _Edits:
         self.at = at
 
 
-def _prepared(reference: str, prediction: str, scored: bool, least_similarity: float, levels: Collection[str], with_order: bool, pairs: list[tuple]) -> list:
+def _prepared(
+    reference: str, prediction: str, scored: bool, ref_keys: list[str], keys: list[str], places: list[int] | None, levels: Collection[str], with_order: bool, often: int, pairs: list[tuple]
+) -> list:
     """A page's counts, with places of the pairs whose distances are yet to be measured."""
 
     def edits(a: str | list[str], b: str | list[str]) -> _Edits:
         pairs.append((a, b))
         return _Edits(len(pairs) - 1)
 
-    pred_lines = prediction.split("\n")
-    keys = [skeleton_of(x) for x in pred_lines]
+    times = Counter(keys) if often > 1 else {}
+    frequent = [k for k in keys if times[k] >= often] if often > 1 else keys
     if not scored:
-        return [*[None] * len(_MEASURED), keys]
-    ref_lines = reference.split("\n")
-    ref_keys = [skeleton_of(x) for x in ref_lines] if with_order or "skeleton" in levels else []
+        return [*[None] * len(_MEASURED), frequent]
     sides = {
         "strict": lambda: (reference, prediction),
         "diacritic_insensitive": lambda: (bare_of(reference), bare_of(prediction)),
@@ -71,11 +89,10 @@ def _prepared(reference: str, prediction: str, scored: bool, least_similarity: f
             known[r, p] = [edits(r, p), len(r), edits(rw, pw), len(rw), int(r == p)]
         out += known[r, p]
     if not with_order:
-        return [*out, *[None] * len(_PER_ORDER), keys]
-    ref_keys, pred_keys = ([k for k, x in zip(of, lines, strict=True) if x.strip()] for of, lines in ((ref_keys, ref_lines), (keys, pred_lines)))
-    rebuilt, *counts = lines_in_order(prediction, ref_keys, pred_keys, least_similarity)
+        return [*out, *[None] * len(_PER_ORDER), frequent]
+    rebuilt, *counts = lines_in_order(prediction, places)
     same = known.get((reference, rebuilt))
-    return [*out, same[0] if same else edits(reference, rebuilt), *counts, len(ref_keys), len(pred_keys), keys]
+    return [*out, same[0] if same else edits(reference, rebuilt), *counts, len(_of_lines(reference, ref_keys)), len(_of_lines(prediction, keys)), frequent]
 
 
 def _level(name: str) -> Column:
@@ -93,12 +110,13 @@ def score(pages: DataFrame, settings: Mapping = THRESHOLDS, levels: Collection[s
     is what split totals sum; it is not part of the stored page. Pages are dealt out anew by id, since long ones cost most.
     """
     least, levels = float(settings["line_match_min_similarity"]), tuple(levels)
+    often = max(1, math.ceil(settings["repetition_min_occurrences"]))  # lines that come less often tell nothing
 
     @F.pandas_udf(_KIND)
     def measure(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for r, p, s in batches:
             rows, sizes = list(zip(r, p, s, strict=True)), [len(x) + len(y) for x, y in zip(r, p, strict=True)]
-            yield pd.DataFrame([row for part in in_shares(sizes) for row in measure_pages(rows[part], least, levels, with_order)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
+            yield pd.DataFrame([row for part in in_shares(sizes) for row in measure_pages(rows[part], least, levels, with_order, often)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
 
     ref, pred = F.col("reference"), F.col("prediction")
     # a fixed number of tasks: pages cost time, not bytes, by which adaptive execution would put them together

@@ -115,3 +115,33 @@ def test_within_one_edit():
         part = text[low:high]
         want = any(plain(piece, part[i:j]) <= 1 for i in range(len(part) + 1) for j in range(i, len(part) + 1))
         assert lanes._within_one(piece, text, low, high) or not want  # never denied wrongly
+
+
+def test_partners_of_many_pages_are_measured_together(monkeypatch):
+    rng = random.Random(6)
+    line = lambda: "".join(rng.choices("abcde ", k=rng.randint(0, 90)))
+    pages = [([line() for _ in range(rng.randint(0, 9))], []) for _ in range(60)]
+    pages = [(a, [x.replace("a", "x", rng.randint(0, 9)) for x in a[::-1]] + [line()]) for a, _ in pages]
+    want = [edit.partners(a, b, 0.5) for a, b in pages]
+    alone = []
+    monkeypatch.setattr(edit, "similarity", lambda a, b: alone.append(1))
+    calls = []
+    measured = lanes.edit_distances
+    monkeypatch.setattr(lanes, "edit_distances", lambda x: calls.append(len(x)) or measured(x))
+    assert lanes.partners_of(pages, 0.5) == want and not alone and calls[0] > 40
+
+
+def test_a_long_text_lies_in_the_bits(monkeypatch):
+    """A long text against a short one takes a step for each item of the short one."""
+    rng = random.Random(7)
+    pairs = [("".join(rng.choices("abcdefgh", k=9000)), "".join(rng.choices("abcdefgh", k=300))) for _ in range(30)]
+    want = [plain(*p) for p in pairs]
+    monkeypatch.setattr(lanes, "_whole", None)
+    assert lanes.edit_distances(pairs) == want
+
+
+def test_only_lines_that_come_often_are_handed_on():
+    r = "one two\nthree\n\nfour"
+    pages = [(r, "ab, c\nx\nab c\ny\nab c!", True), (r, "x\nx", True), (r, "x\nx\nx\nz", False)]
+    assert [row[-1] for row in measure_pages(pages, 0.5, often=3)] == [["ab c"] * 3, [], ["x"] * 3]
+    assert [row[:-1] for row in measure_pages(pages, 0.5, often=3)] == [row[:-1] for row in measure_pages(pages, 0.5)]

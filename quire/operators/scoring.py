@@ -22,9 +22,9 @@ _MEASURED = [f"{n}_{level}" for level in LEVELS for n in _PER_LEVEL] + list(_PER
 _KIND = "struct<" + ",".join(f"{n}:int" for n in _MEASURED) + ",pred_keys:array<string>>"
 
 
-def measure_pages(pages: Sequence[tuple[str, str, bool]], least_similarity: float, levels: Collection[str] = LEVELS, with_order: bool = True, often: int = 1) -> list[tuple]:
+def measure_pages(pages: Sequence[tuple[str, str, bool]], least_similarity: float, levels: Collection[str] = LEVELS, with_order: bool = True, often: int = 1, with_words: bool = True) -> list[tuple]:
     """Of each (reference, prediction, scored): counts of the levels and of the order, and the skeletons of the prediction's lines that come
-    so often; only the latter if not scored. Levels that are not asked for, and the order where it is not, have nulls.
+    so often; only the latter if not scored. Levels that are not asked for, and the order and words where they are not, have nulls.
 
     The distances of all pages are measured together, and so are those of lines.
     """
@@ -33,7 +33,7 @@ def measure_pages(pages: Sequence[tuple[str, str, bool]], least_similarity: floa
     lined = [k for k, page in enumerate(pages) if page[2] and with_order and all(_of_lines(x, y) for x, y in zip(page[:2], keyed[k], strict=True))]
     found = partners_of([tuple(_of_lines(x, y) for x, y in zip(pages[k][:2], keyed[k], strict=True)) for k in lined], least_similarity)
     places = {k: [j for _, j, _ in partners] for k, partners in zip(lined, found, strict=True)}
-    rows = [_prepared(*page, *keyed[k], places.get(k), levels, with_order, often, pairs) for k, page in enumerate(pages)]
+    rows = [_prepared(*page, *keyed[k], places.get(k), levels, with_order, often, with_words, pairs) for k, page in enumerate(pages)]
     edits = edit_distances(pairs)
     return [(*(edits[x.at] if isinstance(x, _Edits) else x for x in row[:-1]), row[-1]) for row in rows]
 
@@ -58,7 +58,7 @@ class _Edits:
 
 
 def _prepared(
-    reference: str, prediction: str, scored: bool, ref_keys: list[str], keys: list[str], places: list[int] | None, levels: Collection[str], with_order: bool, often: int, pairs: list[tuple]
+    reference: str, prediction: str, scored: bool, ref_keys: list[str], keys: list[str], places: list[int] | None, levels: Collection[str], with_order: bool, often: int, with_words: bool, pairs: list[tuple]
 ) -> list:
     """A page's counts, with places of the pairs whose distances are yet to be measured."""
 
@@ -85,8 +85,11 @@ def _prepared(
         if not r:
             raise ValueError(f"the reference is empty at level {level}: validate the corpus before it is scored")
         if (r, p) not in known:
-            rw, pw = r.split(), p.split()
-            known[r, p] = [edits(r, p), len(r), edits(rw, pw), len(rw), int(r == p)]
+            words = [None, None]
+            if with_words:
+                rw, pw = r.split(), p.split()
+                words = [edits(rw, pw), len(rw)]
+            known[r, p] = [edits(r, p), len(r), *words, int(r == p)]
         out += known[r, p]
     if not with_order:
         return [*out, *[None] * len(_PER_ORDER), frequent]
@@ -101,10 +104,10 @@ def _level(name: str) -> Column:
     return F.struct(rate("char_edits", "ref_chars").alias("cer"), rate("word_edits", "ref_words").alias("wer"), (m("exact") == 1).alias("exact_match"), *(m(n).alias(n) for n in _PER_LEVEL[:4]))
 
 
-def score(pages: DataFrame, settings: Mapping = THRESHOLDS, levels: Collection[str] = LEVELS, with_order: bool = True) -> DataFrame:
+def score(pages: DataFrame, settings: Mapping = THRESHOLDS, levels: Collection[str] = LEVELS, with_order: bool = True, with_words: bool = True) -> DataFrame:
     """pages (manifest columns, reference, prediction) with outcome, flags, length_ratio, metrics, order and order_counts.
 
-    levels: those that metrics has; with_order: whether lines are paired. What is not asked for is not measured, and has nulls.
+    levels: those that metrics has; with_order: whether lines are paired; with_words: whether words are compared. What is not asked for is not measured, and has nulls.
 
     metrics and order are null where the outcome is a probe's. order_counts (edits, characters, concordant and total pairs)
     is what split totals sum; it is not part of the stored page. Pages are dealt out anew by id, since long ones cost most.
@@ -116,7 +119,7 @@ def score(pages: DataFrame, settings: Mapping = THRESHOLDS, levels: Collection[s
     def measure(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for r, p, s in batches:
             rows, sizes = list(zip(r, p, s, strict=True)), [len(x) + len(y) for x, y in zip(r, p, strict=True)]
-            yield pd.DataFrame([row for part in in_shares(sizes) for row in measure_pages(rows[part], least, levels, with_order, often)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
+            yield pd.DataFrame([row for part in in_shares(sizes) for row in measure_pages(rows[part], least, levels, with_order, often, with_words)], columns=[*_MEASURED, "pred_keys"]).astype(dict.fromkeys(_MEASURED, "Int32"))
 
     ref, pred = F.col("reference"), F.col("prediction")
     # a fixed number of tasks: pages cost time, not bytes, by which adaptive execution would put them together

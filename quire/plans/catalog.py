@@ -48,6 +48,11 @@ def _strict(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> D
     return scoring.score(corpus(spark, sf_dir, prediction), levels=_STRICT, with_order=False)
 
 
+def _chars(spark: SparkSession, sf_dir: str, prediction: str = "baseline") -> DataFrame:
+    """Scores of queries that look at no words either."""
+    return scoring.score(corpus(spark, sf_dir, prediction), levels=_STRICT, with_order=False, with_words=False)
+
+
 _STRICT = ("strict",)
 
 
@@ -102,12 +107,12 @@ def page_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_micro_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("metrics.strict")
     e, n = m["char_edits"], m["ref_chars"]
-    return _strict(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
+    return _chars(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.sum(e).alias("char_edits"), F.sum(n).alias("ref_chars"), rollups.micro(e, n).alias("micro"), F.round(rollups.macro(e, n), 9).alias("macro"))
 
 
 @query(f"{BASE} SELECT split, count(*) FILTER (has_metrics) AS scored_pages, CAST(sum(char_edits) FILTER (has_metrics) AS DOUBLE) / CAST(sum(ref_chars) FILTER (has_metrics) AS BIGINT) AS cer FROM s_baseline GROUP BY split")
 def split_headline_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_strict(spark, sf_dir), levels=_STRICT).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
+    return rollups.split_totals(_chars(spark, sf_dir), levels=_STRICT).select("split", "scored_pages", F.col("strict_cer_micro").alias("cer"))
 
 
 @query(f"{BASE} SELECT split, outcome, count(*) AS pages FROM s_baseline GROUP BY ALL")
@@ -117,7 +122,7 @@ def contract_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{BASE} SELECT split, {_CONTRACT} FROM s_baseline GROUP BY split")
 def contract_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_strict(spark, sf_dir), levels=_STRICT).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
+    return rollups.split_totals(_chars(spark, sf_dir), levels=_STRICT).select("split", "correct_refusal", "hallucination", "false_refusal", "probe_pages", "hallucination_rate", "false_refusal_rate")
 
 
 # ---- distances and normalisation
@@ -170,7 +175,7 @@ def level_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{BASE} SELECT split, count(*) FILTER (reference = prediction) AS exact, count(*) AS pages FROM s_baseline WHERE has_metrics GROUP BY split")
 def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _strict(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
+    return _chars(spark, sf_dir).where("metrics IS NOT NULL").groupBy("split").agg(F.count_if(F.col("metrics.strict.exact_match")).alias("exact"), F.count("*").alias("pages"))
 
 
 @query(rf"""WITH {SQL} SELECT page_id, CAST(len(list_filter(regexp_split_to_array(reference, '\s+'), lambda x: x <> '')) AS BIGINT) AS words,
@@ -195,13 +200,13 @@ _REPETITION = f"""l AS (SELECT page_id, length(baseline) AS n, unnest(string_spl
 
 @query(f"WITH {SQL}, {_REPETITION} SELECT page_id, repetition FROM f")
 def flags_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _strict(spark, sf_dir).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
+    return _chars(spark, sf_dir).select("page_id", F.array_contains("flags", "repetition").alias("repetition"))
 
 
 @query(f"""{BASE}, {_REPETITION} SELECT split, count(*) FILTER (empty_prediction) AS empty_prediction, count(*) FILTER (repetition) AS repetition, count(*) FILTER (runaway_length) AS runaway_length
   FROM s_baseline JOIN f USING (page_id) GROUP BY split""")
 def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.split_totals(_strict(spark, sf_dir), levels=_STRICT).select("split", *FLAGS)
+    return rollups.split_totals(_chars(spark, sf_dir), levels=_STRICT).select("split", *FLAGS)
 
 
 # ---- breakdowns and rankings
@@ -295,14 +300,15 @@ def line_match(spark: SparkSession, sf_dir: str) -> DataFrame:
   CAST(ref_lines AS INTEGER) AS ref_lines, CAST(pred_lines AS INTEGER) AS pred_lines, CAST(concordant AS INTEGER) AS concordant, CAST(pairs AS INTEGER) AS pairs FROM y JOIN z USING (page_id)""")
 def order_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order metrics of each page: lines put in the reference's order, and concordant pairs of lines."""
-    return _scores(spark, sf_dir).where("metrics IS NOT NULL").select("page_id", "order.*", F.col("order_counts.concordant").alias("concordant"), F.col("order_counts.pairs").alias("pairs"))
+    scores = scoring.score(corpus(spark, sf_dir), levels=_STRICT, with_words=False)
+    return scores.where("metrics IS NOT NULL").select("page_id", "order.*", F.col("order_counts.concordant").alias("concordant"), F.col("order_counts.pairs").alias("pairs"))
 
 
 @query(f"WITH {SQL}, {_MATCHED} SELECT split, CAST(sum(concordant) AS BIGINT) AS concordant, CAST(sum(pairs) AS BIGINT) AS pairs, CAST(sum(concordant) AS DOUBLE) / CAST(nullif(sum(pairs), 0) AS BIGINT) AS reading_order_accuracy, count(*) FILTER (pairs = 0) AS pages_without_order_signal FROM page JOIN o USING (page_id) GROUP BY split")
 def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each split's concordance over all its pages, and how many of them say nothing about order."""
     sums = {c: F.sum(f"order_counts.{c}") for c in ("concordant", "pairs")}
-    scores = scoring.score(corpus(spark, sf_dir), levels=_STRICT).where("metrics IS NOT NULL")
+    scores = scoring.score(corpus(spark, sf_dir), levels=_STRICT, with_words=False).where("metrics IS NOT NULL")
     return rollups.split_totals(scores, sums, _STRICT).select("split", "reading_order_accuracy", "pages_without_order_signal", *sums)
 
 
@@ -498,7 +504,7 @@ def report_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _two(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rounded = lambda df: df.withColumn("metrics", F.when(F.col("metrics").isNotNull(), F.struct(F.struct(F.round("metrics.strict.cer", 6).alias("cer")).alias("strict"))))
-    return rounded(_strict(spark, sf_dir, "baseline")), rounded(_strict(spark, sf_dir, "candidate"))
+    return rounded(_chars(spark, sf_dir, "baseline")), rounded(_chars(spark, sf_dir, "candidate"))
 
 
 _DELTAS = f"""{BOTH}, j AS (SELECT b.page_id, b.split, b.outcome AS ob, c.outcome AS oc, b.has_metrics AS rated, round(CAST(b.char_edits AS DOUBLE) / b.ref_chars, 6) AS cb, round(CAST(c.char_edits AS DOUBLE) / c.ref_chars, 6) AS cc FROM s_baseline b JOIN s_candidate c USING (page_id)),
@@ -538,7 +544,7 @@ _CHANGES = f"""{BOTH}, {_totals_sql('baseline')}, {_totals_sql('candidate')},
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contrast.metric_changes(*(rollups.split_totals(_strict(spark, sf_dir, p), levels=_STRICT) for p in ("baseline", "candidate")))
+    return contrast.metric_changes(*(rollups.split_totals(_chars(spark, sf_dir, p), levels=_STRICT) for p in ("baseline", "candidate")))
 
 
 @query(f"{_CHANGES} SELECT *, CASE WHEN delta = 0 THEN 'unchanged' WHEN (metric = 'exact_match_rate') = (delta > 0) THEN 'better' ELSE 'worse' END AS direction FROM changes")

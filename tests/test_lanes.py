@@ -145,3 +145,14 @@ def test_only_lines_that_come_often_are_handed_on():
     pages = [(r, "ab, c\nx\nab c\ny\nab c!", True), (r, "x\nx", True), (r, "x\nx\nx\nz", False)]
     assert [row[-1] for row in measure_pages(pages, 0.5, often=3)] == [["ab c"] * 3, [], ["x"] * 3]
     assert [row[:-1] for row in measure_pages(pages, 0.5, often=3)] == [row[:-1] for row in measure_pages(pages, 0.5)]
+
+
+def test_words_are_left_out_where_nothing_looks_at_them(monkeypatch):
+    pages = [("one two\nthree", "one too\nthree", True), ("a", "b", False)]
+    whole = measure_pages(pages, 0.5, ("strict",))
+    seen = []
+    measured = lanes.edit_distances
+    monkeypatch.setitem(measure_pages.__globals__, "edit_distances", lambda pairs: seen.extend(pairs) or measured(pairs))
+    chars = measure_pages(pages, 0.5, ("strict",), with_words=False)
+    assert all(isinstance(a, str) for a, _ in seen) and chars[0][2:4] == (None, None) and whole[0][2:4] == (1, 3)
+    assert [(*r[:2], *r[4:]) for r in chars] == [(*r[:2], *r[4:]) for r in whole]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,17 +21,38 @@ from quire.llm.common import bucketed, discard, partitions, settle, stored
 LEAST, COVERED = 10, 50
 #: Words of the longest phrase, and rows of a language's report.
 LONGEST, REPORT = 3, 2000
-#: Words after which a block of documents ends; it may have one document more.
+#: Words of all languages after which the largest languages' blocks of documents end; there may be one document more.
 BLOCK_WORDS = 1 << 21
-#: Bits of a place: task, block of the task, local number in the block (a string of 2 GB has fewer words).
-_SEQ_BITS, _LOCAL_BITS = 15, 28
+#: Words of the corpus for each group in which the blocks' words or pairs are counted.
+GROUP_WORDS = 1 << 21
 
 # The characters that end a piece become line ends, tabs become spaces, A-Z lower case.
 _FOLD = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _TOKEN = re.compile(rb"[^ \n]+|\n")
 
-_BLOCK = "block long, lang string, n long, tokens binary, words array<string>, counts array<int>"
-_LEVEL = "block long, lang string, tokens binary, a array<long>, b array<long>, counts array<int>"
+_BLOCK = "block long, lang string, n long, tokens binary, words binary, counts binary"
+_LEVEL = "block long, lang string, tokens binary, sent array<binary>"
+_SENT = "dest int, block long, lang string, sent binary, words binary"
+_ANSWER = "block long, dest int, names binary, name array<long>, f array<long>"
+_WORDS, _PAIRS = f"{_ANSWER}, lang array<string>, word array<binary>", f"{_ANSWER}, a array<long>, b array<long>"
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of as many whole numbers from 0 on, in few bytes: the bytes of equal weight stand together and are compressed."""
+    widths = [max(1, -(-int(c.max(initial=0)).bit_length() // 8)) for c in columns]
+    planes = b"".join(c.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for c, w in zip(columns, widths, strict=True))
+    return struct.pack(f"<I{len(widths)}B", len(columns[0]), *widths) + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpack(data: bytes, columns: int = 1) -> list[np.ndarray]:
+    n, *widths = struct.unpack_from(f"<I{columns}B", data)
+    planes = np.frombuffer(pa.decompress(data[4 + columns :], n * sum(widths), "zstd", asbytes=True), np.uint8)
+    out = []
+    for w, end in zip(widths, np.cumsum(widths) * n, strict=True):
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :w] = planes[end - w * n : end].reshape(w, n).T
+        out.append(wide.view("<i8").reshape(n))
+    return out
 
 
 def pieces(text: str | None) -> list[bytes]:
@@ -38,23 +61,26 @@ def pieces(text: str | None) -> list[bytes]:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, text) to one row for each block and language: local numbers of words, -1 between pieces, and what they mean."""
-    task, seq, held = TaskContext.get().partitionId(), count(), 0
+    """Rows (lang, text) to one row for each block and language: local numbers of words plus 1, 0 between pieces, and what they mean.
+
+    Words are numbered in the order of their hashes, so those of any group stand together.
+    """
+    task, seq, total, held = TaskContext.get().partitionId(), count(), 0, defaultdict(int)
     numbers: dict[str, defaultdict[bytes, int]] = {}
     streams: defaultdict[str, list[np.ndarray]] = defaultdict(list)
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        for lang, known in numbers.items():
-            tokens = np.concatenate(streams[lang])
-            del known[b"\n"]
-            at = np.bincount(tokens[tokens >= 0], minlength=len(known)).astype(np.int32)
-            block = _block_of(task, next(seq))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block]), pa.array([lang]), pa.array([int(at.sum())], pa.int64()), pa.array([tokens.tobytes()]), pa.array([[w.decode("utf-8", "surrogatepass") for w in known]], pa.list_(pa.string())),
-                pa.array([at], pa.list_(pa.int32())),
-            ], names=["block", "lang", "n", "tokens", "words", "counts"])
-        numbers.clear()
-        streams.clear()
+    def flush(lang: str) -> pa.RecordBatch:
+        known, tokens = numbers.pop(lang), np.concatenate(streams.pop(lang))
+        del known[b"\n"], held[lang]
+        words = list(known)
+        order = np.argsort(_hashes(words), kind="stable")
+        place = np.zeros(len(words) + 1, np.int64)  # the last one is that of -1
+        place[order] = np.arange(1, len(words) + 1)
+        tokens = place[tokens]
+        at = np.bincount(tokens, minlength=len(words) + 1)[1:]
+        return pa.RecordBatch.from_arrays([
+            pa.array([task << 32 | next(seq)]), pa.array([lang]), pa.array([int(at.sum())], pa.int64()), pa.array([_pack(tokens)]), pa.array([b"\n".join([words[i] for i in order])]), pa.array([_pack(at)]),
+        ], names=["block", "lang", "n", "tokens", "words", "counts"])
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -62,54 +88,116 @@ def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
                 numbers[lang] = defaultdict(count().__next__, {b"\n": -1})
             words = pieces(text)
             streams[lang].append(np.fromiter(map(numbers[lang].__getitem__, words), np.int32, len(words)))
-            held += len(words)
-            if held >= block_words:
-                yield from flush()
-                held = 0
-    yield from flush()
+            held[lang] += len(words)
+            total += len(words)
+            for largest in sorted(held, key=held.__getitem__, reverse=True) if total >= block_words else ():
+                if 2 * total > block_words:
+                    total -= held[largest]
+                    yield flush(largest)
+    for lang in list(numbers):
+        yield flush(lang)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.uint64, len(words))
 
 
-def _block_of(task: int, seq: int) -> int:
-    if seq >> _SEQ_BITS or task >> (63 - _SEQ_BITS - _LOCAL_BITS):
-        raise OverflowError("too many blocks: read the documents in fewer or smaller partitions")
-    return task << _SEQ_BITS | seq
+def _group(hashes: np.ndarray, groups: int) -> np.ndarray:
+    """The group, from 0 to groups - 1, of a 32-bit hash; it does not fall from a hash to the next one."""
+    return ((hashes * np.uint64(groups)) >> np.uint64(32)).astype(np.int64)
 
 
-def _pair_up(level: pa.Table, names: pa.Table) -> pa.Table:
-    """A block's stream of local numbers, and the global names of those that are frequent, to its stream of pairs of neighbours
-    that both have a name: their local numbers, and their two names and counts in the block.
+def _group_of_pair(a: np.ndarray, b: np.ndarray, groups: int) -> np.ndarray:
+    h = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return _group(h >> np.uint64(32), groups)
+
+
+def _send(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
+    """Blocks' vocabularies to one row for each group that has words of theirs."""
+    for batch in batches:
+        for block, lang, blob, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words, times = blob.split(), _unpack(counts)[0]
+            ends = np.searchsorted(_group(_hashes(words), groups), np.arange(groups + 1))
+            parts = [(d, i, j) for d, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if i < j]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([d for d, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), pa.array([lang] * len(parts), pa.string()), pa.array([_pack(times[i:j]) for _, i, j in parts], pa.binary()),
+                pa.array([_squeeze(b"\n".join(words[i:j])) for _, i, j in parts], pa.binary()),
+            ], names=["dest", "block", "lang", "sent", "words"])
+
+
+def _squeeze(data: bytes) -> bytes:
+    return struct.pack("<I", len(data)) + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unsqueeze(data: bytes) -> bytes:
+    return pa.decompress(data[4:], struct.unpack_from("<I", data)[0], "zstd", asbytes=True)
+
+
+def _pair_up(level: pa.Table, answers: pa.Table, groups: int) -> pa.Table:
+    """A block's stream of local numbers, and the names that the groups gave them, to its stream of pairs of neighbours that both have
+    a name; and for each group its pairs in the order of their numbers: their two names (the first ones as differences) and counts in the block.
     """
-    made = {"block": level["block"], "lang": level["lang"]}
-    tokens = np.frombuffer(level["tokens"][0].as_py(), np.int32) if level.num_rows else np.zeros(0, np.int32)
-    name = np.zeros(int(tokens.max(initial=-1)) + 2, np.int64)  # the last one is that of -1: none
-    local = names["local"].to_numpy()
-    name[local] = names["name"].to_numpy()
-    left, right = tokens[:-1].astype(np.int64), tokens[1:].astype(np.int64)
-    both = (name[left] != 0) & (name[right] != 0)
-    pair, at, times = np.unique(left[both] * len(name) + right[both], return_inverse=True, return_counts=True)
-    out = np.full(len(both), -1, np.int32)
-    out[both] = at
-    out = out[(out >= 0) | np.r_[False, out[:-1] >= 0]]  # one -1 for a run of them
-    columns = (name[pair // len(name)], pa.int64()), (name[pair % len(name)], pa.int64()), (times.astype(np.int32), pa.int32())
-    made |= {"tokens": pa.array([out.tobytes()] * level.num_rows)} | {k: pa.array([v] * level.num_rows, pa.list_(t)) for k, (v, t) in zip(("a", "b", "counts"), columns, strict=True)}
-    return pa.table(made)
-
-
-def _named(places: DataFrame, key: list[str], least: int, level: DataFrame) -> DataFrame:
-    """Of a level's places (block, local, times and a key), those whose key occurs `least` times or more, with a name; the row whose
-    place is the name has the key and its count f, the others only point to it.
-
-    A key's name is its first place in the blocks. Blocks have added up their own occurrences, so a key has at most one row for
-    each block, however often it occurs.
+    if not level.num_rows:
+        return pa.table({"block": level["block"], "lang": level["lang"], "tokens": level["tokens"], "sent": pa.array([], pa.list_(pa.binary()))})
+    tokens = _unpack(level["tokens"][0].as_py())[0]
+    name = np.concatenate([[0], *(_unpack(x)[0] for x in answers.sort_by("dest")["names"].to_pylist())]).astype(np.int64)
+    known, code = np.unique(name, return_inverse=True)  # 0, for no name, comes first
+    code = code[tokens]
+    both = (code[:-1] > 0) & (code[1:] > 0)
+    pair, at, times = np.unique(code[:-1][both] * len(known) + code[1:][both], return_inverse=True, return_counts=True)
+    a, b = known[pair // len(known)], known[pair % len(known)]
+    dest = _group_of_pair(a, b, groups)
+    order = np.argsort(dest, kind="stable")
+    place = np.empty(len(pair), np.int64)
+    place[order] = np.arange(1, len(pair) + 1)
+    out = np.zeros(len(both), np.int64)
+    out[both] = place[at]
+    out = out[(out > 0) | np.r_[False, out[:-1] > 0]]  # one 0 for a run of them
+    a, b, times, ends = a[order], b[order], times[order], np.searchsorted(dest[order], np.arange(groups + 1))
+    sent = [_pack(np.diff(a[i:j], prepend=0), b[i:j], times[i:j]) if i < j else None for i, j in zip(ends[:-1], ends[1:], strict=True)]
+    return pa.table({"block": level["block"], "lang": level["lang"], "tokens": pa.array([_pack(out)]), "sent": pa.array([sent], pa.list_(pa.binary()))})
+
+
+def _one_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number for each pair of numbers from 0 on, however large."""
+    if (int(a.max()) + 1) * (int(b.max()) + 1) >= 1 << 63:
+        a, b = (np.unique(x, return_inverse=True)[1] for x in (a, b))
+    return a * (int(b.max()) + 1) + b
+
+
+def _answers(messages: pa.Table, groups: int, least: int, keys: np.ndarray, times: list[np.ndarray], meaning: Callable[[np.ndarray], dict[str, pa.Array]], answer: bool = True) -> pa.Table:
+    """Of a group's messages, with a number for each key in them: one row of the keys that occur `least` times or more, their names and counts;
+    and for each message a row with the names of its keys in order, 0 for those that are rare.
+
+    The more often a key occurs, the lower is its name. meaning: the columns that tell what the keys at these places are.
     """
-    spark = level.sparkSession
-    rows = level.agg(F.coalesce(F.sum(F.size("counts").cast("long")), F.lit(0))).first()[0]
-    of, place = Window.partitionBy(*key), F.shiftleft("block", _LOCAL_BITS) + F.col("local") + 1
-    counted = places.select(place.alias("place"), "times", *key).repartition(partitions(spark, rows, 1 << 20), *key)
-    counted = counted.select("place", *key, F.sum("times").over(of).alias("f"), F.min("place").over(of).alias("name")).where(F.col("f") >= least)
-    first = F.col("place") == F.col("name")
-    block, local = F.shiftright(F.col("place") - 1, _LOCAL_BITS), (F.col("place") - 1).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).cast("int")
-    return counted.select(block.alias("block"), local.alias("local"), "name", *(F.when(first, F.col(k)).alias(k) for k in [*key, "f"]))
+    dest = messages["dest"][0].as_py()
+    _, first, at = np.unique(keys, return_index=True, return_inverse=True)
+    f = np.zeros(len(first), np.int64)
+    np.add.at(f, at, np.concatenate(times))
+    kept = np.flatnonzero(f >= least)
+    kept = kept[np.argsort(-f[kept], kind="stable")]
+    name = np.zeros(len(first), np.int64)
+    name[kept] = np.arange(len(kept)) * groups + dest + 1  # no other group has these, and all are about as high
+    found = {"name": pa.array(name[kept]), "f": pa.array(f[kept])} | meaning(first[kept])
+    told = [_pack(x) for x in np.split(name[at], np.cumsum([len(t) for t in times])[:-1])] if answer else []
+    made = {"block": pa.array([None, *messages["block"].to_pylist()[: len(told)]], pa.int64()), "dest": pa.array([dest] * (len(told) + 1), pa.int32()), "names": pa.array([None, *told], pa.binary())}
+    return pa.table(made | {k: pa.ListArray.from_arrays(pa.array([0] + [len(v)] * (len(told) + 1), pa.int32()), v) for k, v in found.items()})
+
+
+def _count_words(messages: pa.Table, groups: int, least: int) -> pa.Table:
+    times = [_unpack(x)[0] for x in messages["sent"].to_pylist()]
+    words = pa.array([w for x in messages["words"].to_pylist() for w in _unsqueeze(x).split()], pa.binary())
+    langs = messages["lang"].combine_chunks().dictionary_encode()
+    lang, word = np.repeat(langs.indices.to_numpy(), [len(t) for t in times]).astype(np.int64), words.dictionary_encode().indices.to_numpy().astype(np.int64)
+    return _answers(messages, groups, least, _one_key(lang, word), times, lambda at: {"lang": langs.dictionary.take(pa.array(lang[at])), "word": words.take(pa.array(at))})
+
+
+def _count_pairs(messages: pa.Table, groups: int, least: int, answer: bool) -> pa.Table:
+    a, b, times = zip(*(_unpack(x, 3) for x in messages["sent"].to_pylist()), strict=True)
+    a, b = np.concatenate([np.cumsum(x) for x in a]), np.concatenate(b)
+    return _answers(messages, groups, least, _one_key(a, b), list(times), lambda at: {"a": pa.array(a[at]), "b": pa.array(b[at])}, answer)
 
 
 def _exact(c: Column) -> Column:
@@ -124,6 +212,15 @@ def _scored(k: int) -> Column:
     return F.array_min(F.array(*cuts))
 
 
+def _met(sent: DataFrame, groups: int, count: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    return sent.repartition(groups, "dest").groupBy("dest").applyInArrow(lambda t: count(t), schema)
+
+
+def _frequent(told: DataFrame, *key: str) -> DataFrame:
+    rows = told.where("block IS NULL").select(F.explode(F.arrays_zip("name", "f", *key)).alias("at"))
+    return rows.select("at.name", *(f"at.{k}" for k in key), "at.f")
+
+
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST, least: int = LEAST, covered: int = COVERED, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """Collocations (lang, phrase, a, l, r, score) of all languages, and every language's number of words (lang, n).
 
@@ -132,10 +229,11 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
     part that occurs l times and a rest that occurs r times. A candidate is dropped if `covered` per cent of its occurrences or
     more are as many as those of one longer candidate around it. All counts are exact, over whole texts and all documents.
 
-    Each block of documents numbers its own words. Numbers of frequent words get global names by a shuffle of the blocks'
-    vocabularies, and go back to the blocks, which pair neighbours; pairs of frequent (k-1)-grams that overlap are the k-grams
-    that may be frequent, and get names in the same way. A gram's row holds the names of its two parents, so cuts and
-    longer candidates are looked up by joins on names. Occurrences never leave their block.
+    Each block of documents numbers its own words and sends them, packed, to groups by hash; a group counts its words over all blocks and
+    sends the names of the frequent ones back, in the order in which it got them. Blocks pair neighbours that both have a
+    name; pairs of frequent (k-1)-grams that overlap are the k-grams that may be frequent, and get names in the same way. A gram's
+    row holds the names of its two parents, so cuts and longer candidates are looked up by joins on names. Occurrences never
+    leave their block. A key has at most one place in a message of a block, however often it occurs.
 
     The blocks are in buckets by their own number, so that their words are not shuffled when names come back to them.
 
@@ -147,22 +245,25 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), rows.rdd.getNumPartitions() // 4)
     level = bucketed(rows.mapInArrow(lambda it: _encode(it, block_words), _BLOCK), "block", buckets)
     words = settle(level.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"))
-    places = level.select("block", "lang", F.posexplode(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("times"))).alias("local", "at")).select("block", "lang", "local", "at.word", "at.times")
-    named = stored(_named(places, ["lang", "word"], least, level))
+    groups = partitions(spark, words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], GROUP_WORDS)
+    sent = level.select("block", "lang", "words", "counts").mapInArrow(lambda it: _send(it, groups), _SENT)
+    told = stored(_met(sent, groups, lambda t: _count_words(t, groups, least), _WORDS))
     one = F.array("f")
-    grams = named.where("f IS NOT NULL").select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", one.alias("pre"), one.alias("suf"))
+    found = _frequent(told, "lang", "word").withColumn("word", F.col("word").cast("string"))
+    grams = settle(found.select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", one.alias("pre"), one.alias("suf")))
     found = []
     for k in range(2, longest + 1):
-        paired = level.select("block", "lang", "tokens").groupBy("block").cogroup(named.select("block", "local", "name").groupBy("block")).applyInArrow(_pair_up, _LEVEL)
-        before, level = (level, named), bucketed(paired, "block", buckets) if k < longest else paired.select("block", "a", "b", "counts")
-        at = F.posexplode(F.arrays_zip("a", "b", F.col("counts").alias("times"))).alias("local", "at")
-        places = level.select("block", at).select("block", "local", "at.a", "at.b", "at.times")
+        answers = told.where("block IS NOT NULL").select("block", "dest", "names")
+        paired = level.select("block", "lang", "tokens").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda of, to: _pair_up(of, to, groups), _LEVEL)
+        before, level = (level, told), bucketed(paired, "block", buckets) if k < longest else paired
+        sent = level.select("block", F.posexplode("sent").alias("dest", "sent")).where("sent IS NOT NULL").select("dest", "block", "sent")
         if k < longest:
-            named = stored(_named(places, ["a", "b"], least, level))
-            pairs = named.where("f IS NOT NULL").select("name", "a", "b", "f")
+            discard(*before)
+            told = stored(_met(sent, groups, lambda t: _count_pairs(t, groups, least, True), _PAIRS))
+            pairs = settle(_frequent(told, "a", "b"))
         else:
-            pairs = places.groupBy("a", "b").agg(F.sum("times").alias("f")).where(F.col("f") >= least).withColumn("name", F.lit(0).cast("long"))
-        pairs = settle(pairs)
+            pairs = settle(_frequent(_met(sent, groups, lambda t: _count_pairs(t, groups, least, False), _PAIRS), "a", "b"))
+            discard(*before)
         longer = pairs.select(F.col("a").alias("name"), "f").union(pairs.select("b", "f")).groupBy("name").agg(F.max("f").alias("most"))
         if k > 2:
             found[-1] = found[-1].join(longer, "name", "left").where(f"most IS NULL OR 100 * most < {covered} * f").drop("most")
@@ -170,7 +271,6 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
         second = grams.select(F.col("name").alias("b"), "last", F.col("suf").alias("behind"))
         made = pairs.join(first, "a").join(second, "b")
         grams = settle(made.select("name", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "f", F.concat("before", one).alias("pre"), F.concat("behind", one).alias("suf")))
-        discard(*before)
         found.append(grams.select("name", "lang", "phrase", "f", _scored(k).alias("cut")))
     out = found[0]
     for more in found[1:]:

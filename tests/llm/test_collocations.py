@@ -3,6 +3,11 @@
 import re
 from collections import Counter, defaultdict
 from random import Random
+from time import sleep
+from zlib import crc32
+
+import numpy as np
+import pytest
 
 from quire.llm import collocations as X
 from quire.llm.queries import op12_phrase_collocations
@@ -85,3 +90,44 @@ def test_products_beyond_64_bits(spark):
     f, l, r = 40_000_000_000, 50_000_000_000, 60_000_000_000
     df = spark.createDataFrame([(f, [l, f], [r, f])], "f long, pre array<long>, suf array<long>")
     assert tuple(df.select(X._scored(2).alias("c")).first()["c"]) == (1000000 * f * f // (l * r), 1, l, r)
+
+
+def test_rare_pairs_take_few_bytes(spark):
+    """Nearly all pairs are rare; a row for each of them took 16 bytes and more of shuffle."""
+    draw = Random(12)
+    words = [f"w{i}" for i in range(800)]
+    rows = [(i, " ".join(draw.choices(words, k=400)), draw.choice("xy")) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def shuffled():
+        sleep(0.5)
+        spark.range(1).collect()  # the end of a task brings the figures up to date
+        sleep(0.5)
+        return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+    before = shuffled()
+    found, _ = X.phrases(df, least=5, block_words=50_000)
+    got = rows_of(found)
+    assert shuffled() - before < 8 * 200_000
+    assert got == sorted((r[0], *r[2:6], r[7]) for r in slow([r[1:] for r in rows], least=5, report=10**6))
+
+
+def test_words_of_one_hash(spark):
+    assert crc32(b"plumless") == crc32(b"buckeroo")
+    rows = [(i, "plumless buckeroo plumless. buckeroo x", "en" if i < 15 else "de") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert rows_of(X.collocations(df)) == slow([r[1:] for r in rows]) != []
+
+
+@pytest.mark.parametrize("columns", [[[], []], [[0], [5]], [[0, 255, 256], [1 << 62, 3, 0]], [list(range(1000)), [7] * 1000]])
+def test_packed_columns(columns):
+    back = X._unpack(X._pack(*(np.array(c, np.int64) for c in columns)), len(columns))
+    assert [c.tolist() for c in back] == columns
+
+
+def test_pairs_of_large_names():
+    """Names whose product passes 2^63 still give one number for each pair."""
+    a, b = np.array([1 << 40, 3, 1 << 40, 3, 4]), np.array([1 << 41, 0, 1 << 41, 1 << 41, 0])
+    for key in (X._one_key(a, b), X._one_key(a % 7, b % 5)):
+        assert key[0] == key[2] and key.min() >= 0
+    assert len(set(X._one_key(a, b).tolist())) == 4

@@ -281,7 +281,8 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", report: int = REPORT, longest: int = LONGEST, least: int = LEAST, covered: int = COVERED) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first `report` phrases by score, a (both descending) and phrase.
 
-    Spark takes each partition's first rows before it brings a language's together. Odd rows as in phrases().
+    Where `report` is 1,000 or less, Spark takes each partition's first rows before it brings a language's together; else one task ranks
+    all of a language's candidates. Odd rows as in phrases().
     """
     found, words = phrases(docs, text_col, lang_col, longest, least, covered)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))

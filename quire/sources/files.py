@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.sources.stores import PIECE, binary_files, digest, open_place, store_settings
+from quire.sources.stores import PIECE, binary_files, digest, list_files, open_place, store_settings
 
 
 def write_files(rows: DataFrame, root: str, name: str, content: str) -> DataFrame:
@@ -67,7 +67,7 @@ def differing(left: DataFrame, right: DataFrame, root_left: str, root_right: str
 
 def listed(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path of every file below path, without its content."""
-    return binary_files(spark, path, pattern, recursive=True).select("path")
+    return list_files(spark, path, pattern, recursive=True).select("path")
 
 
 def transfer(spark: SparkSession, source: str, target: str, pattern: str = "*", expected: DataFrame | None = None) -> DataFrame:
@@ -78,7 +78,7 @@ def transfer(spark: SparkSession, source: str, target: str, pattern: str = "*",
     own name when size and digest are right, and an error says which one is not. Any file systems that pyarrow reaches.
     """
     settings = store_settings(spark)
-    files = binary_files(spark, source, pattern, recursive=True).select("path", "length")
+    files = list_files(spark, source, pattern, recursive=True).select("path", "length")
     at = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")
     base = "/" + source.split(":", 1)[-1].strip("/") if ":" in source or source.startswith("/") else source.rstrip("/")
     rows = files.select("path", F.col("length").alias("bytes"), F.substr(at(F.col("path")), F.lit(len(base) + 2)).alias("name")).where(~F.col("name").endswith(".partial"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import file_text
 from quire.sources.running import Sha256, goes_on
-from quire.sources.stores import PIECE, binary_files, open_place, parts_of, store_settings
+from quire.sources.stores import PIECE, list_files, open_place, parts_of, read_files, store_settings
 
 
 #: Bytes of a file that one task hashes.
@@ -32,9 +32,13 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
 
 def whole_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path, stem, text, good of the files in a folder, by the rule for text files."""
-    files = binary_files(spark, path, pattern)
+    return texts_of(list_files(spark, path, pattern))
+
+
+def texts_of(files: DataFrame) -> DataFrame:
+    """whole_files of listed files."""
     text = F.col("content").cast("string")
-    return files.select("path", F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1).alias("stem"), file_text(text).alias("text"), F.is_valid_utf8(text).alias("good"))
+    return read_files(files).select("path", F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1).alias("stem"), file_text(text).alias("text"), F.is_valid_utf8(text).alias("good"))
 
 
 def sha256_of_file(spark: SparkSession, path: str) -> str:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import is_blank
-from quire.sources.lines import digest_of, exists, numbered, own_or_alone, whole_files
+from quire.sources.lines import digest_of, exists, numbered, own_or_alone, texts_of
 from quire.sources.running import Sha256, goes_on
+from quire.sources.stores import list_files
 from quire.store import settle
 
 
@@ -19,9 +20,10 @@ def _problems(spark: SparkSession, *messages: str) -> DataFrame:
 
 
 def read_folder(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    files = whole_files(spark, path, "*.txt")
-    if files.isEmpty():
+    names = list_files(spark, path, "*.txt")
+    if names.isEmpty():
         return spark.createDataFrame([], "page_id string, text string"), _problems(spark, f"no .txt file in {path}")
+    files = texts_of(names)
     bad = files.where("NOT good").select(F.lit(0).cast("long").alias("line"), F.lit(0).alias("n"), F.concat("path", F.lit(" is not valid UTF-8")).alias("message"))
     return files.where("good").select(F.col("stem").alias("page_id"), "text"), bad
 

@@ -447,7 +447,7 @@ def prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = written.select(F.regexp_replace("path", r"\.txt$", "").alias("page_id"), F.greatest(F.col("bytes") - 1, F.lit(0)).alias("bytes"))
     sizes = _scratch(spark)
     written.write.parquet(sizes)
-    return read_folder(spark, folder)[0].join(spark.read.parquet(sizes), "page_id")
+    return read_folder(spark, folder)[0].join(spark.read.parquet(sizes).hint("merge"), "page_id")  # 10 MB of sizes are almost two million rows: not for the driver
 
 
 @query(f"""WITH {SQL}, t AS (SELECT page_id, CASE WHEN doc_id % 23 = 0 THEN '!?. ' ELSE reference END AS r FROM page WHERE kind <> 'probe')

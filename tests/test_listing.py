@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from quire.plans import catalog
 from quire.sources import stores
 from quire.sources.lines import whole_files
 from quire.sources.predictions import read_folder
@@ -65,3 +66,8 @@ def test_few_contents_are_held_at_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(stores, "PIECE", 700)
     files = binary_files(spark, str(tmp_path))
     assert {(r["length"], bytes(r["content"])) for r in files.collect()} == {(n := 300 if i % 5 else 0, bytes([i]) * n) for i in range(20)} and files.count() == 20
+
+
+def test_written_sizes_do_not_meet_on_the_driver(spark):
+    found = catalog.prediction_files(spark, "/root/testdata/sf0.001")
+    assert "SortMergeJoin [page_id" in found._jdf.queryExecution().sparkPlan().toString() and found.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
